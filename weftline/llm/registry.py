@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import exact_dedup, mixing, packing
+from weftline.llm import exact_dedup, mixing, packing, pii, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op2_packing": packing.op2_packing,
+        "op4_pii": pii.op4_pii,
+        "op5_toxicity": toxicity.op5_toxicity,
+        "op6_quality": quality.op6_quality,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
 
