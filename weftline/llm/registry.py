@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import exact_dedup, mixing, packing, pii, quality, toxicity
+from weftline.llm import embedding_dedup, exact_dedup, language_model, mixing, packing, pii, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,7 +16,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": pii.op4_pii,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_quality": quality.op6_quality,
+        "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+        "op9_language_model": language_model.op9_language_model,
     }
 
 

@@ -125,11 +125,13 @@ def fit_ordinal(features: np.ndarray, x: np.ndarray, grade: np.ndarray, steps: i
     """Adam on the mean negative log-likelihood; thresholds are a first one and positive gaps, so they stay ordered."""
     n, d = x.shape
     k = np.arange(GRADES - 1)
+    rows, cols = np.nonzero(x)
+    held = x[rows, cols].astype(np.float64)
     theta = np.concatenate((np.zeros(d), [2.0], np.zeros(GRADES - 2)))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         w, t = theta[:d], np.cumsum(np.concatenate((theta[d : d + 1], np.exp(theta[d + 1 :]))))
-        p = 1 / (1 + np.exp(-np.clip((x @ w)[:, None] - t, -50, 50)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(rows, held * w[cols], n)[:, None] - t, -50, 50)))
         edges = np.concatenate((np.ones((n, 1)), p, np.zeros((n, 1))), axis=1)
         own = np.maximum(edges[np.arange(n), grade] - edges[np.arange(n), grade + 1], 1e-12)
         slope = p * (1 - p)
@@ -138,7 +140,7 @@ def fit_ordinal(features: np.ndarray, x: np.ndarray, grade: np.ndarray, steps: i
         by_edge /= own[:, None] * n
         g_t = -by_edge.sum(0)
         gaps = np.exp(theta[d + 1 :])
-        g = np.concatenate((x.T @ by_edge.sum(1) + decay * w, [g_t.sum()], gaps * np.cumsum(g_t[::-1])[::-1][1:]))
+        g = np.concatenate((np.bincount(cols, held * by_edge.sum(1)[rows], d) + decay * w, [g_t.sum()], gaps * np.cumsum(g_t[::-1])[::-1][1:]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return Model(features, theta[:d], np.cumsum(np.concatenate((theta[d : d + 1], np.exp(theta[d + 1 :])))))
