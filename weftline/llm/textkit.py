@@ -101,14 +101,25 @@ def finish(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_MIXED = finish(np.arange(1, 257, dtype=np.uint64))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    size = 1 << int(len(data)).bit_length()
-    power, inverse = _powers(max(size, BLOCK * 2))
+    """A hash of the bytes of each span; starts and ends ascend."""
+    parts, at = [], 0
+    while at < len(starts):
+        # Spans are hashed by stretches, so tables and sums stay small beside a long text.
+        low = starts[at]
+        upto = max(at + 1, int(np.searchsorted(ends, low + BLOCK, "right")))
+        parts.append(_stretch(data[low : ends[upto - 1]], starts[at:upto] - low, ends[at:upto] - low))
+        at = upto
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _stretch(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    power, inverse = _powers(max(1 << int(len(data)).bit_length(), BLOCK))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(finish(data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    np.cumsum(_MIXED[data] * power[: len(data)], out=sums[1:])
     lengths = (ends - starts).astype(np.uint64)
     return finish((sums[ends] - sums[starts]) * inverse[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
 
