@@ -76,11 +76,23 @@ def generate_catalog(rows: DataFrame) -> DataFrame:
 
 
 def catalog_manifest(parsed: DataFrame, valid: DataFrame) -> DataFrame:
-    """OP-53: counts of a generation."""
+    """OP-53: counts of a generation, one row."""
     rows = parsed.agg(F.count(F.lit(1)).alias("source_rows")).crossJoin(valid.agg(F.count(F.lit(1)).alias("valid_rows")))
     return rows.crossJoin(catalog_coverage(category_observations(valid))).withColumn("rejected_rows", F.col("source_rows") - F.col("valid_rows"))
 
 
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """OP-53: sha256 of each CSV file that a catalog was written to."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    return files.select("path", F.sha2("content", 256).alias("catalog_sha256"))
+
+
+def canonical_snapshot(rows: DataFrame, kind: str) -> DataFrame:
+    """OP-39: the order in which two snapshots are compared."""
+    keys = {"raw": ["source_sequence"], "metrics": ["window_start", "item_id", "source_category_id"], "features": ["window_start", "user_id"], "quality": ["quality_event_id"], "catalog": ["product_id"]}
+    return rows.orderBy(*keys[kind])
+
+
 def write_catalog(catalog: DataFrame, path: str, expected: int) -> None:
     """OP-12: replace the catalog as a whole, then compare its count with the manifest's."""
     catalog.orderBy("product_id").coalesce(1).write.mode("overwrite").option("header", True).csv(path)

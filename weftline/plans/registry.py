@@ -106,6 +106,61 @@ def _streamed(spark: SparkSession, sf_dir: str, what: Callable[[DataFrame], Data
     return P.read_upserts(spark, f"{root}/out", ["user_id", "item_id"], ["event_time_ms", "source_sequence"])
 
 
+def _messages(rows: DataFrame, kind: str) -> DataFrame:
+    """Rows as the JSON messages of a sink, read back as typed rows; times as numbers, to be compared with SQL's."""
+    names = [c.split()[0] for c in ingest.MESSAGES[kind].split(", ")]
+    typed = ingest.typed_messages(rows.select(F.to_json(F.struct(*names)).alias("value")), kind).drop("ingested_at")
+    times = [c for c, t in typed.dtypes if t == "timestamp"]
+    return typed.withColumns({c: F.unix_millis(c) for c in times}).withColumnsRenamed({c: f"{c}_ms" for c in times})
+
+
+def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part changes as a JSON log with decimals as strings and tombstones, read back and guarded."""
+    changes = _changes(spark, sf_dir)
+    names = [c for c in changes.columns if c != "op"]
+    image = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) if c == "price" else F.col(c) for c in names]))
+    log = changes.select("op", image.alias("value"))
+    log = log.unionByName(log.where("op = 'd'").select("op", F.lit(None).cast("string").alias("value")))
+    read = ingest.cdc_changes(log, changes.drop("op").select(*names).schema.simpleString())
+    return S.version_guard(read).groupBy("decision").agg(F.count(F.lit(1)).alias("changes"), F.sum("price").cast("double").alias("prices"))
+
+
+def _constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _changes(spark, sf_dir)
+    n = F.col("product_id") % 5
+    rows = rows.withColumn("product_name", F.when(n == 1, " ").otherwise(F.col("product_name"))).withColumn("price", F.when(n == 2, -F.col("price")).otherwise(F.col("price"))).withColumn("catalog_version", F.when(n == 3, 0).otherwise(F.col("catalog_version")))
+    return rows.select("product_id", "change_sequence", S.catalog_constraint().alias("broken"))
+
+
+def _contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _features(spark, sf_dir)
+    n = F.col("user_id") % 6
+    rows = rows.withColumn("event_count", F.when(n == 1, F.col("event_count") + 1).otherwise(F.col("event_count"))).withColumn("distinct_items", F.when(n == 2, F.col("event_count") + 1).otherwise(F.col("distinct_items")))
+    rows = rows.withColumn("feature_id", F.when(n == 3, " ").otherwise(F.col("feature_id"))).withColumn("feature_version", F.when(n == 4, 0).otherwise(F.col("feature_version")))
+    return rows.select("user_id", "window_start_ms", S.feature_contract().alias("broken"))
+
+
+def _first_user(rows: DataFrame) -> tuple[int, int]:
+    """(user_id, a time at which that user's entries live) for the lookups."""
+    found = rows.agg(F.min("user_id"), F.min_by("expires_at_ms", "user_id")).first()
+    return (found[0], found[1] - 90_500) if found[0] is not None else (1, 0)
+
+
+def _user_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cart = _cart(spark, sf_dir)
+    return S.user_cart(cart, *_first_user(cart))
+
+
+def _user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = S.online_features(_features(spark, sf_dir))
+    return S.user_feature_lookup(spark, features, *_first_user(features)).select("user_id", "available", "ttl_seconds", "feature_id", "event_count", "distinct_items", "feature_version")
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _parsed(spark, sf_dir)
+    return S.catalog_manifest(parsed, ingest.valid_catalog_keys(parsed))
+
+
 EVENT_COLUMNS = ("event_id", "user_id", "item_id", "category_id", "behavior_type", "event_time_ms", "source_sequence")
 
 
@@ -138,6 +193,22 @@ def queries() -> dict[str, Query]:
         "trending": _trending,
         "ingest_parse": lambda s, d: _parsed(s, d).select("source_sequence", "user_id", "item_id", "category_id", "event_time_ms", "reason"),
         "ingress_validate": _ingress,
+        "messages_raw": lambda s, d: _messages(E.raw_projection(_unique(s, d)).join(replayed(s, d).where("replay_run_id = 'a'").select("event_id", "replay_run_id"), "event_id"), "raw"),
+        "messages_metrics": lambda s, d: _messages(_metrics(s, d), "metrics"),
+        "messages_features": lambda s, d: _messages(_features(s, d), "features"),
+        "messages_quality": lambda s, d: _messages(_quality(s, d).withColumn("observed_at_ms", F.col("event_time_ms") + 7).withColumn("record_version", F.col("event_time_ms")), "quality"),
+        "messages_catalog": lambda s, d: _messages(S.generate_catalog(_catalog_rows(s, d)), "catalog"),
+        "catalog_manifest": _manifest,
+        "catalog_constraints": _constraints,
+        "catalog_cdc": _cdc,
+        "feature_contract": _contract,
+        "user_cart_lookup": _user_cart,
+        "user_feature_lookup": _user_features,
+        "serving_keys": lambda s, d: _features(s, d).select("user_id").distinct().select("user_id", S.serving_key("cart", F.col("user_id")).alias("cart_key"), S.serving_key("features", F.col("user_id")).alias("feature_key")),
+        "replay_schedule": lambda s, d: ingest.replay_schedule(source_events(s, d), 4.0).select("source_sequence", "due_ms"),
+        "producer_rows": lambda s, d: ingest.kafka_rows(source_events(s, d).select("user_id", "source_sequence")),
+        "stream_user_features": lambda s, d: _streamed(s, d, P.stream_user_features, "append"),
+        "stream_quality": lambda s, d: _streamed(s, d, P.stream_quality, "append"),
         "stream_accepted": lambda s, d: _streamed(s, d, lambda x: x.where("status IN ('ON_TIME', 'LATE')"), "append").select(*EVENT_COLUMNS, "status"),
         "stream_item_metrics": lambda s, d: _streamed(s, d, P.stream_item_metrics, "append"),
         "stream_cart_latest": lambda s, d: _streamed(s, d, P.stream_cart, "upsert"),
@@ -193,6 +264,22 @@ def oracle_sql() -> dict[str, str]:
         "trending": f", clock AS (SELECT (max(event_time_ms) // 60000 + 1) * 60000 AS t FROM src) SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS current_price, sum(pv_count)::BIGINT AS views, sum(cart_count)::BIGINT AS carts, sum(buy_count)::BIGINT AS purchases FROM metrics JOIN part ON item_id = p_partkey, clock WHERE p_size % 5 <> 0 AND window_start_ms >= t - {MINUTES} * 60000 AND window_start_ms < t GROUP BY 1, 2, 3 ORDER BY purchases DESC, carts DESC, views DESC, product_id LIMIT 20",
         "ingest_parse": "SELECT source_sequence, CASE WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN NULL ELSE user_id END AS user_id, item_id, category_id, CASE WHEN source_sequence % 31 = 0 THEN NULL ELSE event_time_ms END AS event_time_ms, CASE WHEN source_sequence % 31 = 0 THEN 'COLUMN_COUNT' WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN 'NOT_AN_INTEGER' WHEN behavior_type NOT IN ('pv', 'cart', 'fav', 'buy') THEN 'BEHAVIOR_TYPE' END AS reason FROM src",
         "ingress_validate": "SELECT source_sequence, CASE WHEN source_sequence % 7 = 0 OR source_sequence % 11 = 0 THEN 422 ELSE 202 END AS status FROM src",
+        "messages_raw": f"SELECT {columns.replace('event_time_ms, ', '')}, 'a' AS replay_run_id, event_time_ms AS record_version, event_time_ms FROM uniq",
+        "messages_metrics": "SELECT * EXCLUDE (window_start) FROM metrics",
+        "messages_features": "SELECT feature_id, window_start_ms, window_start_ms + 60000 AS window_end_ms, user_id, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_version, record_version FROM features",
+        "messages_quality": "SELECT quality_event_id, quality_type, event_id, user_id, item_id, category_id, behavior_type, event_time_ms AS event_time, replay_run_id, source_sequence, reason_code, reason_message, event_time_ms + 7 AS observed_at_ms, event_time_ms AS record_version FROM quality",
+        "messages_catalog": f"{_CATALOG} SELECT product_id, category_id, 'Synthetic product ' || product_id AS product_name, {_PRICE} AS price, true AS is_active, epoch_ms(TIMESTAMP '2026-01-01 00:00:00') AS updated_at_ms, 1::BIGINT AS catalog_version FROM dominant",
+        "catalog_manifest": f", good AS (SELECT * FROM src WHERE source_sequence % 31 <> 0 AND NOT (source_sequence % 29 = 0 AND source_sequence % 13 <> 0) AND behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id > 0 AND item_id > 0 AND category_id > 0 AND event_time_ms > 0), per AS (SELECT item_id, count(DISTINCT category_id) AS n FROM good GROUP BY 1) SELECT (SELECT count(*) FROM src) AS source_rows, (SELECT count(*) FROM good) AS valid_rows, (SELECT count(*) FROM per) AS unique_products, (SELECT count(*) FROM per WHERE n > 1) AS conflicting_products, (SELECT count(*) FROM src) - (SELECT count(*) FROM good) AS rejected_rows",
+        "catalog_constraints": f"{_PARTS} SELECT product_id, change_sequence, CASE WHEN product_id <= 0 OR category_id <= 0 THEN 'identifier' WHEN product_id % 5 = 1 THEN 'product_name' WHEN product_id % 5 = 2 AND price > 0 THEN 'price' WHEN product_id % 5 = 3 THEN 'catalog_version' END AS broken FROM part_changes",
+        "catalog_cdc": f"{_PARTS} SELECT decision, count(*) AS changes, sum(price)::DOUBLE AS prices FROM decided GROUP BY 1",
+        "feature_contract": "SELECT user_id, window_start_ms, CASE user_id % 6 WHEN 1 THEN 'event_count' WHEN 2 THEN 'distinct_items' WHEN 3 THEN 'feature_id' WHEN 4 THEN 'feature_version' END AS broken FROM features",
+        "user_cart_lookup": ", upserts AS (SELECT user_id, max(event_time_ms) FILTER (behavior_type = 'cart') AS last FROM uniq GROUP BY 1), live AS (SELECT c.*, last FROM cart c JOIN upserts USING (user_id) WHERE c.behavior_type = 'cart') SELECT user_id, item_id AS product_id, category_id, event_time_ms AS added_at, event_time_ms AS last_updated_at, 90::BIGINT AS ttl_seconds FROM live WHERE user_id = (SELECT min(user_id) FROM live)",
+        "user_feature_lookup": "SELECT user_id, true AS available, 90::BIGINT AS ttl_seconds, feature_id, event_count, distinct_items, feature_version FROM features WHERE user_id = (SELECT min(user_id) FROM features) QUALIFY row_number() OVER (ORDER BY feature_version DESC) = 1",
+        "serving_keys": "SELECT DISTINCT user_id, 'weft:active_cart:{' || user_id || '}' AS cart_key, 'weft:features:user:{' || user_id || '}' AS feature_key FROM features",
+        "replay_schedule": "SELECT source_sequence, greatest(0, event_time_ms - (SELECT arg_min(event_time_ms, source_sequence) FROM src)) / 4.0::DOUBLE AS due_ms FROM src",
+        "producer_rows": "SELECT user_id::VARCHAR AS key, '{\"user_id\":' || user_id || ',\"source_sequence\":' || source_sequence || '}' AS value FROM src",
+        "stream_user_features": f"SELECT window_start_ms, user_id, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_id, feature_version FROM features WHERE {_CLOSED}",
+        "stream_quality": "SELECT * FROM quality",
         "stream_accepted": f"SELECT {columns}, CASE WHEN is_late THEN 'LATE' ELSE 'ON_TIME' END AS status FROM uniq",
         "stream_item_metrics": f"SELECT {shown} FROM metrics WHERE {_CLOSED}",
         "stream_cart_latest": "SELECT * FROM cart",

@@ -14,6 +14,16 @@ from weftline.functions.scalar import event_identity
 CSV_COLUMNS = ("user_id", "item_id", "category_id", "behavior_type", "timestamp")
 BLANKS = " \t\n\r\u000b\u000c"
 
+# The columns of each kind of message.
+MESSAGES = {
+    "raw": "event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, record_version long",
+    "metrics": "window_start string, item_id long, source_category_id long, pv_count long, cart_count long, fav_count long, buy_count long, unique_users long, replay_run_id string, record_version long",
+    "features": "feature_id string, window_start string, window_end string, user_id long, event_count long, pv_count long, cart_count long, fav_count long, buy_count long, distinct_items long, feature_version long, record_version long",
+    "quality": "quality_event_id string, quality_type string, event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, replay_run_id string, source_sequence long, reason_code string, reason_message string, observed_at_ms long, record_version long",
+    "catalog": "product_id long, category_id long, product_name string, price decimal(12,2), is_active boolean, updated_at string, catalog_version long",
+}
+INSTANTS = ("window_start", "window_end", "updated_at")
+
 
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     """OP-1: (source_sequence, raw_values) in file order; a canonical header is dropped only in first place.
@@ -108,3 +118,19 @@ def write_replay(events: DataFrame, source: str, output: str, force: bool = Fals
     if source.rstrip("/") == output.rstrip("/"):
         raise ValueError("output must differ from the source")
     events.write.json(output, mode="overwrite" if force else "errorifexists")
+
+
+def utc_instant(text: Column) -> Column:
+    """The time a label names, in UTC where it has no offset."""
+    return F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$"), text).otherwise(F.concat(text, F.lit("Z"))).try_cast("timestamp")
+
+
+def typed_messages(messages: DataFrame, kind: str) -> DataFrame:
+    """OP-16: JSON messages (value) of a kind as typed rows with ingested_at; quality rows keep their event time as a number."""
+    rows = messages.select(F.from_json("value", MESSAGES[kind]).alias("m")).select("m.*")
+    rows = rows.withColumns({c: utc_instant(F.col(c)) for c in INSTANTS if c in rows.columns})
+    if kind == "raw":
+        rows = rows.withColumn("event_time_ms", F.timestamp_millis("event_time_ms"))
+    if kind == "quality":
+        rows = rows.withColumn("observed_at_ms", F.timestamp_millis("observed_at_ms")).withColumnRenamed("observed_at_ms", "observed_at")
+    return rows.withColumnRenamed("event_time_ms", "event_time").withColumn("ingested_at", F.current_timestamp())

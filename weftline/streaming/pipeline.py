@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from weftline.config import BEHAVIORS
-from weftline.functions.scalar import MINUTE, behavior_count
+from weftline.functions.scalar import MINUTE, behavior_count, sha_of, window_label
 from weftline.operators import events as E
 
 EVENT = "event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, arrival long"
@@ -77,6 +77,27 @@ def stream_item_metrics(classified: DataFrame, delay_ms: int = 5000) -> DataFram
     return out.withColumn("record_version", F.col("window_start_ms") + MINUTE).drop("window")
 
 
+def stream_user_features(classified: DataFrame, delay_ms: int = 5000) -> DataFrame:
+    """OP-28, 44: as `stream_item_metrics`, by user, with exact distinct items and a stable id."""
+    timely = F.col("status") == "ON_TIME"
+    rows = classified.withColumn("event_time", F.timestamp_millis("event_time_ms")).withWatermark("event_time", f"{delay_ms} milliseconds")
+    out = rows.groupBy(F.window("event_time", "1 minute"), "user_id").agg(
+        F.count_if(timely).alias("event_count"), *[behavior_count(b, timely) for b in BEHAVIORS], F.size(F.collect_set(F.when(timely, F.col("item_id")))).cast("bigint").alias("distinct_items")
+    )
+    out = out.where("event_count > 0").withColumn("window_start_ms", F.unix_millis("window.start")).drop("window")
+    out = out.withColumn("feature_id", sha_of("|", F.lit("USER_FEATURES_1M"), "user_id", window_label(F.col("window_start_ms"))))
+    return out.withColumn("feature_version", F.col("window_start_ms") + MINUTE)
+
+
+def stream_quality(classified: DataFrame) -> DataFrame:
+    """OP-40: a quality row for each invalid and each late row."""
+    rows = classified.where(F.col("status").isin("INVALID", "LATE")).withColumnRenamed("status", "quality_type")
+    behind = F.col("quality_type") == "LATE"
+    rows = rows.withColumn("reason_code", F.when(behind, E.LATE_REASON).otherwise(F.col("validation_reason"))).withColumn("reason_message", F.when(behind, E.LATE_MESSAGE).otherwise(E.INVALID_MESSAGE))
+    rows = rows.withColumn("quality_event_id", sha_of("|", "quality_type", F.coalesce("event_id", F.lit("")), "replay_run_id", "source_sequence", "reason_code"))
+    return rows.drop("validation_reason", "arrival")
+
+
 def stream_cart(classified: DataFrame) -> DataFrame:
     """OP-35: the updating last row of each user and item."""
     rows = classified.where(F.col("status").isin("ON_TIME", "LATE") & F.col("behavior_type").isin("cart", "buy"))
