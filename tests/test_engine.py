@@ -10,6 +10,7 @@ from weftline.operators import events as E
 from weftline.operators import serving as S
 from weftline.plans import registry
 from weftline.sources import ingest
+from weftline.streaming import pipeline as P
 
 SF = "/root/testdata/sf0.001"
 # User, item, category, behavior, seconds after 1511658000.
@@ -48,7 +49,7 @@ def test_watermark_by_stretches_equals_the_plain_window(spark, monkeypatch):
     assert E.with_watermark(rows, 5).withColumn("plain", plain).where(~F.col("plain").eqNullSafe(F.col("watermark_ms"))).count() == 0
 
 
-@pytest.mark.parametrize("name", ["item_metrics_1m", "user_features_1m", "quality_events", "active_cart", "catalog_version_guard", "trending", "ingest_parse", "stream_accepted"])
+@pytest.mark.parametrize("name", ["item_metrics_1m", "user_features_1m", "quality_events", "active_cart", "catalog_version_guard", "trending", "ingest_parse", "stream_accepted", "messages_raw", "messages_quality", "messages_catalog", "catalog_manifest", "catalog_cdc", "feature_contract", "user_cart_lookup", "user_feature_lookup", "replay_schedule", "stream_user_features"])
 def test_parity_with_sql(spark, name):
     con = duckdb.connect()
     for t in ("events", "part", "lineitem"):
@@ -82,3 +83,47 @@ def test_feature_guard(spark):
     current = spark.createDataFrame([row(5, 7)], schema)
     got = S.online_features(spark.createDataFrame([row(5, 9), row(4, 8)], schema), current).first()
     assert (got.feature_version, got.event_count) == (5, 7)
+
+
+def test_a_stream_that_stops_and_starts_again_gives_the_same_rows(spark, golden, tmp_path):
+    """OP-49: half of the log, a stop, the rest from the checkpoint; against one run over all."""
+    spark.conf.set(*P.STATE_CONF)
+    log = golden.select(*[c.split()[0] for c in P.EVENT.split(", ")])
+    first, rest = log.where("arrival < 8"), log.where("arrival >= 8")
+
+    def drain(name):
+        stream = P.classified_stream(P.event_stream(spark, str(tmp_path / name / "log")))
+        P.append_to(stream, str(tmp_path / name / "out"), str(tmp_path / name / "checkpoint")).awaitTermination()
+        return sorted((r.arrival, r.status) for r in spark.read.schema(P.CLASSIFIED).parquet(str(tmp_path / name / "out")).collect())
+
+    log.coalesce(1).write.parquet(str(tmp_path / "once" / "log"))
+    first.coalesce(1).write.mode("append").parquet(str(tmp_path / "twice" / "log"))
+    assert len(drain("twice")) == 8
+    rest.coalesce(1).write.mode("append").parquet(str(tmp_path / "twice" / "log"))
+    assert drain("twice") == drain("once")
+
+
+def test_fan_out_writes_each_sink(spark, golden, tmp_path):
+    log = golden.select(*[c.split()[0] for c in P.EVENT.split(", ")])
+    log.coalesce(1).write.parquet(str(tmp_path / "log"))
+    sinks = {"accepted": lambda b: b.where("status IN ('ON_TIME', 'LATE')"), "quality": P.stream_quality}
+    P.fan_out(P.classified_stream(P.event_stream(spark, str(tmp_path / "log"))), sinks, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/accepted")).count() == 11
+    assert {r.quality_event_id[:8] for r in spark.read.parquet(str(tmp_path / "out/quality")).collect()} == {"45261c00", "6d8fda92", "88e3f46d"}
+
+
+def test_catalog_is_written_whole_with_a_digest(spark, tmp_path):
+    rows = spark.createDataFrame([(2, 5), (1, 7), (1, 6), (1, 7)], "item_id long, category_id long")
+    S.write_catalog(S.generate_catalog(rows), str(tmp_path / "c"), 2)
+    found = S.file_digests(spark, str(tmp_path / "c")).collect()
+    assert len(found) == 1 and len(found[0].catalog_sha256) == 64
+    with pytest.raises(ValueError):
+        S.write_catalog(S.generate_catalog(rows), str(tmp_path / "c"), 3)
+
+
+def test_lookups_without_anything(spark):
+    features = S.online_features(spark.createDataFrame([(1, "f", "a", "b", 1, 1, 0, 0, 0, 1, 5)], "user_id long, feature_id string, window_start string, window_end string, event_count long, pv_count long, cart_count long, fav_count long, buy_count long, distinct_items long, feature_version long"))
+    got = S.user_feature_lookup(spark, features, 9, 0).first()
+    assert (got.available, got.ttl_seconds) == (False, -2)
+    with pytest.raises(ValueError):
+        S.user_feature_lookup(spark, features, 0, 0)

@@ -81,7 +81,7 @@ def late(unique: DataFrame) -> DataFrame:
 
 def raw_projection(unique: DataFrame) -> DataFrame:
     """OP-23."""
-    return unique.select("event_id", "user_id", "item_id", "category_id", "behavior_type", "event_time_ms", "source_sequence", F.col("event_time_ms").alias("record_version"))
+    return unique.select("event_id", "user_id", "item_id", "category_id", "behavior_type", "event_time_ms", "source_sequence", "replay_run_id", F.col("event_time_ms").alias("record_version"))
 
 
 def item_metrics(rows: DataFrame) -> DataFrame:

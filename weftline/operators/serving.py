@@ -10,6 +10,8 @@ from weftline.operators.events import latest_version
 
 #: Catalogs up to so many rows are broadcast; larger ones meet the metrics in a shuffle.
 BROADCAST_ROWS = 500_000
+# Fixed value: the manifest's name for the rule of `dominant_category`.
+CATEGORY_POLICY = "most_frequent_then_lowest_category_id"
 CATALOG_CONTENT = ("category_id", "product_name", "price", "is_active", "updated_at")
 
 
@@ -78,7 +80,7 @@ def generate_catalog(rows: DataFrame) -> DataFrame:
 def catalog_manifest(parsed: DataFrame, valid: DataFrame) -> DataFrame:
     """OP-53: counts of a generation, one row."""
     rows = parsed.agg(F.count(F.lit(1)).alias("source_rows")).crossJoin(valid.agg(F.count(F.lit(1)).alias("valid_rows")))
-    return rows.crossJoin(catalog_coverage(category_observations(valid))).withColumn("rejected_rows", F.col("source_rows") - F.col("valid_rows"))
+    return rows.crossJoin(catalog_coverage(category_observations(valid))).withColumn("rejected_rows", F.col("source_rows") - F.col("valid_rows")).withColumn("category_resolution_policy", F.lit(CATEGORY_POLICY))
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

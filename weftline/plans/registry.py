@@ -193,7 +193,7 @@ def queries() -> dict[str, Query]:
         "trending": _trending,
         "ingest_parse": lambda s, d: _parsed(s, d).select("source_sequence", "user_id", "item_id", "category_id", "event_time_ms", "reason"),
         "ingress_validate": _ingress,
-        "messages_raw": lambda s, d: _messages(E.raw_projection(_unique(s, d)).join(replayed(s, d).where("replay_run_id = 'a'").select("event_id", "replay_run_id"), "event_id"), "raw"),
+        "messages_raw": lambda s, d: _messages(E.raw_projection(_unique(s, d)), "raw"),
         "messages_metrics": lambda s, d: _messages(_metrics(s, d), "metrics"),
         "messages_features": lambda s, d: _messages(_features(s, d), "features"),
         "messages_quality": lambda s, d: _messages(_quality(s, d).withColumn("observed_at_ms", F.col("event_time_ms") + 7).withColumn("record_version", F.col("event_time_ms")), "quality"),
@@ -241,7 +241,7 @@ def oracle_sql() -> dict[str, str]:
         "validation_reasons": "SELECT validation_reason, count(*) AS events FROM cls GROUP BY 1",
         "valid_events": f"SELECT {columns}, replay_run_id FROM cls WHERE validation_reason IS NULL",
         "accepted_unique": f"SELECT {columns}, replay_run_id, watermark_ms FROM uniq",
-        "raw_projection": f"SELECT {columns}, event_time_ms AS record_version FROM uniq",
+        "raw_projection": f"SELECT {columns}, replay_run_id, event_time_ms AS record_version FROM uniq",
         "on_time_events": f"SELECT {columns} FROM uniq WHERE NOT is_late",
         "late_events": f"SELECT {columns} FROM uniq WHERE is_late",
         "item_metrics_1m": "SELECT * FROM metrics",
@@ -264,12 +264,12 @@ def oracle_sql() -> dict[str, str]:
         "trending": f", clock AS (SELECT (max(event_time_ms) // 60000 + 1) * 60000 AS t FROM src) SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS current_price, sum(pv_count)::BIGINT AS views, sum(cart_count)::BIGINT AS carts, sum(buy_count)::BIGINT AS purchases FROM metrics JOIN part ON item_id = p_partkey, clock WHERE p_size % 5 <> 0 AND window_start_ms >= t - {MINUTES} * 60000 AND window_start_ms < t GROUP BY 1, 2, 3 ORDER BY purchases DESC, carts DESC, views DESC, product_id LIMIT 20",
         "ingest_parse": "SELECT source_sequence, CASE WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN NULL ELSE user_id END AS user_id, item_id, category_id, CASE WHEN source_sequence % 31 = 0 THEN NULL ELSE event_time_ms END AS event_time_ms, CASE WHEN source_sequence % 31 = 0 THEN 'COLUMN_COUNT' WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN 'NOT_AN_INTEGER' WHEN behavior_type NOT IN ('pv', 'cart', 'fav', 'buy') THEN 'BEHAVIOR_TYPE' END AS reason FROM src",
         "ingress_validate": "SELECT source_sequence, CASE WHEN source_sequence % 7 = 0 OR source_sequence % 11 = 0 THEN 422 ELSE 202 END AS status FROM src",
-        "messages_raw": f"SELECT {columns.replace('event_time_ms, ', '')}, 'a' AS replay_run_id, event_time_ms AS record_version, event_time_ms FROM uniq",
+        "messages_raw": f"SELECT {columns.replace('event_time_ms, ', '')}, replay_run_id, event_time_ms AS record_version, event_time_ms FROM uniq",
         "messages_metrics": "SELECT * EXCLUDE (window_start) FROM metrics",
         "messages_features": "SELECT feature_id, window_start_ms, window_start_ms + 60000 AS window_end_ms, user_id, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_version, record_version FROM features",
         "messages_quality": "SELECT quality_event_id, quality_type, event_id, user_id, item_id, category_id, behavior_type, event_time_ms AS event_time, replay_run_id, source_sequence, reason_code, reason_message, event_time_ms + 7 AS observed_at_ms, event_time_ms AS record_version FROM quality",
         "messages_catalog": f"{_CATALOG} SELECT product_id, category_id, 'Synthetic product ' || product_id AS product_name, {_PRICE} AS price, true AS is_active, epoch_ms(TIMESTAMP '2026-01-01 00:00:00') AS updated_at_ms, 1::BIGINT AS catalog_version FROM dominant",
-        "catalog_manifest": f", good AS (SELECT * FROM src WHERE source_sequence % 31 <> 0 AND NOT (source_sequence % 29 = 0 AND source_sequence % 13 <> 0) AND behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id > 0 AND item_id > 0 AND category_id > 0 AND event_time_ms > 0), per AS (SELECT item_id, count(DISTINCT category_id) AS n FROM good GROUP BY 1) SELECT (SELECT count(*) FROM src) AS source_rows, (SELECT count(*) FROM good) AS valid_rows, (SELECT count(*) FROM per) AS unique_products, (SELECT count(*) FROM per WHERE n > 1) AS conflicting_products, (SELECT count(*) FROM src) - (SELECT count(*) FROM good) AS rejected_rows",
+        "catalog_manifest": f", good AS (SELECT * FROM src WHERE source_sequence % 31 <> 0 AND NOT (source_sequence % 29 = 0 AND source_sequence % 13 <> 0) AND behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id > 0 AND item_id > 0 AND category_id > 0 AND event_time_ms > 0), per AS (SELECT item_id, count(DISTINCT category_id) AS n FROM good GROUP BY 1) SELECT (SELECT count(*) FROM src) AS source_rows, (SELECT count(*) FROM good) AS valid_rows, (SELECT count(*) FROM per) AS unique_products, (SELECT count(*) FROM per WHERE n > 1) AS conflicting_products, (SELECT count(*) FROM src) - (SELECT count(*) FROM good) AS rejected_rows, 'most_frequent_then_lowest_category_id' AS category_resolution_policy",
         "catalog_constraints": f"{_PARTS} SELECT product_id, change_sequence, CASE WHEN product_id <= 0 OR category_id <= 0 THEN 'identifier' WHEN product_id % 5 = 1 THEN 'product_name' WHEN product_id % 5 = 2 AND price > 0 THEN 'price' WHEN product_id % 5 = 3 THEN 'catalog_version' END AS broken FROM part_changes",
         "catalog_cdc": f"{_PARTS} SELECT decision, count(*) AS changes, sum(price)::DOUBLE AS prices FROM decided GROUP BY 1",
         "feature_contract": "SELECT user_id, window_start_ms, CASE user_id % 6 WHEN 1 THEN 'event_count' WHEN 2 THEN 'distinct_items' WHEN 3 THEN 'feature_id' WHEN 4 THEN 'feature_version' END AS broken FROM features",
