@@ -69,6 +69,22 @@ def test_count_tree_finds_what_a_scan_finds():
         assert set(np.flatnonzero(180 * both >= 80 * sizes)) == set(tree.reaching(q))
 
 
+def test_count_vectors_bound_the_overlap_of_sets_of_any_size():
+    rnd = np.random.default_rng(2)
+    for n in (0, 1, 3, 146, 400, 5000):
+        x = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        others = [np.unique(np.concatenate((x[: int(n * share)], rnd.integers(0, 1 << 63, n - int(n * share), dtype=np.uint64)))) for share in (1, 0.9, 0.89, 0.5, 0)]
+        for y in others:
+            u, v = ngram_join.count_vector(x), ngram_join.count_vector(y)
+            assert u.sum(dtype=int) == len(x) and np.minimum(ngram_join.fold(u, 64), ngram_join.fold(v, 64)).sum() >= len(np.intersect1d(x, y))
+            if 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y)):
+                assert ngram_join.may_link(u, v)
+    # One group would pass a byte: more groups are taken.
+    crowded = np.arange(1, 601, dtype=np.uint64) << np.uint64(10)
+    vec = ngram_join.count_vector(crowded)
+    assert vec.sum(dtype=int) == 600 and vec.max() < 256
+
+
 @pytest.mark.parametrize("run, sql", [(exact_dedup.exact_groups, exact_dedup.ORACLE), (lambda d: mixing.mix(d).drop("h"), mixing.ORACLE)])
 @pytest.mark.parametrize("empty", [False, True])
 def test_native_operators_equal_sql(spark, rows, run, sql, empty):
