@@ -127,3 +127,15 @@ def test_lookups_without_anything(spark):
     assert (got.available, got.ttl_seconds) == (False, -2)
     with pytest.raises(ValueError):
         S.user_feature_lookup(spark, features, 0, 0)
+
+
+def test_ids_are_forgotten_after_the_retention(spark, golden, tmp_path):
+    spark.conf.set(*P.STATE_CONF)
+    row = golden.where("source_sequence = 0 AND replay_run_id = 'golden-a'").select(*[c.split()[0] for c in P.EVENT.split(", ")])
+    for k, (name, ahead) in enumerate([("x", 0), ("y", 100_000), ("x", 0), ("x", 0)]):
+        moved = row.withColumn("event_id", F.lit(name)).withColumn("event_time_ms", F.col("event_time_ms") + ahead).withColumn("arrival", F.lit(k).cast("bigint"))
+        moved.coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        stream = P.classified_stream(P.event_stream(spark, str(tmp_path / "log")), retention_ms=24_000)
+        P.append_to(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    got = spark.read.schema(P.CLASSIFIED).parquet(str(tmp_path / "out")).orderBy("arrival").collect()
+    assert [r.status for r in got] == ["ON_TIME", "ON_TIME", "LATE", "DUPLICATE"]

@@ -22,7 +22,8 @@ class Classifier(StatefulProcessor):
     """Status of each row by arrival: INVALID, DUPLICATE, LATE or ON_TIME, against the watermark of all rows before it.
 
     One key is one order of arrival, as one source partition has it. An id is
-    remembered for `retention_ms` of event time behind the largest seen.
+    remembered for at least `retention_ms` of event time behind the largest seen;
+    older ids are looked for each time that has moved by a 24th of it.
     """
 
     def __init__(self, delay_ms: int = 5000, retention_ms: int = 168 * 3_600_000):
@@ -31,6 +32,7 @@ class Classifier(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.top = handle.getValueState("top", "ms long")
         self.seen = handle.getMapState("seen", "event_id string", "ms long")
+        self.pruned = handle.getValueState("pruned", "ms long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         top = self.top.get()[0] if self.top.exists() else None
@@ -47,8 +49,11 @@ class Classifier(StatefulProcessor):
             yield Row(**{k: row[k] for k in row.__fields__ if k != "shard"}, status=status)
         if top is not None:
             self.top.update((top,))
-            for known, (ms,) in list(self.seen.iterator()):
-                if ms < top - self.retention_ms:
+            last = self.pruned.get()[0] if self.pruned.exists() else None
+            if last is None or top - last >= self.retention_ms // 24:
+                self.pruned.update((top,))
+                old = [known for known, (ms,) in self.seen.iterator() if ms < top - self.retention_ms] if last is not None else []
+                for known in old:
                     self.seen.removeKey(known)
 
     def close(self) -> None:
@@ -60,10 +65,10 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def classified_stream(events: DataFrame, delay_ms: int = 5000, shard: Any = None) -> DataFrame:
+def classified_stream(events: DataFrame, delay_ms: int = 5000, shard: Any = None, retention_ms: int = 168 * 3_600_000) -> DataFrame:
     """Rows with their status. `shard` is a column that splits the order of arrival, such as the source partition; each shard then has its own watermark."""
     rows = E.classify(events).withColumn("shard", F.lit(0) if shard is None else shard)
-    return rows.groupBy("shard").transformWithState(statefulProcessor=Classifier(delay_ms), outputStructType=CLASSIFIED, outputMode="Append", timeMode="None")
+    return rows.groupBy("shard").transformWithState(statefulProcessor=Classifier(delay_ms, retention_ms), outputStructType=CLASSIFIED, outputMode="Append", timeMode="None")
 
 
 def stream_item_metrics(classified: DataFrame, delay_ms: int = 5000) -> DataFrame:
