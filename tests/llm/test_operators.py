@@ -4,10 +4,12 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from weftline.llm import components, embedding_dedup, exact_dedup, html_text, language_model, mixing, ngram_join, packing, pii, quality, toxicity
@@ -191,14 +193,70 @@ def test_components(spark):
     assert got == {k: 1 for k in range(1, 41)} | {k: 100 for k in (100, 101, 102)}
 
 
-def test_language_model(spark, rows):
-    given = [r for r in rows if r[0] is not None]
-    docs = table(spark, given)
-    one = {(r.doc_id, r.n_tokens): r for r in language_model.score(docs).collect()}
-    train = [r for r in given if zlib.crc32(str(r[0]).encode()) % 10]
-    assert all(r.train_tokens == sum(len(words_of(t)) + 1 for _, t, _ in train) and r.score < 0 for r in one.values())
-    for r in language_model.score(docs, most_words=0).collect():  # the joined form
-        assert abs(r.base_score - one[r.doc_id, r.n_tokens].base_score) < 1e-6 and r.n_known == one[r.doc_id, r.n_tokens].n_known
+def test_language_model_equals_brute_force(spark, rows):
+    docs, depth = table(spark, rows), 3
+    train = [r for r in rows if zlib.crc32(str(r[0] if r[0] is not None else "").encode()) % 10]
+    plain = lambda t: " ".join(words_of(t)).encode() + b"\n"
+    code = lambda x, k: sum((x[k - d] if k >= d else 10) << 8 * (depth - d) for d in range(depth + 1))
+    seen, every = Counter(), {code(x, k) for _, t, _ in rows for x in [plain(t)] for k in range(len(x))}
+    for _, t, _ in train:
+        x = plain(t)
+        seen.update(code(x, k) for k in range(len(x)))
+    codes = np.array(sorted(every), np.uint64)
+    logs = dict(zip(sorted(every), language_model.tree_log10(codes, np.array([seen[c] for c in sorted(every)]), depth)))
+    words = Counter(w for _, t, _ in train for w in [*words_of(t), None])
+    n = sum(words.values())
+    want = []
+    for i, t, _ in rows:
+        x, mine = plain(t), [*words_of(t), None]
+        base = sum(np.log10((words[w] + 0.1) / (n + 0.1 * (len(words) + 1))) for w in mine)
+        want.append((str(i), len(mine), sum(words[w] > 0 for w in mine), n, base, sum(logs[code(x, k)] for k in range(len(x)))))
+    for block_bytes in (20_000, 1 << 25):
+        got = language_model.score(docs, depth, block_bytes).collect()
+        got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got)
+        assert [g[:4] for g in got] == [w[:4] for w in sorted(want)]
+        assert np.allclose([g[4:] for g in got], [w[4:] for w in sorted(want)], rtol=1e-9)
+    assert language_model.score(docs.limit(0)).count() == 0
+
+
+def test_language_model_without_training_documents(spark):
+    held = [k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0][:3]
+    got = language_model.score(table(spark, [(k, t, "a") for k, t in zip(held, ("a b", "", None))])).collect()
+    assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in got)
+    assert all(abs(r.score - 8 * np.log10(0.5) * size) < 1e-9 for r, size in zip(sorted(got, key=lambda r: r.doc_id), (4, 1, 1)))
+
+
+def test_whole_groups_split_no_part(monkeypatch):
+    monkeypatch.setattr(language_model, "CHUNK", 50)
+    part = np.sort(np.random.default_rng(3).integers(0, 9, 1000) ** 2 // 9)
+    tables = list(language_model.whole_groups(iter(pa.table({"part": part}).to_batches(max_chunksize=30))))
+    assert np.concatenate([t["part"].to_numpy() for t in tables]).tolist() == part.tolist()
+    ends = [set(t["part"].to_pylist()) for t in tables]
+    assert len(tables) > 3 and sum(map(len, ends)) == len(set(part.tolist()))
+    assert list(language_model.whole_groups(iter([]))) == []
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5])
+def test_tree_by_layers_equals_the_tree_in_one_place(spark, depth):
+    rnd = np.random.default_rng(depth)
+    given = np.zeros(3000, np.uint64)
+    for _ in range(depth + 1):
+        given = given << np.uint64(8) | rnd.choice([10, 32, 101, 116, 255], 3000, p=[0.1, 0.3, 0.3, 0.2, 0.1]).astype(np.uint64)
+    codes, counts = np.unique(given, return_counts=True)
+    counts[::7] = 0
+    found = language_model.tree(spark.createDataFrame([(int(c), int(n)) for c, n in zip(codes, counts)], "item long, n long"), depth)
+    got = {r.item: r.value for r in found.collect()}
+    assert np.allclose([got[int(c)] for c in codes], language_model.tree_log10(codes, counts, depth), rtol=1e-9)
+
+
+def test_table_finds_keys_and_only_keys():
+    rnd = np.random.default_rng(6)
+    for n in (0, 1, 5, 20_000):
+        keys = np.unique(np.concatenate((rnd.integers(0, 1 << 63, n, dtype=np.uint64), np.arange(min(n, 3), dtype=np.uint64))))
+        asked = np.concatenate((keys, rnd.integers(0, 1 << 63, 999, dtype=np.uint64), np.arange(9, dtype=np.uint64)))
+        values = rnd.random(len(keys))
+        known = dict(zip(keys.tolist(), values))
+        assert language_model.Table(keys, values, -1.0).get(asked).tolist() == [known.get(k, -1.0) for k in asked.tolist()]
 
 
 def test_context_tree_is_a_distribution():

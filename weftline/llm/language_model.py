@@ -8,6 +8,14 @@ estimate and half the product of its children's, which mixes all depths. The tre
 is learned from counts of (DEPTH + 1)-byte strings of all training documents,
 gathered once; strings that only held-out texts have come along with count 0, so
 that scoring is a lookup. -log2 of the probability by byte is the code length.
+
+The table of strings grows with the corpus and is never gathered in one place. The
+tree is cut into layers of two context bytes: a task folds whole subtrees, at most
+256 ** 3 strings or 255 * 256 ** 2 nodes each, into one row per decision and context
+of the layer above, and the same layers are gone down again with what the nodes above say.
+Only the top, 255 * 256 nodes, is worked out on the driver. Texts are dealt into
+blocks of about BLOCK_BYTES; a block asks for each of its distinct strings and words
+once, the answers come by a join, and the block is scored with them.
 """
 
 from __future__ import annotations
@@ -16,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +32,8 @@ from weftline.llm import textkit
 from weftline.llm.common import materialize, read_table
 
 DEPTH = 5
-#: The tree is as deep as its table of strings stays within MOST_STRINGS; words are looked up in a broadcast table up to MOST_WORDS and joined beyond.
-MOST_STRINGS, MOST_WORDS = 6_000_000, 8_000_000
+#: Bytes of text that are scored together, and strings or nodes of the tree that a task takes at once (whole subtrees).
+BLOCK_BYTES, CHUNK = 32 << 20, 1 << 18
 #: Distinct items that a task holds before it hands them on.
 HELD = 3_000_000
 END = 0x0A
@@ -103,7 +112,7 @@ def totals(items: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
 
 
 def gather(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, item, n): words (kind 0) of training texts and strings (kind 1) of all texts, n in training texts."""
+    """(kind, item, n): words (kind 0) of training texts and strings (kind 1) of all texts, n in training texts; kind 2 has the bytes of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = {(kind, w): Counter() for kind in (0, 1) for w in (0, 1)}
@@ -117,6 +126,7 @@ def gather(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                         yield pa.RecordBatch.from_pydict({"kind": np.full(len(part), kind, np.int32), "item": part.view(np.int64), "n": counts[at : at + (1 << 18)].astype(np.int64) * w})
                 counter.parts, counter.size = [], 0
 
+        size = 0
         for batch in batches:
             train = ~batch.column(1).to_numpy(zero_copy_only=False)
             for block in textkit.blocks(batch.column(0)):
@@ -124,12 +134,14 @@ def gather(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 own = train[block.first : block.first + block.n]
                 found[0, 1].add(hashes[own[rows]])
                 codes = string_codes(data, begins, depth)
+                size += len(data)
                 mine = np.repeat(own, np.diff(np.append(begins, len(data))))
                 found[1, 1].add(codes[mine])
                 found[1, 0].add(codes[~mine])
                 if sum(c.size for c in found.values()) > 3 * HELD:
                     yield from out()
         yield from out()
+        yield pa.RecordBatch.from_pydict({"kind": np.full(1, 2, np.int32), "item": np.zeros(1, np.int64), "n": np.full(1, size, np.int64)})
 
     counted = docs.select("text", held_out().alias("held")).mapInArrow(run, "kind int, item long, n long")
     return materialize(counted.groupBy("kind", "item").agg(F.sum("n").alias("n")), "strings")
@@ -149,129 +161,277 @@ def kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - np.log(np.pi)
 
 
-def tree_log10(codes: np.ndarray, counts: np.ndarray, depth: int) -> np.ndarray:
-    """log10 of the weighted probability of each string's last byte after the others; codes are sorted and distinct."""
-    out = np.zeros(len(codes))
+Levels = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def leaves(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The deepest nodes of eight decisions of each string: (keys, zeros, ones, each string's nodes, its bits)."""
     byte, context = codes >> np.uint64(8 * depth), codes & np.uint64((1 << 8 * depth) - 1)
-    for i in range(8):
-        key = (byte >> np.uint64(8 - i)) << np.uint64(8 * depth) | context
-        one = (byte >> np.uint64(7 - i) & np.uint64(1)).astype(bool)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+    keys = np.concatenate([(np.uint64(1 << i) | byte >> np.uint64(8 - i)) << np.uint64(8 * depth) | context for i in range(8)])
+    ones = np.concatenate([(byte >> np.uint64(7 - i) & np.uint64(1)).astype(bool) for i in range(8)])
+    order = np.argsort(keys)
+    key = keys[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    at = np.flatnonzero(new)
+    leaf = np.empty(len(keys), np.int64)
+    leaf[order] = np.cumsum(new) - 1
+    n = np.tile(counts.astype(float), 8)
+    b = np.add.reduceat(np.where(ones, n, 0)[order], at)
+    a = np.add.reduceat(np.where(ones, 0, n)[order], at)
+    return key[at], a, b, leaf.reshape(8, -1), ones.reshape(8, -1)
+
+
+def climb(key: np.ndarray, a: np.ndarray, b: np.ndarray, weighted: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Levels]:
+    """Nodes, sorted by key, so many levels up, and by level (parents, weight of stopping there, chance of a one there)."""
+    out = []
+    for _ in range(levels):
+        key = key >> np.uint64(8)
         new = np.concatenate(([True], key[1:] != key[:-1]))
         at = np.flatnonzero(new)
-        leaf = np.empty(len(codes), np.int64)
-        leaf[order] = np.cumsum(new) - 1
-        b = np.add.reduceat(np.where(one, counts, 0)[order], at).astype(float)
-        a = np.add.reduceat(np.where(one, 0, counts)[order], at).astype(float)
-        key = key[at]
-        chance, weighted = (b + 0.5) / (a + b + 1), kt(a, b)
-        levels = []
-        for _ in range(depth):
-            key = key >> np.uint64(8)
-            new = np.concatenate(([True], key[1:] != key[:-1]))
-            at = np.flatnonzero(new)
-            a, b, below, key = np.add.reduceat(a, at), np.add.reduceat(b, at), np.add.reduceat(weighted, at), key[at]
-            own = kt(a, b)
-            weighted = np.logaddexp(own, below) - np.log(2)
-            levels.append((np.cumsum(new) - 1, np.exp(own - np.log(2) - weighted), (b + 0.5) / (a + b + 1)))
-        # From the deepest node up: stop here with the node's weight, or go by the child's mixture.
-        up = np.arange(len(chance))
-        for parent, stay, p in levels:
-            up = parent[up]
-            chance = stay[up] * p[up] + (1 - stay[up]) * chance
-        out += np.log10(np.where(one, chance[leaf], 1 - chance[leaf]))
-    return out
+        a, b, below, key = np.add.reduceat(a, at), np.add.reduceat(b, at), np.add.reduceat(weighted, at), key[at]
+        own = kt(a, b)
+        weighted = np.logaddexp(own, below) - np.log(2)
+        out.append((np.cumsum(new) - 1, np.exp(own - np.log(2) - weighted), (b + 0.5) / (a + b + 1)))
+    return key, a, b, weighted, out
+
+
+def mix(levels: Levels, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(top node, A, B) of each node: the chance at the top is A, with the node's own `chance` in it, and what is added to that comes in B times."""
+    up, share = np.arange(len(chance)), np.ones(len(chance))
+    for parent, stay, p in levels:
+        up = parent[up]
+        chance = stay[up] * p[up] + (1 - stay[up]) * chance
+        share = (1 - stay[up]) * share
+    return up, chance, share
+
+
+def strings_log10(codes: np.ndarray, counts: np.ndarray, depth: int, levels: int, above=None) -> np.ndarray:
+    """log10 of the probability of each string's last byte after the others. `above` gives (A, B) of the nodes so many levels up; at the root it is not needed."""
+    keys, a, b, leaf, ones = leaves(codes, counts, depth)
+    top, *_, way = climb(keys, a, b, kt(a, b), levels)
+    up, chance, _ = mix(way, (b + 0.5) / (a + b + 1))
+    if above:
+        add, share = above(top)
+        chance = add[up] + share[up] * chance
+    return np.log10(np.where(ones, chance[leaf], 1 - chance[leaf])).sum(0)
 
 
-def lookup(keys: np.ndarray, values: np.ndarray, items: np.ndarray, missing: float) -> np.ndarray:
-    """values of items in sorted keys; distinct items are looked up in order, which is easy on caches."""
-    distinct = np.unique(items)
-    at = np.minimum(np.searchsorted(keys, distinct), max(0, len(keys) - 1))
-    found = np.where(keys[at] == distinct, values[at], missing) if len(keys) else np.full(len(distinct), missing)
-    return found[np.searchsorted(distinct, items)]
+def tree_log10(codes: np.ndarray, counts: np.ndarray, depth: int) -> np.ndarray:
+    """The whole tree in one place."""
+    return strings_log10(codes, counts, depth, depth)
+
+
+def distinct_of(lists: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of about CHUNK rows of batches sorted by `part`; no part is split."""
+    held, size, enough = [], 0, CHUNK
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= enough:
+            table = pa.Table.from_batches(held)
+            part = table["part"].to_numpy()
+            last = int(np.searchsorted(part, part[-1]))
+            if last:
+                yield table.slice(0, last)
+            held, size = table.slice(last).to_batches(), table.num_rows - last
+            enough = max(CHUNK, 2 * size)
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+NODE = "key long, a double, b double, w double"
+
+
+def _layer(rows: DataFrame, level: int, to: int, deepest: bool, tasks: int, above: DataFrame | None = None) -> DataFrame:
+    """Nodes (or strings) of `level` folded to nodes of level `to`; or, given (A, B) of those, (A, B) of nodes or (item, value) of strings."""
+
+    def part(at: int):
+        return F.shiftright(F.col("key").bitwiseAND(F.lit((1 << 8 * at) - 1)), 8 * (at - to)).alias("part")
+
+    def columns(table: pa.Table, kind: int) -> list[np.ndarray]:
+        own = table.filter(pa.compute.equal(table["kind"], kind))
+        order = np.argsort(own["key"].to_numpy())
+        return [own["key"].to_numpy()[order].view(np.uint64), *(own[c].to_numpy()[order] for c in "abw")]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            key, a, b, w = columns(table, 0)
+            if deepest:
+                key, a, b, *_ = leaves(key, a, level)
+                w = kt(a, b)
+            key, a, b, w, _ = climb(key, a, b, w, level - to)
+            yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "a": a, "b": b, "w": w})
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            key, a, b, w = columns(table, 0)
+            known, add, share, _ = columns(table, 1)
+
+            def answer(keys, known=known, add=add, share=share):
+                at = np.searchsorted(known, keys)
+                return add[at], share[at]
+
+            if deepest:
+                yield pa.RecordBatch.from_pydict({"item": key.view(np.int64), "value": strings_log10(key, a, level, level - to, answer)})
+            else:
+                top, *_, way = climb(key, a, b, w, level - to)
+                up, chance, part_of = mix(way, np.zeros(len(key)))
+                add, share = answer(top)
+                yield pa.RecordBatch.from_pydict({"key": key.view(np.int64), "a": add[up] + share[up] * chance, "b": share[up] * part_of, "w": np.zeros(len(key))})
+
+    given = rows.select(F.lit(0).alias("kind"), "key", "a", "b", "w", part(level))
+    if above is not None:
+        given = given.union(above.select(F.lit(1), "key", "a", "b", F.lit(0.0), part(to)))
+    dealt = given.repartition(tasks, "part").sortWithinPartitions("part")
+    if above is None:
+        return dealt.mapInArrow(fold, NODE)
+    return dealt.mapInArrow(unfold, "item long, value double" if deepest else NODE)
+
+
+def tree(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(item, value) of strings (item, n): tree_log10 by layers of two levels."""
+    spark = strings.sparkSession
+    tasks = 1 + strings.count() // CHUNK
+    rows, level, layers = strings.select(F.col("item").alias("key"), F.col("n").cast("double").alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("w")), depth, []
+    while not layers or level > 1:
+        to = max(level - 2, 1)
+        layers.append((rows, level, to, level == depth, tasks))
+        rows, level = materialize(_layer(*layers[-1]), "nodes"), to
+    top = rows.toArrow()  # 255 decisions after 256 bytes at most
+    order = np.argsort(top["key"].to_numpy())
+    key, a, b, w = (top[c].to_numpy()[order] for c in ("key", "a", "b", "w"))
+    if len(key):
+        *_, way = climb(key.view(np.uint64), a, b, w, 1)
+        _, a, b = mix(way, np.zeros(len(key)))
+    above = spark.createDataFrame(pa.table({"key": key, "a": a, "b": b, "w": np.zeros(len(key))}), NODE)
+    for layer in reversed(layers):
+        above = _layer(*layer, above)
+    return above
 
 
-def score(docs: DataFrame, depth: int = DEPTH, most_strings: int = MOST_STRINGS, most_words: int = MOST_WORDS) -> DataFrame:
+def lookup(keys: np.ndarray, values: np.ndarray, items: np.ndarray, missing: float) -> np.ndarray:
+    """values of items in sorted keys."""
+    if not len(keys):
+        return np.full(len(items), missing)
+    at = np.minimum(np.searchsorted(keys, items), len(keys) - 1)
+    return np.where(keys[at] == items, values[at], missing)
+
+
+class Table:
+    """values by distinct 64-bit keys: one slot by a multiplicative hash, the last of its keys there, and a sorted array of the others."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float):
+        self.shift = np.uint64(64 - max(4, (2 * len(keys)).bit_length()))
+        self.missing = missing
+        slots = 1 << int(np.uint64(64) - self.shift)
+        self.keys, self.values = np.zeros(slots, np.uint64), np.full(slots, missing, float)
+        # A slot that no key has must not look like one of key 0, whose slot is 0.
+        self.keys[0] = 1
+        at = self.slot(keys)
+        self.keys[at], self.values[at] = keys, values
+        lost = np.flatnonzero(self.keys[at] != keys)
+        lost = lost[np.argsort(keys[lost])]
+        self.lost, self.lost_values = keys[lost], values[lost]
+
+    def slot(self, items: np.ndarray) -> np.ndarray:
+        return items * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+
+    def get(self, items: np.ndarray) -> np.ndarray:
+        at = self.slot(items)
+        out = self.values[at]
+        missed = np.flatnonzero(self.keys[at] != items)
+        out[missed] = lookup(self.lost, self.lost_values, items[missed], self.missing)
+        return out
+
+
+def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
-    Null text is empty: its one token is the end. Without training documents N
-    and V are 0 and every count is 0.
+    Null text is empty: its one token is the end. A null doc_id counts as empty text
+    for the split. Repeated rows are scored each. Without training documents N and V
+    are 0 and every count is 0. No documents give no rows.
     """
-    spark = docs.sparkSession
     table = gather(docs, depth)
     train_docs = docs.where(~held_out()).count()
-    strings = table.where("kind = 1")
-    while strings.count() > most_strings and depth > 1:
-        depth -= 1
-        shifted = F.shiftrightunsigned(F.col("item"), 8)
-        strings = materialize(strings.groupBy(shifted.alias("item")).agg(F.sum("n").alias("n")), "shorter")
-    got = strings.select("item", "n").toArrow()
-    codes, counts = got["item"].to_numpy().view(np.uint64), got["n"].to_numpy()
-    order = np.argsort(codes)
-    codes, counts = codes[order], counts[order]
-    chances = spark.sparkContext.broadcast((codes, tree_log10(codes, counts, depth).astype(np.float32))) if len(codes) else None
-    del got, codes, counts, order
-    words = table.where("kind = 0").select("item", "n")
+    words = table.where("kind = 0")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    n_blocks = 1 + int(table.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // block_bytes
     total, distinct = int(total) + train_docs, distinct + (train_docs > 0)
     smooth = 0.1 * (distinct + 1)
     log_p = lambda c: np.log10((c + 0.1) / (total + smooth))
-    small = distinct <= most_words
-    known = None
-    if small:
-        got = words.toArrow()
-        items, n = got["item"].to_numpy().view(np.uint64), got["n"].to_numpy()
-        order = np.argsort(items)
-        known = spark.sparkContext.broadcast((items[order], n[order].astype(np.int32) if total < 1 << 31 else n[order]))
-        del got, items, n, order
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
-    tail = "n_tokens long, n_known long, base_score double, score double, n_bytes long"
+    values = tree(table.where("kind = 1"), depth).select(F.lit(1).alias("kind"), "item", "value")
+    values = values.union(words.select("kind", "item", F.col("n").cast("double")))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct items by block; those of a very long text come in more than one list, which is harmless."""
+        now, found = -1, ([], [])
+
+        def out():
+            for kind, lists in enumerate(found):
+                items = distinct_of(lists)
+                for at in range(0, len(items), 1 << 18):
+                    part = items[at : at + (1 << 18)]
+                    yield pa.RecordBatch.from_pydict({"block": np.full(len(part), now, np.int64), "kind": np.full(len(part), kind, np.int32), "item": part.view(np.int64)})
+                lists.clear()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in textkit.blocks(batch.column(3)):
+            blocks = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), batch.num_rows]
+            for x, y in zip(cuts, cuts[1:]):
+                if blocks[x] != now:
+                    yield from out()
+                    now = int(blocks[x])
+                for block in textkit.blocks(batch.column(3).slice(x, y - x)):
+                    data, begins, hashes, _ = stream(block)
+                    found[0].append(np.unique(hashes))
+                    found[1].append(np.unique(string_codes(data, begins, depth)))
+                    for lists in found:
+                        if sum(map(len, lists)) > HELD:
+                            lists[:] = [distinct_of(lists)]
+                    if sum(len(lists[0]) for lists in found) > HELD:
+                        yield from out()
+        yield from out()
+
+    def answer(texts: pa.Table, known: pa.Table) -> pa.Table:
+        tables = []
+        for kind in (0, 1):
+            own = known.filter(pa.compute.equal(known["kind"], kind))
+            tables.append(Table(own["item"].to_numpy().view(np.uint64), own["value"].to_numpy(), 0.0))
+        out = []
+        for batch in texts.to_batches():
+            for block in textkit.blocks(batch.column("text")):
                 data, begins, hashes, rows = stream(block)
-                codes = string_codes(data, begins, depth)
-                logs = lookup(*chances.value, codes, 0.0).astype(np.float64)
-                sizes = np.diff(np.append(begins, len(data)))
-                n_tokens = np.bincount(rows, minlength=block.n) + 1
-                n_known, base = np.zeros(block.n, np.int64), np.zeros(block.n)
-                if small:
-                    c = lookup(*known.value, hashes, 0)
-                    n_known = np.bincount(rows, c > 0, block.n).astype(np.int64) + (train_docs > 0)
-                    base = np.bincount(rows, log_p(c), block.n) + log_p(train_docs)
+                logs = tables[1].get(string_codes(data, begins, depth))
+                c = tables[0].get(hashes)
                 own = batch.slice(block.first, block.n)
-                yield pa.RecordBatch.from_arrays([*own.columns[:3], pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(np.add.reduceat(logs, begins)), pa.array(sizes)], names=names)
-
-    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), held_out().alias("held_out"), "text")
-    scored = given.mapInArrow(run, f"row long, doc_id long, held_out boolean, {tail}")
-    if not small:
-        scored = _base_by_join(materialize(given, "rows"), words, scored, log_p(0), train_docs, float(log_p(train_docs)), total, smooth, run, tail)
+                out.append(
+                    pa.table(
+                        {
+                            "doc_id": own.column("doc_id"),
+                            "held_out": own.column("held_out"),
+                            "n_tokens": np.bincount(rows, minlength=block.n) + 1,
+                            "n_known": np.bincount(rows, c > 0, block.n).astype(np.int64) + (train_docs > 0),
+                            "base_score": np.bincount(rows, log_p(c), block.n) + log_p(train_docs),
+                            "score": np.add.reduceat(logs, begins),
+                            "n_bytes": np.diff(np.append(begins, len(data))),
+                        }
+                    )
+                )
+        return pa.concat_tables(out) if out else pa.table({f.name: pa.array([], f.type) for f in arrow})
+
+    arrow = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_blocks)).alias("block")
+    given = docs.select(block, F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").repartition(n_blocks, "block")
+    asked = given.sortWithinPartitions("block").mapInArrow(ask, "block long, kind int, item long")
+    known = asked.join(values, ["kind", "item"]).select("block", "kind", "item", "value")
+    scored = given.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     bits = -F.col("score") / np.log10(2) / F.col("n_bytes")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
 
 
-def _base_by_join(given: DataFrame, words: DataFrame, scored: DataFrame, unknown: float, train_docs: int, end: float, total: int, smooth: float, run, tail: str) -> DataFrame:
-    """The word score where the words are too many to broadcast: (row, word, times) meets the counts in a shuffle."""
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for block in textkit.blocks(batch.column(3)):
-                _, _, hashes, rows = stream(block)
-                at = textkit.row_starts(rows, block.n)
-                for i in range(block.n):
-                    u, n = np.unique(hashes[at[i] : at[i + 1]], return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"row": np.full(len(u), ids[block.first + i]), "item": u.view(np.int64), "times": n.astype(np.int64)})
-
-    scored = given.mapInArrow(run, f"row long, doc_id long, held_out boolean, {tail}").drop("n_known", "base_score")
-    met = given.mapInArrow(pairs, "row long, item long, times long").join(words, "item", "left")
-    logs = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(total + smooth))
-    sums = met.groupBy("row").agg(F.sum(F.col("times") * logs).alias("w"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("k"))
-    out = scored.join(sums, "row", "left")
-    return out.withColumn("base_score", F.coalesce("w", F.lit(0.0)) + F.lit(end)).withColumn("n_known", F.coalesce("k", F.lit(0)) + F.lit(int(train_docs > 0)))
-
-
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(read_table(spark, sf_dir, "documents"))
