@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,19 @@ def drop_columns_named(df: DataFrame, *names: str) -> DataFrame:
 def smallest_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:
     """Mark `df` for broadcast only when its counted rows are within `bound`; otherwise Spark shuffles and splits skew."""
     return F.broadcast(df) if rows <= bound else df
+
+
+def release() -> None:
+    """Hand freed memory back: workers wait for their next task beside those at work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return outer

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import textkit
-from weftline.llm.common import materialize, read_table
+from weftline.llm.common import materialize, read_table, release, releasing
 
 DEPTH = 5
 #: Bytes of text that are scored together, and strings or nodes of the tree that a task takes at once (whole subtrees).
-BLOCK_BYTES, CHUNK = 32 << 20, 1 << 18
+BLOCK_BYTES, CHUNK = 32 << 20, 1 << 16
 #: Distinct items that a task holds before it hands them on.
-HELD = 3_000_000
+HELD = 2_000_000
 END = 0x0A
 
 
@@ -143,7 +143,7 @@ def gather(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         yield from out()
         yield pa.RecordBatch.from_pydict({"kind": np.full(1, 2, np.int32), "item": np.zeros(1, np.int64), "n": np.full(1, size, np.int64)})
 
-    counted = docs.select("text", held_out().alias("held")).mapInArrow(run, "kind int, item long, n long")
+    counted = docs.select("text", held_out().alias("held")).mapInArrow(releasing(run), "kind int, item long, n long")
     return materialize(counted.groupBy("kind", "item").agg(F.sum("n").alias("n")), "strings")
 
 
@@ -288,14 +288,14 @@ def _layer(rows: DataFrame, level: int, to: int, deepest: bool, tasks: int, abov
         given = given.union(above.select(F.lit(1), "key", "a", "b", F.lit(0.0), part(to)))
     dealt = given.repartition(tasks, "part").sortWithinPartitions("part")
     if above is None:
-        return dealt.mapInArrow(fold, NODE)
-    return dealt.mapInArrow(unfold, "item long, value double" if deepest else NODE)
+        return dealt.mapInArrow(releasing(fold), NODE)
+    return dealt.mapInArrow(releasing(unfold), "item long, value double" if deepest else NODE)
 
 
 def tree(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(item, value) of strings (item, n): tree_log10 by layers of two levels."""
     spark = strings.sparkSession
-    tasks = 1 + strings.count() // CHUNK
+    tasks = 1 + strings.count() // (4 * CHUNK)
     rows, level, layers = strings.select(F.col("item").alias("key"), F.col("n").cast("double").alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("w")), depth, []
     while not layers or level > 1:
         to = max(level - 2, 1)
@@ -397,10 +397,9 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
         yield from out()
 
     def answer(texts: pa.Table, known: pa.Table) -> pa.Table:
-        tables = []
-        for kind in (0, 1):
-            own = known.filter(pa.compute.equal(known["kind"], kind))
-            tables.append(Table(own["item"].to_numpy().view(np.uint64), own["value"].to_numpy(), 0.0))
+        kinds, items, values = known["kind"].to_numpy(), known["item"].to_numpy().view(np.uint64), known["value"].to_numpy()
+        tables = [Table(items[kinds == kind], values[kinds == kind], 0.0) for kind in (0, 1)]
+        del known, kinds, items, values
         out = []
         for batch in texts.to_batches():
             for block in textkit.blocks(batch.column("text")):
@@ -421,12 +420,14 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
                         }
                     )
                 )
+        del tables
+        release()
         return pa.concat_tables(out) if out else pa.table({f.name: pa.array([], f.type) for f in arrow})
 
     arrow = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
     block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_blocks)).alias("block")
     given = docs.select(block, F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").repartition(n_blocks, "block")
-    asked = given.sortWithinPartitions("block").mapInArrow(ask, "block long, kind int, item long")
+    asked = given.sortWithinPartitions("block").mapInArrow(releasing(ask), "block long, kind int, item long")
     known = asked.join(values, ["kind", "item"]).select("block", "kind", "item", "value")
     scored = given.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     bits = -F.col("score") / np.log10(2) / F.col("n_bytes")
