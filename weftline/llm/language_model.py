@@ -34,6 +34,8 @@ from weftline.llm.common import materialize, read_table, release, releasing
 DEPTH = 5
 #: Bytes of text that are scored together, and strings or nodes of the tree that a task takes at once (whole subtrees).
 BLOCK_BYTES, CHUNK = 32 << 20, 1 << 16
+#: Bytes of text that numpy takes at once.
+PIECE = 1 << 19
 #: Distinct items that a task holds before it hands them on.
 HELD = 2_000_000
 END = 0x0A
@@ -129,7 +131,7 @@ def gather(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         size = 0
         for batch in batches:
             train = ~batch.column(1).to_numpy(zero_copy_only=False)
-            for block in textkit.blocks(batch.column(0)):
+            for block in textkit.blocks(batch.column(0), PIECE):
                 data, begins, hashes, rows = stream(block)
                 own = train[block.first : block.first + block.n]
                 found[0, 1].add(hashes[own[rows]])
@@ -385,7 +387,7 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
                 if blocks[x] != now:
                     yield from out()
                     now = int(blocks[x])
-                for block in textkit.blocks(batch.column(3).slice(x, y - x)):
+                for block in textkit.blocks(batch.column(3).slice(x, y - x), PIECE):
                     data, begins, hashes, _ = stream(block)
                     found[0].append(np.unique(hashes))
                     found[1].append(np.unique(string_codes(data, begins, depth)))
@@ -402,7 +404,7 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
         del known, kinds, items, values
         out = []
         for batch in texts.to_batches():
-            for block in textkit.blocks(batch.column("text")):
+            for block in textkit.blocks(batch.column("text"), PIECE):
                 data, begins, hashes, rows = stream(block)
                 logs = tables[1].get(string_codes(data, begins, depth))
                 c = tables[0].get(hashes)
