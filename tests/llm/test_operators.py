@@ -276,3 +276,11 @@ def test_html():
     want = "Head\n\nOne two three\n\nFour\nfive\n\n- a\n- b\n  3. c\n\nName         N\nLonger name  12\n\n x\n  y\n\n© end"
     assert html_text.visible_text(page) == want
     assert html_text.visible_text(None) is None and html_text.visible_text("") == "" and html_text.visible_text("<div>" * 20_000 + "x") == "x"
+
+
+@pytest.mark.parametrize("start", ["<p>Hello", "Hello", "<div>Hello</div>", "<body><p>Hello", "</head>Hello", "&lt;!-- x<!-- y -->", "< 5", "<custom-tag>Hello"])
+def test_html_head_without_end(start):
+    head = "<!doctype html>\n<html>\n<head> <meta charset=utf-8>\n<title>t</title><link rel=x><template><p>no</template><noscript>no</noscript><style>p{}</style>\n<!-- no --> "
+    seen = html_text.visible_text(head + start + "<p>and <b>more")
+    assert seen.split("\n\n") == [re.sub("<!--.*?-->|</?[a-z].*?>", "", start).replace("&lt;", "<"), "and more"]
+    assert html_text.visible_text(head) == "" and html_text.visible_text("<head><head><p>a<head>b") == "ab"

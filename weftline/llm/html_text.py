@@ -1,7 +1,7 @@
 """HTML to visible text with its layout (operator 10).
 
 A tree builder reads tags with implied ends (a block ends a paragraph, an item an
-item, a cell a cell) and tolerates whatever isn't closed. The renderer walks the
+item, a cell a cell, what can't stand in it the head) and tolerates whatever isn't closed. The renderer walks the
 tree without recursion and leaves out what isn't shown: head, scripts, styles,
 templates, comments, `hidden`, `display:none`, `visibility:hidden`. Blocks stand
 on lines of their own, paragraphs and headings with an empty line between, list
@@ -32,6 +32,8 @@ ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "tr": (("tr",), ("table",)), "tbody": (("thead", "tbody", "tfoot"), ("table",)), "thead": (("thead", "tbody", "tfoot"), ("table",)), "tfoot": (("thead", "tbody", "tfoot"), ("table",)), "option": (("option",), ("select",)),
 }
+#: An open head ends at any other start tag, and at text that is not white space.
+IN_HEAD = frozenset("title style script meta link base template noscript noframes".split())
 #: Indents don't grow beyond this many levels.
 DEEPEST = 16
 
@@ -60,7 +62,10 @@ def build(source: str) -> Node:
         if i < 0:
             i = n
         if i > at:
-            open_[-1].children.append(entities.unescape(source[at:i]))
+            text = entities.unescape(source[at:i])
+            if open_[-1].tag == "head" and text.strip(" \t\n\r\f"):
+                open_.pop()
+            open_[-1].children.append(text)
         if i == n:
             break
         if source.startswith("<!--", i):
@@ -74,6 +79,8 @@ def build(source: str) -> Node:
                 j = source.find(">", i)
                 at = n if j < 0 else j + 1
             else:
+                if open_[-1].tag == "head":
+                    open_.pop()
                 open_[-1].children.append("<")
                 at = i + 1
             continue
@@ -93,6 +100,8 @@ def build(source: str) -> Node:
                     open_[-1].children.append(node)
                     open_.append(node)
             continue
+        if open_[-1].tag == "head" and tag not in IN_HEAD:
+            open_.pop()
         if tag in ENDS:
             _imply(open_, *ENDS[tag])
         if tag in CLOSES_P:
