@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
-from weftline.llm import components, embedding_dedup, exact_dedup, html_text, language_model, mixing, ngram_join, packing, pii, quality, toxicity
+from weftline.llm import components, embedding_dedup, exact_dedup, html_text, language_model, mixing, ngram_join, packing, pii, quality, textkit, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, h string"
 
@@ -61,6 +61,14 @@ def test_ngram_join(spark, rows):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id} == {(i, len(sets[i]), find(i)) for i in root}
 
 
+def test_ngram_join_of_a_block_of_few_words(spark):
+    got = ngram_join.similar_documents(table(spark, [(1, "a b c", "a")])).collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == [(1, 1, 1)]
+    for n in range(8):
+        [block] = textkit.blocks(pa.array([" ".join("abcdefgh"[:n])]))
+        assert [len(x) for x in ngram_join.shingle_sets(block)] == [max(n - 4, min(n, 1))]
+
+
 def test_count_tree_finds_what_a_scan_finds():
     rnd = np.random.default_rng(1)
     points = rnd.poisson(0.6, (700, ngram_join.GROUPS)).astype(np.int64)

@@ -133,7 +133,7 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n: int, width: int) -> list[n
     """Per row the sorted distinct hashes of its `width`-word shingles; of all its words where it has fewer."""
     out = []
     rolled = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
-    for j in range(width):
+    for j in range(width if len(rolled) else 0):
         rolled = rolled * np.uint64(_P) + hashes[j : len(hashes) - width + 1 + j]
     rolled = finish(rolled)
     at = row_starts(rows, n)
