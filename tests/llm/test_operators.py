@@ -69,6 +69,18 @@ def test_ngram_join_of_a_block_of_few_words(spark):
         assert [len(x) for x in ngram_join.shingle_sets(block)] == [max(n - 4, min(n, 1))]
 
 
+def test_ngram_join_tells_texts_with_one_id_apart(spark):
+    base = [[f"{c}{k}" for k in range(60)] for c in "abc"]
+    near = lambda words: " ".join(["new", *words[1:]])
+    given = [(7, " ".join(x)) for x in base] + [(3 + k, near(x)) for k, x in enumerate(base[:2])] + [(7, "alone " * 9)]
+    docs = table(spark, [(i, t, "a") for i, t in given]).repartition(1)
+    got = ngram_join.similar_documents(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(3, 56, 3), (4, 56, 4), (7, 1, 7), (7, 56, 3), (7, 56, 4), (7, 56, 7)]
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([*given[3:], given[2]])
+
+
 def test_count_tree_finds_what_a_scan_finds():
     rnd = np.random.default_rng(1)
     points = rnd.poisson(0.6, (700, ngram_join.GROUPS)).astype(np.int64)
