@@ -207,6 +207,15 @@ def test_embeddings(spark):
     assert embedding_dedup.near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_embeddings_of_several_lengths(spark):
+    rare = [(1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 3.0]), (3, [1.0, 2.0, 3.1]), (4, [3.0, -2.0, 1.0]), (5, [2.0]), (6, [0.5]), (7, [-1.0]), (8, [0.0, 1.0])]
+    common = [(100 + k, np.eye(8)[k % 8].tolist()) for k in range(16)]
+    vectors = spark.createDataFrame(rare + common, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(vectors).collect()}
+    want = {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), 4: (0, 4, True), 5: (1, 5, True), 6: (1, 5, False), 7: (0, 7, True), 8: (0, 8, True)}
+    assert got == want | {100 + k: (1, 100 + k % 8, k < 8) for k in range(16)}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 102), (102, 101), (5, 5)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(links).collect()}

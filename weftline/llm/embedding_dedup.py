@@ -1,6 +1,6 @@
 """Embedding near-duplicates by PCA-ordered tiled comparison (operator 7).
 
-Equal vectors are one class. Vectors are turned onto the principal axes, where
+Equal vectors are one class; only vectors of the same length are compared. Vectors are turned onto the principal axes, where
 leading coordinates carry most of a product. A grid over the first axes, as wide
 as the largest distance of a linked pair, says which vectors can meet; cells are
 dealt into tiles, and tiles of the same or neighbouring cells are compared. There
@@ -25,6 +25,11 @@ from weftline.llm.components import connected_components
 
 THRESHOLD = 0.95
 TILE, GRID_AXES, STAGES = 4096, 3, (16, 32)
+#: Beside the commonest length, lengths get principal axes while their squares add up to no more; others keep the axes
+#: they came with, which gives the same links.
+AXES = 1 << 20
+#: Cells are numbered by length and grid coordinates, STRIDE to an axis.
+STRIDE = 1 << 12
 #: Pairs this close to the threshold are decided on the vectors as they came.
 CLOSE = 1e-9
 
@@ -39,23 +44,43 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
 
-def principal_axes(classes: DataFrame, dim: int) -> np.ndarray:
-    """Eigenvectors of the second moments of the unit vectors, largest first: dim * dim sums come to the driver."""
+def _by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, matrix) of the vectors of each length."""
+    packed = column.to_pylist()
+    lengths = np.array([len(v) // 8 for v in packed], np.int64)
+    for dim in np.unique(lengths).tolist():
+        mine = np.flatnonzero(lengths == dim)
+        yield dim, mine, np.frombuffer(b"".join([packed[k] for k in mine]), np.float64).reshape(-1, dim)
+
+
+def principal_axes(classes: DataFrame, dims: list[int]) -> dict[int, np.ndarray]:
+    """By length the eigenvectors of the second moments of the unit vectors, largest first: dim * dim sums come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((dim, dim))
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            x = _matrix(batch.column(0), dim)
-            x = x / np.linalg.norm(x, axis=1)[:, None]
-            total += x.T @ x
-        yield pa.RecordBatch.from_pydict({"at": np.arange(dim * dim, dtype=np.int32), "v": total.ravel()})
-
-    sums = classes.select("x").mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
-    moments = np.zeros(dim * dim)
-    for r in sums:
-        moments[r["at"]] = r["v"]
-    moments = moments.reshape(dim, dim)
-    return np.linalg.eigh((moments + moments.T) / 2)[1][:, ::-1]
+            for dim, _, x in _by_length(batch.column(0)):
+                if dim in dims:
+                    x = x / np.linalg.norm(x, axis=1)[:, None]
+                    total[dim] = total.get(dim, 0) + x.T @ x
+        for dim, v in total.items():
+            yield pa.RecordBatch.from_pydict({"dim": np.full(dim * dim, dim, np.int32), "at": np.arange(dim * dim, dtype=np.int32), "v": v.ravel()})
+
+    sums = classes.select("x").mapInArrow(run, "dim int, at int, v double").groupBy("dim", "at").agg(F.sum("v").alias("v")).toArrow()
+    of, at, v = (sums[c].to_numpy() for c in ("dim", "at", "v"))
+    out = {}
+    for dim in dims:
+        moments = np.zeros(dim * dim)
+        moments[at[of == dim]] = v[of == dim]
+        moments = moments.reshape(dim, dim)
+        out[dim] = np.linalg.eigh((moments + moments.T) / 2)[1][:, ::-1]
+    return out
+
+
+def turned(x: np.ndarray, axes: dict[int, np.ndarray]) -> np.ndarray:
+    """Unit vectors on the axes of their length."""
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    return x @ axes[x.shape[1]] if x.shape[1] in axes else x
 
 
 def _roots(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -109,46 +134,51 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndar
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of `vectors` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
-    Vectors that are null, zero or hold null or non-finite components, and those
-    of another length than the commonest, link with nothing. Rows that repeat a
+    Vectors that are null, zero or hold null or non-finite components link with
+    nothing, others with vectors of their own length. Rows that repeat a
     vector link with each other; a row that repeats its id as well counts as
     another vector of that component.
     """
     rows = vectors.select("vec_id", F.when(usable(), F.col("embedding").cast("array<double>")).alias("e"))
-    sizes = rows.where("e IS NOT NULL").groupBy(F.size("e").alias("d")).count().orderBy(F.col("count").desc(), "d").first()
-    dim = sizes["d"] if sizes else 0
+    sizes = rows.where("e IS NOT NULL").groupBy(F.size("e").alias("d")).count().orderBy(F.col("count").desc(), "d").limit(1000).collect()
+    dims: list[int] = []
+    for s in sizes:
+        if not dims or (s["count"] >= s["d"] and sum(d * d for d in dims[1:]) + s["d"] ** 2 <= AXES):
+            dims.append(s["d"])
     # One key for equal vectors: their doubles, -0 as 0, in 8 bytes each.
     packed = F.transform("e", lambda v: F.when(v == 0, F.lit(0.0)).otherwise(v))
-    rows = rows.withColumn("e", F.when(F.size("e") == dim, packed))
+    rows = rows.withColumn("e", packed)
     alone = rows.where("e IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not dim:
+    if not dims:
         return alone
     grouped = materialize(rows.where("e IS NOT NULL").groupBy("e").agg(F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("n")), "vectors")
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(2).flatten().to_numpy().reshape(-1, dim)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in flat], pa.binary())], names=["cid", "n", "x"])
+            flat = batch.column(2).flatten().to_numpy().tobytes()
+            ends = np.cumsum(batch.column(2).value_lengths().to_numpy()).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([flat[8 * a : 8 * b] for a, b in zip([0, *ends], ends)], pa.binary())], names=["cid", "n", "x"])
 
     classes = grouped.select("cid", "n", "e").mapInArrow(as_bytes, "cid long, n long, x binary")
-    axes = principal_axes(classes, dim)
+    axes = principal_axes(classes, dims)
     width = math.sqrt(2 - 2 * threshold) + 1e-6
-    n_axes = min(GRID_AXES, dim)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(2), dim)
-            at = np.floor((x / np.linalg.norm(x, axis=1)[:, None] @ axes[:, :n_axes]) / width).astype(np.int64) + 64
-            cell = np.zeros(len(x), np.int64)
-            for k in range(n_axes):
-                cell = cell * 256 + at[:, k]
+            cell = np.zeros(batch.num_rows, np.int64)
+            for dim, mine, x in _by_length(batch.column(2)):
+                at = np.floor(turned(x, axes)[:, :GRID_AXES] / width).astype(np.int64) + STRIDE // 2
+                number = np.full(len(x), dim, np.int64)
+                for k in range(GRID_AXES):
+                    number = number * STRIDE + (at[:, k] if k < dim else STRIDE // 2)
+                cell[mine] = number
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=["cid", "n", "x", "cell"])
 
     placed = materialize(classes.mapInArrow(place, "cid long, n long, x binary, cell long"), "placed")
     cells = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
     placed = placed.join(cells, "cell").withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")))
     # Pairs of tiles: within a cell, and with half of the cells around, so that each pair of cells comes once.
-    around = [sum(d * 256 ** (n_axes - 1 - k) for k, d in enumerate(step)) for step in itertools.product((-1, 0, 1), repeat=n_axes)]
+    around = [sum(d * STRIDE ** (GRID_AXES - 1 - k) for k, d in enumerate(step)) for step in itertools.product((-1, 0, 1), repeat=GRID_AXES)]
     tiles = cells.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1))).select("cell", "tile")
     left = tiles.withColumn("near", F.explode(F.array(*[F.col("cell") + d for d in around if d >= 0])))
     right = tiles.select(F.col("cell").alias("near"), F.col("tile").alias("tile2"))
@@ -161,10 +191,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
-        cid, n, raw = table["cid"].to_numpy(), table["n"].to_numpy(), _matrix(table["x"], dim)
+        cid, n = table["cid"].to_numpy(), table["n"].to_numpy()
+        raw = _matrix(table["x"], len(table["x"][0].as_py()) // 8)
         order = np.argsort(cid, kind="stable")
         side, cid, n, raw = side[order], cid[order], n[order], raw[order]
-        unit = raw / np.linalg.norm(raw, axis=1)[:, None] @ axes
+        unit = turned(raw, axes)
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         same = bool(table["same"][0].as_py()) and not len(b)
         b = a if same else b
