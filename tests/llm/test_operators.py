@@ -174,6 +174,20 @@ def test_semi_markov_adds_what_patterns_miss(spark):
     assert got[0] == [("phone", True), ("email", True), ("ip", True)]
 
 
+def test_semi_markov_has_candidates_for_long_written_forms():
+    texts = [f"call +1 ({n}) 555-{n + 1000} or bob.{n}@mail.example.com at 10.{n % 250}.3.4 now" for n in range(200, 260)]
+    model = pii.SemiMarkov().fit(pii.training_cases(texts))
+    for long in ("user (at) mail (dot) example (dot) com", "john.m.doe (at) example (dot) com", "j.m.doe [at] mail [dot] example [dot] com"):
+        text = f"write to {long} today"
+        assert [(text[s["start"] : s["end"]], s["kind"], s["base"]) for s in pii.all_spans(text, model)] == [(long, "email", False)]
+    for long in ("9 8 8 5 5 5 2 4 8 5", "(9 8 8) 5 5 5 - 2 4 8 5", " - ".join("9885552485123456789"), "+(" + "1.-." * 18 + "1"):
+        text = f"ring {long} today"
+        [(a, b)] = pii.regions(text)
+        bounds, by_end = model.lattice(text, a, b)
+        assert text[a:b] == long and any(i == 0 and kind == "phone" for i, kind, _ in by_end[-1])
+    assert not any(model.lattice("1" * 20, 0, 20)[1])
+
+
 def test_fitted_operators(spark):
     rnd = random.Random(5)
     bad = lambda k: k % 3 == 0

@@ -2,7 +2,8 @@
 
 Exact patterns give the base spans. Beside them a semi-Markov CRF looks at
 regions that may hold a number or an address: a region is cut into atoms (digit
-runs, letter runs, single other characters); every segment of up to MAX_ATOMS atoms is scored as a
+runs, letter runs, a bracketed "at" or "dot" with its spaces, single other
+characters); every segment of up to MAX_ATOMS atoms is scored as a
 whole for each type (grouping of its digits, separators, checksum, ranges,
 neighbours), and a dynamic program over the region chooses boundaries and types
 together. Weights are fitted by conditional log-likelihood on a bounded sample of
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 from weftline.llm.common import read_table
 
 KINDS = ("email", "ip", "card", "phone")
+#: Most digits of a number. A segment has room for as many single digits, each behind three separators, and an opening.
+MAX_DIGITS = 19
 #: Longest segment in atoms; documents and steps used in fitting.
-MAX_ATOMS, FIT_DOCS, EPOCHS = 16, 600, 12
+MAX_ATOMS, FIT_DOCS, EPOCHS = 4 * MAX_DIGITS + 4, 600, 12
 #: An added span needs this marginal probability of its segment.
 CERTAIN = 0.6
 
@@ -84,7 +87,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 _REGION = re.compile(r"[+(]*+[0-9](?:[ ().-]{0,3}+[0-9])*+")
 _SPOKEN = re.compile(r" ?(?:@|\(at\)|\[at\]) ?")
 _TAIL = re.compile(r"[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++")
-_ATOM = re.compile(r"[0-9]+|[A-Za-z]+|.", re.S)
+_ATOM = re.compile(r"[0-9]+|[A-Za-z]+| ?(?:\((?:at|dot)\)|\[(?:at|dot)\]) ?|.", re.S)
+_MARK = re.compile(r"@|\(at\)|\[at\]")
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
@@ -114,13 +118,13 @@ def features(text: str, start: int, end: int) -> list[str]:
         return []
     left, right = text[start - 1 : start], text[end : end + 1]
     edge = ["L" + ("w" if left.isalnum() else "." if left in "+.-(" and left else "_"), "R" + ("w" if right.isalnum() else "." if right in "-(" and right else "_")]
-    mark = re.search(r"@|\(at\)|\[at\]", span)
+    mark = _MARK.search(span)
     if mark:
         tld = re.split(r"[^A-Za-z0-9]+", span)[-1]
         return ["mail", "tld" + shape(len(tld)), "tldword" + str(tld.isalpha()), "dots" + str("." in span[mark.end() :] or "dot" in span[mark.end() :]), "user" + str(mark.start() > 0), *edge]
     groups = re.findall(r"[0-9]+", span)
     digits = "".join(groups)
-    if len(digits) < 4 or len(digits) > 19 or re.search(r"[A-Za-z]", span):
+    if len(digits) < 4 or len(digits) > MAX_DIGITS or re.search(r"[A-Za-z]", span):
         return []
     gaps = "".join(sorted(set(re.sub(r"[0-9+]", "", span))))
     out = ["n" + shape(len(digits)), "sep" + gaps, "groups" + "-".join(map(str, map(len, groups[-3:]))), f"g{min(len(groups), 6)}", *edge]
@@ -143,8 +147,16 @@ class SemiMarkov:
         """Atom bounds and, by end atom, the candidates (first atom, type, features)."""
         bounds = [start, *(m.end() for m in _ATOM.finditer(text, start, end))]
         by_end: list[list[tuple[int, str, list[str]]]] = [[] for _ in bounds]
+        # Without a mark nothing but numbers can be found, and none starts before its last MAX_DIGITS digits.
+        plain = not _MARK.search(text, start, end)
+        digits = [0]
+        for a, b in zip(bounds, bounds[1:]):
+            digits.append(digits[-1] + (b - a if text[a] in "0123456789" else 0))
+        low = 0
         for j in range(1, len(bounds)):
-            for i in range(max(0, j - MAX_ATOMS), j):
+            while plain and digits[j] - digits[low] > MAX_DIGITS:
+                low += 1
+            for i in range(max(low, j - MAX_ATOMS), j):
                 if seen := features(text, bounds[i], bounds[j]):
                     for kind in ("email",) if "mail" in seen else KINDS[1:]:
                         by_end[j].append((i, kind, seen))
