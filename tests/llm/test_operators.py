@@ -327,3 +327,15 @@ def test_html_head_without_end(start):
     seen = html_text.visible_text(head + start + "<p>and <b>more")
     assert seen.split("\n\n") == [re.sub("<!--.*?-->|</?[a-z].*?>", "", start).replace("&lt;", "<"), "and more"]
     assert html_text.visible_text(head) == "" and html_text.visible_text("<head><head><p>a<head>b") == "ab"
+
+
+def test_html_tables_keep_their_columns(monkeypatch):
+    page = "<table><thead><tr><th rowspan=5>H<th>I</thead><tr><td rowspan=2>a<td>b<td rowspan=0 colspan=2>c<td>d<tr><td>e<td>f<tr><td>g<td>h<td>i</table>"
+    assert html_text.visible_text(page) == "H  I\na  b  c    d\n   e       f\ng  h       i"
+    long = "x" * 300
+    page = f"<table><tr><td>{long}<td>b<td>c<tr><td>a<td>bb<td>c</table>"
+    assert html_text.visible_text(page) == f"{long}  b   c\n{'a'.ljust(300)}  bb  c"
+    monkeypatch.setattr(html_text, "PADDED", 500)
+    assert html_text.visible_text(page) == f"{long}  b   c\n{'a'.ljust(200)}  bb  c"
+    monkeypatch.setattr(html_text, "PADDED", 300)
+    assert html_text.visible_text(page) == f"{long}  b  c\na  bb  c"

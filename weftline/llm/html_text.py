@@ -5,7 +5,8 @@ item, a cell a cell, what can't stand in it the head) and tolerates whatever isn
 tree without recursion and leaves out what isn't shown: head, scripts, styles,
 templates, comments, `hidden`, `display:none`, `visibility:hidden`. Blocks stand
 on lines of their own, paragraphs and headings with an empty line between, list
-items with markers and indents, table cells padded to the width of their column.
+items with markers and indents, table cells padded to the width of their column
+(in a table of over PADDED characters then, to NARROW at most).
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ IN_HEAD = frozenset("title style script meta link base template noscript noframe
 #: Indents don't grow beyond this many levels.
 DEEPEST = 16
 
+#: A table that takes more characters than PADDED with its columns at full width has cells padded to NARROW at most; where
+#: that takes more as well, cells stand two spaces apart. No text is left out.
+PADDED, NARROW = 64 << 20, 200
+
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _STOP = re.compile(r">|=\s*+[\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
@@ -159,6 +164,43 @@ def _unshown(attributes: dict[str, str]) -> bool:
     return bool(attributes) and ("hidden" in attributes or ("style" in attributes and bool(_HIDING.search(attributes["style"]))))
 
 
+def _span(value: str, most: int) -> int:
+    return min(int(value), most) if value.isdecimal() and len(value) < 6 else 1
+
+
+class Table:
+    """Rows of a table under way: (column, text) of each cell that has text."""
+
+    __slots__ = ("rows", "at", "spans", "fresh", "passed")
+
+    def __init__(self):
+        self.rows: list[list[tuple[int, str]]] = []
+        self.end_group()
+
+    def end_group(self) -> None:
+        self.spans: list[tuple[int, int, float]] = []  # (first column, column behind, last row) of cells from rows above
+        self.fresh: list[tuple[int, int, float]] = []
+        self.at = self.passed = 0
+
+    def row(self) -> None:
+        self.rows.append([])
+        self.spans = sorted(s for s in self.spans + self.fresh if s[2] >= len(self.rows))
+        self.fresh = []
+        self.at = self.passed = 0
+
+    def cell(self, text: str, across: int, down: int) -> None:
+        if not self.rows:
+            self.row()
+        while self.passed < len(self.spans) and self.spans[self.passed][0] <= self.at:
+            self.at = max(self.at, self.spans[self.passed][1])
+            self.passed += 1
+        if text:
+            self.rows[-1].append((self.at, text))
+        if down != 1:  # 0: to the end of the group
+            self.fresh.append((self.at, self.at + max(across, 1), len(self.rows) + down - 1 if down else float("inf")))
+        self.at += max(across, 1)
+
+
 class Lines:
     """Lines of one block under way."""
 
@@ -203,7 +245,7 @@ def render(root: Node) -> str:
     """All visible text of the tree."""
     stack: list = [Lines()]  # buffers of the page, of list items and of cells
     lists: list[list] = []  # (ordered, next number)
-    tables: list[list[list[str]]] = []
+    tables: list[Table] = []
     pre = 0
     work: list = [(root, False)]
     while work:
@@ -240,9 +282,11 @@ def render(root: Node) -> str:
             elif tag in ("li", "td", "th"):
                 stack.append(Lines())
             elif tag == "table":
-                tables.append([])
+                tables.append(Table())
             elif tag == "tr" and tables:
-                tables[-1].append([])
+                tables[-1].row()
+            elif tag in ("thead", "tbody", "tfoot") and tables:
+                tables[-1].end_group()
             pre += tag == "pre"
             work.append((node, True))
             work.extend((c, False) for c in reversed(node.children))
@@ -261,19 +305,17 @@ def render(root: Node) -> str:
         elif tag in ("td", "th"):
             cell = " ".join(x for x in stack.pop().finish() if x)
             if tables:
-                if not tables[-1]:
-                    tables[-1].append([])
-                span = node.attributes.get("colspan", "1")
-                tables[-1][-1].append(cell)
-                tables[-1][-1].extend([""] * (min(int(span), 1000) - 1 if span.isdecimal() and len(span) < 6 else 0))
+                tables[-1].cell(cell, _span(node.attributes.get("colspan", "1"), 1000), _span(node.attributes.get("rowspan", "1"), 65534))
             else:
                 stack[-1].inline(cell)
         elif tag == "table":
-            rows = [r for r in tables.pop() if any(r)]
+            rows = [r for r in tables.pop().rows if r]
             stack[-1].end_line()
             stack[-1].add(aligned(rows))
             stack[-1].gap = True
         elif tag in BLOCK:
+            if tag in ("thead", "tbody", "tfoot") and tables:
+                tables[-1].end_group()
             out.end_line()
             out.gap = out.gap or (tag in SPACED and not (tag in ("ul", "ol") and len(lists) > 1))
             if tag in ("ul", "ol", "menu") and lists:
@@ -281,14 +323,32 @@ def render(root: Node) -> str:
     return "\n".join(line.rstrip() for line in stack[0].finish()).strip("\n")
 
 
-def aligned(rows: list[list[str]]) -> list[str]:
-    """Rows of cells as lines, each cell padded to the widest of its column."""
-    widths: list[int] = []
+def aligned(rows: list[list[tuple[int, str]]]) -> list[str]:
+    """Rows of cells as lines, each cell padded to the widest of its column; columns are two spaces apart."""
+    widest: dict[int, int] = {}
+    for row in rows:
+        for k, cell in row:
+            widest[k] = max(widest.get(k, 0), len(cell))
+    for most in (max(widest.values(), default=0), NARROW):
+        begins, total = {}, 0
+        for k in sorted(widest):
+            begins[k] = total + 2 * k
+            total += min(widest[k], most)
+        if sum(begins[row[-1][0]] for row in rows) <= PADDED:
+            break
+    else:
+        return ["  ".join(cell for _, cell in row).rstrip() for row in rows]
+    out = []
     for row in rows:
-        widths.extend([0] * (len(row) - len(widths)))
-        for k, cell in enumerate(row):
-            widths[k] = max(widths[k], len(cell))
-    return ["  ".join(cell.ljust(min(w, 200)) for cell, w in zip(row, widths)).rstrip() for row in rows]
+        line, length, behind = [], 0, 0
+        for k, cell in row:
+            # What a cell longer than NARROW takes too much moves the cells behind it.
+            gap = max(begins[k] + behind - length, 0)
+            line += " " * gap, cell
+            length += gap + len(cell)
+            behind += max(len(cell) - most, 0)
+        out.append("".join(line).rstrip())
+    return out
 
 
 def visible_text(source: str | None) -> str | None:
