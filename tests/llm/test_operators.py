@@ -339,3 +339,11 @@ def test_html_tables_keep_their_columns(monkeypatch):
     assert html_text.visible_text(page) == f"{long}  b   c\n{'a'.ljust(200)}  bb  c"
     monkeypatch.setattr(html_text, "PADDED", 300)
     assert html_text.visible_text(page) == f"{long}  b  c\na  bb  c"
+
+
+def test_html_forms_and_drawings():
+    form = "<p>Say <textarea rows=2>\none <b> &amp;\n  two</textarea> or <select><optgroup><option>red<option selected>blue</optgroup></select> now<datalist><option>no</datalist>"
+    assert html_text.visible_text(form) == "Say\none <b> &\n  two\nor\nred\nblue\nnow"
+    svg = "<p>Plot<svg viewBox='0 0 9 9'><title/><title>no</title><defs><text>no</text></defs><g/>no<text x=1>Q1 <tspan>sales</tspan></text><desc>no</desc><style/><path d=M0/><text>Q2<title>no</title></text><foreignObject><div>in <b>html</b></div></foreignObject></svg> end"
+    assert html_text.visible_text(svg) == "Plot\nQ1 sales\nQ2\nin html\nend"
+    assert html_text.visible_text("<svg/>a<text>b</text><defs>c</defs><textarea hidden>no</textarea>") == "abc"

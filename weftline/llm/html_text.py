@@ -3,7 +3,10 @@
 A tree builder reads tags with implied ends (a block ends a paragraph, an item an
 item, a cell a cell, what can't stand in it the head) and tolerates whatever isn't closed. The renderer walks the
 tree without recursion and leaves out what isn't shown: head, scripts, styles,
-templates, comments, `hidden`, `display:none`, `visibility:hidden`. Blocks stand
+templates, comments, `hidden`, `display:none`, `visibility:hidden`, what stands
+in for frames, noscript, media and canvas, data lists, and in drawings all but
+the text elements. Text in attributes isn't read. Text areas and options stand on
+lines of their own. Blocks stand
 on lines of their own, paragraphs and headings with an empty line between, list
 items with markers and indents, table cells padded to the width of their column
 (in a table of over PADDED characters then, to NARROW at most).
@@ -24,7 +27,13 @@ from weftline.llm.common import read_table
 # Fixed values of the HTML language: elements by how they are read and shown.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas svg datalist select textarea".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist".split())
+#: Within svg, text shows in SVG_TEXT alone, and none of it in SVG_UNSEEN.
+SVG_TEXT = frozenset("text foreignobject".split())
+SVG_UNSEEN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
+#: Not blocks, but on lines of their own; within PLAIN white space stands as written.
+BOXES = frozenset("textarea option text".split())
+PLAIN = frozenset("pre textarea".split())
 BLOCK = frozenset("html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table ul caption tr td th thead tbody tfoot".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl".split())
 CLOSES_P = BLOCK - frozenset("html body td th tr thead tbody tfoot caption li dd dt".split())
@@ -45,6 +54,7 @@ PADDED, NARROW = 64 << 20, 200
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _STOP = re.compile(r">|=\s*+[\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")  # a slash that belongs to a value
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -110,18 +120,21 @@ def build(source: str) -> Node:
         if tag in ENDS:
             _imply(open_, *ENDS[tag])
         if tag in CLOSES_P:
-            _imply(open_, ("p",), ("td", "th", "table", "button", "object", "li", "div", "body"))
+            _imply(open_, ("p",), ("td", "th", "table", "button", "object", "foreignobject", "li", "div", "body"))
         node = Node(tag, attributes)
         open_[-1].children.append(node)
+        if written.endswith("/") and tag not in VOID and not _UNQUOTED.search(written) and (tag == "svg" or _in_svg(open_)):
+            continue
         if tag in RAW:
             lowered = source.lower() if lowered is None else lowered
             # Lower case may change the length of a few letters; then look in the text as it stands.
             where = lowered if len(lowered) == n else source
             j = where.find(f"</{tag}", at)
             if tag not in UNSEEN:
-                node.children.append(entities.unescape(source[at : n if j < 0 else j]))
+                text = entities.unescape(source[at : n if j < 0 else j])
+                node.children.append(text.removeprefix("\n") if tag == "textarea" else text)
             at = n if j < 0 else _tag_end(source, j + 2 + len(tag), none_left)
-        elif tag not in VOID and not (written.endswith("/") and tag in ("svg", "path")):
+        elif tag not in VOID:
             open_.append(node)
     return root
 
@@ -139,6 +152,14 @@ def _tag_end(source: str, at: int, none_left: set[str]) -> int:
     return len(source)
 
 
+def _in_svg(open_: list[Node]) -> bool:
+    """Whether a tag stands in a drawing, where a slash ends any element."""
+    for node in reversed(open_[-512:]):
+        if node.tag in ("svg", "foreignobject"):
+            return node.tag == "svg"
+    return False
+
+
 def _imply(open_: list[Node], tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
     for k in range(len(open_) - 1, max(0, len(open_) - 512), -1):
         if open_[k].tag in tags:
@@ -247,11 +268,14 @@ def render(root: Node) -> str:
     lists: list[list] = []  # (ordered, next number)
     tables: list[Table] = []
     pre = 0
+    muted: list[bool] = []  # by open drawing, or text in it
     work: list = [(root, False)]
     while work:
         node, leaving = work.pop()
         out = stack[-1]
         if isinstance(node, str):
+            if muted and muted[-1]:
+                continue
             if pre:
                 first, *rest = node.split("\n")
                 out.text.append(first)
@@ -263,8 +287,12 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if tag in UNSEEN or _unshown(node.attributes):
+            if tag in UNSEEN or _unshown(node.attributes) or (muted and tag in SVG_UNSEEN):
                 continue
+            if tag == "svg" or (muted and tag in SVG_TEXT):
+                muted.append(tag == "svg")
+            if tag in BOXES and (tag != "text" or muted):
+                out.end_line()
             if tag == "br":
                 if out.text:
                     out.end_line()
@@ -287,11 +315,15 @@ def render(root: Node) -> str:
                 tables[-1].row()
             elif tag in ("thead", "tbody", "tfoot") and tables:
                 tables[-1].end_group()
-            pre += tag == "pre"
+            pre += tag in PLAIN
             work.append((node, True))
             work.extend((c, False) for c in reversed(node.children))
             continue
-        if tag == "pre":
+        if tag in BOXES and (tag != "text" or muted):
+            out.end_line()
+        if tag == "svg" or (muted and tag in SVG_TEXT):
+            muted.pop()
+        if tag in PLAIN:
             pre -= 1
         if tag == "li":
             lines = stack.pop().finish()
