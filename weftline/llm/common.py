@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,18 +16,29 @@ from pyspark.sql import functions as F
 
 #: What counts as white space between words, and a word, in Java, RE2 and Python alike.
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key with more than this share of all rows is heavy; at most 1 / HEAVY keys can be.
+HEAVY = 0.001
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    """For one process: the driver is the only executor, and the folder goes with it."""
+    found = tempfile.mkdtemp(prefix="weftline-")
+    atexit.register(shutil.rmtree, found, True)
+    return found
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="weftline-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = _own_dir()
     return f"{found.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
@@ -36,8 +50,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_columns_named(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*[n for n in names if n in df.columns])
+def join_to_classes(rows: DataFrame, classes: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """`rows` with the columns of `classes`, which has one row for each value of `on` and in `size` how many rows have it.
+
+    Values that more than HEAVY of all rows share, 1 / HEAVY at most, are broadcast, so
+    no task gets all rows of one of them; the others meet in an ordinary shuffle.
+    """
+    bar = HEAVY * total
+    heavy = F.broadcast(classes.where(F.col(size) > bar).withColumn("__heavy", F.lit(True)))
+    marked = rows.join(heavy, on, "left")
+    light = marked.where("__heavy IS NULL").select(*rows.columns).join(classes.where(F.col(size) <= bar), on)
+    return marked.where("__heavy").drop("__heavy").unionByName(light)
 
 
 def smallest_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:
