@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What counts as white space between words, and a word, in Java, RE2 and Python alike.
@@ -63,6 +63,26 @@ def join_to_classes(rows: DataFrame, classes: DataFrame, on: list[str], size: st
     return marked.where("__heavy").drop("__heavy").unionByName(light)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of `docs` as one, `row`; "row.*" gives them back, whatever they are called."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as set it apart from those taken."""
+    lowered, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in lowered:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def id_bucket(n: int, doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text modulo n; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
+
+
 def smallest_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:
     """Mark `df` for broadcast only when its counted rows are within `bound`; otherwise Spark shuffles and splits skew."""
     return F.broadcast(df) if rows <= bound else df
