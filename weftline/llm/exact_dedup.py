@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import materialize, read_table
+from weftline.llm.common import HEAVY, materialize, read_table, whole_row
 
 #: A digest with more than this share of all rows is heavy; at most 1 / SUPPORT digests can be.
-SUPPORT = 0.001
+SUPPORT = HEAVY
 
 
 def digest_of(text: str = "text") -> Column:
@@ -63,17 +63,17 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns.
+    """The rows of `docs` that stay, with all their columns, whatever these are called.
 
+    Null text counts as empty; ties, repeated rows and empty tables are as in `exact_groups`.
     Losers of heavy digests go where they are read; the rest meets once, by digest.
     """
     digests = materialize(docs.select("doc_id", digest_of().alias("digest")), "digests")
     heavy = F.broadcast(heavy_winners(digests, support))
-    own = [c for c in docs.columns]
-    marked = docs.withColumn("__digest", digest_of()).join(heavy.withColumnRenamed("digest", "__digest"), "__digest", "left")
-    first = marked.where(F.col("heavy_size").isNull() | F.col("doc_id").eqNullSafe(F.col("heavy_keep")))
-    ranked = first.withColumn("__nth", F.row_number().over(Window.partitionBy("__digest").orderBy(F.col("doc_id").desc_nulls_last())))
-    return ranked.where("__nth = 1").select(*own)
+    marked = docs.select(whole_row(docs), digest_of().alias("digest")).join(heavy, "digest", "left")
+    first = marked.where(F.col("heavy_size").isNull() | F.col("row.doc_id").eqNullSafe(F.col("heavy_keep")))
+    ranked = first.withColumn("nth", F.row_number().over(Window.partitionBy("digest").orderBy(F.col("row.doc_id").desc_nulls_last())))
+    return ranked.where("nth = 1").select("row.*")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
