@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import WORD, materialize, read_table, smallest_broadcast
+from weftline.llm.common import WORD, materialize, read_table, smallest_broadcast, whole_row
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, CAP = 1.5, 2.0
@@ -53,16 +53,8 @@ def targets_of(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
     return level.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """Per row of `docs`: doc_id, source, size, source_size, target, repeats, taken.
-
-    Null text has size 0 and is taken for nothing; null is a source of its own.
-    Rows with equal id and text share a hash and are taken together. Of the two
-    ends of the hash value at which the budget runs out the nearer is chosen
-    (the lower at a tie). An empty table, or one without words, takes nothing.
-    """
-    narrow = docs.select("doc_id", "source", n_words().alias("size"), hash_of().alias("h"))
-    narrow = materialize(narrow, "sized")
+def _plan(narrow: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
+    """(s, source_size, target, base, limit) by source s: rows are taken `base` times, those with a hash below `limit` once more."""
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets_of(sizes, weights, share, cap)
     base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -94,25 +86,46 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     # The last level has single hash values: take this one too if that is nearer.
     limit = F.when(2 * F.col("rest") > F.col("last"), F.col("prefix") + 1).otherwise(F.col("prefix"))
     plan = plan.join(found.select(F.col("source").alias("s"), limit.alias("limit")), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    plan = smallest_broadcast(plan.withColumnRenamed("source", "s"), n_sources, BROADCAST_SOURCES)
-    out = narrow.join(plan, F.col("source").eqNullSafe(F.col("s")))
-    repeats = F.col("base") + F.coalesce((F.col("h") < F.col("limit")).cast("bigint"), F.lit(0))
-    out = out.withColumn("repeats", F.when(F.col("size") > 0, repeats).otherwise(F.lit(0)).cast("bigint"))
+    return smallest_broadcast(plan.withColumnRenamed("source", "s"), n_sources, BROADCAST_SOURCES)
+
+
+def _repeats() -> Column:
+    """How often a row (size, h) with its source's plan is taken."""
+    more = F.coalesce((F.col("h") < F.col("limit")).cast("bigint"), F.lit(0))
+    return F.when(F.col("size") > 0, F.col("base") + more).otherwise(F.lit(0)).cast("bigint")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return materialize(docs.select("doc_id", "source", n_words().alias("size"), hash_of().alias("h")), "sized")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """Per row of `docs`: doc_id, source, size, source_size, target, repeats, taken.
+
+    Null text has size 0 and is taken for nothing; null is a source of its own.
+    Rows with equal id and text share a hash and are taken together. Of the two
+    ends of the hash value at which the budget runs out the nearer is chosen
+    (the lower at a tie). An empty table, or one without words, takes nothing.
+    Other columns are not read.
+    """
+    narrow = _sized(docs)
+    plan = _plan(narrow, weights, share, cap)
+    out = narrow.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("repeats", _repeats())
     return out.select("doc_id", "source", "h", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The rows of `docs` that the mix takes, each as often as it is taken, with the columns of `docs`.
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """The rows of `docs` that the mix takes, each as often as it is taken, with the columns of `docs`, whatever these are called.
 
-    Rows without words give no words either way; they are kept once.
+    Rows without words, null texts too, give no words either way; they are kept
+    once. What decides is the row's own hash and its source's plan, so texts are
+    decided where they are read.
     """
-    plan = mix(docs, **how)
-    times = plan.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.max("repeats").alias("__n"), F.max("size").alias("__size"))
-    own = docs.columns
-    out = docs.withColumn("__hash", hash_of()).join(times, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
-    times = F.when(F.col("__size") == 0, F.lit(1)).otherwise(F.col("__n")).cast("int")
-    out = out.where(times > 0).withColumn("__nth", F.explode(F.sequence(F.lit(1), times)))
-    return out.select(*own)
+    plan = _plan(_sized(docs), weights, share, cap)
+    rows = docs.select(whole_row(docs), n_words().alias("size"), hash_of().alias("h"))
+    rows = rows.join(plan, F.col("row.source").eqNullSafe(F.col("s")))
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(_repeats()).cast("int")
+    return rows.where(times > 0).select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
