@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import textkit
-from weftline.llm.common import read_table
+from weftline.llm.common import id_bucket, read_table
 
 FIT_ROWS, BINS, TREES, DEPTH, RATE, RIDGE = 30_000, 48, 80, 4, 0.15, 2.0
 PREDICT = 0.7
@@ -127,13 +127,9 @@ def fit_forest(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DE
     return Forest(np.array(features), np.array(thresholds), np.array(leaves), prior)
 
 
-def bucket_of(doc_id: str = "doc_id"):
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4
-
-
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Forest:
     """Fit on at most `fit_rows` labelled rows that aren't held out, those with the smallest hash of the id."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(bucket_of() != 2)
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(id_bucket(4) != 2)
     known = known.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "quality")
 
@@ -161,4 +157,4 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = score(docs, fit(docs, labels))
-    return out.select("doc_id", (bucket_of() == 2).alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))
+    return out.select("doc_id", (id_bucket(4) == 2).alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))

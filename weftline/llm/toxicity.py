@@ -13,7 +13,7 @@ from at most FIT_ROWS labelled rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weftline.llm import textkit
-from weftline.llm.common import materialize, read_table
+from weftline.llm.common import fresh, id_bucket, materialize, read_table
 
 #: Labelled rows in fitting, features kept, and bytes of the word beginnings used as features.
 FIT_ROWS, FEATURES, BEGINNINGS = 20_000, 512, (4, 5, 6)
@@ -68,15 +68,15 @@ def _values(block: textkit.Block, features: np.ndarray) -> np.ndarray:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """(text, toxic) of at most `fit_rows` labelled rows, those with the smallest hash of the id; one for equal texts."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    """(text, toxic) of at most `fit_rows` labelled rows that aren't held out, those with the smallest hash of the id; one for equal texts."""
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(id_bucket(4) != 2).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(fit_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id", "toxic")), "doc_id")
     return materialize(rows.where("text IS NOT NULL").groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")), "toxic-fit")
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Fit on a bounded sample; without toxic rows in it the model finds nothing toxic."""
+    """Fit on a bounded sample; without both labels in it, or without a feature that tells them apart, the model finds nothing toxic."""
     sample = sample_of(docs, labels, fit_rows)
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,8 +94,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
     totals = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     n, n_toxic = totals.n or 0, totals.toxic or 0
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), np.arange(1, GRADES) * 50.0)
     if not n_toxic or n_toxic == n:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.arange(1, GRADES) * 50.0)
+        return nothing
     counts = sample.select("text", "toxic").mapInArrow(seen, "f long, n long, toxic long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     share, toxic, clean = n_toxic / n, F.col("toxic"), F.col("n") - F.col("toxic")
     gain = lambda seen, of, expected: F.when(seen > 0, seen * F.log(seen / (of * expected))).otherwise(0.0)
@@ -104,6 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     odds = F.log((toxic + 0.5) / (n_toxic - toxic + 0.5)) - F.log((clean + 0.5) / (n - n_toxic - clean + 0.5))
     scored = counts.where(F.col("n") >= LEAST).withColumn("odds", odds).withColumn("g", g)
     chosen = scored.where(F.col("g") >= TELLING).orderBy(F.col("g").desc(), "f").limit(FEATURES).collect()
+    if not chosen:
+        return nothing
     features = np.sort(np.array([r.f for r in chosen], np.int64).view(np.uint64))
     telling = np.isin(features, np.array([r.f for r in chosen if r.odds > 3], np.int64).view(np.uint64))
 
@@ -114,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                 yield pa.RecordBatch.from_pydict({"x": [r.tobytes() for r in x], "toxic": batch.column(1).slice(block.first, block.n).cast(pa.int32())})
 
     rows = sample.select("text", "toxic").mapInArrow(dense, "x binary, toxic int").toArrow()
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, len(features))
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(len(rows), len(features))
     toxic = rows["toxic"].to_numpy()
     strength = x[:, telling].sum(1)
     cuts = np.quantile(strength[toxic == 1], [1 / 3, 2 / 3])
@@ -146,16 +149,15 @@ def fit_ordinal(features: np.ndarray, x: np.ndarray, grade: np.ndarray, steps: i
     return Model(features, theta[:d], np.cumsum(np.concatenate((theta[d : d + 1], np.exp(theta[d + 1 :])))))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with expected_severity (0 to 3), p_toxic and grade (the likeliest) added.
+def score(docs: DataFrame, model: Model, names: Sequence[str] = ("expected_severity", "p_toxic", "grade")) -> DataFrame:
+    """`docs` with expected_severity (0 to 3), p_toxic and grade (the likeliest) added, or under other names.
 
     Null and empty texts have no features; their severity is the model's prior.
     Other columns are passed on; a column of `docs` with one of the three names
     is replaced.
     """
-    added = ("expected_severity", "p_toxic", "grade")
-    docs = docs.drop(*added)
-    out_schema = StructType(docs.schema.fields[:]).add("expected_severity", "double").add("p_toxic", "double").add("grade", "integer")
+    docs = docs.drop(*names)
+    out_schema = StructType(docs.schema.fields[:]).add(names[0], "double").add(names[1], "double").add(names[2], "integer")
     where = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,18 +167,25 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 edges = np.concatenate((np.ones((block.n, 1)), p, np.zeros((block.n, 1))), axis=1)
                 grade = np.argmax(edges[:, :-1] - edges[:, 1:], axis=1).astype(np.int32)
                 rows = batch.slice(block.first, block.n)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(grade)], names=[*rows.schema.names, *added])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(p.sum(1)), pa.array(p[:, 0]), pa.array(grade)], names=[*rows.schema.names, *names])
 
     return docs.mapInArrow(run, out_schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of `docs` whose probability of any toxicity is under `reject`, with their columns."""
-    own = docs.columns
-    return score(docs, fit(docs, labels, fit_rows)).where(F.col("p_toxic") < reject).select(*own)
+    """The rows of `docs` whose probability of any toxicity is under `reject`, with all their columns.
+
+    Rows without text have the model's prior; where no feature tells toxic rows apart,
+    all rows stay. Repeated rows are decided each; an empty table stays empty.
+    """
+    names = fresh(docs.columns, "expected_severity", "p_toxic", "grade")
+    return score(docs, fit(docs, labels, fit_rows), names).where(F.col(names[1]) < reject).drop(*names)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """held_out rows (as in op6_quality) teach nothing. The labels are binary: p_toxic and toxic rest on them, while
+    grades above 0 and what they add to expected_severity are cut from the text's own telling words."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return out.select("doc_id", "expected_severity", "p_toxic", "grade", (F.col("p_toxic") >= REJECT).alias("toxic"))
+    held = (id_bucket(4) == 2).alias("held_out")
+    return out.select("doc_id", held, "expected_severity", "p_toxic", "grade", (F.col("p_toxic") >= REJECT).alias("toxic"))
