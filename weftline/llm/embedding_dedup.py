@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import materialize, read_table
+from weftline.llm.common import join_to_classes, materialize, read_table
 from weftline.llm.components import connected_components
 
 THRESHOLD = 0.95
-TILE, GRID_AXES, STAGES = 4096, 3, (16, 32)
+#: Vectors of a tile and their bytes, axes of the grid, leading axes that are summed before the others.
+TILE, TILE_BYTES, GRID_AXES, STAGES = 4096, 32 << 20, 3, (16, 32)
 #: Beside the commonest length, lengths get principal axes while their squares add up to no more; others keep the axes
 #: they came with, which gives the same links.
 AXES = 1 << 20
@@ -53,6 +54,16 @@ def _by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         yield dim, mine, np.frombuffer(b"".join([packed[k] for k in mine]), np.float64).reshape(-1, dim)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component to [0.5, 1), so no square over- or underflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
 def principal_axes(classes: DataFrame, dims: list[int]) -> dict[int, np.ndarray]:
     """By length the eigenvectors of the second moments of the unit vectors, largest first: dim * dim sums come to the driver."""
 
@@ -61,7 +72,7 @@ def principal_axes(classes: DataFrame, dims: list[int]) -> dict[int, np.ndarray]
         for batch in batches:
             for dim, _, x in _by_length(batch.column(0)):
                 if dim in dims:
-                    x = x / np.linalg.norm(x, axis=1)[:, None]
+                    x = unit(x)
                     total[dim] = total.get(dim, 0) + x.T @ x
         for dim, v in total.items():
             yield pa.RecordBatch.from_pydict({"dim": np.full(dim * dim, dim, np.int32), "at": np.arange(dim * dim, dtype=np.int32), "v": v.ravel()})
@@ -79,7 +90,7 @@ def principal_axes(classes: DataFrame, dims: list[int]) -> dict[int, np.ndarray]
 
 def turned(x: np.ndarray, axes: dict[int, np.ndarray]) -> np.ndarray:
     """Unit vectors on the axes of their length."""
-    x = x / np.linalg.norm(x, axis=1)[:, None]
+    x = unit(x)
     return x @ axes[x.shape[1]] if x.shape[1] in axes else x
 
 
@@ -137,7 +148,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Vectors that are null, zero or hold null or non-finite components link with
     nothing, others with vectors of their own length. Rows that repeat a
     vector link with each other; a row that repeats its id as well counts as
-    another vector of that component.
+    another vector of that component. A row without id counts as a vector, is
+    never a component's id, and is kept only where no row of its component has
+    one. Norms of any size are compared. Other columns are not read.
     """
     rows = vectors.select("vec_id", F.when(usable(), F.col("embedding").cast("array<double>")).alias("e"))
     sizes = rows.where("e IS NOT NULL").groupBy(F.size("e").alias("d")).count().orderBy(F.col("count").desc(), "d").limit(1000).collect()
@@ -151,7 +164,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     alone = rows.where("e IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not dims:
         return alone
-    grouped = materialize(rows.where("e IS NOT NULL").groupBy("e").agg(F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("n")), "vectors")
+    grouped = rows.where("e IS NOT NULL").groupBy("e").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    # Classes are numbered once, as they are written; ids may be null or repeat.
+    grouped = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "vectors")
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +190,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=["cid", "n", "x", "cell"])
 
     placed = materialize(classes.mapInArrow(place, "cid long, n long, x binary, cell long"), "placed")
-    cells = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    tiles = F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum(F.length("x")) / TILE_BYTES))
+    cells = placed.groupBy("cell").agg(tiles.alias("tiles"))
     placed = placed.join(cells, "cell").withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")))
     # Pairs of tiles: within a cell, and with half of the cells around, so that each pair of cells comes once.
     around = [sum(d * STRIDE ** (GRID_AXES - 1 - k) for k, d in enumerate(step)) for step in itertools.product((-1, 0, 1), repeat=GRID_AXES)]
@@ -194,7 +210,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         cid, n = table["cid"].to_numpy(), table["n"].to_numpy()
         raw = _matrix(table["x"], len(table["x"][0].as_py()) // 8)
         order = np.argsort(cid, kind="stable")
-        side, cid, n, raw = side[order], cid[order], n[order], raw[order]
+        side, cid, n, raw = side[order], cid[order], n[order], scaled(raw[order])
         unit = turned(raw, axes)
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         same = bool(table["same"][0].as_py()) and not len(b)
@@ -214,10 +230,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = materialize(first.union(second).groupBy("pair").applyInArrow(compare, "a long, b long, w long"), "near")
     counts = found.groupBy(F.col("a").alias("cid")).agg(F.sum("w").alias("w"))
     parts = connected_components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "cid")
-    classes = grouped.join(counts, "cid", "left").join(parts, "cid", "left")
-    classes = classes.select(F.col("e").alias("key"), (F.col("n") - 1 + F.coalesce("w", F.lit(0))).alias("n_links"), F.coalesce("component", "cid").alias("component_id"))
-    out = rows.where("e IS NOT NULL").join(classes, F.col("e") == F.col("key"))
-    out = out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    named = materialize(grouped.select("cid", "least").join(parts, "cid", "left").withColumn("root", F.coalesce("component", "cid")), "named")
+    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = grouped.join(counts, "cid", "left").join(named.select("cid", "root"), "cid").join(roots, "root")
+    classes = materialize(classes.select("e", "n", (F.col("n") - 1 + F.coalesce("w", F.lit(0))).alias("n_links"), "component_id"), "classes")
+    out = join_to_classes(rows.where("e IS NOT NULL"), classes, ["e"], "n", vectors.count())
+    out = out.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
     return out.unionByName(alone)
 
 
