@@ -29,18 +29,20 @@ class RuntimeConfig:
                 raise ValueError(f"{name} must be positive")
 
 
-def kafka_options(servers: str, protocol: str = "PLAINTEXT", mechanism: str = "", username: str = "", password: str = "") -> dict[str, str]:
-    """OP-13: reader and writer options; a partial SASL setting is an error."""
+def kafka_options(servers: str, protocol: str = "PLAINTEXT", mechanism: str = "", username: str = "", password: str = "", jaas: str = "") -> dict[str, str]:
+    """OP-13: reader and writer options; a partial SASL setting is an error. `jaas` is a whole JAAS setting and goes before user and password."""
     if protocol not in PROTOCOLS:
         raise ValueError(f"protocol must be one of {PROTOCOLS}")
     options = {"kafka.bootstrap.servers": servers, "kafka.security.protocol": protocol}
-    given = [bool(x) for x in (mechanism, username, password)]
+    given = [bool(x) for x in (mechanism, username, password, jaas)]
     if protocol == "PLAINTEXT":
         if any(given):
             raise ValueError("SASL settings need SASL_SSL")
         return options
-    if not all(given):
-        raise ValueError("SASL_SSL needs mechanism, username and password")
+    if not mechanism or bool(username) != bool(password) or not (password or jaas):
+        raise ValueError("SASL_SSL needs a mechanism, and username and password or a JAAS setting")
+    if jaas:
+        return options | {"kafka.sasl.mechanism": mechanism, "kafka.sasl.jaas.config": jaas}
     quoted = [x.replace("\\", "\\\\").replace('"', '\\"') for x in (username, password)]
     module = "org.apache.kafka.common.security.plain.PlainLoginModule" if mechanism == "PLAIN" else "org.apache.kafka.common.security.scram.ScramLoginModule"
     return options | {"kafka.sasl.mechanism": mechanism, "kafka.sasl.jaas.config": f'{module} required username="{quoted[0]}" password="{quoted[1]}";'}

@@ -48,14 +48,15 @@ def with_watermark(events: DataFrame, delay_ms: int = 5000) -> DataFrame:
 
     A running maximum over the arrival order, done by stretches of arrivals: the
     maximum of each stretch, a prefix maximum over that small table, and a
-    running maximum within a stretch. No task holds the whole order.
+    running maximum within a stretch. No task holds the whole order. Rows without
+    arrival come first.
     """
     rows = events.withColumn("__stretch", F.floor(F.col("arrival") / STRETCH))
     tops = rows.groupBy("__stretch").agg(F.max("event_time_ms").alias("__top"))
     before = Window.orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select("__stretch", F.max("__top").over(before).alias("__before"))
     inside = Window.partitionBy("__stretch").orderBy("arrival", "source_sequence").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(tops, "__stretch").withColumn("__max", F.greatest("__before", F.max("event_time_ms").over(inside)))
+    rows = rows.join(tops.withColumnRenamed("__stretch", "__of"), F.col("__stretch").eqNullSafe(F.col("__of"))).drop("__of").withColumn("__max", F.greatest("__before", F.max("event_time_ms").over(inside)))
     return rows.withColumn("watermark_ms", F.col("__max") - delay_ms).drop("__stretch", "__before", "__max")
 
 
@@ -111,14 +112,20 @@ def closed_windows(windows: DataFrame, events: DataFrame, delay_ms: int = 5000,
     return windows.join(F.broadcast(top), F.col("window_start_ms") + MINUTE <= F.col("__watermark")).drop("__watermark")
 
 
-def quality_events(events: DataFrame, unique: DataFrame) -> DataFrame:
-    """OP-40: invalid rows of every run, and late rows, which are unique. Observation time is the sink's to add."""
+def observed(rows: DataFrame, at_ms: Column | None = None) -> DataFrame:
+    """Add observed_at_ms, the whole second of observation unless given, and it as record_version."""
+    now = F.unix_timestamp() * 1000 if at_ms is None else at_ms
+    return rows.withColumn("observed_at_ms", now.cast("bigint")).withColumn("record_version", F.col("observed_at_ms"))
+
+
+def quality_events(events: DataFrame, unique: DataFrame, at_ms: Column | None = None) -> DataFrame:
+    """OP-40: invalid rows of every run, and late rows, which are unique, with their time of observation."""
     columns = ["event_id", "user_id", "item_id", "category_id", "behavior_type", "event_time_ms", "source_sequence", "replay_run_id"]
     invalid = classify(events).where("validation_reason IS NOT NULL").select(F.lit("INVALID").alias("quality_type"), *columns, F.col("validation_reason").alias("reason_code"))
     behind = late(unique).select(F.lit("LATE").alias("quality_type"), *columns, F.lit(LATE_REASON).alias("reason_code"))
     both = invalid.unionByName(behind)
     message = F.when(F.col("quality_type") == "LATE", LATE_MESSAGE).otherwise(INVALID_MESSAGE)
-    return both.withColumn("quality_event_id", sha_of("|", "quality_type", F.coalesce("event_id", F.lit("")), "replay_run_id", "source_sequence", "reason_code")).withColumn("reason_message", message)
+    return both.withColumn("quality_event_id", sha_of("|", "quality_type", F.coalesce("event_id", F.lit("")), "replay_run_id", "source_sequence", "reason_code")).withColumn("reason_message", message).transform(observed, at_ms)
 
 
 def quality_summary(quality: DataFrame) -> DataFrame:
@@ -144,14 +151,19 @@ def latest_cart(unique: DataFrame) -> DataFrame:
     return rows.groupBy("user_id", "item_id").agg(F.max_by(F.struct("category_id", "behavior_type", "event_time_ms", "source_sequence"), order).alias("r")).select("user_id", "item_id", "r.*")
 
 
+def mutation_columns() -> list[Column]:
+    buys, at = F.col("behavior_type") == "buy", F.col("event_time_ms")
+    added = F.when(buys, F.lit(0).cast("bigint")).otherwise(at).alias("added_at_ms")
+    return [F.when(buys, "DELETE").otherwise("UPSERT").alias("operation"), F.col("user_id"), F.col("item_id"), F.col("category_id"), added, at.alias("last_updated_at_ms")]
+
+
 def cart_mutations(latest: DataFrame) -> DataFrame:
     """OP-24."""
-    buys = F.col("behavior_type") == "buy"
-    return latest.select(F.when(buys, "DELETE").otherwise("UPSERT").alias("operation"), "user_id", "item_id", "category_id", F.when(buys, F.lit(0).cast("bigint")).otherwise(F.col("event_time_ms")).alias("added_at_ms"), F.col("event_time_ms").alias("last_updated_at_ms"))
+    return latest.select(*mutation_columns())
 
 
 def latest_version(rows: DataFrame, keys: list[str], version: str, tie: str | None = None) -> DataFrame:
-    """OP-17: the greatest version of each key, the last ingested at a tie; one aggregate, combined before the shuffle."""
+    """OP-17: the greatest version of each key, null least, the last ingested at a tie; one aggregate, combined before the shuffle."""
     rest = [c for c in rows.columns if c not in keys]
-    order = F.struct(version, tie) if tie else F.col(version)
+    order = F.struct(F.col(version).isNotNull(), version, *[F.col(tie).isNotNull(), F.col(tie)] if tie else [])
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")

@@ -2,41 +2,63 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.scalar import catalog_price
 from weftline.operators.events import latest_version
 
-#: Catalogs up to so many rows are broadcast; larger ones meet the metrics in a shuffle.
-BROADCAST_ROWS = 500_000
 # Fixed value: the manifest's name for the rule of `dominant_category`.
 CATEGORY_POLICY = "most_frequent_then_lowest_category_id"
 CATALOG_CONTENT = ("category_id", "product_name", "price", "is_active", "updated_at")
 
 
-def active_cart(mutations: DataFrame, ttl_seconds: int = 604_800, upserts: DataFrame | None = None) -> DataFrame:
-    """OP-18, 38: items in each user's cart.
+def cart_sessions(upserts: DataFrame, ttl_seconds: int) -> DataFrame:
+    """(user_id, since_ms, expires_at_ms) of each user's last cart, from all UPSERTs (user_id, last_updated_at_ms).
+
+    An UPSERT after the expiry of what was there starts a new cart. Only gaps of
+    the TTL or more count, so times are combined by stretches of it before they
+    are ordered: a user has one row per stretch, not one per UPSERT.
+    """
+    ttl = ttl_seconds * 1000
+    at = F.col("last_updated_at_ms")
+    spans = upserts.groupBy("user_id", F.floor(at / ttl).alias("stretch")).agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    before = F.lag("last").over(Window.partitionBy("user_id").orderBy("stretch"))
+    starts = spans.withColumn("start", F.when(before.isNull() | (F.col("first") - before >= ttl), F.col("first")))
+    return starts.groupBy("user_id").agg(F.max("start").alias("since_ms"), (F.max("last") + ttl).alias("expires_at_ms"))
+
+
+def active_cart(mutations: DataFrame, upserts: DataFrame, ttl_seconds: int = 604_800) -> DataFrame:
+    """OP-18, 38: items in each user's cart, from the last mutation of each item.
 
     A user's last UPSERT sets the expiry of the whole cart, a DELETE doesn't;
-    `upserts` (user_id, last_updated_at_ms) has those of items that are gone too.
+    `upserts` (user_id, last_updated_at_ms) has all of them, those of items that
+    are gone too. Items of a cart that had expired before are not in it.
     """
     if ttl_seconds <= 0:
         raise ValueError("ttl_seconds must be positive")
     known = F.when(~F.col("operation").isin("UPSERT", "DELETE"), F.raise_error(F.lit("unknown cart operation"))).otherwise(F.col("operation"))
     rows = mutations.withColumn("operation", known).where("operation = 'UPSERT'")
-    expiry = (rows if upserts is None else upserts).groupBy("user_id").agg((F.max("last_updated_at_ms") + ttl_seconds * 1000).alias("expires_at_ms"))
-    return rows.join(expiry, "user_id").select("user_id", "item_id", "category_id", "added_at_ms", "last_updated_at_ms", "expires_at_ms", F.concat_ws("|", "category_id", "added_at_ms", "last_updated_at_ms").alias("value"))
+    live = rows.join(cart_sessions(upserts, ttl_seconds), "user_id").where("last_updated_at_ms >= since_ms")
+    value = F.concat_ws("|", "category_id", "added_at_ms", "last_updated_at_ms").alias("value")
+    return live.select("user_id", "item_id", "category_id", "added_at_ms", "last_updated_at_ms", "expires_at_ms", value)
 
 
 def feature_contract() -> Column:
-    """OP-19: the first broken rule of a feature snapshot, or null."""
+    """OP-19: the first broken rule of a feature snapshot, or null; a missing value breaks the rule that reads it."""
     counts = ("pv_count", "cart_count", "fav_count", "buy_count")
+    broken = lambda fine: ~F.coalesce(fine, F.lit(False))
+    some = lambda x: F.coalesce(F.col(x) >= 0, F.lit(False))
+    whole = some("event_count") & some("distinct_items")
+    for c in counts:
+        whole = whole & some(c)
     return (
-        F.when(F.col("user_id") <= 0, "user_id")
-        .when(F.col("feature_version") <= 0, "feature_version")
-        .when(F.col("feature_id").isNull() | (F.length(F.trim("feature_id")) == 0), "feature_id")
-        .when(F.least("event_count", "distinct_items", *counts) < 0, "counts")
+        F.when(broken(F.col("user_id") > 0), "user_id")
+        .when(broken(F.col("feature_version") > 0), "feature_version")
+        .when(broken(F.length(F.trim("feature_id")) > 0), "feature_id")
+        .when(~whole, "counts")
         .when(F.col("event_count") != sum((F.col(c) for c in counts), F.lit(0)), "event_count")
         .when(F.col("distinct_items") > F.col("event_count"), "distinct_items")
     )
@@ -96,11 +118,20 @@ def canonical_snapshot(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def write_catalog(catalog: DataFrame, path: str, expected: int) -> None:
-    """OP-12: replace the catalog as a whole, then compare its count with the manifest's."""
-    catalog.orderBy("product_id").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    found = catalog.sparkSession.read.option("header", True).csv(path).count()
-    if found != expected:
-        raise ValueError(f"{found} rows loaded, {expected} expected")
+    """OP-12: load into a staging folder, compare its count with the manifest's, and only then take the old catalog's place."""
+    spark, stage = catalog.sparkSession, f"{path.rstrip('/')}.stage-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(stage).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        catalog.orderBy("product_id").coalesce(1).write.option("header", True).csv(stage)
+        found = spark.read.option("header", True).csv(stage).count()
+        if found != expected:
+            raise ValueError(f"{found} rows loaded, {expected} expected")
+        files.delete(hadoop(path), True)
+        if not files.rename(hadoop(stage), hadoop(path)):
+            raise OSError(f"{stage} could not be moved to {path}")
+    finally:
+        files.delete(hadoop(stage), True)
 
 
 def catalog_constraint() -> Column:
@@ -143,26 +174,37 @@ def current_catalog(changes: DataFrame) -> DataFrame:
     return latest_version(changes, ["product_id"], "catalog_version", "change_sequence")
 
 
-def trending(metrics: DataFrame, catalog: DataFrame, as_of_ms: int, minutes: int = 15, limit: int = 20) -> DataFrame:
-    """OP-25, 26, 29, 37, 60: top products of [as_of - minutes, as_of) by the catalog as it is now."""
-    if not 1 <= minutes <= 1440 or as_of_ms < 0:
-        raise ValueError("minutes must be in 1..1440 and as_of_ms not negative")
-    recent = metrics.where((F.col("window_start_ms") >= as_of_ms - minutes * 60_000) & (F.col("window_start_ms") < as_of_ms))
+def trending(metrics: DataFrame, catalog: DataFrame, as_of: int | DataFrame | None = None, minutes: int = 15, limit: int = 20) -> DataFrame:
+    """OP-25, 26, 29, 37, 60: top products of [as_of - minutes, as_of) by the catalog as it is now.
+
+    `as_of` is a time in ms, a table with one row (as_of_ms), or now.
+    """
+    if not 1 <= minutes <= 1440 or (isinstance(as_of, int) and as_of < 0):
+        raise ValueError("minutes must be in 1..1440 and as_of not negative")
+    start = F.col("window_start_ms")
+    if isinstance(as_of, DataFrame):
+        clock = F.broadcast(as_of.select("as_of_ms"))  # one row
+        recent = metrics.join(clock, (start >= F.col("as_of_ms") - minutes * 60_000) & (start < F.col("as_of_ms")))
+    else:
+        end = F.unix_millis(F.current_timestamp()) if as_of is None else F.lit(as_of)
+        recent = metrics.where((start >= end - minutes * 60_000) & (start < end))
     sums = recent.groupBy("item_id").agg(F.sum("pv_count").alias("views"), F.sum("cart_count").alias("carts"), F.sum("buy_count").alias("purchases"))
     active = catalog.where("is_active").select("product_id", "product_name", F.col("price").cast("double").alias("current_price"))
-    few = active.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    out = sums.join(F.broadcast(active) if few else active, F.col("item_id") == F.col("product_id"))
+    # No hint: the optimizer broadcasts a side once its size is known.
+    out = sums.join(active, F.col("item_id") == F.col("product_id"))
     out = out.select("product_id", "product_name", "current_price", "views", "carts", "purchases")
     return out.orderBy(F.desc("purchases"), F.desc("carts"), F.desc("views"), "product_id").limit(limit)
 
 
-def user_cart(cart: DataFrame, user_id: int, now_ms: int) -> DataFrame:
-    """OP-58: a user's items by number, with the seconds left."""
+def user_cart(spark: SparkSession, cart: DataFrame, user_id: int, now_ms: int) -> DataFrame:
+    """OP-58: a user's items by number, with the seconds left; where there is no cart, one row without an item and -2."""
     if user_id <= 0:
         raise ValueError("user_id must be positive")
+    asked = spark.range(user_id, user_id + 1).select(F.col("id").alias("user_id"))
     rows = cart.where((F.col("user_id") == user_id) & (F.col("expires_at_ms") > now_ms))
-    left = F.floor((F.col("expires_at_ms") - now_ms) / 1000).cast("bigint")
-    return rows.select("user_id", F.col("item_id").alias("product_id"), "category_id", F.col("added_at_ms").alias("added_at"), F.col("last_updated_at_ms").alias("last_updated_at"), left.alias("ttl_seconds")).orderBy("product_id")
+    left = F.coalesce(F.floor((F.col("expires_at_ms") - now_ms) / 1000).cast("bigint"), F.lit(-2).cast("bigint"))
+    found = asked.join(rows, "user_id", "left")
+    return found.select("user_id", F.col("item_id").alias("product_id"), "category_id", F.col("added_at_ms").alias("added_at"), F.col("last_updated_at_ms").alias("last_updated_at"), left.alias("ttl_seconds")).orderBy("product_id")
 
 
 def user_feature_lookup(spark: SparkSession, features: DataFrame, user_id: int, now_ms: int) -> DataFrame:

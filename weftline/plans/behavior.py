@@ -59,7 +59,7 @@ features AS (
          window_start_ms + 60000 AS feature_version, window_start_ms + 60000 AS record_version
   FROM ontime GROUP BY ALL)),
 quality AS (
-  SELECT *, sha256(quality_type || '|' || coalesce(event_id, '') || '|' || replay_run_id || '|' || source_sequence || '|' || reason_code) AS quality_event_id FROM (
+  SELECT *, event_time_ms + 7 AS observed_at_ms, event_time_ms + 7 AS record_version, sha256(quality_type || '|' || coalesce(event_id, '') || '|' || replay_run_id || '|' || source_sequence || '|' || reason_code) AS quality_event_id FROM (
   SELECT 'INVALID' AS quality_type, event_id, user_id, item_id, category_id, behavior_type, event_time_ms, source_sequence, replay_run_id, validation_reason AS reason_code, 'event failed the source-faithful semantic contract' AS reason_message FROM cls WHERE validation_reason IS NOT NULL
   UNION ALL
   SELECT 'LATE', event_id, user_id, item_id, category_id, behavior_type, event_time_ms, source_sequence, replay_run_id, 'LATE_FOR_AGGREGATION', 'event_time is at or behind the current watermark' FROM uniq WHERE is_late)),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.config import RuntimeConfig
 from weftline.operators import events as E
 from weftline.operators import serving as S
 from weftline.plans.behavior import ORACLE, replayed, source_events
@@ -16,7 +20,7 @@ from weftline.sources import ingest
 from weftline.streaming import pipeline as P
 
 Query = Callable[[SparkSession, str], DataFrame]
-AS_OF, MINUTES = "(SELECT max(window_start_ms) + 60000 FROM metrics)", 1440
+MINUTES, SHORT_TTL = 1440, 3600
 
 
 def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,17 +37,20 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = replayed(spark, sf_dir)
-    return E.quality_events(rows, E.accepted(rows))
+    return E.quality_events(rows, E.accepted(rows), F.col("event_time_ms") + 7)
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.parse_rows(_raw_rows(spark, sf_dir), "a")
+
+
+def _raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as CSV rows, some with blanks, a word for a number, or a column short."""
     rows = source_events(spark, sf_dir)
     seq = F.col("source_sequence")
     user = F.when(seq % 13 == 0, F.concat(F.lit(" "), F.col("user_id"), F.lit(" "))).when(seq % 29 == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
     values = F.array(user, F.col("item_id").cast("string"), F.col("category_id").cast("string"), F.col("behavior_type"), (F.col("event_time_ms") / 1000).cast("bigint").cast("string"))
-    raw = rows.select("source_sequence", F.when(seq % 31 == 0, F.slice(values, 1, 4)).otherwise(values).alias("raw_values"))
-    return ingest.parse_rows(raw, "a")
+    return rows.select("source_sequence", F.when(seq % 31 == 0, F.slice(values, 1, 4)).otherwise(values).alias("raw_values"))
 
 
 def _ingress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,19 +77,18 @@ def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _trending(spark: SparkSession, sf_dir: str, minutes: int = MINUTES) -> DataFrame:
     metrics = _metrics(spark, sf_dir)
-    as_of = source_events(spark, sf_dir).agg(F.max("event_time_ms")).first()[0]
-    as_of = (as_of // 60_000 + 1) * 60_000
+    as_of = source_events(spark, sf_dir).agg(((F.floor(F.max("event_time_ms") / 60_000) + 1) * 60_000).alias("as_of_ms"))
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     catalog = part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_retailprice").alias("price"), (F.col("p_size") % 5 != 0).alias("is_active"))
-    return S.trending(metrics, catalog, as_of, MINUTES)
+    return S.trending(metrics, catalog, as_of, minutes)
 
 
-def _cart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cart(spark: SparkSession, sf_dir: str, ttl_seconds: int = 604_800) -> DataFrame:
     unique = _unique(spark, sf_dir)
     carts = unique.where("behavior_type = 'cart'").select("user_id", F.col("event_time_ms").alias("last_updated_at_ms"))
-    return S.active_cart(E.cart_mutations(E.latest_cart(unique)), upserts=carts)
+    return S.active_cart(E.cart_mutations(E.latest_cart(unique)), carts, ttl_seconds)
 
 
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,19 +97,110 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.latest_version(twice, ["window_start_ms", "item_id", "source_category_id"], "record_version", "ingest_sequence")
 
 
-def _streamed(spark: SparkSession, sf_dir: str, what: Callable[[DataFrame], DataFrame], sink: str) -> DataFrame:
-    """Write the events in order of arrival as a log, run the stream over it to its end, and read what it wrote."""
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    found = tempfile.mkdtemp(prefix="weftline-")
+    atexit.register(shutil.rmtree, found, True)
+    return found
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder in spark.checkpoint.dir; in local mode one of our own where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = _own_dir()
+    return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def _log(rows: DataFrame, path: str) -> None:
+    """The events in order of arrival as a log of four files."""
+    rows.select(*[c.split()[0] for c in P.EVENT.split(", ")]).repartitionByRange(4, "arrival").sortWithinPartitions("arrival").write.mode("append").parquet(path)
+
+
+CART_KEYS, CART_VERSION = ["user_id", "item_id"], ["event_time_ms", "source_sequence"]
+
+
+def _streamed(spark: SparkSession, sf_dir: str, what: Callable[[DataFrame], DataFrame], version: list[str] | None = None) -> DataFrame:
+    """Run a stream over the log to its end and read what it wrote: an append log, or the newest of each cart key by `version`."""
     spark.conf.set(*P.STATE_CONF)
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-")
-    root = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
-    log = replayed(spark, sf_dir).select(*[c.split()[0] for c in P.EVENT.split(", ")])
-    log.repartitionByRange(4, "arrival").sortWithinPartitions("arrival").write.parquet(f"{root}/log")
+    root = scratch(spark, "stream")
+    _log(replayed(spark, sf_dir), f"{root}/log")
     stream = what(P.classified_stream(P.event_stream(spark, f"{root}/log")))
-    if sink == "append":
+    if version is None:
         P.append_to(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
         return spark.read.schema(stream.schema).parquet(f"{root}/out")
-    P.upsert_to(stream, f"{root}/out", f"{root}/checkpoint", ["user_id", "item_id"], ["event_time_ms", "source_sequence"]).awaitTermination()
-    return P.read_upserts(spark, f"{root}/out", ["user_id", "item_id"], ["event_time_ms", "source_sequence"])
+    P.upsert_to(stream, f"{root}/out", f"{root}/checkpoint", CART_KEYS, version).awaitTermination()
+    return P.read_upserts(spark, f"{root}/out", CART_KEYS, version)
+
+
+def _fanned_out(spark: SparkSession, sf_dir: str, parts: int, sink: str) -> DataFrame:
+    """OP-48, 49: the job over the log in `parts` runs, each from the checkpoint of the one before."""
+    spark.conf.set(*P.STATE_CONF)
+    root, rows = scratch(spark, "job"), replayed(spark, sf_dir)
+    config = RuntimeConfig(f"{root}/checkpoint")
+    for k in range(parts):
+        _log(rows.where(F.col("replay_run_id") == "ab"[k]) if parts == 2 else rows, f"{root}/log")
+        P.run_job(spark, f"{root}/log", f"{root}/out", config).awaitTermination()
+    return spark.read.parquet(f"{root}/out/{sink}").drop("batch")
+
+
+def _shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two shards of one run, 100 hours apart."""
+    rows = replayed(spark, sf_dir).where("replay_run_id = 'a'")
+    return rows.withColumn("event_time_ms", F.col("event_time_ms") + F.when(F.col("user_id") % 2 == 1, 360_000_000).otherwise(0))
+
+
+def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set(*P.STATE_CONF)
+    root = scratch(spark, "shards")
+    rows = _shard_rows(spark, sf_dir)
+    last = rows.agg(F.max("arrival")).first()[0] or 0
+    for k in range(3):  # files one after the other, each a batch
+        part = rows.where(F.floor(F.col("arrival") * 3 / (last + 1)) == k)
+        part.select(*[c.split()[0] for c in P.EVENT.split(", ")]).coalesce(1).sortWithinPartitions("arrival").write.mode("append").parquet(f"{root}/log")
+    rows = P.classified_stream(P.event_stream(spark, f"{root}/log", 1), shard=F.col("user_id") % 2)
+    P.shard_metrics_to(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out/out").drop("batch")
+
+
+def _csv(spark: SparkSession, sf_dir: str) -> str:
+    """The raw rows of `_parsed` as five CSV files, the first with a header."""
+    root, rows = scratch(spark, "csv"), _raw_rows(spark, sf_dir)
+    lines = rows.select("source_sequence", F.concat_ws(",", "raw_values").alias("line"))
+    head = spark.range(1).select(F.lit(-1).cast("bigint").alias("source_sequence"), F.lit(",".join(ingest.CSV_COLUMNS)).alias("line"))
+    lines.union(head).repartitionByRange(5, "source_sequence").sortWithinPartitions("source_sequence").select("line").write.text(root)
+    return root
+
+
+def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.csv_rows(spark, _csv(spark, sf_dir)).select("source_sequence", F.concat_ws(",", "raw_values").alias("line"))
+
+
+def _replay_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _csv(spark, sf_dir)
+    parsed = ingest.parse_rows(ingest.csv_rows(spark, source), "a")
+    ingest.write_replay(parsed, source, f"{source}-out", f"{source}-rejects")
+    bad = spark.read.schema("source_sequence long, raw_values array<string>, reason string").json(f"{source}-rejects")
+    good = spark.read.schema("event_id string, source_sequence long").json(f"{source}-out")
+    return good.select("source_sequence", "event_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("source_sequence", F.lit(None).cast("string").alias("event_id"), "reason"))
+
+
+def _catalog_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, catalog = scratch(spark, "catalog"), S.generate_catalog(_catalog_rows(spark, sf_dir))
+    S.write_catalog(catalog, path, S.catalog_coverage(S.category_observations(_catalog_rows(spark, sf_dir))).first()["unique_products"])
+    return spark.read.option("header", True).schema(catalog.schema).csv(path)
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries of each metric, the newest not the last, one without a version; some keys have only such."""
+    key = F.col("item_id") % 7
+    n = F.explode(F.array(*[F.struct(F.lit(k).alias("ingest_sequence"), F.lit(v).cast("bigint").alias("step")) for k, v in ((1, 1), (2, 2), (3, 0), (4, None))]))
+    rows = _metrics(spark, sf_dir).select("window_start_ms", "item_id", "source_category_id", "pv_count", "record_version", n.alias("d"))
+    version = F.when(key != 3, F.col("record_version") + F.col("d.step"))
+    rows = rows.withColumn("pv_count", F.col("pv_count") + F.col("d.ingest_sequence")).withColumn("record_version", version)
+    return E.latest_version(rows.withColumn("ingest_sequence", F.col("d.ingest_sequence")).drop("d"), ["window_start_ms", "item_id", "source_category_id"], "record_version", "ingest_sequence")
 
 
 def _messages(rows: DataFrame, kind: str) -> DataFrame:
@@ -122,7 +219,7 @@ def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = changes.select("op", image.alias("value"))
     log = log.unionByName(log.where("op = 'd'").select("op", F.lit(None).cast("string").alias("value")))
     read = ingest.cdc_changes(log, changes.drop("op").select(*names).schema.simpleString())
-    return S.version_guard(read).groupBy("decision").agg(F.count(F.lit(1)).alias("changes"), F.sum("price").cast("double").alias("prices"))
+    return S.version_guard(read).select("product_id", "change_sequence", "op", "price", "is_active", "catalog_version", "decision")
 
 
 def _constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +245,7 @@ def _first_user(rows: DataFrame) -> tuple[int, int]:
 
 def _user_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
     cart = _cart(spark, sf_dir)
-    return S.user_cart(cart, *_first_user(cart))
+    return S.user_cart(spark, cart, *_first_user(cart))
 
 
 def _user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +293,7 @@ def queries() -> dict[str, Query]:
         "messages_raw": lambda s, d: _messages(E.raw_projection(_unique(s, d)), "raw"),
         "messages_metrics": lambda s, d: _messages(_metrics(s, d), "metrics"),
         "messages_features": lambda s, d: _messages(_features(s, d), "features"),
-        "messages_quality": lambda s, d: _messages(_quality(s, d).withColumn("observed_at_ms", F.col("event_time_ms") + 7).withColumn("record_version", F.col("event_time_ms")), "quality"),
+        "messages_quality": lambda s, d: _messages(_quality(s, d), "quality"),
         "messages_catalog": lambda s, d: _messages(S.generate_catalog(_catalog_rows(s, d)), "catalog"),
         "catalog_manifest": _manifest,
         "catalog_constraints": _constraints,
@@ -207,11 +304,26 @@ def queries() -> dict[str, Query]:
         "serving_keys": lambda s, d: _features(s, d).select("user_id").distinct().select("user_id", S.serving_key("cart", F.col("user_id")).alias("cart_key"), S.serving_key("features", F.col("user_id")).alias("feature_key")),
         "replay_schedule": lambda s, d: ingest.replay_schedule(source_events(s, d), 4.0).select("source_sequence", "due_ms"),
         "producer_rows": lambda s, d: ingest.kafka_rows(source_events(s, d).select("user_id", "source_sequence")),
-        "stream_user_features": lambda s, d: _streamed(s, d, P.stream_user_features, "append"),
-        "stream_quality": lambda s, d: _streamed(s, d, P.stream_quality, "append"),
-        "stream_accepted": lambda s, d: _streamed(s, d, lambda x: x.where("status IN ('ON_TIME', 'LATE')"), "append").select(*EVENT_COLUMNS, "status"),
-        "stream_item_metrics": lambda s, d: _streamed(s, d, P.stream_item_metrics, "append"),
-        "stream_cart_latest": lambda s, d: _streamed(s, d, P.stream_cart, "upsert"),
+        "stream_user_features": lambda s, d: _streamed(s, d, P.stream_user_features),
+        "stream_quality": lambda s, d: _streamed(s, d, lambda x: P.stream_quality(x, F.col("event_time_ms") + 7)),
+        "stream_accepted": lambda s, d: _streamed(s, d, lambda x: x.where("status IN ('ON_TIME', 'LATE')")).select(*EVENT_COLUMNS, "status"),
+        "stream_item_metrics": lambda s, d: _streamed(s, d, P.stream_item_metrics),
+        "stream_cart_latest": lambda s, d: _streamed(s, d, P.stream_cart, CART_VERSION),
+        "stream_cart_mutations": lambda s, d: _streamed(s, d, P.stream_cart_mutations, ["last_updated_at_ms", "source_sequence"]).drop("source_sequence"),
+        "stream_sharded_metrics": _sharded,
+        "stream_fan_out_raw": lambda s, d: _fanned_out(s, d, 1, "raw"),
+        "stream_restarted_raw": lambda s, d: _fanned_out(s, d, 2, "raw"),
+        "csv_scan": _csv_scan,
+        "csv_batches": lambda s, d: ingest.batch_numbers(_raw_rows(s, d).select("source_sequence")).groupBy("batch").agg(F.count(F.lit(1)).alias("source_rows")),
+        "replay_output": _replay_output,
+        "replay_stats": lambda s, d: ingest.replay_stats(_parsed(s, d)),
+        "catalog_loaded": _catalog_loaded,
+        "latest_of_versions": _versions,
+        "active_cart_short_ttl": lambda s, d: _cart(s, d, SHORT_TTL),
+        "trending_of_quarter_hour": lambda s, d: _trending(s, d, 15),
+        "absent_cart_lookup": lambda s, d: S.user_cart(s, _cart(s, d), 10**15, 0).select("user_id", "ttl_seconds"),
+        "absent_feature_lookup": lambda s, d: S.user_feature_lookup(s, S.online_features(_features(s, d)), 10**15, 0).select("user_id", "available", "ttl_seconds"),
+        "snapshot_order": lambda s, d: S.canonical_snapshot(_metrics(s, d), "metrics").select("window_start", "item_id", "source_category_id", "unique_users"),
     }
 
 
@@ -233,6 +345,43 @@ _PRICE = "((product_id % 50000 + 100)::DECIMAL(12,2) / 100)::DECIMAL(12,2)"
 _CLOSED = "window_start_ms + 60000 <= (SELECT max(event_time_ms) - 5000 FROM ev)"
 
 
+_MUTATIONS = "SELECT CASE behavior_type WHEN 'buy' THEN 'DELETE' ELSE 'UPSERT' END AS operation, user_id, item_id, category_id, CASE behavior_type WHEN 'buy' THEN 0 ELSE event_time_ms END AS added_at_ms, event_time_ms AS last_updated_at_ms FROM cart"
+_VALUES = "CASE WHEN source_sequence % 13 = 0 THEN ' ' || user_id || ' ' WHEN source_sequence % 29 = 0 THEN 'x' ELSE user_id::VARCHAR END || ',' || item_id || ',' || category_id || ',' || behavior_type"
+_LINE = f"{_VALUES} || CASE WHEN source_sequence % 31 = 0 THEN '' ELSE ',' || (event_time_ms // 1000) END"
+_REJECTED = ", rejected AS (SELECT *, CASE WHEN source_sequence % 31 = 0 THEN 'COLUMN_COUNT' WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN 'NOT_AN_INTEGER' WHEN behavior_type NOT IN ('pv', 'cart', 'fav', 'buy') THEN 'BEHAVIOR_TYPE' END AS reason FROM src)"
+_SHARDED_SQL = """
+, two AS (SELECT * EXCLUDE (event_time_ms), event_time_ms + CASE WHEN user_id % 2 = 1 THEN 360000000 ELSE 0 END AS event_time_ms FROM ev WHERE replay_run_id = 'a'),
+timed AS (
+  SELECT *, max(event_time_ms) OVER (PARTITION BY user_id % 2 ORDER BY arrival, source_sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000 AS watermark_ms FROM two),
+counted AS (
+  SELECT *, event_time_ms - event_time_ms % 60000 AS window_start_ms FROM timed
+  WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id > 0 AND item_id > 0 AND category_id > 0 AND event_time_ms > 0 AND NOT coalesce(event_time_ms <= watermark_ms, false))
+SELECT window_start_ms, item_id, category_id AS source_category_id, count(*) FILTER (behavior_type = 'pv') AS pv_count, count(*) FILTER (behavior_type = 'cart') AS cart_count,
+       count(*) FILTER (behavior_type = 'fav') AS fav_count, count(*) FILTER (behavior_type = 'buy') AS buy_count, count(DISTINCT user_id) AS unique_users, min(replay_run_id) AS replay_run_id, window_start_ms + 60000 AS record_version
+FROM counted WHERE window_start_ms + 60000 <= (SELECT min(top) FROM (SELECT max(event_time_ms) AS top FROM two GROUP BY user_id % 2)) - 5000
+GROUP BY window_start_ms, item_id, category_id
+"""
+
+
+def _cart_sql(ttl: int) -> str:
+    return f"""
+, gaps AS (
+  SELECT user_id, event_time_ms, event_time_ms - lag(event_time_ms) OVER (PARTITION BY user_id ORDER BY event_time_ms, source_sequence) AS gap FROM uniq WHERE behavior_type = 'cart'),
+sessions AS (SELECT user_id, max(event_time_ms) FILTER (gap IS NULL OR gap >= {ttl * 1000}) AS since, max(event_time_ms) AS last FROM gaps GROUP BY 1)
+SELECT c.user_id, item_id, category_id, event_time_ms AS added_at_ms, event_time_ms AS last_updated_at_ms, last + {ttl * 1000} AS expires_at_ms, category_id || '|' || event_time_ms || '|' || event_time_ms AS value
+FROM cart c JOIN sessions s ON c.user_id = s.user_id WHERE behavior_type = 'cart' AND event_time_ms >= since
+"""
+
+
+def _trending_sql(minutes: int) -> str:
+    return f"""
+, clock AS (SELECT (max(event_time_ms) // 60000 + 1) * 60000 AS t FROM src)
+SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS current_price, sum(pv_count)::BIGINT AS views, sum(cart_count)::BIGINT AS carts, sum(buy_count)::BIGINT AS purchases
+FROM metrics JOIN part ON item_id = p_partkey, clock WHERE p_size % 5 <> 0 AND window_start_ms >= t - {minutes} * 60000 AND window_start_ms < t
+GROUP BY 1, 2, 3 ORDER BY purchases DESC, carts DESC, views DESC, product_id LIMIT 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(EVENT_COLUMNS)
     shown = "window_start_ms, item_id, source_category_id, pv_count, cart_count, fav_count, buy_count, unique_users, replay_run_id, record_version"
@@ -251,8 +400,9 @@ def oracle_sql() -> dict[str, str]:
         "quality_summary": "SELECT quality_type, count(*) AS events FROM quality GROUP BY 1",
         "accounting": "SELECT d AS source_rows, d AS decoded, 0::BIGINT AS producer_rejected, i AS invalid, d - i AS valid, a AS accepted_unique, d - i - a AS duplicate, l AS late, a - l AS on_time FROM (SELECT (SELECT count(*) FROM cls) AS d, (SELECT count(*) FROM cls WHERE validation_reason IS NOT NULL) AS i, (SELECT count(*) FROM uniq) AS a, (SELECT count(*) FROM uniq WHERE is_late) AS l)",
         "cart_latest": "SELECT * FROM cart",
-        "cart_mutations": "SELECT CASE behavior_type WHEN 'buy' THEN 'DELETE' ELSE 'UPSERT' END AS operation, user_id, item_id, category_id, CASE behavior_type WHEN 'buy' THEN 0 ELSE event_time_ms END AS added_at_ms, event_time_ms AS last_updated_at_ms FROM cart",
-        "active_cart": "SELECT user_id, item_id, category_id, event_time_ms AS added_at_ms, event_time_ms AS last_updated_at_ms, (SELECT max(event_time_ms) FROM uniq u WHERE u.user_id = cart.user_id AND u.behavior_type = 'cart') + 604800000 AS expires_at_ms, category_id || '|' || event_time_ms || '|' || event_time_ms AS value FROM cart WHERE behavior_type = 'cart'",
+        "cart_mutations": _MUTATIONS,
+        "active_cart": _cart_sql(604_800),
+        "active_cart_short_ttl": _cart_sql(SHORT_TTL),
         "features_online": "SELECT user_id, feature_id, window_start, window_end, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_version, feature_version + 86400000 AS expires_at_ms FROM features QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY feature_version DESC) = 1",
         "canonical_latest_version": "SELECT * EXCLUDE (replay_run_id), 2 AS ingest_sequence FROM metrics",
         "catalog_categories": f"{_CATALOG} SELECT * FROM dominant",
@@ -261,17 +411,18 @@ def oracle_sql() -> dict[str, str]:
         "catalog_price_rule": f"SELECT product_id, {_PRICE} AS price FROM (SELECT p_partkey AS product_id FROM part)",
         "catalog_version_guard": f"{_PARTS} SELECT product_id, change_sequence, decision FROM decided",
         "catalog_current": f"{_PARTS} SELECT product_id, change_sequence, category_id, product_name, price, is_active, updated_at, catalog_version FROM decided WHERE decision = 'ACCEPT' QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY catalog_version DESC, change_sequence DESC) = 1",
-        "trending": f", clock AS (SELECT (max(event_time_ms) // 60000 + 1) * 60000 AS t FROM src) SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS current_price, sum(pv_count)::BIGINT AS views, sum(cart_count)::BIGINT AS carts, sum(buy_count)::BIGINT AS purchases FROM metrics JOIN part ON item_id = p_partkey, clock WHERE p_size % 5 <> 0 AND window_start_ms >= t - {MINUTES} * 60000 AND window_start_ms < t GROUP BY 1, 2, 3 ORDER BY purchases DESC, carts DESC, views DESC, product_id LIMIT 20",
+        "trending": _trending_sql(MINUTES),
+        "trending_of_quarter_hour": _trending_sql(15),
         "ingest_parse": "SELECT source_sequence, CASE WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN NULL ELSE user_id END AS user_id, item_id, category_id, CASE WHEN source_sequence % 31 = 0 THEN NULL ELSE event_time_ms END AS event_time_ms, CASE WHEN source_sequence % 31 = 0 THEN 'COLUMN_COUNT' WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN 'NOT_AN_INTEGER' WHEN behavior_type NOT IN ('pv', 'cart', 'fav', 'buy') THEN 'BEHAVIOR_TYPE' END AS reason FROM src",
         "ingress_validate": "SELECT source_sequence, CASE WHEN source_sequence % 7 = 0 OR source_sequence % 11 = 0 THEN 422 ELSE 202 END AS status FROM src",
         "messages_raw": f"SELECT {columns.replace('event_time_ms, ', '')}, replay_run_id, event_time_ms AS record_version, event_time_ms FROM uniq",
         "messages_metrics": "SELECT * EXCLUDE (window_start) FROM metrics",
         "messages_features": "SELECT feature_id, window_start_ms, window_start_ms + 60000 AS window_end_ms, user_id, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_version, record_version FROM features",
-        "messages_quality": "SELECT quality_event_id, quality_type, event_id, user_id, item_id, category_id, behavior_type, event_time_ms AS event_time, replay_run_id, source_sequence, reason_code, reason_message, event_time_ms + 7 AS observed_at_ms, event_time_ms AS record_version FROM quality",
+        "messages_quality": "SELECT quality_event_id, quality_type, event_id, user_id, item_id, category_id, behavior_type, event_time_ms AS event_time, replay_run_id, source_sequence, reason_code, reason_message, observed_at_ms, record_version FROM quality",
         "messages_catalog": f"{_CATALOG} SELECT product_id, category_id, 'Synthetic product ' || product_id AS product_name, {_PRICE} AS price, true AS is_active, epoch_ms(TIMESTAMP '2026-01-01 00:00:00') AS updated_at_ms, 1::BIGINT AS catalog_version FROM dominant",
         "catalog_manifest": f", good AS (SELECT * FROM src WHERE source_sequence % 31 <> 0 AND NOT (source_sequence % 29 = 0 AND source_sequence % 13 <> 0) AND behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id > 0 AND item_id > 0 AND category_id > 0 AND event_time_ms > 0), per AS (SELECT item_id, count(DISTINCT category_id) AS n FROM good GROUP BY 1) SELECT (SELECT count(*) FROM src) AS source_rows, (SELECT count(*) FROM good) AS valid_rows, (SELECT count(*) FROM per) AS unique_products, (SELECT count(*) FROM per WHERE n > 1) AS conflicting_products, (SELECT count(*) FROM src) - (SELECT count(*) FROM good) AS rejected_rows, 'most_frequent_then_lowest_category_id' AS category_resolution_policy",
         "catalog_constraints": f"{_PARTS} SELECT product_id, change_sequence, CASE WHEN product_id <= 0 OR category_id <= 0 THEN 'identifier' WHEN product_id % 5 = 1 THEN 'product_name' WHEN product_id % 5 = 2 AND price > 0 THEN 'price' WHEN product_id % 5 = 3 THEN 'catalog_version' END AS broken FROM part_changes",
-        "catalog_cdc": f"{_PARTS} SELECT decision, count(*) AS changes, sum(price)::DOUBLE AS prices FROM decided GROUP BY 1",
+        "catalog_cdc": f"{_PARTS} SELECT product_id, change_sequence, op, price, is_active, catalog_version, decision FROM decided",
         "feature_contract": "SELECT user_id, window_start_ms, CASE user_id % 6 WHEN 1 THEN 'event_count' WHEN 2 THEN 'distinct_items' WHEN 3 THEN 'feature_id' WHEN 4 THEN 'feature_version' END AS broken FROM features",
         "user_cart_lookup": ", upserts AS (SELECT user_id, max(event_time_ms) FILTER (behavior_type = 'cart') AS last FROM uniq GROUP BY 1), live AS (SELECT c.*, last FROM cart c JOIN upserts USING (user_id) WHERE c.behavior_type = 'cart') SELECT user_id, item_id AS product_id, category_id, event_time_ms AS added_at, event_time_ms AS last_updated_at, 90::BIGINT AS ttl_seconds FROM live WHERE user_id = (SELECT min(user_id) FROM live)",
         "user_feature_lookup": "SELECT user_id, true AS available, 90::BIGINT AS ttl_seconds, feature_id, event_count, distinct_items, feature_version FROM features WHERE user_id = (SELECT min(user_id) FROM features) QUALIFY row_number() OVER (ORDER BY feature_version DESC) = 1",
@@ -283,5 +434,18 @@ def oracle_sql() -> dict[str, str]:
         "stream_accepted": f"SELECT {columns}, CASE WHEN is_late THEN 'LATE' ELSE 'ON_TIME' END AS status FROM uniq",
         "stream_item_metrics": f"SELECT {shown} FROM metrics WHERE {_CLOSED}",
         "stream_cart_latest": "SELECT * FROM cart",
+        "stream_cart_mutations": _MUTATIONS,
+        "stream_sharded_metrics": _SHARDED_SQL,
+        "stream_fan_out_raw": f"SELECT {columns}, replay_run_id, event_time_ms AS record_version FROM uniq",
+        "stream_restarted_raw": f"SELECT {columns}, replay_run_id, event_time_ms AS record_version FROM uniq",
+        "csv_scan": f"SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, {_LINE} AS line FROM src",
+        "csv_batches": "SELECT source_sequence // 1000 AS batch, count(*) AS source_rows FROM src GROUP BY 1",
+        "replay_output": f"{_REJECTED} SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, CASE WHEN reason IS NULL THEN sha256(user_id || chr(31) || item_id || chr(31) || category_id || chr(31) || behavior_type || chr(31) || (event_time_ms // 1000) || chr(31) || (source_sequence - (SELECT min(source_sequence) FROM src))) END AS event_id, reason FROM rejected",
+        "replay_stats": f"{_REJECTED} SELECT count(*) AS source_rows, count(*) FILTER (reason IS NULL) AS emitted_events, count(*) FILTER (reason IS NOT NULL) AS invalid_rows, ceil(count(*) / 1000)::BIGINT AS batches FROM rejected",
+        "catalog_loaded": f"{_CATALOG} SELECT product_id, category_id, 'Synthetic product ' || product_id AS product_name, {_PRICE} AS price, true AS is_active, '2026-01-01T00:00:00Z' AS updated_at, 1::BIGINT AS catalog_version FROM dominant",
+        "latest_of_versions": ", delivered AS (SELECT window_start_ms, item_id, source_category_id, pv_count + n AS pv_count, n AS ingest_sequence, CASE WHEN item_id % 7 <> 3 THEN record_version + step END AS record_version FROM metrics, (VALUES (1, 1), (2, 2), (3, 0), (4, NULL)) AS d(n, step)) SELECT * FROM delivered QUALIFY row_number() OVER (PARTITION BY window_start_ms, item_id, source_category_id ORDER BY record_version DESC NULLS LAST, ingest_sequence DESC) = 1",
+        "absent_cart_lookup": "SELECT 1000000000000000::BIGINT AS user_id, -2::BIGINT AS ttl_seconds",
+        "absent_feature_lookup": "SELECT 1000000000000000::BIGINT AS user_id, false AS available, -2::BIGINT AS ttl_seconds",
+        "snapshot_order": "SELECT window_start, item_id, source_category_id, unique_users FROM metrics ORDER BY window_start, item_id, source_category_id",
     }
     return {name: ORACLE + sql for name, sql in selects.items()}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.config import BEHAVIORS
@@ -25,23 +27,49 @@ MESSAGES = {
 INSTANTS = ("window_start", "window_end", "updated_at")
 
 
-def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """OP-1: (source_sequence, raw_values) in file order; a canonical header is dropped only in first place.
+#: A line that ends within quotes: fields without a leading quote, or quoted ones and what follows, then one that stays open.
+_OPEN = r'^(?:(?:[^",][^,]*+|"(?:[^"]|"")*+"(?:[^",][^,]*+)?)?,)*+"(?:[^"]|"")*+$'
 
-    A record may span lines, so a file is one unit of reading: many files are
-    read in parallel, numbered one after the other in path order. Blank records
-    keep their number.
-    """
 
-    def records(item):
-        path, content = item
-        for k, values in enumerate(csv.reader(io.StringIO(bytes(content).decode("utf-8-sig"), newline=""))):
-            if k or tuple(v.strip() for v in values) != CSV_COLUMNS:
-                yield path, values
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """OP-1: (source_sequence, raw_values) in the order of paths and lines; a canonical header is dropped in the scan's first row alone.
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content").repartition("path").sortWithinPartitions("path")
-    numbered = files.rdd.flatMap(records).map(lambda x: (x[0], x[1])).zipWithIndex().map(lambda x: (x[1], x[0][1]))
-    return spark.createDataFrame(numbered, "source_sequence long, raw_values array<string>")
+    Blank records keep their number. Lines are read in splits of a file; each split's
+    count gives the number its first line has. Only where some record spans lines,
+    a file is one unit of reading.
+    """
+    where = F.col("_metadata")
+    lines = spark.read.text(path).select("value", where["file_path"].alias("path"), where["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"))
+    if lines.where(F.regexp_replace("value", "^\ufeff", "").rlike(_OPEN)).isEmpty():
+        # Lines of a block are numbered one after the other by the task that reads it.
+        blocks = lines.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+        before = F.coalesce(F.sum("n").over(Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rows = lines.join(F.broadcast(blocks.select("path", "block", "first", before.alias("before"))), ["path", "block"])  # a row per 128 MB
+        rows = rows.select((F.col("at") - F.col("first") + F.col("before")).cast("bigint").alias("n"), F.when((F.col("at") == F.col("first")) & (F.col("block") == 0), F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")).alias("value"))
+
+        def split(batches):
+            for batch in batches:
+                values = list(csv.reader(batch.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.list_(pa.string()))], names=["n", "raw_values"])
+
+        found = rows.mapInArrow(split, "n long, raw_values array<string>")
+    else:
+
+        def records(batches):
+            for batch in batches:
+                for name, content in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
+                    numbered = enumerate(csv.reader(io.StringIO(content.decode("utf-8-sig"), newline="")))
+                    while part := list(itertools.islice(numbered, 4096)):
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array([k for k, _ in part]), pa.array([v for _, v in part], pa.list_(pa.string()))], names=["path", "k", "raw_values"])
+
+        files = spark.read.format("binaryFile").load(path).select("path", "content")
+        rows = files.mapInArrow(records, "path string, k long, raw_values array<string>")
+        counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+        before = F.coalesce(F.sum("n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        found = rows.join(F.broadcast(counts.select("path", before.alias("before"))), "path").select((F.col("k") + F.col("before")).cast("bigint").alias("n"), "raw_values")
+    header = F.concat_ws(",", F.transform("raw_values", lambda v: F.btrim(v, F.lit(BLANKS)))) == ",".join(CSV_COLUMNS)
+    head = F.broadcast(found.where("n = 0").agg(F.count_if(header & (F.size("raw_values") == len(CSV_COLUMNS))).alias("headers")))  # one row
+    return found.join(head, F.col("n") >= F.col("headers")).select((F.col("n") - F.col("headers")).alias("source_sequence"), "raw_values")
 
 
 def parse_rows(rows: DataFrame, run_id: str | Column) -> DataFrame:
@@ -66,11 +94,28 @@ def parse_rows(rows: DataFrame, run_id: str | Column) -> DataFrame:
 
 def read_events(spark: SparkSession, path: str, run_id: str) -> tuple[DataFrame, DataFrame]:
     """OP-4: (events, rejects), each bounded by Spark's partitions, never gathered."""
-    parsed = parse_rows(csv_rows(spark, path), run_id)
+    return split_parsed(parse_rows(csv_rows(spark, path), run_id))
+
+
+def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     events = parsed.where("reason IS NULL").select("event_id", *CSV_COLUMNS[:4], "event_time_ms", "source_sequence", "replay_run_id")
     return events, parsed.where("reason IS NOT NULL").select("source_sequence", "raw_values", "reason")
 
 
+def batch_numbers(rows: DataFrame, batch_size: int = 1000) -> DataFrame:
+    """OP-4: the number of the batch that each source row comes in."""
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    return rows.withColumn("batch", F.floor(F.col("source_sequence") / batch_size).cast("bigint"))
+
+
+def replay_stats(parsed: DataFrame, batch_size: int = 1000) -> DataFrame:
+    """OP-5: one row of counts: source_rows, emitted_events, invalid_rows, batches."""
+    n = F.count(F.lit(1))
+    invalid = F.count_if(F.col("reason").isNotNull())
+    return parsed.agg(n.alias("source_rows"), (n - invalid).alias("emitted_events"), invalid.alias("invalid_rows"), F.ceil(n / batch_size).cast("bigint").alias("batches"))
+
+
 def validate_ingress(events: DataFrame) -> DataFrame:
     """OP-8: status 202 or 422 by row; identity is recomputed, behaviors and positive ids aren't looked at."""
     known = F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("category_id").isNotNull() & F.col("behavior_type").isNotNull()
@@ -107,17 +152,30 @@ def replay_schedule(events: DataFrame, speed: float) -> DataFrame:
     """OP-5: due_ms after the start for each event, 0 at speed 0."""
     if speed < 0:
         raise ValueError("speed must not be negative")
-    first = events.orderBy("source_sequence").select("event_time_ms").first()
-    start = first[0] if first else 0
-    due = F.greatest(F.lit(0), F.col("event_time_ms") - start) / speed if speed else F.lit(0.0)
-    return events.withColumn("due_ms", due.cast("double"))
+    first = F.broadcast(events.agg(F.min_by("event_time_ms", "source_sequence").alias("__start")))  # one row
+    due = F.greatest(F.lit(0), F.col("event_time_ms") - F.col("__start")) / speed if speed else F.lit(0.0)
+    return events.join(first).withColumn("due_ms", due.cast("double")).drop("__start")
+
 
+def write_replay(parsed: DataFrame, source: str, output: str, rejects: str | None = None, force: bool = False, batch_size: int = 1000) -> DataFrame:
+    """OP-6: events as JSON lines, and rejects to a folder of their own; returns the counts of `replay_stats`.
 
-def write_replay(events: DataFrame, source: str, output: str, force: bool = False) -> None:
-    """OP-6: JSON lines; an existing output is an error without `force`, and the source is never the output."""
-    if source.rstrip("/") == output.rstrip("/"):
-        raise ValueError("output must differ from the source")
-    events.write.json(output, mode="overwrite" if force else "errorifexists")
+    Source, output and rejects must be three places; what is there already is an
+    error without `force`, and is found before anything is written.
+    """
+    places = [p.rstrip("/") for p in (source, output, rejects) if p]
+    if len(set(places)) < len(places):
+        raise ValueError("source, output and rejects must differ")
+    spark = parsed.sparkSession
+    for place in places[1:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+        if not force and folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            raise FileExistsError(place)
+    events, bad = split_parsed(parsed)
+    if rejects:
+        bad.write.json(rejects, mode="overwrite")
+    events.write.json(output, mode="overwrite")
+    return replay_stats(parsed, batch_size)
 
 
 def utc_instant(text: Column) -> Column:

@@ -9,52 +9,102 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from weftline.config import BEHAVIORS
-from weftline.functions.scalar import MINUTE, behavior_count, sha_of, window_label
+from weftline.config import BEHAVIORS, RuntimeConfig
+from weftline.functions.scalar import MINUTE, behavior_count, minute_start, sha_of, window_label
 from weftline.operators import events as E
 
 EVENT = "event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, arrival long"
-CLASSIFIED = f"{EVENT}, validation_reason string, status string"
+CLASSIFIED = f"{EVENT}, validation_reason string, shard string, status string"
+#: How long ids and carts are remembered.
+RETENTION_MS = 168 * 3_600_000
+#: Keys that ids and users are dealt into; at least as many as there are tasks to work on them.
+BUCKETS = 64
+CART = "user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long"
 STATE_CONF = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-class Classifier(StatefulProcessor):
-    """Status of each row by arrival: INVALID, DUPLICATE, LATE or ON_TIME, against the watermark of all rows before it.
+class Clock(StatefulProcessor):
+    """Adds to each row, by arrival, the largest event time of all rows of its shard before it; that time is all the state there is."""
 
-    One key is one order of arrival, as one source partition has it. An id is
-    remembered for at least `retention_ms` of event time behind the largest seen;
-    older ids are looked for each time that has moved by a 24th of it.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.top = handle.getValueState("top", "ms long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        top = self.top.get()[0] if self.top.exists() else None
+        for row in sorted(rows, key=lambda r: (r.arrival, r.source_sequence)):
+            yield Row(**row.asDict(), top=top)
+            top = row.event_time_ms if top is None else max(top, row.event_time_ms)
+        if top is not None:
+            self.top.update((top,))
+
+    def close(self) -> None:
+        pass
+
+
+def _prune(state: Any, pruned: Any, top: int | None, retention_ms: int, time_of: Callable[[Any], int]) -> None:
+    """Forget what is older than the retention behind `top`; looked for each time that has moved by a 24th of it."""
+    last = pruned.get()[0] if pruned.exists() else None
+    if top is None or (last is not None and top - last < retention_ms // 24):
+        return
+    pruned.update((top,))
+    for key in [] if last is None else [key for key, value in state.iterator() if time_of(value) < top - retention_ms]:
+        state.removeKey(key)
+
+
+class KeepFirst(StatefulProcessor):
+    """Status of rows by id: INVALID, DUPLICATE, LATE or ON_TIME. Ids are remembered for `retention_ms` of event time at least.
+
+    A key is a bucket of ids, so ids are spread over tasks and a call of Python has many rows. (State that ends by
+    processing time makes Spark start empty batches without end, so a bounded run would never be done.)
     """
 
-    def __init__(self, delay_ms: int = 5000, retention_ms: int = 168 * 3_600_000):
+    def __init__(self, delay_ms: int, retention_ms: int):
         self.delay_ms, self.retention_ms = delay_ms, retention_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getValueState("top", "ms long")
         self.seen = handle.getMapState("seen", "event_id string", "ms long")
         self.pruned = handle.getValueState("pruned", "ms long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        top = self.top.get()[0] if self.top.exists() else None
+        top = None
         for row in sorted(rows, key=lambda r: (r.arrival, r.source_sequence)):
-            status = "INVALID"
+            top, status = row.top if top is None else max(top, row.top or top), "INVALID"
             if row.validation_reason is None:
-                known = (row.event_id,)
-                if self.seen.containsKey(known):
+                if self.seen.containsKey((row.event_id,)):
                     status = "DUPLICATE"
                 else:
-                    self.seen.updateValue(known, (row.event_time_ms,))
-                    status = "LATE" if top is not None and row.event_time_ms <= top - self.delay_ms else "ON_TIME"
-            top = row.event_time_ms if top is None else max(top, row.event_time_ms)
-            yield Row(**{k: row[k] for k in row.__fields__ if k != "shard"}, status=status)
-        if top is not None:
-            self.top.update((top,))
-            last = self.pruned.get()[0] if self.pruned.exists() else None
-            if last is None or top - last >= self.retention_ms // 24:
-                self.pruned.update((top,))
-                old = [known for known, (ms,) in self.seen.iterator() if ms < top - self.retention_ms] if last is not None else []
-                for known in old:
-                    self.seen.removeKey(known)
+                    self.seen.updateValue((row.event_id,), (row.event_time_ms,))
+                    status = "LATE" if row.top is not None and row.event_time_ms <= row.top - self.delay_ms else "ON_TIME"
+            yield Row(**{k: v for k, v in row.asDict().items() if k not in ("top", "bucket")}, status=status)
+        _prune(self.seen, self.pruned, top, self.retention_ms, lambda value: value[0])
+
+    def close(self) -> None:
+        pass
+
+
+class LatestCart(StatefulProcessor):
+    """The row of a user and item whenever a newer one replaces it; remembered for `ttl_ms` of event time at least. A key is a bucket of users."""
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getMapState("last", "user_id long, item_id long", "ms long, sequence long")
+        self.pruned = handle.getValueState("pruned", "ms long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        newest: dict[tuple[int, int], Row] = {}
+        for row in rows:
+            cart = (row.user_id, row.item_id)
+            if cart not in newest or (newest[cart].event_time_ms, newest[cart].source_sequence) < (row.event_time_ms, row.source_sequence):
+                newest[cart] = row
+        for cart, row in newest.items():
+            version = (row.event_time_ms, row.source_sequence)
+            if not self.last.containsKey(cart) or tuple(self.last.getValue(cart)) < version:
+                self.last.updateValue(cart, version)
+                yield Row(**{k: v for k, v in row.asDict().items() if k != "bucket"})
+        top = max((row.event_time_ms for row in newest.values()), default=None)
+        _prune(self.last, self.pruned, top, self.ttl_ms, lambda value: value[0])
 
     def close(self) -> None:
         pass
@@ -65,14 +115,22 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def classified_stream(events: DataFrame, delay_ms: int = 5000, shard: Any = None, retention_ms: int = 168 * 3_600_000) -> DataFrame:
-    """Rows with their status. `shard` is a column that splits the order of arrival, such as the source partition; each shard then has its own watermark."""
-    rows = E.classify(events).withColumn("shard", F.lit(0) if shard is None else shard)
-    return rows.groupBy("shard").transformWithState(statefulProcessor=Classifier(delay_ms, retention_ms), outputStructType=CLASSIFIED, outputMode="Append", timeMode="None")
+def classified_stream(events: DataFrame, delay_ms: int = 5000, shard: Any = None, retention_ms: int = RETENTION_MS) -> DataFrame:
+    """Rows with their status, and their shard. `shard` is a column that splits the order of arrival, such as the source partition; each shard has its own watermark.
+
+    A shard's task keeps one number; ids are deduplicated by id, wherever they came from.
+    """
+    rows = E.classify(events).withColumn("shard", (F.lit(0) if shard is None else shard).cast("string"))
+    timed = rows.groupBy("shard").transformWithState(statefulProcessor=Clock(), outputStructType=f"{EVENT}, validation_reason string, shard string, top long", outputMode="Append", timeMode="None")
+    timed = timed.withColumn("bucket", F.pmod(F.xxhash64(F.coalesce("event_id", F.concat_ws("|", "replay_run_id", "source_sequence"))), F.lit(BUCKETS)))
+    return timed.groupBy("bucket").transformWithState(statefulProcessor=KeepFirst(delay_ms, retention_ms), outputStructType=CLASSIFIED, outputMode="Append", timeMode="None")
 
 
 def stream_item_metrics(classified: DataFrame, delay_ms: int = 5000) -> DataFrame:
-    """OP-27, 44: every status moves the watermark, rows on time alone are counted; exact distinct users."""
+    """OP-27, 44: every status moves the watermark, rows on time alone are counted; exact distinct users.
+
+    Spark's watermark is one for all rows, so this is for one shard; several have `shard_metrics_to`.
+    """
     timely = F.col("status") == "ON_TIME"
     rows = classified.withColumn("event_time", F.timestamp_millis("event_time_ms")).withWatermark("event_time", f"{delay_ms} milliseconds")
     out = rows.groupBy(F.window("event_time", "1 minute"), "item_id", F.col("category_id").alias("source_category_id")).agg(
@@ -83,7 +141,7 @@ def stream_item_metrics(classified: DataFrame, delay_ms: int = 5000) -> DataFram
 
 
 def stream_user_features(classified: DataFrame, delay_ms: int = 5000) -> DataFrame:
-    """OP-28, 44: as `stream_item_metrics`, by user, with exact distinct items and a stable id."""
+    """OP-28, 44: as `stream_item_metrics`, for one shard, by user, with exact distinct items and a stable id."""
     timely = F.col("status") == "ON_TIME"
     rows = classified.withColumn("event_time", F.timestamp_millis("event_time_ms")).withWatermark("event_time", f"{delay_ms} milliseconds")
     out = rows.groupBy(F.window("event_time", "1 minute"), "user_id").agg(
@@ -94,42 +152,77 @@ def stream_user_features(classified: DataFrame, delay_ms: int = 5000) -> DataFra
     return out.withColumn("feature_version", F.col("window_start_ms") + MINUTE)
 
 
-def stream_quality(classified: DataFrame) -> DataFrame:
-    """OP-40: a quality row for each invalid and each late row."""
+def stream_quality(classified: DataFrame, at_ms: Any = None) -> DataFrame:
+    """OP-40: a quality row for each invalid and each late row, with its time of observation."""
     rows = classified.where(F.col("status").isin("INVALID", "LATE")).withColumnRenamed("status", "quality_type")
     behind = F.col("quality_type") == "LATE"
     rows = rows.withColumn("reason_code", F.when(behind, E.LATE_REASON).otherwise(F.col("validation_reason"))).withColumn("reason_message", F.when(behind, E.LATE_MESSAGE).otherwise(E.INVALID_MESSAGE))
     rows = rows.withColumn("quality_event_id", sha_of("|", "quality_type", F.coalesce("event_id", F.lit("")), "replay_run_id", "source_sequence", "reason_code"))
-    return rows.drop("validation_reason", "arrival")
+    return E.observed(rows, at_ms).drop("validation_reason", "arrival", "shard")
 
 
-def stream_cart(classified: DataFrame) -> DataFrame:
-    """OP-35: the updating last row of each user and item."""
+def stream_cart(classified: DataFrame, ttl_ms: int = RETENTION_MS) -> DataFrame:
+    """OP-35: the last row of each user and item, each time that a newer one comes."""
     rows = classified.where(F.col("status").isin("ON_TIME", "LATE") & F.col("behavior_type").isin("cart", "buy"))
-    last = F.max_by(F.struct("category_id", "behavior_type", "event_time_ms", "source_sequence"), F.struct("event_time_ms", "source_sequence"))
-    return rows.groupBy("user_id", "item_id").agg(last.alias("r")).select("user_id", "item_id", "r.*")
+    rows = rows.select(*[c.split()[0] for c in CART.split(", ")])
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)))
+    return rows.groupBy("bucket").transformWithState(statefulProcessor=LatestCart(ttl_ms), outputStructType=CART, outputMode="Update", timeMode="None")
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """OP-14, 47: an append log; all that is there is worked off, then the query ends."""
-    return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+def stream_cart_mutations(classified: DataFrame, ttl_ms: int = RETENTION_MS) -> DataFrame:
+    """OP-15, 24: an UPSERT or a DELETE for each change of a cart."""
+    return stream_cart(classified, ttl_ms).select(*E.mutation_columns(), "source_sequence")
 
 
-def upsert_to(stream: DataFrame, path: str, checkpoint: str, keys: list[str], version: list[str]) -> StreamingQuery:
-    """OP-15: batches of a keyed changelog as versioned parts; `read_upserts` gives the newest row of each key, so a batch that runs again changes nothing."""
+def _started(writer: Any, checkpoint: str, interval_ms: int | None) -> StreamingQuery:
+    """All that is there is worked off and the query ends; with an interval it goes on."""
+    given = {"availableNow": True} if interval_ms is None else {"processingTime": f"{interval_ms} milliseconds"}
+    return writer.option("checkpointLocation", checkpoint).trigger(**given).start()
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
+    """OP-14, 47: an append log."""
+    return _started(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint, interval_ms)
+
+
+def _batches(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Numbers of what `upsert_to` has written: batches, and merged ones that stand for all up to theirs."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"batch": [], "merged": []}
+    for status in files.listStatus(folder) if files.exists(folder) else []:
+        kind, _, number = status.getPath().getName().partition("=")
+        if kind in found and files.exists(status.getPath().suffix("/_SUCCESS")):
+            found[kind].append(int(number))
+    return found
+
+
+def upsert_to(stream: DataFrame, path: str, checkpoint: str, keys: list[str], version: list[str], merge_every: int = 20, interval_ms: int | None = None) -> StreamingQuery:
+    """OP-15: batches of a keyed changelog, each with the newest row of a key; a batch that runs again changes nothing.
+
+    Every `merge_every` batches what there is becomes one table, so a reader has few to look at.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        newest = E.latest_version(batch.withColumn("__version", F.struct(*version)), keys, "__version").drop("__version")
+        newest.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number % merge_every == merge_every - 1:
+            read_upserts(batch.sparkSession, path, keys, version, number).write.mode("overwrite").parquet(f"{path}/merged={number}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
+    return _started(stream.writeStream.foreachBatch(write).outputMode("update"), checkpoint, interval_ms)
 
 
-def read_upserts(spark: SparkSession, path: str, keys: list[str], version: list[str]) -> DataFrame:
-    rows = spark.read.parquet(path).drop("batch").withColumn("__version", F.struct(*version))
-    return E.latest_version(rows, keys, "__version").drop("__version")
+def read_upserts(spark: SparkSession, path: str, keys: list[str], version: list[str], upto: int | None = None) -> DataFrame:
+    """The newest row of each key, in batches up to `upto`."""
+    found = _batches(spark, path)
+    # A merged table of `upto` itself may be half read while it is written again.
+    start = max((n for n in found["merged"] if upto is None or n < upto), default=None)
+    parts = [f"{path}/batch={n}" for n in found["batch"] if (start is None or n > start) and (upto is None or n <= upto)]
+    rows = spark.read.parquet(*parts, *([] if start is None else [f"{path}/merged={start}"]))
+    return E.latest_version(rows.withColumn("__version", F.struct(*version)), keys, "__version").drop("__version")
 
 
-def fan_out(classified: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str) -> StreamingQuery:
+def fan_out(classified: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
     """OP-48: one query, several sinks; each batch is classified once and overwrites its own folder in each sink."""
 
     def write(batch: DataFrame, number: int) -> None:
@@ -138,7 +231,54 @@ def fan_out(classified: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFr
             transform(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
         batch.unpersist()
 
-    return classified.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    return _started(classified.writeStream.foreachBatch(write).outputMode("append"), checkpoint, interval_ms)
+
+
+def shard_metrics_to(classified: DataFrame, path: str, checkpoint: str, delay_ms: int = 5000, interval_ms: int | None = None) -> StreamingQuery:
+    """OP-27, 44 over several shards: a window closes once the watermark of the slowest shard has reached its end.
+
+    A batch adds its counts by window, item, category and user to `parts`, by hour
+    of the window, and its shards' largest times to `tops`, which has a row a shard
+    and batch. Windows that close with it are summed from the hours they are in.
+    Each batch has its own folders, so one that runs again changes nothing. All
+    shards must have come by the time that windows close.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark, keys = batch.sparkSession, ["window_start_ms", "item_id", "source_category_id"]
+        batch.persist()
+        start = minute_start()
+        rows = batch.where("status = 'ON_TIME'").withColumn("window_start_ms", start).withColumnRenamed("category_id", "source_category_id")
+        parts = rows.groupBy(F.floor(start / 3_600_000).alias("hour"), *keys, "user_id").agg(*map(behavior_count, BEHAVIORS), F.min("replay_run_id").alias("replay_run_id"))
+        parts.write.mode("overwrite").partitionBy("hour").parquet(f"{path}/parts/batch={number}")
+        held = spark.read.schema("shard string, top long").parquet(f"{path}/tops/batch={number - 1}") if number else None
+        tops = batch.select("shard", F.col("event_time_ms").alias("top"))
+        tops = (tops if held is None else tops.union(held)).groupBy("shard").agg(F.max("top").alias("top"))
+        tops.write.mode("overwrite").parquet(f"{path}/tops/batch={number}")
+        batch.unpersist()
+        before = held.agg(F.min("top")).first()[0] if held is not None else None
+        now = spark.read.schema("shard string, top long").parquet(f"{path}/tops/batch={number}").agg(F.min("top")).first()[0]
+        ends = F.col("window_start_ms") + MINUTE
+        low, high = (before or 0) - delay_ms, (now or 0) - delay_ms
+        schema = f"batch int, hour long, {', '.join(f'{k} long' for k in keys)}, user_id long, {', '.join(f'{b}_count long' for b in BEHAVIORS)}, replay_run_id string"
+        due = spark.read.schema(schema).parquet(f"{path}/parts").where(F.col("hour").between((low - MINUTE) // 3_600_000, high // 3_600_000) & (ends <= high) & (F.col("batch") <= number))
+        due = due if before is None else due.where(ends > low)
+        sums = due.groupBy(*keys).agg(*[F.sum(f"{b}_count").alias(f"{b}_count") for b in BEHAVIORS], F.countDistinct("user_id").alias("unique_users"), F.min("replay_run_id").alias("replay_run_id"))
+        sums.withColumn("record_version", ends).write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+
+    return _started(classified.writeStream.foreachBatch(write).outputMode("append"), checkpoint, interval_ms)
+
+
+def run_job(spark: SparkSession, log: str, path: str, config: RuntimeConfig) -> StreamingQuery:
+    """OP-47, 48, 63: the whole job over a log, by its settings: raw events, metrics of the slowest shard's clock, quality rows and carts.
+
+    A bounded job ends when the log is worked off; else it looks for more every
+    checkpoint interval. Started again, it goes on where it was.
+    """
+    rows = classified_stream(event_stream(spark, log), config.watermark_delay_ms, retention_ms=config.dedup_retention_hours * 3_600_000)
+    unique = lambda b: b.where("status IN ('ON_TIME', 'LATE')")
+    sinks = {"raw": lambda b: E.raw_projection(unique(b)), "quality": stream_quality, "cart": lambda b: E.cart_mutations(E.latest_cart(unique(b)))}
+    return fan_out(rows, sinks, path, f"{config.checkpoint_dir.rstrip('/')}/job", None if config.bounded else config.checkpoint_interval_ms)
 
 
 def plan_of(df: DataFrame) -> str:
