@@ -3,19 +3,21 @@
 A tree builder reads tags with implied ends (a block ends a paragraph, an item an
 item, a cell a cell, what can't stand in it the head) and tolerates whatever isn't closed. The renderer walks the
 tree without recursion and leaves out what isn't shown: head, scripts, styles,
-templates, comments, `hidden`, `display:none`, `visibility:hidden`, what stands
-in for frames, noscript, media and canvas, data lists, and in drawings all but
+templates, comments, `hidden`, `display:none`, `visibility:hidden` (but what is
+visible again within it is shown), what stands in for frames, noscript, media and canvas, data lists, and in drawings all but
 the text elements. Text in attributes isn't read. Text areas and options stand on
 lines of their own. Blocks stand
 on lines of their own, paragraphs and headings with an empty line between, list
-items with markers and indents, table cells padded to the width of their column
-(in a table of over PADDED characters then, to NARROW at most).
+items with markers and indents, the lines of table cells below each other and
+padded to the width of their column (in a table of over PADDED characters then,
+to NARROW at most).
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 from weftline.llm.common import read_table
 
 # Fixed values of the HTML language: elements by how they are read and shown.
+#: Numbers of lists have 32 bits, as browsers read them; others count as not given.
+WHOLE = (-(1 << 31), (1 << 31) - 1)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist".split())
@@ -44,18 +48,17 @@ ENDS = {
 }
 #: An open head ends at any other start tag, and at text that is not white space.
 IN_HEAD = frozenset("title style script meta link base template noscript noframes".split())
-#: Indents don't grow beyond this many levels.
-DEEPEST = 16
-
 #: A table that takes more characters than PADDED with its columns at full width has cells padded to NARROW at most; where
-#: that takes more as well, cells stand two spaces apart. No text is left out.
-PADDED, NARROW = 64 << 20, 200
+#: that takes more as well, cells stand two spaces apart. No text is left out. Indents of lists take INDENTED a page at most.
+PADDED, NARROW, INDENTED = 64 << 20, 200, 64 << 20
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _STOP = re.compile(r">|=\s*+[\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 _UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")  # a slash that belongs to a value
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?)0*([0-9]+)")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -66,10 +69,48 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
+class Open:
+    """Open elements, the root first, and where those of each tag are, so that none has to be looked for."""
+
+    __slots__ = ("nodes", "places")
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, k: int) -> None:
+        while len(self.nodes) > k:
+            self.places[self.nodes.pop().tag].pop()
+
+    def last(self, tags: tuple[str, ...]) -> int:
+        """The place of the innermost of these, 0 where none is open."""
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+
+    def leave_head(self) -> None:
+        if self.nodes[-1].tag == "head":
+            self.cut(len(self.nodes) - 1)
+
+    def imply(self, tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
+        """End the innermost of `tags`, unless one of `scope` is open within it."""
+        k = self.last(tags)
+        if k > self.last(scope):
+            self.cut(k)
+
+    def close(self, tag: str) -> None:
+        k = self.last((tag,))
+        if k > (self.last(("table",)) if tag in ("p", "div", "li", "ul", "ol", "span", "b", "i", "a") else 0):
+            self.cut(k)
+        elif tag in ("p", "br"):  # an end without a start is an empty element
+            self.nodes[-1].children.append(Node(tag, {}))
+
+
 def build(source: str) -> Node:
     """The tree of a page; strings are its text, entities read."""
     root = Node("html", {})
-    open_: list[Node] = [root]
+    open_ = Open(root)
     at, n, none_left = 0, len(source), set()
     lowered = None
     while at < n:
@@ -78,9 +119,9 @@ def build(source: str) -> Node:
             i = n
         if i > at:
             text = entities.unescape(source[at:i])
-            if open_[-1].tag == "head" and text.strip(" \t\n\r\f"):
-                open_.pop()
-            open_[-1].children.append(text)
+            if text.strip(" \t\n\r\f"):
+                open_.leave_head()
+            open_.nodes[-1].children.append(text)
         if i == n:
             break
         if source.startswith("<!--", i):
@@ -94,36 +135,35 @@ def build(source: str) -> Node:
                 j = source.find(">", i)
                 at = n if j < 0 else j + 1
             else:
-                if open_[-1].tag == "head":
-                    open_.pop()
-                open_[-1].children.append("<")
+                open_.leave_head()
+                open_.nodes[-1].children.append("<")
                 at = i + 1
             continue
         at = _tag_end(source, m.end(), none_left)
         tag = m[0].lower()
         if closing:
-            _close(open_, tag)
+            open_.close(tag)
             continue
         written = source[m.end() : at - 1]
         attributes = {a.lower(): entities.unescape(x or y or z) for a, x, y, z in _ATTRIBUTE.findall(written)} if written.strip("/ ") else {}
         if tag in ("html", "body"):
             root.attributes.update(attributes if tag == "html" else {})
             if tag == "body":
-                _imply(open_, ("head",), ("html",))
-                if _unshown(attributes):
+                open_.imply(("head",), ("html",))
+                if _unshown(attributes) or _veiled(attributes) is not None:
                     node = Node("body", attributes)
-                    open_[-1].children.append(node)
-                    open_.append(node)
+                    open_.nodes[-1].children.append(node)
+                    open_.push(node)
             continue
-        if open_[-1].tag == "head" and tag not in IN_HEAD:
-            open_.pop()
+        if tag not in IN_HEAD:
+            open_.leave_head()
         if tag in ENDS:
-            _imply(open_, *ENDS[tag])
+            open_.imply(*ENDS[tag])
         if tag in CLOSES_P:
-            _imply(open_, ("p",), ("td", "th", "table", "button", "object", "foreignobject", "li", "div", "body"))
+            open_.imply(("p",), ("td", "th", "table", "button", "object", "foreignobject", "li", "div", "body"))
         node = Node(tag, attributes)
-        open_[-1].children.append(node)
-        if written.endswith("/") and tag not in VOID and not _UNQUOTED.search(written) and (tag == "svg" or _in_svg(open_)):
+        open_.nodes[-1].children.append(node)
+        if written.endswith("/") and tag not in VOID and not _UNQUOTED.search(written) and (tag == "svg" or open_.last(("svg",)) > open_.last(("foreignobject",))):  # a slash ends any element of a drawing
             continue
         if tag in RAW:
             lowered = source.lower() if lowered is None else lowered
@@ -135,7 +175,7 @@ def build(source: str) -> Node:
                 node.children.append(text.removeprefix("\n") if tag == "textarea" else text)
             at = n if j < 0 else _tag_end(source, j + 2 + len(tag), none_left)
         elif tag not in VOID:
-            open_.append(node)
+            open_.push(node)
     return root
 
 
@@ -152,50 +192,40 @@ def _tag_end(source: str, at: int, none_left: set[str]) -> int:
     return len(source)
 
 
-def _in_svg(open_: list[Node]) -> bool:
-    """Whether a tag stands in a drawing, where a slash ends any element."""
-    for node in reversed(open_[-512:]):
-        if node.tag in ("svg", "foreignobject"):
-            return node.tag == "svg"
-    return False
-
-
-def _imply(open_: list[Node], tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
-    for k in range(len(open_) - 1, max(0, len(open_) - 512), -1):
-        if open_[k].tag in tags:
-            del open_[k:]
-            return
-        if open_[k].tag in scope:
-            return
+def _unshown(attributes: dict[str, str]) -> bool:
+    return bool(attributes) and ("hidden" in attributes or ("style" in attributes and bool(_GONE.search(attributes["style"]))))
 
 
-def _close(open_: list[Node], tag: str) -> None:
-    if tag == "p" and not any(x.tag == "p" for x in open_[-8:]):
-        return
-    stop = ("table",) if tag in ("p", "div", "li", "ul", "ol", "span", "b", "i", "a") else ()
-    for k in range(len(open_) - 1, 0, -1):
-        if open_[k].tag == tag:
-            del open_[k:]
-            return
-        if open_[k].tag in stop:
-            return
+def _veiled(attributes: dict[str, str]) -> bool | None:
+    """Whether the element's text is invisible; None: as around it."""
+    found = _VISIBILITY.findall(attributes["style"]) if "style" in attributes else []
+    return found[-1].lower() != "visible" if found else None
 
 
-def _unshown(attributes: dict[str, str]) -> bool:
-    return bool(attributes) and ("hidden" in attributes or ("style" in attributes and bool(_HIDING.search(attributes["style"]))))
+def _number(value: str, least: int, most: int) -> int | None:
+    """The integer that an attribute begins with, if it is within bounds."""
+    m = _NUMBER.match(value)
+    if not m or len(m[2]) > 10:
+        return None
+    n = int(m[1] + m[2])
+    return n if least <= n <= most else None
 
 
 def _span(value: str, most: int) -> int:
-    return min(int(value), most) if value.isdecimal() and len(value) < 6 else 1
+    """Rows or columns of a cell; `most` is the limit of the HTML standard, which takes larger numbers as it."""
+    m = _NUMBER.match(value)
+    if not m or m[1] == "-":
+        return 1
+    return most if len(m[2]) > 9 else min(int(m[2]), most)
 
 
 class Table:
-    """Rows of a table under way: (column, text) of each cell that has text."""
+    """Rows of a table under way: (column, lines) of each cell that has text."""
 
     __slots__ = ("rows", "at", "spans", "fresh", "passed")
 
     def __init__(self):
-        self.rows: list[list[tuple[int, str]]] = []
+        self.rows: list[list[tuple[int, list[str]]]] = []
         self.end_group()
 
     def end_group(self) -> None:
@@ -209,26 +239,51 @@ class Table:
         self.fresh = []
         self.at = self.passed = 0
 
-    def cell(self, text: str, across: int, down: int) -> None:
+    def cell(self, lines: list[str], across: int, down: int) -> None:
         if not self.rows:
             self.row()
         while self.passed < len(self.spans) and self.spans[self.passed][0] <= self.at:
             self.at = max(self.at, self.spans[self.passed][1])
             self.passed += 1
-        if text:
-            self.rows[-1].append((self.at, text))
+        if lines:
+            self.rows[-1].append((self.at, lines))
         if down != 1:  # 0: to the end of the group
             self.fresh.append((self.at, self.at + max(across, 1), len(self.rows) + down - 1 if down else float("inf")))
         self.at += max(across, 1)
 
 
+Entry = str | tuple[str, list]
+
+
+def flat(entries: list[Entry]) -> list[str]:
+    """Lines, with items (mark, entries) written out: the mark before the first line, an indent of its width before the others."""
+    out: list[str] = []
+    marks: list[str] = []  # that wait for their line
+    used = 0
+    work = [(iter(entries), 0)]
+    while work:
+        rest, indent = work[-1]
+        entry = next(rest, None)
+        if entry is None:
+            work.pop()
+        elif isinstance(entry, tuple):
+            marks.append(entry[0] if marks else " " * (indent if used + indent <= INDENTED else 0) + entry[0])
+            work.append((iter(entry[1]), indent + len(entry[0])))
+        else:
+            lead = "".join(marks) if marks else " " * indent if entry and used + indent <= INDENTED else ""
+            used += len(lead)
+            marks.clear()
+            out.append(lead + entry)
+    return out
+
+
 class Lines:
-    """Lines of one block under way."""
+    """Lines and list items of one block under way."""
 
     __slots__ = ("done", "text", "gap", "space")
 
     def __init__(self):
-        self.done: list[str] = []
+        self.done: list[Entry] = []
         self.text: list[str] = []
         self.gap = self.space = False
 
@@ -250,14 +305,14 @@ class Lines:
             self.text = []
         self.space = False
 
-    def add(self, lines: list[str]) -> None:
+    def add(self, lines: list[Entry]) -> None:
         if self.gap and self.done and lines:
             self.done.append("")
         if lines:
             self.gap = False
         self.done.extend(lines)
 
-    def finish(self) -> list[str]:
+    def finish(self) -> list[Entry]:
         self.end_line()
         return self.done
 
@@ -269,12 +324,13 @@ def render(root: Node) -> str:
     tables: list[Table] = []
     pre = 0
     muted: list[bool] = []  # by open drawing, or text in it
+    veiled = [False]  # by open element that says whether it is visible
     work: list = [(root, False)]
     while work:
         node, leaving = work.pop()
         out = stack[-1]
         if isinstance(node, str):
-            if muted and muted[-1]:
+            if veiled[-1] or (muted and muted[-1]):
                 continue
             if pre:
                 first, *rest = node.split("\n")
@@ -305,10 +361,13 @@ def render(root: Node) -> str:
             if tag == "hr":
                 continue
             if tag in ("ul", "ol", "menu"):
-                start = node.attributes.get("start", "1")
-                lists.append([tag == "ol", int(start) if start.isdecimal() and len(start) < 10 else 1])
+                start = _number(node.attributes.get("start", ""), *WHOLE)
+                lists.append([tag == "ol", 1 if start is None else start])
             elif tag in ("li", "td", "th"):
                 stack.append(Lines())
+                value = _number(node.attributes.get("value", ""), *WHOLE) if tag == "li" and lists else None
+                if value is not None:
+                    lists[-1][1] = value
             elif tag == "table":
                 tables.append(Table())
             elif tag == "tr" and tables:
@@ -316,6 +375,8 @@ def render(root: Node) -> str:
             elif tag in ("thead", "tbody", "tfoot") and tables:
                 tables[-1].end_group()
             pre += tag in PLAIN
+            if (veil := _veiled(node.attributes)) is not None:
+                veiled.append(veil)
             work.append((node, True))
             work.extend((c, False) for c in reversed(node.children))
             continue
@@ -332,14 +393,15 @@ def render(root: Node) -> str:
             mark = f"{number}. " if ordered else "- "
             if lists:
                 lists[-1][1] += 1
-            indent = " " * len(mark) if len(lists) <= DEEPEST else ""
-            out.add([(mark if k == 0 else indent if line else "") + line for k, line in enumerate(lines)] or [mark.rstrip()])
+            if lines or not veiled[-1]:
+                out.add([(mark, lines)] if lines else [mark.rstrip()])
         elif tag in ("td", "th"):
-            cell = " ".join(x for x in stack.pop().finish() if x)
+            lines = flat(stack.pop().finish())
             if tables:
-                tables[-1].cell(cell, _span(node.attributes.get("colspan", "1"), 1000), _span(node.attributes.get("rowspan", "1"), 65534))
+                tables[-1].cell(lines, _span(node.attributes.get("colspan", "1"), 1000), _span(node.attributes.get("rowspan", "1"), 65534))
             else:
-                stack[-1].inline(cell)
+                stack[-1].end_line()
+                stack[-1].add(lines)
         elif tag == "table":
             rows = [r for r in tables.pop().rows if r]
             stack[-1].end_line()
@@ -352,34 +414,42 @@ def render(root: Node) -> str:
             out.gap = out.gap or (tag in SPACED and not (tag in ("ul", "ol") and len(lists) > 1))
             if tag in ("ul", "ol", "menu") and lists:
                 lists.pop()
-    return "\n".join(line.rstrip() for line in stack[0].finish()).strip("\n")
+        if len(veiled) > 1 and _veiled(node.attributes) is not None:
+            veiled.pop()
+    return "\n".join(line.rstrip() for line in flat(stack[0].finish())).strip("\n")
 
 
-def aligned(rows: list[list[tuple[int, str]]]) -> list[str]:
-    """Rows of cells as lines, each cell padded to the widest of its column; columns are two spaces apart."""
+def aligned(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
+    """Rows of cells as lines, those of a cell below each other, each padded to the widest of its column; columns are two spaces apart."""
     widest: dict[int, int] = {}
+    lines: list[list[tuple[int, str]]] = []
     for row in rows:
+        first = len(lines)
+        lines.extend([] for _ in range(max(len(cell) for _, cell in row)))
         for k, cell in row:
-            widest[k] = max(widest.get(k, 0), len(cell))
+            for n, text in enumerate(cell):
+                if text:
+                    lines[first + n].append((k, text))
+                    widest[k] = max(widest.get(k, 0), len(text))
     for most in (max(widest.values(), default=0), NARROW):
         begins, total = {}, 0
         for k in sorted(widest):
             begins[k] = total + 2 * k
             total += min(widest[k], most)
-        if sum(begins[row[-1][0]] for row in rows) <= PADDED:
+        if sum(begins[line[-1][0]] for line in lines if line) <= PADDED:
             break
     else:
-        return ["  ".join(cell for _, cell in row).rstrip() for row in rows]
+        return ["  ".join(text for _, text in line).rstrip() for line in lines]
     out = []
-    for row in rows:
-        line, length, behind = [], 0, 0
-        for k, cell in row:
+    for line in lines:
+        parts, length, behind = [], 0, 0
+        for k, text in line:
             # What a cell longer than NARROW takes too much moves the cells behind it.
             gap = max(begins[k] + behind - length, 0)
-            line += " " * gap, cell
-            length += gap + len(cell)
-            behind += max(len(cell) - most, 0)
-        out.append("".join(line).rstrip())
+            parts += " " * gap, text
+            length += gap + len(text)
+            behind += max(len(text) - most, 0)
+        out.append("".join(parts).rstrip())
     return out
 
 
@@ -389,7 +459,12 @@ def visible_text(source: str | None) -> str | None:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Rows of `pages` (page_id, url, html) as page_id, url, text; rows are mapped where they are read."""
+    """Rows of `pages` (page_id, url, html) as page_id, url, text; rows are mapped where they are read.
+
+    A null page has a null text, an empty page an empty one; ids and urls may be
+    null. Repeated rows come each; there are no ties. An empty table stays empty.
+    Other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
