@@ -10,9 +10,9 @@ gathered once; strings that only held-out texts have come along with count 0, so
 that scoring is a lookup. -log2 of the probability by byte is the code length.
 
 The table of strings grows with the corpus and is never gathered in one place. The
-tree is cut into layers of two context bytes: a task folds whole subtrees, at most
-256 ** 3 strings or 255 * 256 ** 2 nodes each, into one row per decision and context
-of the layer above, and the same layers are gone down again with what the nodes above say.
+tree is cut into a layer of two context bytes at the bottom and layers of one above
+it: a task folds whole subtrees, of the strings that share DEPTH - 2 context bytes or
+of 255 * 256 nodes at most, into one row per decision and context of the layer above, and the same layers are gone down again with what the nodes above say.
 Only the top, 255 * 256 nodes, is worked out on the driver. Texts are dealt into
 blocks of about BLOCK_BYTES; a block asks for each of its distinct strings and words
 once, the answers come by a join, and the block is scored with them.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import textkit
-from weftline.llm.common import materialize, read_table, release, releasing
+from weftline.llm.common import id_bucket, materialize, read_table, release, releasing
 
 DEPTH = 5
 #: Bytes of text that are scored together, and strings or nodes of the tree that a task takes at once (whole subtrees).
@@ -42,7 +42,7 @@ END = 0x0A
 
 
 def held_out(doc_id: str = "doc_id"):
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    return id_bucket(10, doc_id) == 0
 
 
 def stream(block: textkit.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -295,12 +295,12 @@ def _layer(rows: DataFrame, level: int, to: int, deepest: bool, tasks: int, abov
 
 
 def tree(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(item, value) of strings (item, n): tree_log10 by layers of two levels."""
+    """(item, value) of strings (item, n): tree_log10 by layers."""
     spark = strings.sparkSession
     tasks = 1 + strings.count() // (4 * CHUNK)
     rows, level, layers = strings.select(F.col("item").alias("key"), F.col("n").cast("double").alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("w")), depth, []
     while not layers or level > 1:
-        to = max(level - 2, 1)
+        to = level - 2 if level == depth > 2 else max(level - 1, 1)
         layers.append((rows, level, to, level == depth, tasks))
         rows, level = materialize(_layer(*layers[-1]), "nodes"), to
     top = rows.toArrow()  # 255 decisions after 256 bytes at most
@@ -354,8 +354,9 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
     """Per row of `docs` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Null text is empty: its one token is the end. A null doc_id counts as empty text
-    for the split. Repeated rows are scored each. Without training documents N and V
-    are 0 and every count is 0. No documents give no rows.
+    for the split. Repeated rows are scored each, in one block. Without training
+    documents N and V are 0 and every count is 0. No documents give no rows. Other
+    columns are not read.
     """
     table = gather(docs, depth)
     train_docs = docs.where(~held_out()).count()
@@ -400,13 +401,16 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
 
     def answer(texts: pa.Table, known: pa.Table) -> pa.Table:
         kinds, items, values = known["kind"].to_numpy(), known["item"].to_numpy().view(np.uint64), known["value"].to_numpy()
-        tables = [Table(items[kinds == kind], values[kinds == kind], 0.0) for kind in (0, 1)]
+        # A word that no training text has counts 0; a string of the block that nobody asked for is a fault.
+        tables = [Table(items[kinds == kind], values[kinds == kind], missing) for kind, missing in ((0, 0.0), (1, np.nan))]
         del known, kinds, items, values
         out = []
         for batch in texts.to_batches():
             for block in textkit.blocks(batch.column("text"), PIECE):
                 data, begins, hashes, rows = stream(block)
                 logs = tables[1].get(string_codes(data, begins, depth))
+                if np.isnan(logs).any():
+                    raise RuntimeError("a block holds a string that was not asked for: the table was read anew with other rows")
                 c = tables[0].get(hashes)
                 own = batch.slice(block.first, block.n)
                 out.append(
@@ -427,7 +431,8 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
         return pa.concat_tables(out) if out else pa.table({f.name: pa.array([], f.type) for f in arrow})
 
     arrow = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
-    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_blocks)).alias("block")
+    # Dealt by the row itself, so it is the same block each time the table is read, in whatever order.
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block")
     given = docs.select(block, F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").repartition(n_blocks, "block")
     asked = given.sortWithinPartitions("block").mapInArrow(releasing(ask), "block long, kind int, item long")
     known = asked.join(values, ["kind", "item"]).select("block", "kind", "item", "value")
