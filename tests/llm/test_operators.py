@@ -347,3 +347,96 @@ def test_html_forms_and_drawings():
     svg = "<p>Plot<svg viewBox='0 0 9 9'><title/><title>no</title><defs><text>no</text></defs><g/>no<text x=1>Q1 <tspan>sales</tspan></text><desc>no</desc><style/><path d=M0/><text>Q2<title>no</title></text><foreignObject><div>in <b>html</b></div></foreignObject></svg> end"
     assert html_text.visible_text(svg) == "Plot\nQ1 sales\nQ2\nin html\nend"
     assert html_text.visible_text("<svg/>a<text>b</text><defs>c</defs><textarea hidden>no</textarea>") == "abc"
+
+
+def test_html_of_deep_and_odd_trees():
+    see = html_text.visible_text
+    assert see("<ul><li>" + "<b>" * 600 + "one<li>two</ul>") == "- one\n- two"
+    assert see("<p>" + "<i>" * 9 + "t</p>u") == "t\n\nu" and see("a</p>b") == "a\n\nb" and see("a</br>b") == "a\nb"
+    deep = see("<ul><li>a<br>b" * 40)
+    assert deep.split("\n")[-2:] == [" " * 78 + "- a", " " * 80 + "b"]
+    assert see("<ul><li>" * 20_000 + "x").endswith("- - x") and len(see("<ul><li>a" * 20_000)) < 80 << 20
+    assert see("<ol start='12345678901'><li>a</ol><ol start=-3><li>a<li value=2147483647>b</ol>") == "1. a\n\n-3. a\n2147483647. b"
+    assert see("<table><tr><td colspan=123456>a<td>b<tr><td>c</table>").startswith("a") and html_text._span("123456", 1000) == 1000
+    assert see("<div style='visibility:hidden'>no<p style='visibility: visible'>yes <span style='visibility:hidden'>no</span>too</p>no<ul><li>no</ul></div>end") == "yes too\n\nend"
+    assert see("<svg>" + "<g>" * 600 + "<text>t<tspan/>u</text></svg>v") == "tu\nv"
+
+
+def test_html_cells_keep_their_blocks():
+    page = "<table><tr><td><p>one<p>two<td>x<br>y<td><ul><li>a<li>b</ul><tr><td>three<td>z<td><table><tr><td>1<td>22<tr><td>333<td>4</table></table>"
+    assert html_text.visible_text(page) == "one    x  - a\n       y  - b\ntwo\nthree  z  1    22\n          333  4"
+
+
+def test_html_pages_made_at_random_show_all_visible_text(spark):
+    """Trees of known text: each visible word comes once and in order, none of the others does."""
+    rnd = random.Random(4)
+
+    def made(depth, shown, words):
+        if depth == 0 or rnd.random() < 0.3:
+            words.append((f"w{len(words)}", shown))
+            return words[-1][0] + " "
+        tag = rnd.choice(["div", "p", "b", "ul", "table", "section", "script", "template", "span hidden", "i style='display:none'", "h2", "blockquote"])
+        own = shown and not tag.startswith(("script", "template", "span h", "i s"))
+        inner = "".join(made(depth - 1, own, words) for _ in range(rnd.randint(1, 3))) if tag not in ("script", "p") else made(0, own, words)
+        if tag == "ul":
+            inner = f"<li>{inner}"
+        elif tag == "table":
+            inner = f"<tr><td>{inner}"
+        name = tag.split()[0]
+        return f"<{tag}>{inner}" + f"</{name}>"
+
+    pages, want = [], []
+    for _ in range(300):
+        words = []
+        pages.append(f"<html><head><title>no</title><body>{made(5, True, words)}")
+        want.append([w for w, shown in words if shown])
+    rows = [(k, f"u{k}", p) for k, p in enumerate(pages)] + [(None, None, None), (5, "u5", pages[5]), (900, "", "")]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS text")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.text is None if r.page_id is None else sorted(re.findall(r"w\d+", r.text)) == sorted(want[r.page_id] if r.page_id < 900 else [])
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_language_model_equals_the_ratio_of_whole_tree_probabilities():
+    """Context-tree weighting with its recursion written out, on trees of plain tuples, at depth 2."""
+    from fractions import Fraction
+
+    train, seen = [b"abab\n", b"aab b\n", b"\n"], b"abb\n"
+
+    def bits(texts):
+        for x in texts:
+            for k, byte in enumerate(x):
+                context = tuple(x[k - d] if k >= d else 10 for d in (1, 2))
+                for i in range(8):
+                    yield (1 << i) | byte >> (8 - i), context, byte >> (7 - i) & 1
+
+    def estimate(zeros, ones):
+        p = Fraction(1)
+        for k in range(zeros):
+            p *= Fraction(2 * k + 1, 2 * (k + 1))
+        for k in range(ones):
+            p *= Fraction(2 * k + 1, 2 * (zeros + k + 1))
+        return p
+
+    def weighted(rows, depth):
+        own = estimate(sum(b == 0 for _, b in rows), sum(b == 1 for _, b in rows))
+        if depth == 2:
+            return own
+        below = Fraction(1)
+        for value in {c[depth] for c, _ in rows}:
+            below *= weighted([(c, b) for c, b in rows if c[depth] == value], depth + 1)
+        return (own + below) / 2
+
+    trees = {}
+    for prefix, context, bit in bits(train):
+        trees.setdefault(prefix, []).append((context, bit))
+    want = 1.0
+    for prefix, context, bit in bits([seen]):
+        rows = trees.get(prefix, [])
+        want *= float(weighted([*rows, (context, bit)], 0) / weighted(rows, 0))
+    code = lambda x, k: sum((x[k - d] if k >= d else 10) << 8 * (2 - d) for d in range(3))
+    counts = Counter(code(x, k) for x in train for k in range(len(x)))
+    codes = sorted({*counts, *(code(seen, k) for k in range(len(seen)))})
+    logs = dict(zip(codes, language_model.tree_log10(np.array(codes, np.uint64), np.array([counts[c] for c in codes]), 2)))
+    assert np.isclose(sum(logs[code(seen, k)] for k in range(len(seen))), np.log10(want), rtol=1e-9)
