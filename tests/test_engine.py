@@ -163,9 +163,8 @@ def test_csv_scan_numbers_files_in_path_order_and_splits_them(spark, tmp_path):
     try:
         assert [tuple(r.raw_values) for r in ingest.csv_rows(spark, str(tmp_path)).orderBy("source_sequence").collect()] == want
         (tmp_path / "part-3.csv").write_text('a"b,"c,""d",3\n"open\nline",1\n')
-        want[want.index(("3", "2", "3", "pv", "4")) :][:3] = []
         got = [tuple(r.raw_values) for r in ingest.csv_rows(spark, str(tmp_path)).orderBy("source_sequence").collect()]
-        assert got[6:8] == [('a"b', 'c,"d', "3"), ("open\nline", "1")] and len(got) == len(ingest_lines(tmp_path))
+        assert got[5:7] == [('a"b', 'c,"d', "3"), ("open\nline", "1")] and len(got) == len(ingest_lines(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -47,7 +47,7 @@ def _prune(state: Any, pruned: Any, top: int | None, retention_ms: int, time_of:
     if top is None or (last is not None and top - last < retention_ms // 24):
         return
     pruned.update((top,))
-    for key in [] if last is None else [key for key, value in state.iterator() if time_of(value) < top - retention_ms]:
+    for key in [key for key, value in state.iterator() if time_of(value) < top - retention_ms]:
         state.removeKey(key)
 
 
