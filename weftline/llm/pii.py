@@ -15,9 +15,9 @@ outside all regions have no candidate segment, so leaving them out is exact.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,8 +31,10 @@ from weftline.llm.common import read_table
 KINDS = ("email", "ip", "card", "phone")
 #: Most digits of a number. A segment has room for as many single digits, each behind three separators, and an opening.
 MAX_DIGITS = 19
-#: Longest segment in atoms; documents and steps used in fitting.
-MAX_ATOMS, FIT_DOCS, EPOCHS = 4 * MAX_DIGITS + 4, 600, 12
+#: Longest segment in atoms; windows and steps used in fitting.
+MAX_ATOMS, FIT_WINDOWS, EPOCHS = 4 * MAX_DIGITS + 4, 800, 12
+#: Characters of a window, and of the longest that is sampled; scores that are remembered.
+WINDOW, LONGEST, MAX_KNOWN = 300, 4096, 200_000
 #: An added span needs this marginal probability of its segment.
 CERTAIN = 0.6
 
@@ -94,7 +96,7 @@ _MARK = re.compile(r"@|\(at\)|\[at\]")
 def regions(text: str) -> Iterator[tuple[int, int]]:
     """Parts of the text that have candidate segments: with 7 digits or more, or around a written or spoken @."""
     for m in _REGION.finditer(text):
-        if sum("0" <= c <= "9" for c in m[0]) >= 7 or m[0].count(".") >= 3:
+        if enough(sum("0" <= c <= "9" for c in m[0]), m[0].count(".")):
             yield m.span()
     if "@" in text or "(at)" in text or "[at]" in text:
         end = 0
@@ -107,6 +109,11 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
                 yield start, end
 
 
+def enough(digits: int, dots: int) -> bool:
+    """What a region, or a number in it, has at least."""
+    return digits >= 7 or dots >= 3
+
+
 def shape(n: int) -> str:
     return str(n) if n < 5 else f"{n // 2 * 2}"
 
@@ -124,7 +131,7 @@ def features(text: str, start: int, end: int) -> list[str]:
         return ["mail", "tld" + shape(len(tld)), "tldword" + str(tld.isalpha()), "dots" + str("." in span[mark.end() :] or "dot" in span[mark.end() :]), "user" + str(mark.start() > 0), *edge]
     groups = re.findall(r"[0-9]+", span)
     digits = "".join(groups)
-    if len(digits) < 4 or len(digits) > MAX_DIGITS or re.search(r"[A-Za-z]", span):
+    if not enough(len(digits), span.count(".")) or len(digits) > MAX_DIGITS or re.search(r"[A-Za-z]", span):
         return []
     gaps = "".join(sorted(set(re.sub(r"[0-9+]", "", span))))
     out = ["n" + shape(len(digits)), "sep" + gaps, "groups" + "-".join(map(str, map(len, groups[-3:]))), f"g{min(len(groups), 6)}", *edge]
@@ -137,30 +144,80 @@ def features(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def numbers_ending(text: str, bounds: list[int], j: int) -> Iterator[tuple[int, tuple]]:
+    """(first atom, what is seen) of the numbers that end with atom j - 1, each from the one before with one atom more."""
+    if text[bounds[j - 1]] not in "0123456789":
+        return
+    right = text[bounds[j] : bounds[j] + 1]
+    edge = "w" if right.isalnum() else "." if right in "-(" and right else "_"
+    lengths: tuple[int, ...] = ()  # of the last digit groups
+    n = total = dots = balance = groups = 0
+    gaps, quad = "", True
+    for i in range(j - 1, max(-1, j - 1 - MAX_ATOMS), -1):
+        a, b = bounds[i], bounds[i + 1]
+        first = text[a]
+        if first in "0123456789":
+            if n + b - a > MAX_DIGITS:
+                return
+            groups += 1
+            if groups < 4:
+                lengths = (b - a, *lengths)
+            for c in text[a:b][::-1]:
+                d = ord(c) - 48
+                total += (d * 2 - 9 if d > 4 else d * 2) if n % 2 else d
+                n += 1
+            quad = quad and groups < 5 and int(text[a:b]) <= 255
+        elif b - a > 1 or first.isascii() and first.isalpha():
+            return  # letters, or a bracketed word
+        else:
+            dots += first == "."
+            balance += (first == "(") - (first == ")")
+            if first != "+" and first not in gaps:
+                gaps = "".join(sorted(gaps + first))
+            if first not in "+(" and not first.isalnum():
+                continue
+        if n >= 7 or dots >= 3:
+            left = text[a - 1 : a]
+            before = "w" if left.isalnum() else "." if left in "+.-(" and left else "_"
+            yield i, (n, gaps, lengths, groups, before, edge, first == "+", n >= 12 and total % 10 == 0, quad, balance == 0)
+
+
+def number_features(seen: tuple) -> list[str]:
+    n, gaps, lengths, groups, before, after, plus, checked, quad, balanced = seen
+    out = ["n" + shape(n), "sep" + gaps, "groups" + "-".join(map(str, lengths)), f"g{min(groups, 6)}", "L" + before, "R" + after, f"plus{plus}"]
+    if n >= 12:
+        out.append(f"luhn{checked}")
+    if groups == 4 and gaps == ".":
+        out.append(f"quad{quad}")
+    return [*out, f"bal{balanced}"]
+
+
 class SemiMarkov:
     """Types over segments of atoms; weights by (type, feature), (type before, type) and type."""
 
     def __init__(self, weights: dict[tuple[str, str], float] | None = None):
         self.w: dict[tuple[str, str], float] = defaultdict(float, weights or {})
 
+    def atoms(self, text: str, start: int, end: int) -> list[int]:
+        return [start, *(m.end() for m in _ATOM.finditer(text, start, end))]
+
+    def ending(self, text: str, bounds: list[int], j: int, plain: bool) -> Iterator[tuple[int, str, list[str]]]:
+        """The candidates (first atom, type, features) that end before bound j. Without a mark (`plain`) nothing but numbers can be found."""
+        if plain:
+            for i, seen in numbers_ending(text, bounds, j):
+                for kind in KINDS[1:]:
+                    yield i, kind, number_features(seen)
+            return
+        for i in range(max(0, j - MAX_ATOMS), j):
+            if seen := features(text, bounds[i], bounds[j]):
+                for kind in ("email",) if "mail" in seen else KINDS[1:]:
+                    yield i, kind, seen
+
     def lattice(self, text: str, start: int, end: int):
         """Atom bounds and, by end atom, the candidates (first atom, type, features)."""
-        bounds = [start, *(m.end() for m in _ATOM.finditer(text, start, end))]
-        by_end: list[list[tuple[int, str, list[str]]]] = [[] for _ in bounds]
-        # Without a mark nothing but numbers can be found, and none starts before its last MAX_DIGITS digits.
+        bounds = self.atoms(text, start, end)
         plain = not _MARK.search(text, start, end)
-        digits = [0]
-        for a, b in zip(bounds, bounds[1:]):
-            digits.append(digits[-1] + (b - a if text[a] in "0123456789" else 0))
-        low = 0
-        for j in range(1, len(bounds)):
-            while plain and digits[j] - digits[low] > MAX_DIGITS:
-                low += 1
-            for i in range(max(low, j - MAX_ATOMS), j):
-                if seen := features(text, bounds[i], bounds[j]):
-                    for kind in ("email",) if "mail" in seen else KINDS[1:]:
-                        by_end[j].append((i, kind, seen))
-        return bounds, by_end
+        return bounds, [[], *(list(self.ending(text, bounds, j, plain)) for j in range(1, len(bounds)))]
 
     def score(self, kind: str, seen: list[str]) -> float:
         return self.w[kind, ""] + sum(self.w[kind, x] for x in seen)
@@ -207,7 +264,7 @@ class SemiMarkov:
     def fit(self, cases: list[tuple[str, int, int, set[tuple[int, int, str]]]], epochs: int = EPOCHS, rate: float = 0.5, decay: float = 1e-4) -> SemiMarkov:
         """Adagrad on the conditional log-likelihood of the gold segments of each region."""
         seen_sq: dict[tuple[str, str], float] = defaultdict(float)
-        ready = [(self.lattice(text, a, b), gold) for text, a, b, gold in cases if b - a <= 400]
+        ready = [(self.lattice(text, a, b), gold) for text, a, b, gold in cases]
         for _ in range(epochs):
             for (bounds, by_end), gold in ready:
                 slope: dict[tuple[str, str], float] = defaultdict(float)
@@ -229,69 +286,167 @@ class SemiMarkov:
         return self
 
     def decode(self, text: str, start: int, end: int) -> list[tuple[int, int, str]]:
-        """Segments of the best labeling whose marginal probability is at least CERTAIN."""
-        bounds, by_end = self.lattice(text, start, end)
-        if not any(by_end):
-            return []
-        n = len(by_end)
-        best = np.full((n, len(KINDS) + 1), -np.inf)
-        best[0, 0] = 0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
+        """Segments of the best labeling whose marginal probability is at least CERTAIN.
+
+        Candidates are made as they are needed, once forwards and, if there is a
+        segment at all, once backwards; what is held grows by a few numbers an atom.
+        """
+        bounds = self.atoms(text, start, end)
+        plain = not _MARK.search(text, start, end)
+        n, types = len(bounds), len(KINDS) + 1
+        turns = [[self.w[f"after{a}", kind] for kind in KINDS] for a in range(types)]
+        known: dict[tuple, list[float]] = {}
+
+        def scores_of(key: tuple) -> list[float]:
+            if key not in known:
+                if len(known) >= MAX_KNOWN:
+                    known.clear()
+                seen = number_features(key) if plain else key
+                known[key] = [self.score(k, seen) for k in KINDS]
+            return known[key]
+
+        def scored(j: int) -> Iterator[tuple[int, int, float]]:
+            if plain:
+                for i, key in numbers_ending(text, bounds, j):
+                    _, ip, card, phone = scores_of(key)
+                    yield i, 1, ip
+                    yield i, 2, card
+                    yield i, 3, phone
+            else:
+                for i, kind, seen in self.ending(text, bounds, j, plain):
+                    k = KINDS.index(kind)
+                    yield i, k, scores_of(tuple(seen))[k]
+
+        empty = [-math.inf] * types
+        first = [0.0] + empty[1:]
+        # By bound: log sums and best scores by last type (0: none), and both again with the turn to each type after them.
+        alpha, best = array("d", first), array("d", first)
+        into, reach = array("d", turns[0]), array("d", turns[0])
+        turned = bytearray(len(KINDS))  # type before, where the best comes from one
+        origin, before = array("i", [0] * types), bytearray(types)
+        some = False
         for j in range(1, n):
-            a = int(np.argmax(best[j - 1]))
-            best[j, 0], back[j, 0] = best[j - 1, a], (j - 1, a)
-            for i, kind, seen in by_end[j]:
-                k = KINDS.index(kind) + 1
-                turns = best[i] + [self.w[f"after{a}", kind] for a in range(len(KINDS) + 1)]
-                a = int(np.argmax(turns))
-                if (s := turns[a] + self.score(kind, seen)) > best[j, k]:
-                    best[j, k], back[j, k] = s, (i, a)
-        chosen, at = set(), (n - 1, int(np.argmax(best[-1])))
-        while at[0] > 0:
-            i, a = back[at]
-            if at[1]:
-                chosen.add((i, at[0], KINDS[at[1] - 1]))
-            at = (i, a)
-        sure = {(i, j, kind) for i, j, kind, _, each in self.marginals(by_end) if each.sum() >= CERTAIN} if chosen else set()
-        return [(bounds[i], bounds[j], kind) for i, j, kind in sorted(chosen & sure)]
+            low = types * (j - 1)
+            prior = alpha[low : low + types]
+            a = max(range(types), key=lambda x: best[low + x])
+            row, top, come, last = empty[:], empty[:], [j - 1] * types, [a] * types
+            row[0], top[0] = log_sum(prior), best[low + a]
+            found: dict[int, list[float]] = {}
+            for i, k, score in scored(j):
+                some = True
+                found.setdefault(k, []).append(into[len(KINDS) * i + k] + score)
+                if (x := reach[len(KINDS) * i + k] + score) > top[k + 1]:
+                    top[k + 1], come[k + 1], last[k + 1] = x, i, turned[len(KINDS) * i + k]
+            for k, values in found.items():
+                row[k + 1] = log_sum(values)
+            alpha.extend(row), best.extend(top), origin.extend(come), before.extend(last)
+            for k in range(len(KINDS)):
+                into.append(log_sum([row[a] + turns[a][k] for a in range(types)]))
+                a = max(range(types), key=lambda x: top[x] + turns[x][k])
+                reach.append(top[a] + turns[a][k]), turned.append(a)
+        if not some:
+            return []
+        chosen, j = [], n - 1
+        k = max(range(types), key=lambda x: best[types * j + x])
+        while j > 0:
+            at = types * j + k
+            if k:
+                chosen.append((origin[at], j, k - 1))
+            j, k = origin[at], before[at]
+        if not chosen:
+            return []
+        z, out, wanted = log_sum(alpha[-types:]), [], {(i, j, k) for i, j, k in chosen}
+        # Backwards the sums after a bound are of what starts there, by the type before it; a segment hands its own on to its start.
+        held: dict[int, list[list[float]]] = {}
+        after = [0.0] * types
+        for j in range(n - 1, 0, -1):
+            if j < n - 1:
+                own = held.pop(j, None)
+                after = [log_sum([after[0], *own[a]]) if own else after[0] for a in range(types)]
+            for i, k, score in scored(j):
+                lists = held.setdefault(i, [[] for _ in range(types)])
+                for a in range(types):
+                    lists[a].append(turns[a][k] + score + after[k + 1])
+                if (i, j, k) in wanted and math.exp(into[len(KINDS) * i + k] + score + after[k + 1] - z) >= CERTAIN:
+                    out.append((bounds[i], bounds[j], KINDS[k]))
+        return out[::-1]
+
+
+def log_sum(values) -> float:
+    top = max(values)
+    return top if top == -math.inf else top + math.log(sum(math.exp(x - top) for x in values))
+
+
+def windows(text: str) -> Iterator[tuple[str, int, int, set[tuple[int, int, str]]]]:
+    """(text, start, end, gold) of all regions, with some text around; long ones in parts of WINDOW characters or so, cut outside gold spans."""
+    base = base_spans(text)
+    for a, b in regions(text):
+        gold = [x for x in base if a <= x[0] and x[1] <= b]
+        while a < b:
+            cut = b if b - a <= WINDOW else a + WINDOW
+            if cut < b:
+                for s, e, _ in sorted(gold):
+                    if s < cut < e:
+                        cut = e
+                while cut < b and text[cut - 1].isalnum() and text[cut].isalnum():
+                    cut += 1
+            own = {(s, e, k) for s, e, k in gold if a <= s and e <= cut}
+            left = max(0, a - 20)
+            yield text[left : cut + 20], a - left, cut - left, {(s - left, e - left, k) for s, e, k in own}
+            a = cut
 
 
 def training_cases(texts: list[str]) -> list[tuple[str, int, int, set[tuple[int, int, str]]]]:
-    """Regions with their base spans as gold, and each again in a written form that the patterns miss."""
-    out = []
-    for text in texts:
-        base = base_spans(text)
-        for a, b in regions(text):
-            gold = {(s, e, k) for s, e, k in base if a <= s and e <= b}
-            out.append((text, a, b, gold))
-            for s, e, k in gold:
-                left, span, right = text[max(0, s - 20) : s], text[s:e], text[e : e + 20]
-                if k == "phone" and (m := re.match(r"\+[0-9]+[ .-]*", span)):
-                    span = span[m.end() :]
-                elif k == "email":
-                    span = span.replace("@", " (at) ")
-                else:  # out of range or with a wrong check digit it is none
-                    wrong = re.sub("[0-9]+$", "300", span) if k == "ip" else span[:-1] + str((int(span[-1]) + 5) % 10)
-                    out.append((left + wrong + right, len(left), len(left) + len(wrong), set()))
-                    continue
-                if len(only_digits(span)) >= 9 or k == "email":
-                    out.append((left + span + right, len(left), len(left) + len(span), {(len(left), len(left) + len(span), k)}))
-    return out
+    return [case for text in texts for window in windows(text) for case in written_forms(*window)]
+
+
+def written_forms(text: str, a: int, b: int, gold: set[tuple[int, int, str]]) -> Iterator[tuple[str, int, int, set[tuple[int, int, str]]]]:
+    """A region with its base spans as gold, and each span again in a written form that the patterns miss, or that is no entity."""
+    yield text, a, b, gold
+    for s, e, k in sorted(gold):
+        left, span, right = text[max(0, s - 20) : s], text[s:e], text[e : e + 20]
+        if k == "phone" and (m := re.match(r"\+[0-9]+[ .-]*", span)):
+            span = span[m.end() :]
+        elif k == "email":
+            span = span.replace("@", " (at) ")
+        else:  # out of range or with a wrong check digit it is none
+            wrong = re.sub("[0-9]+$", "300", span) if k == "ip" else span[:-1] + str((int(span[-1]) + 5) % 10)
+            yield left + wrong + right, len(left), len(left) + len(wrong), set()
+            continue
+        if len(only_digits(span)) >= 9 or k == "email":
+            yield left + span + right, len(left), len(left) + len(span), {(len(left), len(left) + len(span), k)}
+
+
+def fit_model(docs: DataFrame, fit_windows: int = FIT_WINDOWS) -> dict[tuple[str, str], float]:
+    """Weights from at most `fit_windows` windows of regions, those with the smallest hashes of all documents' windows.
 
+    A window of over LONGEST characters (one span without end) isn't sampled. Without any, all weights are 0 and nothing is added.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                found = [w for w in windows(text.as_py()) if len(w[0]) <= LONGEST]
+                if found:
+                    gold = [",".join(f"{k}:{s}:{e}" for s, e, k in sorted(w[3])) for w in found]
+                    yield pa.RecordBatch.from_pydict({"text": [w[0] for w in found], "a": [w[1] for w in found], "b": [w[2] for w in found], "gold": gold})
 
-def fit_model(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict[tuple[str, str], float]:
-    """Weights from `fit_docs` documents at most: the smallest hashes among those with seven digits close together or an @."""
-    some = docs.where(F.col("text").rlike("@|[0-9][ ().0-9-]{5,}[0-9]|[0-9]\\.[0-9]") & (F.length("text") < 20_000))
-    some = some.select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h", "text").limit(fit_docs)
-    texts = [r.text for r in some.select("text").collect()]
-    return {k: v for k, v in SemiMarkov().fit(training_cases(texts)).w.items() if abs(v) > 1e-6}
+    some = docs.where(F.col("text").rlike("@|[(\\[]at[)\\]]|[0-9][ ().0-9-]{5,}[0-9]|[0-9]\\.[0-9]")).select("text").mapInArrow(run, "text string, a long, b long, gold string")
+    some = some.distinct().orderBy(F.xxhash64("text", "a", "b", "gold"), "text", "a", "b", "gold").limit(fit_windows)
+    cases = []
+    for r in some.collect():
+        gold = {(int(s), int(e), k) for k, s, e in (x.split(":") for x in r.gold.split(",") if x)}
+        cases.extend(written_forms(r.text, r.a, r.b, gold))
+    return {k: v for k, v in SemiMarkov().fit(cases).w.items() if abs(v) > 1e-6}
 
 
 def find_pii(docs: DataFrame, weights: dict[tuple[str, str], float] | None = None) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, spans array<struct<start,end,kind,base>> by start and kind.
 
     Null text counts as empty. Offsets are code points, the end exclusive. Base
-    spans of different kinds may overlap; an added span overlaps no other.
+    spans of different kinds may overlap; an added span overlaps no other, the
+    first of two that would stays. Repeated rows are searched each; an empty
+    table gives no rows. Other columns are not read.
     """
     weights = fit_model(docs) if weights is None else weights
     item = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("base", pa.bool_())])
@@ -334,7 +489,3 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     added = (F.size("spans") - F.size(base)).cast("bigint").alias("n_added")
     return found.select("doc_id", *map(count, KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), added)
-
-
-def digest_of_spans(spans: list[tuple[int, int, str]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in spans).encode()).hexdigest()
