@@ -1,7 +1,9 @@
 """Nulls, clashing columns, repeated rows, empty tables and odd numbers, over the pipeline's stages and the operators."""
 
+import itertools
 import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -193,3 +195,67 @@ def test_cumulative_link_equals_plain_python():
     plain = [[1 / (1 + math.exp(-(r @ model.weights - t))) for t in model.thresholds] for r in x]
     assert np.allclose(p, plain) and (np.diff(p, axis=1) < 0).all()
     assert np.corrcoef(p.sum(1), grade)[0, 1] > 0.95
+
+
+PII_TEXTS = [f"call +1 ({n}) 555-{n + 1000} or bob.{n}@mail.example.com at 10.{n % 250}.3.4 now" for n in range(200, 230)]
+
+
+def test_numbers_are_seen_as_by_the_plain_features():
+    rnd = random.Random(2)
+    model = pii.SemiMarkov()
+    for _ in range(120):
+        text = "".join(rnd.choice("0123456789999  ().-+a") for _ in range(rnd.randint(7, 40)))
+        bounds = model.atoms(text, 0, len(text))
+        for j in range(1, len(bounds)):
+            got = {i: sorted(pii.number_features(seen)) for i, seen in pii.numbers_ending(text, bounds, j)}
+            plain = {i: sorted(seen) for i in range(max(0, j - pii.MAX_ATOMS), j) if (seen := pii.features(text, bounds[i], bounds[j]))}
+            assert got == plain, (text, j)
+
+
+def test_decoding_equals_all_segmentations():
+    model = pii.SemiMarkov().fit(pii.training_cases(PII_TEXTS))
+    for text in ("(212) 555-0199", "10.2.3.4 5", "+44 20 7946", "joe (at) x.org"):
+        bounds, by_end = model.lattice(text, 0, len(text))
+
+        def all_of(j, after):
+            """(score, segments) of every labeling up to bound j, by the type before what follows."""
+            if j == 0:
+                yield 0.0, (), 0
+                return
+            for score, segments, last in all_of(j - 1, after):
+                yield score, segments, 0
+            for i, kind, seen in by_end[j]:
+                k = pii.KINDS.index(kind) + 1
+                for score, segments, last in all_of(i, after):
+                    yield score + model.w[f"after{last}", kind] + model.score(kind, seen), (*segments, (i, j, kind)), k
+
+        every = list(all_of(len(bounds) - 1, None))
+        z = pii.log_sum([x[0] for x in every])
+        best = max(every, key=lambda x: x[0])[1]
+        sure = [s for s in best if sum(math.exp(x[0] - z) for x in every if s in x[1]) >= pii.CERTAIN]
+        assert model.decode(text, 0, len(text)) == [(bounds[i], bounds[j], kind) for i, j, kind in sure]
+        for i, j, kind, _, each in model.marginals(by_end):
+            assert math.isclose(each.sum(), sum(math.exp(x[0] - z) for x in every if (i, j, kind) in x[1]), abs_tol=1e-9)
+
+
+def test_long_regions_take_bounded_memory():
+    import tracemalloc
+
+    model = pii.SemiMarkov().fit(pii.training_cases(PII_TEXTS))
+    rnd = random.Random(6)
+    text = " ".join(str(rnd.randrange(100)) for _ in range(3000))
+    tracemalloc.start()
+    pii.all_spans(text, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1500 * len(text)
+
+
+def test_windows_hold_all_of_a_long_region():
+    text = " ".join(f"10.0.{k % 256}.{k // 256}" for k in range(2000))
+    parts = list(pii.windows(text))
+    assert len(parts) > 50 and max(len(w[0]) for w in parts) < 400
+    assert sum(len(w[3]) for w in parts) == len(pii.base_spans(text))
+    assert all(w[0][s:e].count(".") == 3 and k == "ip" for w in parts for s, e, k in w[3])
+    assert re.sub(" ", "", "".join(w[0][w[1] : w[2]] for w in parts)) == text.replace(" ", "")
+    assert list(itertools.islice(pii.windows("nothing 1 here"), 1)) == []
