@@ -32,7 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: Most digits of a number. A segment has room for as many single digits, each behind three separators, and an opening.
 MAX_DIGITS = 19
 #: Longest segment in atoms; windows and steps used in fitting.
-MAX_ATOMS, FIT_WINDOWS, EPOCHS = 4 * MAX_DIGITS + 4, 800, 12
+MAX_ATOMS, FIT_WINDOWS, EPOCHS = 4 * MAX_DIGITS + 4, 400, 12
 #: Characters of a window, and of the longest that is sampled; scores that are remembered.
 WINDOW, LONGEST, MAX_KNOWN = 300, 4096, 200_000
 #: An added span needs this marginal probability of its segment.
