@@ -50,6 +50,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the folder that `materialize` wrote for `table`, once nothing will read it any more."""
+    spark = table.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def join_to_classes(rows: DataFrame, classes: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
     """`rows` with the columns of `classes`, which has one row for each value of `on` and in `size` how many rows have it.
 
