@@ -54,6 +54,7 @@ def _prune(state: Any, pruned: Any, top: int | None, retention_ms: int, time_of:
 class KeepFirst(StatefulProcessor):
     """Status of rows by id: INVALID, DUPLICATE, LATE or ON_TIME. Ids are remembered for `retention_ms` of event time at least.
 
+    That runs from the latest time of the batch in which an id came, so an old event is not forgotten as it comes.
     A key is a bucket of ids, so ids are spread over tasks and a call of Python has many rows. (State that ends by
     processing time makes Spark start empty batches without end, so a bounded run would never be done.)
     """
@@ -66,16 +67,18 @@ class KeepFirst(StatefulProcessor):
         self.pruned = handle.getValueState("pruned", "ms long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        top = None
+        top, fresh = None, {}
         for row in sorted(rows, key=lambda r: (r.arrival, r.source_sequence)):
             top, status = row.top if top is None else max(top, row.top or top), "INVALID"
             if row.validation_reason is None:
-                if self.seen.containsKey((row.event_id,)):
+                if row.event_id in fresh or self.seen.containsKey((row.event_id,)):
                     status = "DUPLICATE"
                 else:
-                    self.seen.updateValue((row.event_id,), (row.event_time_ms,))
+                    fresh[row.event_id] = row.event_time_ms
                     status = "LATE" if row.top is not None and row.event_time_ms <= row.top - self.delay_ms else "ON_TIME"
             yield Row(**{k: v for k, v in row.asDict().items() if k not in ("top", "bucket")}, status=status)
+        for event_id, ms in fresh.items():
+            self.seen.updateValue((event_id,), (ms if top is None else max(ms, top),))
         _prune(self.seen, self.pruned, top, self.retention_ms, lambda value: value[0])
 
     def close(self) -> None:
