@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: A key with more than this share of all rows is heavy; at most 1 / HEAVY keys can be.
 HEAVY = 0.001
+#: Spark's setting that drops an action's shuffle files when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: lineage ends there, and any executor can be lost."""
+    """Write `df` to the shared folder and read it back: lineage ends there, and any executor can be lost.
+
+    The shuffle files of the write go when it has ended, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
