@@ -41,9 +41,10 @@ def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def test_ngram_join(spark, rows):
+def linked_components(rows):
+    """{doc_id: (set size, smallest doc_id reachable by links)} of (doc_id, text, ...), by all pairs."""
     sets = {}
-    for i, t, _ in rows:
+    for i, t, *_ in rows:
         w = words_of(t)
         sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
     root = {i: i for i in sets if i is not None}
@@ -56,9 +57,47 @@ def test_ngram_join(spark, rows):
         if both and 100 * both >= 80 * len(sets[a] | sets[b]):
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in root}
+
+
+def test_ngram_join(spark, rows):
     got = ngram_join.similar_documents(table(spark, rows)).collect()
     assert len(got) == len(rows)
-    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id} == {(i, len(sets[i]), find(i)) for i in root}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id} == linked_components(rows)
+
+
+def test_ngram_join_at_places_of_two_sets(spark):
+    """A set that meets one pivot at one place and another pivot at another place, and links with one of them alone."""
+    given = []
+    for k in range(120):
+        n = [f"w{k}x{j}" for j in range(13)]
+        texts = [n, [*n[:12], f"last{k}"], [*(f"other{k}x{j}" for j in range(8)), *n[8:]]]
+        given += [(3 * k + j, " ".join(texts[(j + k) % 3]), "a") for j in range(3)]
+    expected = linked_components(given)
+    assert sum(i != c for i, (_, c) in expected.items()) == 120
+    got = ngram_join.similar_documents(table(spark, given)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ngram_join_at_many_small_places(spark, seed):
+    """Texts of the ends and middles of a few others, so that sets meet two to four others at several places each."""
+    rnd = random.Random(seed)
+    given = []
+    for k in range(60):
+        bases = [[f"w{k}b{b}x{j}" for j in range(rnd.randint(12, 30))] for b in range(3)]
+        for _ in range(rnd.randint(3, 6)):
+            text = list(rnd.choice(bases))
+            for _ in range(rnd.randint(0, 2)):
+                text[rnd.choice((0, 1, -1, -2))] = f"new{rnd.randrange(3)}"
+            if rnd.random() < 0.4:
+                text += rnd.choice(bases)[-rnd.randint(5, 7) :]
+            if rnd.random() < 0.3:
+                text = rnd.choice(bases)[: rnd.randint(5, 6)] + text
+            given.append((len(given), " ".join(text), "a"))
+    rnd.shuffle(given)
+    got = ngram_join.similar_documents(table(spark, given)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked_components(given)
 
 
 def test_ngram_join_of_a_block_of_few_words(spark):

@@ -304,7 +304,7 @@ def _similar_rows(docs: DataFrame) -> DataFrame:
     places = materialize(places.groupBy("size", "members", "pivot", "pivot_n").agg(F.min("key").alias("key")), "places")
     met = join_to_classes(meet, places.select("key", "pivot", "pivot_n", "size"), ["key"], "size", meet.count())
     # Places with the same pivot are one from here on; n_shared says at how many of them a node meets it.
-    met = met.groupBy("pivot", "node").agg(F.min("doc_id").alias("doc_id"), F.min("d2").alias("d2"), F.max("n").alias("n"), F.max("pivot_n").alias("pivot_n"), F.max("size").alias("size"), F.count(F.lit(1)).alias("n_shared"))
+    met = met.groupBy("pivot", "node").agg(F.min("doc_id").alias("doc_id"), F.min("d2").alias("d2"), F.max("n").alias("n"), F.max("pivot_n").alias("pivot_n"), F.count(F.lit(1)).alias("n_shared"))
     met = materialize(met, "met")
     discard(meet)
     discard(places)
@@ -324,9 +324,9 @@ def _similar_rows(docs: DataFrame) -> DataFrame:
     parts = connected_components(links)
     # Then with the nearest of another component at each place, and last with all that the bound leaves.
     for nearest in (True, False):
-        rest = _mixed_places(met, labels_of(nodes, parts, n_nodes), vectors)
-        pairs = rest.mapInArrow(_joined_places(nearest), "a long, b long").distinct()
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = _mixed_places(met, labels_of(nodes, parts, n_nodes), vectors, known)
+        pairs = rest.mapInArrow(_joined_places(nearest), "a long, b long").distinct()
         fresh = materialize(pairs.join(known, ["a", "b"], "left_anti"), "tree-pairs")
         links = links.union(verified(fresh, docs, nodes, "tree-links"))
         tried = tried.union(fresh)
@@ -342,12 +342,16 @@ def _similar_rows(docs: DataFrame) -> DataFrame:
     return out.unionByName(rows.where("n = 0").select("doc_id", "h", "n", F.col("doc_id").alias("component"))).select("doc_id", "h", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def _mixed_places(met: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(key, i, j, side, node, label, vec) of the places that hold nodes of two labels, by pairs of tiles and sorted by place."""
-    labelled = materialize(met.where("size > 2").select(F.col("pivot").alias("key"), "node", "n").join(labels, "node"), "labelled")
+def _mixed_places(met: DataFrame, labels: DataFrame, vectors: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, i, j, side, node, label, vec) of the places that hold nodes of two labels, by pairs of tiles and sorted by place.
+
+    A place of two nodes is left out if its pair is `known`, as it then holds nothing that wasn't verified.
+    """
+    labelled = materialize(met.select(F.col("pivot").alias("key"), "node", "n").join(labels, "node"), "labelled")
     tiles = F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum(F.least("n", F.lit(TILE_BYTES))) / TILE_BYTES))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), tiles.alias("tiles"))
-    rest = labelled.join(mixed.where("low < high").select("key", "tiles"), "key").join(vectors, "node")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), tiles.alias("tiles"), F.count(F.lit(1)).alias("members"), F.min("node").alias("a"), F.max("node").alias("b")).where("low < high")
+    mixed = mixed.where("members > 2").unionByName(mixed.where("members = 2").join(known, ["a", "b"], "left_anti"))
+    rest = labelled.join(mixed.select("key", "tiles"), "key").join(vectors, "node")
     rest = rest.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     # Every pair of tiles of a place is one task's; side 2 stands on both sides of it.
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
