@@ -184,6 +184,12 @@ def test_special_token_is_read_as_tokenizers_does():
     assert packing.encoder()("a<|endoftext|>b") == [64, 50256, 65]
 
 
+def test_long_runs_of_white_space_are_packed(spark):
+    text = "x" + " " * 1_200_000 + "y"
+    got = packing.pack(table(spark, [(1, text, "a")])).collect()
+    assert sum(r.length for r in got) == got[0].doc_tokens == len(packing.encoder()(text)) + 1
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 

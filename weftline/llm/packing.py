@@ -8,7 +8,8 @@ a shuffle.
 
 Ids are those of the `tokenizers` file. The same vocabulary in `tiktoken` gives
 equal ids at a quarter of the time; texts that hold the file's special token, which
-only the first reads as such, go through `tokenizers` itself.
+only the first reads as such, or a run of white space too long for the second, go
+through `tokenizers` itself.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.llm import textkit
 from weftline.llm.common import read_table
 
 LONGEST = 2048
@@ -43,7 +45,7 @@ def encoder(json_path: str | None = None, ranks_path: str | None = None):
     fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
-        if SPECIAL in text:
+        if SPECIAL in text or textkit.has_long_run(text):
             return slow.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 

@@ -7,6 +7,7 @@ outside a separator set; hashes have 64 bits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -28,6 +29,14 @@ NOT_LETTER = np.array([not (x >= 128 or chr(x).isalnum()) for x in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+#: A longer run of white space is more than the pattern of the fast byte-level encoder can go back over.
+LONG_RUN = 200_000
+_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
+
+
+def has_long_run(text: str) -> bool:
+    return len(text) >= LONG_RUN and _RUN.search(text) is not None
+
 
 @dataclass
 class Block:
