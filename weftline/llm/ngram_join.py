@@ -43,6 +43,8 @@ OFTEN, MOST_COMMON = 4, 1_000_000
 #: times these), leaf size and fan-out of the tree.
 TILE, TILE_BYTES, LEAF, FAN = 2048, 8 << 20, 32, 16
 BROADCAST_NODES = 1_000_000
+#: Partners of one set that a task verifies.
+HUB_ROWS = 2048
 #: Bits of the map of keys that several sets hold; where it fills up, more keys are shuffled.
 MAP_BITS = 1 << 27
 
@@ -267,20 +269,44 @@ def bounded(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
-    """Of (a, b) the pairs that link, by the sets of their nodes (node, doc_id, d2); b's set is sent to a's, once a pair."""
-    ends = pairs.select(F.col("a").alias("hub"), F.col("b").alias("node")).union(pairs.select("a", "a").distinct())
+    """Of (a, b) the pairs that link, by the sets of their nodes (node, doc_id, d2).
+
+    b's set is sent to a's, once a pair. A task holds a's alone and reads the others
+    one by one; a's set goes to as many tasks as HUB_ROWS partners each call for.
+    """
+    hubs = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")).withColumn("shares", F.ceil(F.col("partners") / HUB_ROWS))
+    ends = join_to_classes(pairs, hubs, ["a"], "partners", pairs.count())
+    ends = ends.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"))
+    ends = ends.union(hubs.select("a", "a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1))))
     wanted = materialize(ends.join(nodes, "node"), f"{label}-nodes")
-    sets = materialize(_sets_of(docs, smallest_broadcast(wanted, wanted.count(), BROADCAST_NODES)), f"{label}-sets")
-    hubs = sets.where("hub = node").groupBy("hub").agg(F.first("shingles").alias("x"))
-    met = sets.where("hub <> node").select("hub", "node", F.col("shingles").alias("y")).join(hubs, "hub")
-    both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
-    found = met.where((100 + SHARE) * both >= SHARE * sizes)
-    links = materialize(found.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), label)
-    discard(sets)
+    sets = _sets_of(docs, smallest_broadcast(wanted, wanted.count(), BROADCAST_NODES))
+    # Not kept as a table: sets are as large as texts, and are read once.
+    met = sets.repartition("hub", "share").sortWithinPartitions("hub", "share", F.col("node") != F.col("hub"))
+    links = materialize(met.select("hub", "node", "shingles").mapInArrow(_linked, "a long, b long").distinct(), label)
     discard(wanted)
     return links
 
 
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that link of rows (hub, node, shingles), where a hub's own set comes before the others."""
+    own, x = None, np.zeros(0, np.int64)
+    for batch in batches:
+        kept = []
+        hubs, nodes, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        for k, (hub, node) in enumerate(zip(hubs, nodes)):
+            y = values[offsets[k] : offsets[k + 1]]
+            if node == hub:
+                own, x = hub, y.copy()
+                continue
+            if own != hub:
+                raise RuntimeError(f"the set of node {hub} is missing")
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if (100 + SHARE) * both >= SHARE * (len(x) + len(y)):
+                kept.append((hub, node))
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in kept], pa.int64()), "b": pa.array([b for _, b in kept], pa.int64())})
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -367,23 +393,23 @@ def labels_of(nodes: DataFrame, parts: DataFrame, n_nodes: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(hub, node, shingles) of the wanted (node, hub, doc_id, d2); digests tell rows that share an id apart, and a task gives a pair once."""
+    """(hub, share, node, shingles) of the wanted (node, hub, share, doc_id, d2); digests tell rows that share an id apart, and a task gives a pair once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: set[tuple[int, int]] = set()
+        given: set[tuple[int, int, int]] = set()
         for batch in batches:
             for block in textkit.blocks(batch.column(1)):
                 own = batch.slice(block.first, block.n)
-                out: dict[str, list] = {"hub": [], "node": [], "shingles": []}
-                for x, (node, hub, d2) in zip(shingle_sets(block), zip(*(own.column(c).to_pylist() for c in (0, 2, 3)))):
-                    if (hub, node) not in given and digest(x) == (node, d2):
-                        given.add((hub, node))
-                        for name, value in zip(out, (hub, node, x.view(np.int64))):
+                out: dict[str, list] = {"hub": [], "share": [], "node": [], "shingles": []}
+                for x, (node, hub, share, d2) in zip(shingle_sets(block), zip(*(own.column(c).to_pylist() for c in (0, 2, 3, 4)))):
+                    if (hub, share, node) not in given and digest(x) == (node, d2):
+                        given.add((hub, share, node))
+                        for name, value in zip(out, (hub, share, node, x.view(np.int64))):
                             out[name].append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(out["hub"], pa.int64()), pa.array(out["node"], pa.int64()), pa.array(out["shingles"], pa.list_(pa.int64()))], names=list(out))
+                yield pa.RecordBatch.from_arrays([*(pa.array(out[c], pa.int64()) for c in ("hub", "share", "node")), pa.array(out["shingles"], pa.list_(pa.int64()))], names=list(out))
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
-    return rows.select("node", "text", "hub", "d2").mapInArrow(run, "hub long, node long, shingles array<long>")
+    return rows.select("node", "text", "hub", "share", "d2").mapInArrow(run, "hub long, share long, node long, shingles array<long>")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
