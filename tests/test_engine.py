@@ -10,18 +10,8 @@ from weftline.operators import events as E
 from weftline.operators import serving as S
 from weftline.plans import registry
 from weftline.sources import ingest
-from weftline.streaming import pipeline as P
 
 SF = "/root/testdata/sf0.001"
-# User, item, category, behavior, seconds after 1511658000.
-FIXTURE = [(1, 100, 10, "cart", 0), (1, 100, 10, "pv", 1), (2, 100, 10, "fav", 2), (-1, 200, 20, "pv", 3), (1, 101, 11, "cart", 4), (1, 101, 11, "cart", 5), (2, 102, 12, "cart", 6), (2, 102, 12, "buy", 7), (1, 100, 10, "buy", 8), (1, 100, 10, "pv", 70), (2, 103, 13, "buy", 10), (2, 104, 14, "pv", 71)]
-
-
-@pytest.fixture(scope="module")
-def golden(spark):
-    rows = [(u, i, c, b, (1511658000 + t) * 1000, k, f"golden-{run}", n * 100 + k) for n, run in enumerate("ab") for k, (u, i, c, b, t) in enumerate(FIXTURE)]
-    df = spark.createDataFrame(rows, "user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, arrival long")
-    return df.withColumn("event_id", event_identity())
 
 
 def test_golden_accounting_and_identity(golden):
@@ -52,7 +42,7 @@ def test_watermark_by_stretches_equals_the_plain_window(spark, monkeypatch):
 PARITY = """
 item_metrics_1m user_features_1m quality_events active_cart active_cart_short_ttl catalog_version_guard trending ingest_parse csv_scan replay_output
 messages_raw messages_quality messages_catalog catalog_manifest catalog_loaded catalog_cdc latest_of_versions feature_contract user_cart_lookup user_feature_lookup replay_schedule
-stream_accepted stream_user_features stream_cart_mutations stream_sharded_metrics stream_restarted_raw
+stream_accepted stream_user_features stream_item_metrics stream_quality stream_cart_latest job_raw job_metrics job_features job_quality job_cart stream_late_shard stream_idle_shard
 """.split()
 
 
@@ -95,33 +85,6 @@ def test_feature_guard(spark):
     assert (got.feature_version, got.event_count) == (5, 7)
 
 
-def test_a_stream_that_stops_and_starts_again_gives_the_same_rows(spark, golden, tmp_path):
-    """OP-49: half of the log, a stop, the rest from the checkpoint; against one run over all."""
-    spark.conf.set(*P.STATE_CONF)
-    log = golden.select(*[c.split()[0] for c in P.EVENT.split(", ")])
-    first, rest = log.where("arrival < 8"), log.where("arrival >= 8")
-
-    def drain(name):
-        stream = P.classified_stream(P.event_stream(spark, str(tmp_path / name / "log")))
-        P.append_to(stream, str(tmp_path / name / "out"), str(tmp_path / name / "checkpoint")).awaitTermination()
-        return sorted((r.arrival, r.status) for r in spark.read.schema(P.CLASSIFIED).parquet(str(tmp_path / name / "out")).collect())
-
-    log.coalesce(1).write.parquet(str(tmp_path / "once" / "log"))
-    first.coalesce(1).write.mode("append").parquet(str(tmp_path / "twice" / "log"))
-    assert len(drain("twice")) == 8
-    rest.coalesce(1).write.mode("append").parquet(str(tmp_path / "twice" / "log"))
-    assert drain("twice") == drain("once")
-
-
-def test_fan_out_writes_each_sink(spark, golden, tmp_path):
-    log = golden.select(*[c.split()[0] for c in P.EVENT.split(", ")])
-    log.coalesce(1).write.parquet(str(tmp_path / "log"))
-    sinks = {"accepted": lambda b: b.where("status IN ('ON_TIME', 'LATE')"), "quality": P.stream_quality}
-    P.fan_out(P.classified_stream(P.event_stream(spark, str(tmp_path / "log"))), sinks, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out/accepted")).count() == 11
-    assert {r.quality_event_id[:8] for r in spark.read.parquet(str(tmp_path / "out/quality")).collect()} == {"45261c00", "6d8fda92", "88e3f46d"}
-
-
 def test_catalog_is_written_whole_with_a_digest(spark, tmp_path):
     rows = spark.createDataFrame([(2, 5), (1, 7), (1, 6), (1, 7)], "item_id long, category_id long")
     S.write_catalog(S.generate_catalog(rows), str(tmp_path / "c"), 2)
@@ -141,19 +104,6 @@ def test_lookups_without_anything(spark):
         S.user_feature_lookup(spark, features, 0, 0)
 
 
-def test_ids_are_forgotten_after_the_retention(spark, golden, tmp_path):
-    spark.conf.set(*P.STATE_CONF)
-    row = golden.where("source_sequence = 0 AND replay_run_id = 'golden-a'").select(*[c.split()[0] for c in P.EVENT.split(", ")])
-    for k, (name, ahead) in enumerate([("x", 0), ("y", 100_000), ("x", 0), ("x", 0), ("x", 0)]):
-        moved = row.withColumn("event_id", F.lit(name)).withColumn("event_time_ms", F.col("event_time_ms") + ahead).withColumn("arrival", F.lit(k).cast("bigint"))
-        moved.coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
-        stream = P.classified_stream(P.event_stream(spark, str(tmp_path / "log")), retention_ms=24_000)
-        P.append_to(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-    got = spark.read.schema(P.CLASSIFIED).parquet(str(tmp_path / "out")).orderBy("arrival").collect()
-    # The third row's id is still there when it comes; with it the time that has passed is seen.
-    assert [r.status for r in got] == ["ON_TIME", "ON_TIME", "DUPLICATE", "LATE", "DUPLICATE"]
-
-
 def test_csv_scan_numbers_files_in_path_order_and_splits_them(spark, tmp_path):
     for k in range(9):
         (tmp_path / f"part-{k}.csv").write_text(f"{k},2,3,pv,4\n" + (f"{k},x\n\n" if k % 2 else "") + ("user_id,item_id,category_id,behavior_type,timestamp\n" if k == 4 else ""))
@@ -218,27 +168,3 @@ def test_replay_writes_events_and_rejects(spark, tmp_path):
         ingest.write_replay(parsed, source, out, str(tmp_path / "new"))
     with pytest.raises(ValueError):
         ingest.write_replay(parsed, source, out, out, force=True)
-
-
-def test_upserts_are_merged(spark, golden, tmp_path):
-    spark.conf.set(*P.STATE_CONF)
-    log = golden.select(*[c.split()[0] for c in P.EVENT.split(", ")])
-    for k in range(3):
-        log.where(f"arrival % 3 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
-    stream = P.stream_cart(P.classified_stream(P.event_stream(spark, str(tmp_path / "log"), 1)))
-    P.upsert_to(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), ["user_id", "item_id"], ["event_time_ms", "source_sequence"], merge_every=2).awaitTermination()
-    assert P._batches(spark, str(tmp_path / "out"))["merged"] == [1]
-    got = P.read_upserts(spark, str(tmp_path / "out"), ["user_id", "item_id"], ["event_time_ms", "source_sequence"])
-    want = E.latest_cart(E.valid_events(golden))
-    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
-
-
-def test_a_job_goes_on_until_it_is_stopped(spark, golden, tmp_path):
-    spark.conf.set(*P.STATE_CONF)
-    golden.select(*[c.split()[0] for c in P.EVENT.split(", ")]).coalesce(1).write.parquet(str(tmp_path / "log"))
-    query = P.run_job(spark, str(tmp_path / "log"), str(tmp_path / "out"), RuntimeConfig(str(tmp_path / "checkpoint"), checkpoint_interval_ms=500, bounded=False))
-    query.processAllAvailable()
-    assert query.isActive
-    query.stop()
-    assert spark.read.parquet(str(tmp_path / "out/raw")).count() == 11 and spark.read.parquet(str(tmp_path / "out/quality")).count() == 3
-    assert "Scan" in P.plan_of(spark.read.parquet(str(tmp_path / "out/raw")))

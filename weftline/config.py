@@ -20,11 +20,16 @@ class RuntimeConfig:
     feature_ttl_seconds: int = 86_400
     bounded: bool = True
     flush_open_windows: bool = False
+    #: Shards that the source has; those that haven't come hold windows open. A job that isn't bounded does without one that is silent for the idle timeout.
+    shards: tuple[str, ...] = ()
+    idle_timeout_ms: int = 30_000
+    restart_attempts: int = 3
+    restart_delay_ms: int = 10_000
 
     def __post_init__(self):
         if not self.checkpoint_dir.strip():
             raise ValueError("checkpoint_dir is required")
-        for name in ("watermark_delay_ms", "dedup_retention_hours", "checkpoint_interval_ms", "cart_ttl_seconds", "feature_ttl_seconds"):
+        for name in ("watermark_delay_ms", "dedup_retention_hours", "checkpoint_interval_ms", "cart_ttl_seconds", "feature_ttl_seconds", "idle_timeout_ms", "restart_attempts", "restart_delay_ms"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
 

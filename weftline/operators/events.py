@@ -43,21 +43,30 @@ def keep_first(events: DataFrame, *order: str) -> DataFrame:
     return events.withColumn("__nth", rank).where("__nth = 1").drop("__nth")
 
 
-def with_watermark(events: DataFrame, delay_ms: int = 5000) -> DataFrame:
-    """OP-41: watermark_ms from all rows that arrived earlier; null before any.
+def with_running_top(events: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Add __top, the largest event time of all rows that arrived earlier, of the same `by` if given; null before any.
 
     A running maximum over the arrival order, done by stretches of arrivals: the
     maximum of each stretch, a prefix maximum over that small table, and a
     running maximum within a stretch. No task holds the whole order. Rows without
     arrival come first.
     """
+    by = by or []
     rows = events.withColumn("__stretch", F.floor(F.col("arrival") / STRETCH))
-    tops = rows.groupBy("__stretch").agg(F.max("event_time_ms").alias("__top"))
-    before = Window.orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.select("__stretch", F.max("__top").over(before).alias("__before"))
-    inside = Window.partitionBy("__stretch").orderBy("arrival", "source_sequence").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(tops.withColumnRenamed("__stretch", "__of"), F.col("__stretch").eqNullSafe(F.col("__of"))).drop("__of").withColumn("__max", F.greatest("__before", F.max("event_time_ms").over(inside)))
-    return rows.withColumn("watermark_ms", F.col("__max") - delay_ms).drop("__stretch", "__before", "__max")
+    tops = rows.groupBy(*by, "__stretch").agg(F.max("event_time_ms").alias("__most"))
+    before = Window.partitionBy(*by).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select(*[F.col(c).alias(f"__of_{c}") for c in by], F.col("__stretch").alias("__of"), F.max("__most").over(before).alias("__before"))
+    same = F.col("__stretch").eqNullSafe(F.col("__of"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    inside = Window.partitionBy(*by, "__stretch").orderBy("arrival", "source_sequence").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(tops, same).withColumn("__top", F.greatest("__before", F.max("event_time_ms").over(inside)))
+    return rows.drop("__stretch", "__of", "__before", *[f"__of_{c}" for c in by])
+
+
+def with_watermark(events: DataFrame, delay_ms: int = 5000) -> DataFrame:
+    """OP-41: watermark_ms from all rows that arrived earlier; null before any."""
+    return with_running_top(events).withColumn("watermark_ms", F.col("__top") - delay_ms).drop("__top")
 
 
 def accepted(events: DataFrame, delay_ms: int = 5000) -> DataFrame:

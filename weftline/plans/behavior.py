@@ -67,3 +67,4 @@ cart AS (
   SELECT user_id, item_id, category_id, behavior_type, event_time_ms, source_sequence FROM uniq WHERE behavior_type IN ('cart', 'buy')
   QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY event_time_ms DESC, source_sequence DESC) = 1)
 """
+MUTATIONS = "SELECT CASE behavior_type WHEN 'buy' THEN 'DELETE' ELSE 'UPSERT' END AS operation, user_id, item_id, category_id, CASE behavior_type WHEN 'buy' THEN 0 ELSE event_time_ms END AS added_at_ms, event_time_ms AS last_updated_at_ms FROM cart"

@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.config import RuntimeConfig
 from weftline.operators import events as E
 from weftline.operators import serving as S
-from weftline.plans.behavior import ORACLE, replayed, source_events
+from weftline.plans import streams
+from weftline.plans.behavior import MUTATIONS, ORACLE, replayed, source_events
+from weftline.plans.scratch import scratch
 from weftline.sources import ingest
-from weftline.streaming import pipeline as P
 
 Query = Callable[[SparkSession, str], DataFrame]
 MINUTES, SHORT_TTL = 1440, 3600
@@ -97,74 +92,6 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.latest_version(twice, ["window_start_ms", "item_id", "source_category_id"], "record_version", "ingest_sequence")
 
 
-@lru_cache(maxsize=1)
-def _own_dir() -> str:
-    found = tempfile.mkdtemp(prefix="weftline-")
-    atexit.register(shutil.rmtree, found, True)
-    return found
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder in spark.checkpoint.dir; in local mode one of our own where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        shared = _own_dir()
-    return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
-def _log(rows: DataFrame, path: str) -> None:
-    """The events in order of arrival as a log of four files."""
-    rows.select(*[c.split()[0] for c in P.EVENT.split(", ")]).repartitionByRange(4, "arrival").sortWithinPartitions("arrival").write.mode("append").parquet(path)
-
-
-CART_KEYS, CART_VERSION = ["user_id", "item_id"], ["event_time_ms", "source_sequence"]
-
-
-def _streamed(spark: SparkSession, sf_dir: str, what: Callable[[DataFrame], DataFrame], version: list[str] | None = None) -> DataFrame:
-    """Run a stream over the log to its end and read what it wrote: an append log, or the newest of each cart key by `version`."""
-    spark.conf.set(*P.STATE_CONF)
-    root = scratch(spark, "stream")
-    _log(replayed(spark, sf_dir), f"{root}/log")
-    stream = what(P.classified_stream(P.event_stream(spark, f"{root}/log")))
-    if version is None:
-        P.append_to(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-        return spark.read.schema(stream.schema).parquet(f"{root}/out")
-    P.upsert_to(stream, f"{root}/out", f"{root}/checkpoint", CART_KEYS, version).awaitTermination()
-    return P.read_upserts(spark, f"{root}/out", CART_KEYS, version)
-
-
-def _fanned_out(spark: SparkSession, sf_dir: str, parts: int, sink: str) -> DataFrame:
-    """OP-48, 49: the job over the log in `parts` runs, each from the checkpoint of the one before."""
-    spark.conf.set(*P.STATE_CONF)
-    root, rows = scratch(spark, "job"), replayed(spark, sf_dir)
-    config = RuntimeConfig(f"{root}/checkpoint")
-    for k in range(parts):
-        _log(rows.where(F.col("replay_run_id") == "ab"[k]) if parts == 2 else rows, f"{root}/log")
-        P.run_job(spark, f"{root}/log", f"{root}/out", config).awaitTermination()
-    return spark.read.parquet(f"{root}/out/{sink}").drop("batch")
-
-
-def _shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two shards of one run, 100 hours apart."""
-    rows = replayed(spark, sf_dir).where("replay_run_id = 'a'")
-    return rows.withColumn("event_time_ms", F.col("event_time_ms") + F.when(F.col("user_id") % 2 == 1, 360_000_000).otherwise(0))
-
-
-def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set(*P.STATE_CONF)
-    root = scratch(spark, "shards")
-    rows = _shard_rows(spark, sf_dir)
-    last = rows.agg(F.max("arrival")).first()[0] or 0
-    for k in range(3):  # files one after the other, each a batch
-        part = rows.where(F.floor(F.col("arrival") * 3 / (last + 1)) == k)
-        part.select(*[c.split()[0] for c in P.EVENT.split(", ")]).coalesce(1).sortWithinPartitions("arrival").write.mode("append").parquet(f"{root}/log")
-    rows = P.classified_stream(P.event_stream(spark, f"{root}/log", 1), shard=F.col("user_id") % 2)
-    P.shard_metrics_to(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out/out").drop("batch")
-
-
 def _csv(spark: SparkSession, sf_dir: str) -> str:
     """The raw rows of `_parsed` as five CSV files, the first with a header."""
     root, rows = scratch(spark, "csv"), _raw_rows(spark, sf_dir)
@@ -262,7 +189,7 @@ EVENT_COLUMNS = ("event_id", "user_id", "item_id", "category_id", "behavior_type
 
 
 def queries() -> dict[str, Query]:
-    return {
+    return streams.queries() | {
         "event_identity": lambda s, d: replayed(s, d).select("source_sequence", "replay_run_id", "event_id"),
         "validation_reasons": lambda s, d: E.classify(replayed(s, d)).groupBy("validation_reason").agg(F.count(F.lit(1)).alias("events")),
         "valid_events": lambda s, d: E.valid_events(replayed(s, d)).select(*EVENT_COLUMNS, "replay_run_id"),
@@ -304,15 +231,6 @@ def queries() -> dict[str, Query]:
         "serving_keys": lambda s, d: _features(s, d).select("user_id").distinct().select("user_id", S.serving_key("cart", F.col("user_id")).alias("cart_key"), S.serving_key("features", F.col("user_id")).alias("feature_key")),
         "replay_schedule": lambda s, d: ingest.replay_schedule(source_events(s, d), 4.0).select("source_sequence", "due_ms"),
         "producer_rows": lambda s, d: ingest.kafka_rows(source_events(s, d).select("user_id", "source_sequence")),
-        "stream_user_features": lambda s, d: _streamed(s, d, P.stream_user_features),
-        "stream_quality": lambda s, d: _streamed(s, d, lambda x: P.stream_quality(x, F.col("event_time_ms") + 7)),
-        "stream_accepted": lambda s, d: _streamed(s, d, lambda x: x.where("status IN ('ON_TIME', 'LATE')")).select(*EVENT_COLUMNS, "status"),
-        "stream_item_metrics": lambda s, d: _streamed(s, d, P.stream_item_metrics),
-        "stream_cart_latest": lambda s, d: _streamed(s, d, P.stream_cart, CART_VERSION),
-        "stream_cart_mutations": lambda s, d: _streamed(s, d, P.stream_cart_mutations, ["last_updated_at_ms", "source_sequence"]).drop("source_sequence"),
-        "stream_sharded_metrics": _sharded,
-        "stream_fan_out_raw": lambda s, d: _fanned_out(s, d, 1, "raw"),
-        "stream_restarted_raw": lambda s, d: _fanned_out(s, d, 2, "raw"),
         "csv_scan": _csv_scan,
         "csv_batches": lambda s, d: ingest.batch_numbers(_raw_rows(s, d).select("source_sequence")).groupBy("batch").agg(F.count(F.lit(1)).alias("source_rows")),
         "replay_output": _replay_output,
@@ -345,22 +263,9 @@ _PRICE = "((product_id % 50000 + 100)::DECIMAL(12,2) / 100)::DECIMAL(12,2)"
 _CLOSED = "window_start_ms + 60000 <= (SELECT max(event_time_ms) - 5000 FROM ev)"
 
 
-_MUTATIONS = "SELECT CASE behavior_type WHEN 'buy' THEN 'DELETE' ELSE 'UPSERT' END AS operation, user_id, item_id, category_id, CASE behavior_type WHEN 'buy' THEN 0 ELSE event_time_ms END AS added_at_ms, event_time_ms AS last_updated_at_ms FROM cart"
 _VALUES = "CASE WHEN source_sequence % 13 = 0 THEN ' ' || user_id || ' ' WHEN source_sequence % 29 = 0 THEN 'x' ELSE user_id::VARCHAR END || ',' || item_id || ',' || category_id || ',' || behavior_type"
 _LINE = f"{_VALUES} || CASE WHEN source_sequence % 31 = 0 THEN '' ELSE ',' || (event_time_ms // 1000) END"
 _REJECTED = ", rejected AS (SELECT *, CASE WHEN source_sequence % 31 = 0 THEN 'COLUMN_COUNT' WHEN source_sequence % 29 = 0 AND source_sequence % 13 <> 0 THEN 'NOT_AN_INTEGER' WHEN behavior_type NOT IN ('pv', 'cart', 'fav', 'buy') THEN 'BEHAVIOR_TYPE' END AS reason FROM src)"
-_SHARDED_SQL = """
-, two AS (SELECT * EXCLUDE (event_time_ms), event_time_ms + CASE WHEN user_id % 2 = 1 THEN 360000000 ELSE 0 END AS event_time_ms FROM ev WHERE replay_run_id = 'a'),
-timed AS (
-  SELECT *, max(event_time_ms) OVER (PARTITION BY user_id % 2 ORDER BY arrival, source_sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000 AS watermark_ms FROM two),
-counted AS (
-  SELECT *, event_time_ms - event_time_ms % 60000 AS window_start_ms FROM timed
-  WHERE behavior_type IN ('pv', 'cart', 'fav', 'buy') AND user_id > 0 AND item_id > 0 AND category_id > 0 AND event_time_ms > 0 AND NOT coalesce(event_time_ms <= watermark_ms, false))
-SELECT window_start_ms, item_id, category_id AS source_category_id, count(*) FILTER (behavior_type = 'pv') AS pv_count, count(*) FILTER (behavior_type = 'cart') AS cart_count,
-       count(*) FILTER (behavior_type = 'fav') AS fav_count, count(*) FILTER (behavior_type = 'buy') AS buy_count, count(DISTINCT user_id) AS unique_users, min(replay_run_id) AS replay_run_id, window_start_ms + 60000 AS record_version
-FROM counted WHERE window_start_ms + 60000 <= (SELECT min(top) FROM (SELECT max(event_time_ms) AS top FROM two GROUP BY user_id % 2)) - 5000
-GROUP BY window_start_ms, item_id, category_id
-"""
 
 
 def _cart_sql(ttl: int) -> str:
@@ -384,7 +289,6 @@ GROUP BY 1, 2, 3 ORDER BY purchases DESC, carts DESC, views DESC, product_id LIM
 
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(EVENT_COLUMNS)
-    shown = "window_start_ms, item_id, source_category_id, pv_count, cart_count, fav_count, buy_count, unique_users, replay_run_id, record_version"
     selects = {
         "event_identity": "SELECT source_sequence, replay_run_id, event_id FROM ev",
         "validation_reasons": "SELECT validation_reason, count(*) AS events FROM cls GROUP BY 1",
@@ -400,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "quality_summary": "SELECT quality_type, count(*) AS events FROM quality GROUP BY 1",
         "accounting": "SELECT d AS source_rows, d AS decoded, 0::BIGINT AS producer_rejected, i AS invalid, d - i AS valid, a AS accepted_unique, d - i - a AS duplicate, l AS late, a - l AS on_time FROM (SELECT (SELECT count(*) FROM cls) AS d, (SELECT count(*) FROM cls WHERE validation_reason IS NOT NULL) AS i, (SELECT count(*) FROM uniq) AS a, (SELECT count(*) FROM uniq WHERE is_late) AS l)",
         "cart_latest": "SELECT * FROM cart",
-        "cart_mutations": _MUTATIONS,
+        "cart_mutations": MUTATIONS,
         "active_cart": _cart_sql(604_800),
         "active_cart_short_ttl": _cart_sql(SHORT_TTL),
         "features_online": "SELECT user_id, feature_id, window_start, window_end, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_version, feature_version + 86400000 AS expires_at_ms FROM features QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY feature_version DESC) = 1",
@@ -429,15 +333,6 @@ def oracle_sql() -> dict[str, str]:
         "serving_keys": "SELECT DISTINCT user_id, 'weft:active_cart:{' || user_id || '}' AS cart_key, 'weft:features:user:{' || user_id || '}' AS feature_key FROM features",
         "replay_schedule": "SELECT source_sequence, greatest(0, event_time_ms - (SELECT arg_min(event_time_ms, source_sequence) FROM src)) / 4.0::DOUBLE AS due_ms FROM src",
         "producer_rows": "SELECT user_id::VARCHAR AS key, '{\"user_id\":' || user_id || ',\"source_sequence\":' || source_sequence || '}' AS value FROM src",
-        "stream_user_features": f"SELECT window_start_ms, user_id, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_id, feature_version FROM features WHERE {_CLOSED}",
-        "stream_quality": "SELECT * FROM quality",
-        "stream_accepted": f"SELECT {columns}, CASE WHEN is_late THEN 'LATE' ELSE 'ON_TIME' END AS status FROM uniq",
-        "stream_item_metrics": f"SELECT {shown} FROM metrics WHERE {_CLOSED}",
-        "stream_cart_latest": "SELECT * FROM cart",
-        "stream_cart_mutations": _MUTATIONS,
-        "stream_sharded_metrics": _SHARDED_SQL,
-        "stream_fan_out_raw": f"SELECT {columns}, replay_run_id, event_time_ms AS record_version FROM uniq",
-        "stream_restarted_raw": f"SELECT {columns}, replay_run_id, event_time_ms AS record_version FROM uniq",
         "csv_scan": f"SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, {_LINE} AS line FROM src",
         "csv_batches": "SELECT source_sequence // 1000 AS batch, count(*) AS source_rows FROM src GROUP BY 1",
         "replay_output": f"{_REJECTED} SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, CASE WHEN reason IS NULL THEN sha256(user_id || chr(31) || item_id || chr(31) || category_id || chr(31) || behavior_type || chr(31) || (event_time_ms // 1000) || chr(31) || (source_sequence - (SELECT min(source_sequence) FROM src))) END AS event_id, reason FROM rejected",
@@ -448,4 +343,4 @@ def oracle_sql() -> dict[str, str]:
         "absent_feature_lookup": "SELECT 1000000000000000::BIGINT AS user_id, false AS available, -2::BIGINT AS ttl_seconds",
         "snapshot_order": "SELECT window_start, item_id, source_category_id, unique_users FROM metrics ORDER BY window_start, item_id, source_category_id",
     }
-    return {name: ORACLE + sql for name, sql in selects.items()}
+    return streams.oracle_sql() | {name: ORACLE + sql for name, sql in selects.items()}

@@ -1,116 +1,42 @@
-"""Structured Streaming forms (OP-14, 15, 41..50)."""
+"""The streaming job: five sinks of one query, with one commit a batch (OP-7, 14, 27, 28, 40..50, 63).
+
+State by key (ids, carts) is in `state`. What needs the order of all rows is done
+within each batch by ordinary DataFrame operations: the watermark of a shard is a
+prefix maximum by stretches of arrivals, so no task has a shard's rows, and what
+goes from batch to batch is one time a shard. Windows stay open as counts by hour
+until the clock of the slowest shard has passed them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from weftline.config import BEHAVIORS, RuntimeConfig
 from weftline.functions.scalar import MINUTE, behavior_count, minute_start, sha_of, window_label
 from weftline.operators import events as E
+from weftline.operators import serving as S
+from weftline.streaming.commits import Commits, read_sink
+from weftline.streaming.state import EVENT, STATE_CONF, deduplicated
 
-EVENT = "event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, arrival long"
-CLASSIFIED = f"{EVENT}, validation_reason string, shard string, status string"
-#: How long ids and carts are remembered.
-RETENTION_MS = 168 * 3_600_000
-#: Keys that ids and users are dealt into; at least as many as there are tasks to work on them.
-BUCKETS = 64
-CART = "user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long"
-STATE_CONF = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-
-class Clock(StatefulProcessor):
-    """Adds to each row, by arrival, the largest event time of all rows of its shard before it; that time is all the state there is."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getValueState("top", "ms long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        top = self.top.get()[0] if self.top.exists() else None
-        for row in sorted(rows, key=lambda r: (r.arrival, r.source_sequence)):
-            yield Row(**row.asDict(), top=top)
-            top = row.event_time_ms if top is None else max(top, row.event_time_ms)
-        if top is not None:
-            self.top.update((top,))
-
-    def close(self) -> None:
-        pass
-
-
-def _prune(state: Any, pruned: Any, top: int | None, retention_ms: int, time_of: Callable[[Any], int]) -> None:
-    """Forget what is older than the retention behind `top`; looked for each time that has moved by a 24th of it."""
-    last = pruned.get()[0] if pruned.exists() else None
-    if top is None or (last is not None and top - last < retention_ms // 24):
-        return
-    pruned.update((top,))
-    for key in [key for key, value in state.iterator() if time_of(value) < top - retention_ms]:
-        state.removeKey(key)
+HOUR = 3_600_000
+#: Batches whose open windows are kept apart; beyond that they become one table.
+PARTS = 20
+_COUNTS = ", ".join(f"{b}_count long" for b in BEHAVIORS)
+_PART = f"window_start_ms long, item_id long, source_category_id long, user_id long, {_COUNTS}, replay_run_id string"
 
-
-class KeepFirst(StatefulProcessor):
-    """Status of rows by id: INVALID, DUPLICATE, LATE or ON_TIME. Ids are remembered for `retention_ms` of event time at least.
-
-    That runs from the latest time of the batch in which an id came, so an old event is not forgotten as it comes.
-    A key is a bucket of ids, so ids are spread over tasks and a call of Python has many rows. (State that ends by
-    processing time makes Spark start empty batches without end, so a bounded run would never be done.)
-    """
-
-    def __init__(self, delay_ms: int, retention_ms: int):
-        self.delay_ms, self.retention_ms = delay_ms, retention_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "event_id string", "ms long")
-        self.pruned = handle.getValueState("pruned", "ms long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        top, fresh = None, {}
-        for row in sorted(rows, key=lambda r: (r.arrival, r.source_sequence)):
-            top, status = row.top if top is None else max(top, row.top or top), "INVALID"
-            if row.validation_reason is None:
-                if row.event_id in fresh or self.seen.containsKey((row.event_id,)):
-                    status = "DUPLICATE"
-                else:
-                    fresh[row.event_id] = row.event_time_ms
-                    status = "LATE" if row.top is not None and row.event_time_ms <= row.top - self.delay_ms else "ON_TIME"
-            yield Row(**{k: v for k, v in row.asDict().items() if k not in ("top", "bucket")}, status=status)
-        for event_id, ms in fresh.items():
-            self.seen.updateValue((event_id,), (ms if top is None else max(ms, top),))
-        _prune(self.seen, self.pruned, top, self.retention_ms, lambda value: value[0])
-
-    def close(self) -> None:
-        pass
-
-
-class LatestCart(StatefulProcessor):
-    """The row of a user and item whenever a newer one replaces it; remembered for `ttl_ms` of event time at least. A key is a bucket of users."""
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getMapState("last", "user_id long, item_id long", "ms long, sequence long")
-        self.pruned = handle.getValueState("pruned", "ms long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        newest: dict[tuple[int, int], Row] = {}
-        for row in rows:
-            cart = (row.user_id, row.item_id)
-            if cart not in newest or (newest[cart].event_time_ms, newest[cart].source_sequence) < (row.event_time_ms, row.source_sequence):
-                newest[cart] = row
-        for cart, row in newest.items():
-            version = (row.event_time_ms, row.source_sequence)
-            if not self.last.containsKey(cart) or tuple(self.last.getValue(cart)) < version:
-                self.last.updateValue(cart, version)
-                yield Row(**{k: v for k, v in row.asDict().items() if k != "bucket"})
-        top = max((row.event_time_ms for row in newest.values()), default=None)
-        _prune(self.last, self.pruned, top, self.ttl_ms, lambda value: value[0])
-
-    def close(self) -> None:
-        pass
+SINKS = {
+    "raw": "event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, record_version long",
+    "metrics": f"window_start_ms long, item_id long, source_category_id long, {_COUNTS}, unique_users long, replay_run_id string, window_start string, record_version long",
+    "features": f"window_start_ms long, user_id long, event_count long, {_COUNTS}, distinct_items long, window_start string, window_end string, feature_id string, feature_version long, record_version long",
+    "quality": "quality_type string, event_id string, user_id long, item_id long, category_id long, behavior_type string, event_time_ms long, source_sequence long, replay_run_id string, reason_code string, quality_event_id string, reason_message string, observed_at_ms long, record_version long",
+    "cart": "operation string, user_id long, item_id long, category_id long, added_at_ms long, last_updated_at_ms long, source_sequence long, change long",
+}
 
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -118,172 +44,214 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def classified_stream(events: DataFrame, delay_ms: int = 5000, shard: Any = None, retention_ms: int = RETENTION_MS) -> DataFrame:
-    """Rows with their status, and their shard. `shard` is a column that splits the order of arrival, such as the source partition; each shard has its own watermark.
+def with_heartbeats(events: DataFrame) -> DataFrame:
+    """A row a second that is no event, so that a shard is found idle though nothing comes."""
+    spark = events.sparkSession
+    beats = spark.readStream.format("rate").load().select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema], F.lit(True).alias("beat"))
+    return events.withColumn("beat", F.lit(False)).unionByName(beats)
 
-    A shard's task keeps one number; ids are deduplicated by id, wherever they came from.
-    """
-    rows = E.classify(events).withColumn("shard", (F.lit(0) if shard is None else shard).cast("string"))
-    timed = rows.groupBy("shard").transformWithState(statefulProcessor=Clock(), outputStructType=f"{EVENT}, validation_reason string, shard string, top long", outputMode="Append", timeMode="None")
-    timed = timed.withColumn("bucket", F.pmod(F.xxhash64(F.coalesce("event_id", F.concat_ws("|", "replay_run_id", "source_sequence"))), F.lit(BUCKETS)))
-    return timed.groupBy("bucket").transformWithState(statefulProcessor=KeepFirst(delay_ms, retention_ms), outputStructType=CLASSIFIED, outputMode="Append", timeMode="None")
 
+def classified(rows: DataFrame, tops: dict[str, int], closed: int | None, delay_ms: int) -> DataFrame:
+    """OP-41 to 43: rows of a batch with ON_TIME or LATE for UNIQUE. A row is late at or behind the watermark of the rows before it in its
+    shard, and at or behind the time up to which windows are closed, whatever its shard."""
+    timed = E.with_running_top(rows, ["shard"])
+    held = rows.sparkSession.createDataFrame(list(tops.items()), "shard string, held long")
+    timed = timed.join(F.broadcast(held), "shard", "left")  # a row per shard
+    watermark = F.greatest(F.greatest("__top", "held") - delay_ms, F.lit(closed).cast("long"))
+    late = F.coalesce(F.col("event_time_ms") <= watermark, F.lit(False))
+    return timed.withColumn("status", F.when(F.col("status") != "UNIQUE", F.col("status")).when(late, "LATE").otherwise("ON_TIME")).drop("__top", "held")
 
-def stream_item_metrics(classified: DataFrame, delay_ms: int = 5000) -> DataFrame:
-    """OP-27, 44: every status moves the watermark, rows on time alone are counted; exact distinct users.
 
-    Spark's watermark is one for all rows, so this is for one shard; several have `shard_metrics_to`.
-    """
-    timely = F.col("status") == "ON_TIME"
-    rows = classified.withColumn("event_time", F.timestamp_millis("event_time_ms")).withWatermark("event_time", f"{delay_ms} milliseconds")
-    out = rows.groupBy(F.window("event_time", "1 minute"), "item_id", F.col("category_id").alias("source_category_id")).agg(
-        *[behavior_count(b, timely) for b in BEHAVIORS], F.size(F.collect_set(F.when(timely, F.col("user_id")))).cast("bigint").alias("unique_users"), F.min(F.when(timely, F.col("replay_run_id"))).alias("replay_run_id")
-    )
-    out = out.where("unique_users > 0").withColumn("window_start_ms", F.unix_millis("window.start"))
-    return out.withColumn("record_version", F.col("window_start_ms") + MINUTE).drop("window")
-
-
-def stream_user_features(classified: DataFrame, delay_ms: int = 5000) -> DataFrame:
-    """OP-28, 44: as `stream_item_metrics`, for one shard, by user, with exact distinct items and a stable id."""
-    timely = F.col("status") == "ON_TIME"
-    rows = classified.withColumn("event_time", F.timestamp_millis("event_time_ms")).withWatermark("event_time", f"{delay_ms} milliseconds")
-    out = rows.groupBy(F.window("event_time", "1 minute"), "user_id").agg(
-        F.count_if(timely).alias("event_count"), *[behavior_count(b, timely) for b in BEHAVIORS], F.size(F.collect_set(F.when(timely, F.col("item_id")))).cast("bigint").alias("distinct_items")
-    )
-    out = out.where("event_count > 0").withColumn("window_start_ms", F.unix_millis("window.start")).drop("window")
-    out = out.withColumn("feature_id", sha_of("|", F.lit("USER_FEATURES_1M"), "user_id", window_label(F.col("window_start_ms"))))
-    return out.withColumn("feature_version", F.col("window_start_ms") + MINUTE)
-
-
-def stream_quality(classified: DataFrame, at_ms: Any = None) -> DataFrame:
+def quality_rows(rows: DataFrame, at_ms: Column | None = None) -> DataFrame:
     """OP-40: a quality row for each invalid and each late row, with its time of observation."""
-    rows = classified.where(F.col("status").isin("INVALID", "LATE")).withColumnRenamed("status", "quality_type")
+    rows = rows.where(F.col("status").isin("INVALID", "LATE")).withColumnRenamed("status", "quality_type")
     behind = F.col("quality_type") == "LATE"
     rows = rows.withColumn("reason_code", F.when(behind, E.LATE_REASON).otherwise(F.col("validation_reason"))).withColumn("reason_message", F.when(behind, E.LATE_MESSAGE).otherwise(E.INVALID_MESSAGE))
     rows = rows.withColumn("quality_event_id", sha_of("|", "quality_type", F.coalesce("event_id", F.lit("")), "replay_run_id", "source_sequence", "reason_code"))
-    return E.observed(rows, at_ms).drop("validation_reason", "arrival", "shard")
+    return E.observed(rows, at_ms)
 
 
-def stream_cart(classified: DataFrame, ttl_ms: int = RETENTION_MS) -> DataFrame:
-    """OP-35: the last row of each user and item, each time that a newer one comes."""
-    rows = classified.where(F.col("status").isin("ON_TIME", "LATE") & F.col("behavior_type").isin("cart", "buy"))
-    rows = rows.select(*[c.split()[0] for c in CART.split(", ")])
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)))
-    return rows.groupBy("bucket").transformWithState(statefulProcessor=LatestCart(ttl_ms), outputStructType=CART, outputMode="Update", timeMode="None")
+def cart_changes(rows: DataFrame) -> DataFrame:
+    """OP-15, 24, 35: an UPSERT or a DELETE for each row that changes a cart; `change` numbers the changes of a user and item, so one that is applied again can be told."""
+    return rows.where("change > 0").select(*E.mutation_columns(), "source_sequence", "change")
 
 
-def stream_cart_mutations(classified: DataFrame, ttl_ms: int = RETENTION_MS) -> DataFrame:
-    """OP-15, 24: an UPSERT or a DELETE for each change of a cart."""
-    return stream_cart(classified, ttl_ms).select(*E.mutation_columns(), "source_sequence")
+def open_counts(rows: DataFrame) -> DataFrame:
+    """Counts of rows on time by window, item, category and user: what both kinds of windows are summed from."""
+    rows = rows.where("status = 'ON_TIME'").withColumn("window_start_ms", minute_start()).withColumnRenamed("category_id", "source_category_id")
+    return rows.groupBy("window_start_ms", "item_id", "source_category_id", "user_id").agg(*map(behavior_count, BEHAVIORS), F.min("replay_run_id").alias("replay_run_id"))
 
 
-def _started(writer: Any, checkpoint: str, interval_ms: int | None) -> StreamingQuery:
-    """All that is there is worked off and the query ends; with an interval it goes on."""
-    given = {"availableNow": True} if interval_ms is None else {"processingTime": f"{interval_ms} milliseconds"}
-    return writer.option("checkpointLocation", checkpoint).trigger(**given).start()
+def metrics_of(counts: DataFrame) -> DataFrame:
+    """OP-27, from `open_counts`."""
+    sums = [F.sum(f"{b}_count").alias(f"{b}_count") for b in BEHAVIORS]
+    out = counts.groupBy("window_start_ms", "item_id", "source_category_id").agg(*sums, F.countDistinct("user_id").alias("unique_users"), F.min("replay_run_id").alias("replay_run_id"))
+    return out.withColumn("window_start", window_label(F.col("window_start_ms"))).withColumn("record_version", F.col("window_start_ms") + MINUTE)
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
-    """OP-14, 47: an append log."""
-    return _started(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint, interval_ms)
+def features_of(counts: DataFrame) -> DataFrame:
+    """OP-28, from `open_counts`."""
+    sums = [F.sum(f"{b}_count").alias(f"{b}_count") for b in BEHAVIORS]
+    out = counts.groupBy("window_start_ms", "user_id").agg(F.sum(sum((F.col(f"{b}_count") for b in BEHAVIORS), F.lit(0))).alias("event_count"), *sums, F.countDistinct("item_id").alias("distinct_items"))
+    out = out.withColumn("window_start", window_label(F.col("window_start_ms"))).withColumn("window_end", window_label(F.col("window_start_ms") + MINUTE))
+    out = out.withColumn("feature_id", sha_of("|", F.lit("USER_FEATURES_1M"), "user_id", "window_start"))
+    return out.withColumn("feature_version", F.col("window_start_ms") + MINUTE).withColumn("record_version", F.col("feature_version"))
 
 
-def _batches(spark: SparkSession, path: str) -> dict[str, list[int]]:
-    """Numbers of what `upsert_to` has written: batches, and merged ones that stand for all up to theirs."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[str, list[int]] = {"batch": [], "merged": []}
-    for status in files.listStatus(folder) if files.exists(folder) else []:
-        kind, _, number = status.getPath().getName().partition("=")
-        if kind in found and files.exists(status.getPath().suffix("/_SUCCESS")):
-            found[kind].append(int(number))
-    return found
+def clock_of(tops: dict[str, int], seen: dict[str, int], shards: tuple[str, ...], started: int, now: int, delay_ms: int, idle_ms: int | None) -> int | None:
+    """The time up to which windows are complete: the watermark of the slowest shard of those that are declared or have come.
 
+    One from which nothing has come for `idle_ms` holds up nothing; one that hasn't come at all holds up
+    everything until then. None where no shard says anything.
+    """
+    active = [s for s in {*shards, *tops} if idle_ms is None or now - seen.get(s, started) < idle_ms]
+    return min(tops[s] for s in active) - delay_ms if active and all(s in tops for s in active) else None
 
-def upsert_to(stream: DataFrame, path: str, checkpoint: str, keys: list[str], version: list[str], merge_every: int = 20, interval_ms: int | None = None) -> StreamingQuery:
-    """OP-15: batches of a keyed changelog, each with the newest row of a key; a batch that runs again changes nothing.
 
-    Every `merge_every` batches what there is becomes one table, so a reader has few to look at.
-    """
+class Job:
+    """What is done with each batch of `deduplicated` rows. The state between batches is the last commit: `shards` (largest event time and last
+    batch's time of each), `closed`, and `parts`, the folders of counts whose windows are open, with their first and last hour."""
 
-    def write(batch: DataFrame, number: int) -> None:
-        newest = E.latest_version(batch.withColumn("__version", F.struct(*version)), keys, "__version").drop("__version")
-        newest.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        if number % merge_every == merge_every - 1:
-            read_upserts(batch.sparkSession, path, keys, version, number).write.mode("overwrite").parquet(f"{path}/merged={number}")
+    def __init__(self, path: str, delay_ms: int = 5000, shards: tuple[str, ...] = (), idle_ms: int | None = None, at_ms: Column | None = None, after: Callable[[str], None] | None = None):
+        self.path, self.delay_ms, self.shards, self.idle_ms, self.at_ms, self.after = path, delay_ms, shards, idle_ms, at_ms, after
 
-    return _started(stream.writeStream.foreachBatch(write).outputMode("update"), checkpoint, interval_ms)
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        commits = Commits(spark, f"{self.path}/commits")
+        done, state = commits.last()
+        if done is not None and done >= number:
+            return  # ran before, to its commit
+        state = state or {"started": None, "closed": None, "shards": {}, "parts": [], "dropped": []}
+        batch.persist()
+        try:
+            news = batch.groupBy("shard").agg(F.max("event_time_ms").alias("top"), F.max("now").alias("now")).collect()  # a row per shard
+            now = max((r.now for r in news), default=state["started"] or 0)
+            started = state["started"] if state["started"] is not None else now
+            tops, seen = ({s: x[k] for s, x in state["shards"].items()} for k in (0, 1))
+            held = {s: t for s, t in tops.items() if t is not None}
+            for r in news:
+                if r.shard is not None:
+                    tops[r.shard], seen[r.shard] = max((t for t in (tops.get(r.shard), r.top) if t is not None), default=None), r.now
+            clock = clock_of({s: t for s, t in tops.items() if t is not None}, seen, self.shards, started, now, self.delay_ms, self.idle_ms)
+            closed = max((t for t in (clock, state["closed"]) if t is not None), default=None)
+            rows = classified(batch.where("status <> 'BEAT'"), held, state["closed"], self.delay_ms)
+            self._write(E.raw_projection(batch.where("status = 'UNIQUE'")), "raw", number)
+            self._write(quality_rows(rows, self.at_ms), "quality", number)
+            self._write(cart_changes(batch), "cart", number)
+            parts, dropped = self._windows(rows, state, closed, number)
+            commits.put(number, {"started": started, "closed": closed, "shards": {s: [tops[s], seen[s]] for s in tops}, "parts": parts, "dropped": dropped})
+            for folder in state["dropped"]:  # neither this commit nor the one before names it
+                commits.remove(folder)
+        finally:
+            batch.unpersist()
+
+    def _write(self, rows: DataFrame, sink: str, number: int) -> None:
+        rows.select(*[c.split()[0] for c in SINKS[sink].split(", ")]).write.mode("overwrite").parquet(f"{self.path}/{sink}/batch={number}")
+        if self.after:
+            self.after(sink)
+
+    def _windows(self, rows: DataFrame, state: dict, closed: int | None, number: int) -> tuple[list, list]:
+        """Add the batch's counts to the open ones, write the windows that close, and return the folders that stay and those that go."""
+        spark, parts, gone = rows.sparkSession, list(state["parts"]), []
+        new = f"parts/run=batch-{number}"
+        open_counts(rows).withColumn("hour", F.floor(F.col("window_start_ms") / HOUR)).write.mode("overwrite").partitionBy("hour").parquet(f"{self.path}/{new}")
+        hours = spark.read.schema(f"{_PART}, hour long").parquet(f"{self.path}/{new}").agg(F.min("hour"), F.max("hour")).first()
+        if hours[0] is not None:
+            parts.append([new, *hours])
+        before = state["closed"]
+        if closed is not None and closed != before:
+            due = self._counts(spark, parts, before, closed)
+            self._write(metrics_of(due), "metrics", number)
+            self._write(features_of(due), "features", number)
+        if closed is not None:
+            gone += [p for p in parts if (p[2] + 1) * HOUR <= closed]
+        parts = [p for p in parts if p not in gone]
+        if len(parts) > PARTS:
+            merged = f"parts/run=merged-{number}"
+            sums = self._counts(spark, parts, closed, None).groupBy("window_start_ms", "item_id", "source_category_id", "user_id").agg(*[F.sum(f"{b}_count").alias(f"{b}_count") for b in BEHAVIORS], F.min("replay_run_id").alias("replay_run_id"))
+            sums.withColumn("hour", F.floor(F.col("window_start_ms") / HOUR)).write.mode("overwrite").partitionBy("hour").parquet(f"{self.path}/{merged}")
+            gone, parts = gone + parts, [[merged, min(p[1] for p in parts), max(p[2] for p in parts)]]
+        return parts, [p[0] for p in gone]
+
+    def _counts(self, spark: SparkSession, parts: list, after: int | None, upto: int | None) -> DataFrame:
+        """The counts of windows that end after `after` and not after `upto`; only the folders and hours of that time are read."""
+        first = -(1 << 62) if after is None else (after - MINUTE) // HOUR
+        last = (1 << 62) if upto is None else upto // HOUR
+        folders = [f"{self.path}/{p[0]}" for p in parts if p[1] <= last and p[2] >= first]
+        if not folders:
+            return spark.createDataFrame([], _PART)
+        found = spark.read.schema(f"{_PART}, run string, hour long").option("basePath", f"{self.path}/parts").parquet(*folders).where(F.col("hour").between(first, last))
+        ends = F.col("window_start_ms") + MINUTE
+        found = found if after is None else found.where(ends > after)
+        return (found if upto is None else found.where(ends <= upto)).drop("run", "hour")
 
 
-def read_upserts(spark: SparkSession, path: str, keys: list[str], version: list[str], upto: int | None = None) -> DataFrame:
-    """The newest row of each key, in batches up to `upto`."""
-    found = _batches(spark, path)
-    # A merged table of `upto` itself may be half read while it is written again.
-    start = max((n for n in found["merged"] if upto is None or n < upto), default=None)
-    parts = [f"{path}/batch={n}" for n in found["batch"] if (start is None or n > start) and (upto is None or n <= upto)]
-    rows = spark.read.parquet(*parts, *([] if start is None else [f"{path}/merged={start}"]))
-    return E.latest_version(rows.withColumn("__version", F.struct(*version)), keys, "__version").drop("__version")
+def start_job(rows: DataFrame, job: Job, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
+    """Start the query over `deduplicated` rows: all that is there is worked off and the query ends; with an interval it goes on."""
+    rows.sparkSession.conf.set(*STATE_CONF)
+    given = {"availableNow": True} if interval_ms is None else {"processingTime": f"{interval_ms} milliseconds"}
+    return rows.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint).outputMode("append").trigger(**given).start()
 
 
-def fan_out(classified: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
-    """OP-48: one query, several sinks; each batch is classified once and overwrites its own folder in each sink."""
+def run_job(spark: SparkSession, log: str, path: str, config: RuntimeConfig, shard: Column | None = None, files_per_trigger: int = 1000, after: Callable[[str], None] | None = None) -> StreamingQuery:
+    """OP-47, 48, 63: the whole job over a log, by its settings, into the folders of `SINKS` under `path`.
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.persist()
-        for name, transform in sinks.items():
-            transform(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
-        batch.unpersist()
+    A bounded job ends when the log is worked off, and no shard is idle in it; else it
+    looks for more every checkpoint interval. Started again, it goes on where it was.
+    """
+    events = event_stream(spark, log, files_per_trigger)
+    events = events if config.bounded else with_heartbeats(events)
+    job = Job(path, config.watermark_delay_ms, config.shards, None if config.bounded else config.idle_timeout_ms, after=after)
+    rows = deduplicated(events, shard, config.dedup_retention_hours * HOUR)
+    return start_job(rows, job, f"{config.checkpoint_dir.rstrip('/')}/job", None if config.bounded else config.checkpoint_interval_ms)
 
-    return _started(classified.writeStream.foreachBatch(write).outputMode("append"), checkpoint, interval_ms)
 
+def supervised(start: Callable[[], StreamingQuery], config: RuntimeConfig) -> int:
+    """OP-47: run a job to its end, started again after a fixed delay when it fails, as often as `restart_attempts`; returns how often it was."""
+    for attempt in range(config.restart_attempts + 1):
+        try:
+            start().awaitTermination()
+            return attempt
+        except StreamingQueryException:
+            if attempt == config.restart_attempts:
+                raise
+            time.sleep(config.restart_delay_ms / 1000)
+    raise AssertionError("unreachable")
 
-def shard_metrics_to(classified: DataFrame, path: str, checkpoint: str, delay_ms: int = 5000, interval_ms: int | None = None) -> StreamingQuery:
-    """OP-27, 44 over several shards: a window closes once the watermark of the slowest shard has reached its end.
 
-    A batch adds its counts by window, item, category and user to `parts`, by hour
-    of the window, and its shards' largest times to `tops`, which has a row a shard
-    and batch. Windows that close with it are summed from the hours they are in.
-    Each batch has its own folders, so one that runs again changes nothing. All
-    shards must have come by the time that windows close.
-    """
+def job_rows(spark: SparkSession, path: str, sink: str) -> DataFrame:
+    """What a job's committed batches wrote to a sink."""
+    return read_sink(spark, path, sink, SINKS[sink]).drop("batch")
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark, keys = batch.sparkSession, ["window_start_ms", "item_id", "source_category_id"]
-        batch.persist()
-        start = minute_start()
-        rows = batch.where("status = 'ON_TIME'").withColumn("window_start_ms", start).withColumnRenamed("category_id", "source_category_id")
-        parts = rows.groupBy(F.floor(start / 3_600_000).alias("hour"), *keys, "user_id").agg(*map(behavior_count, BEHAVIORS), F.min("replay_run_id").alias("replay_run_id"))
-        parts.write.mode("overwrite").partitionBy("hour").parquet(f"{path}/parts/batch={number}")
-        held = spark.read.schema("shard string, top long").parquet(f"{path}/tops/batch={number - 1}") if number else None
-        tops = batch.select("shard", F.col("event_time_ms").alias("top"))
-        tops = (tops if held is None else tops.union(held)).groupBy("shard").agg(F.max("top").alias("top"))
-        tops.write.mode("overwrite").parquet(f"{path}/tops/batch={number}")
-        batch.unpersist()
-        before = held.agg(F.min("top")).first()[0] if held is not None else None
-        now = spark.read.schema("shard string, top long").parquet(f"{path}/tops/batch={number}").agg(F.min("top")).first()[0]
-        ends = F.col("window_start_ms") + MINUTE
-        low, high = (before or 0) - delay_ms, (now or 0) - delay_ms
-        schema = f"batch int, hour long, {', '.join(f'{k} long' for k in keys)}, user_id long, {', '.join(f'{b}_count long' for b in BEHAVIORS)}, replay_run_id string"
-        due = spark.read.schema(schema).parquet(f"{path}/parts").where(F.col("hour").between((low - MINUTE) // 3_600_000, high // 3_600_000) & (ends <= high) & (F.col("batch") <= number))
-        due = due if before is None else due.where(ends > low)
-        sums = due.groupBy(*keys).agg(*[F.sum(f"{b}_count").alias(f"{b}_count") for b in BEHAVIORS], F.countDistinct("user_id").alias("unique_users"), F.min("replay_run_id").alias("replay_run_id"))
-        sums.withColumn("record_version", ends).write.mode("overwrite").parquet(f"{path}/out/batch={number}")
 
-    return _started(classified.writeStream.foreachBatch(write).outputMode("append"), checkpoint, interval_ms)
+def job_windows(spark: SparkSession, path: str, sink: str, flush: bool = False) -> DataFrame:
+    """OP-44: metrics or features of the windows that have closed; of those still open too with `flush`, as they are now."""
+    rows = job_rows(spark, path, sink)
+    _, state = Commits(spark, f"{path}/commits").last()
+    if not flush or state is None:
+        return rows
+    still = Job(path)._counts(spark, state["parts"], state["closed"], None)
+    return rows.unionByName((metrics_of if sink == "metrics" else features_of)(still).select(*rows.columns))
 
 
-def run_job(spark: SparkSession, log: str, path: str, config: RuntimeConfig) -> StreamingQuery:
-    """OP-47, 48, 63: the whole job over a log, by its settings: raw events, metrics of the slowest shard's clock, quality rows and carts.
+def job_carts(spark: SparkSession, path: str, config: RuntimeConfig) -> DataFrame:
+    """OP-18: the active carts by a job's change log and its settings; of an item the change with the highest number counts."""
+    changes = job_rows(spark, path, "cart")
+    last = E.latest_version(changes, ["user_id", "item_id"], "change")
+    added = job_rows(spark, path, "raw").where("behavior_type = 'cart'").select("user_id", F.col("event_time_ms").alias("last_updated_at_ms"))
+    return S.active_cart(last.drop("source_sequence", "change"), added, config.cart_ttl_seconds)
 
-    A bounded job ends when the log is worked off; else it looks for more every
-    checkpoint interval. Started again, it goes on where it was.
-    """
-    rows = classified_stream(event_stream(spark, log), config.watermark_delay_ms, retention_ms=config.dedup_retention_hours * 3_600_000)
-    unique = lambda b: b.where("status IN ('ON_TIME', 'LATE')")
-    sinks = {"raw": lambda b: E.raw_projection(unique(b)), "quality": stream_quality, "cart": lambda b: E.cart_mutations(E.latest_cart(unique(b)))}
-    return fan_out(rows, sinks, path, f"{config.checkpoint_dir.rstrip('/')}/job", None if config.bounded else config.checkpoint_interval_ms)
+
+def job_features(spark: SparkSession, path: str, config: RuntimeConfig) -> DataFrame:
+    """OP-19: the online features by a job's features and its settings."""
+    return S.online_features(job_windows(spark, path, "features", config.flush_open_windows), ttl_seconds=config.feature_ttl_seconds)
 
 
 def plan_of(df: DataFrame) -> str:
-    """OP-50: the plan without running it."""
-    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    """OP-50: the plan without running it; of a streaming frame, the plan of its logical form."""
+    execution = df._jdf.queryExecution()
+    return execution.logical().toString() if df.isStreaming else execution.explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def log_columns() -> list[str]:
+    return [c.split()[0] for c in EVENT.split(", ")]
