@@ -30,7 +30,7 @@ from weftline.llm import textkit
 from weftline.llm.common import join_to_classes, materialize, read_table, release
 
 #: Bytes of text in a block (one longer text is a block of its own), and pairs in a row of its list.
-BLOCK_BYTES, PAIRS = 16 << 20, 1 << 14
+BLOCK_BYTES, PAIRS = 8 << 20, 1 << 14
 #: Labels of a byte.
 NONE, A_END, B_END, BOTH = 0, 1, 2, 3
 _SPAN = re.compile(b"[^\x03]*\x03")
@@ -93,9 +93,9 @@ class Aligner:
         return out
 
     def groups(self, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How many tokens of A and of B each group has."""
-        spans = _SPAN.findall(labels.tobytes())
-        return tuple(np.array([s.count(sign) + 1 for s in spans], np.int64) for sign in (b"\x01", b"\x02"))
+        """How many tokens of A and of B each group has: the labels of each side, counted from the end of one span to that of the next."""
+        ends = np.cumsum(np.fromiter(map(len, _SPAN.findall(labels.tobytes())), np.int64))
+        return tuple(np.diff(np.cumsum(labels & sign > 0)[ends - 1], prepend=0) for sign in (A_END, B_END))
 
     def notation(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> str:
         """a1,a2|b1;a3|b2,b3"""
