@@ -1,9 +1,11 @@
 """Nulls, clashing columns, repeated rows, empty tables and odd numbers, over the pipeline's stages and the operators."""
 
+import hashlib
 import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -259,3 +261,46 @@ def test_windows_hold_all_of_a_long_region():
     assert all(w[0][s:e].count(".") == 3 and k == "ip" for w in parts for s, e, k in w[3])
     assert re.sub(" ", "", "".join(w[0][w[1] : w[2]] for w in parts)) == text.replace(" ", "")
     assert list(itertools.islice(pii.windows("nothing 1 here"), 1)) == []
+
+
+def test_spans_are_found_as_by_a_look_at_all():
+    rnd = random.Random(8)
+    for _ in range(300):
+        spans = [(s, s + rnd.randint(1, 12), rnd.choice(pii.KINDS)) for s in (rnd.randrange(60) for _ in range(rnd.randint(0, 12)))]
+        own = pii.Spans(spans)
+        for _ in range(20):
+            a = rnd.randrange(70)
+            b = a + rnd.randint(1, 15)
+            assert own.covers(a, b) == any(s <= a and b <= e for s, e, _ in spans)
+            assert own.meets(a, b) == any(s < b and a < e for s, e, _ in spans)
+            assert own.inside(a, b) == sorted(x for x in spans if a <= x[0] and x[1] <= b)
+            cut = a
+            for s, e, _ in sorted(spans):
+                cut = e if s < cut < e else cut
+            assert own.after(a) == cut
+
+
+def test_lists_of_addresses_take_time_in_proportion():
+    """4 MB of addresses; a look at all spans for each one took 17 minutes."""
+    text = "".join(f"user{k}@example{k % 7}.org, " for k in range(160_000))
+    began = time.time()
+    found = pii.all_spans(text, pii.SemiMarkov())
+    assert len(found) == 160_000 and all(x["base"] for x in found)
+    assert sum(len(w[3]) for w in pii.windows(text)) == 160_000 and time.time() - began < 60
+
+
+def test_pii_query_against_the_patterns(spark):
+    """Every column of op4 but the added spans, by patterns alone; added spans overlap no other."""
+    from test_operators import plain_spans
+
+    documents = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = {r.doc_id: r for r in pii.op4_pii(spark, "/root/testdata/sf0.001").collect()}
+    assert set(got) == set(documents)
+    for i, text in documents.items():
+        base, r = plain_spans(text), got[i]
+        assert [getattr(r, f"n_{k}") for k in pii.KINDS] == [sum(x[2] == k for x in base) for k in pii.KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in base).encode()).hexdigest()
+        every = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]
+        added = sorted(set(every) - set(base))
+        assert set(base) <= set(every) and len(added) == r.n_added and len(every) == len(base) + len(added)
+        assert not any(s < y and x < e for s, e, _ in added for x, y, k in every if (x, y, k) != (s, e, _))

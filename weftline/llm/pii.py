@@ -15,6 +15,10 @@ outside all regions have no candidate segment, so leaving them out is exact.
 
 from __future__ import annotations
 
+import bisect
+import hashlib
+import heapq
+import itertools
 import math
 import re
 from array import array
@@ -377,22 +381,49 @@ def log_sum(values) -> float:
     return top if top == -math.inf else top + math.log(sum(math.exp(x - top) for x in values))
 
 
+class Spans:
+    """Spans by start, and the largest end up to each: what of them meets a stretch of text is found without a look at the others."""
+
+    def __init__(self, spans: list[tuple[int, int, str]]):
+        self.spans = sorted(spans)
+        self.starts = [s for s, _, _ in self.spans]
+        self.ends = list(itertools.accumulate((e for _, e, _ in self.spans), max))
+
+    def covers(self, a: int, b: int) -> bool:
+        """Whether one span holds a..b."""
+        k = bisect.bisect_right(self.starts, a)
+        return k > 0 and self.ends[k - 1] >= b
+
+    def meets(self, a: int, b: int) -> bool:
+        """Whether one span has a character of a..b."""
+        k = bisect.bisect_left(self.starts, b)
+        return k > 0 and self.ends[k - 1] > a
+
+    def inside(self, a: int, b: int) -> list[tuple[int, int, str]]:
+        return [x for x in self.spans[bisect.bisect_left(self.starts, a) : bisect.bisect_left(self.starts, b)] if x[1] <= b]
+
+    def after(self, cut: int) -> int:
+        """`cut`, or the end of the spans across it."""
+        k = bisect.bisect_right(self.ends, cut)
+        while k < len(self.spans) and self.starts[k] < cut:
+            cut = max(cut, self.spans[k][1])
+            k += 1
+        return cut
+
+
 def windows(text: str) -> Iterator[tuple[str, int, int, set[tuple[int, int, str]]]]:
     """(text, start, end, gold) of all regions, with some text around; long ones in parts of WINDOW characters or so, cut outside gold spans."""
-    base = base_spans(text)
+    every = Spans(base_spans(text))
     for a, b in regions(text):
-        gold = [x for x in base if a <= x[0] and x[1] <= b]
+        gold = Spans(every.inside(a, b))
         while a < b:
             cut = b if b - a <= WINDOW else a + WINDOW
             if cut < b:
-                for s, e, _ in sorted(gold):
-                    if s < cut < e:
-                        cut = e
+                cut = gold.after(cut)
                 while cut < b and text[cut - 1].isalnum() and text[cut].isalnum():
                     cut += 1
-            own = {(s, e, k) for s, e, k in gold if a <= s and e <= cut}
             left = max(0, a - 20)
-            yield text[left : cut + 20], a - left, cut - left, {(s - left, e - left, k) for s, e, k in own}
+            yield text[left : cut + 20], a - left, cut - left, {(s - left, e - left, k) for s, e, k in gold.inside(a, cut)}
             a = cut
 
 
@@ -424,15 +455,27 @@ def fit_model(docs: DataFrame, fit_windows: int = FIT_WINDOWS) -> dict[tuple[str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The task's windows of the smallest hashes, each once."""
+        least: list[tuple[int, tuple]] = []
+        held: set[int] = set()
         for batch in batches:
             for text in batch.column(0):
-                found = [w for w in windows(text.as_py()) if len(w[0]) <= LONGEST]
-                if found:
-                    gold = [",".join(f"{k}:{s}:{e}" for s, e, k in sorted(w[3])) for w in found]
-                    yield pa.RecordBatch.from_pydict({"text": [w[0] for w in found], "a": [w[1] for w in found], "b": [w[2] for w in found], "gold": gold})
-
-    some = docs.where(F.col("text").rlike("@|[(\\[]at[)\\]]|[0-9][ ().0-9-]{5,}[0-9]|[0-9]\\.[0-9]")).select("text").mapInArrow(run, "text string, a long, b long, gold string")
-    some = some.distinct().orderBy(F.xxhash64("text", "a", "b", "gold"), "text", "a", "b", "gold").limit(fit_windows)
+                for w in windows(text.as_py()):
+                    row = (w[0], w[1], w[2], ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(w[3])))
+                    rank = -int.from_bytes(hashlib.blake2b(repr(row).encode("utf-8", "surrogatepass"), digest_size=7).digest())
+                    if len(w[0]) > LONGEST or rank in held or (len(least) == fit_windows and rank <= least[0][0]):
+                        continue
+                    held.add(rank)
+                    if len(least) < fit_windows:
+                        heapq.heappush(least, (rank, row))
+                    else:
+                        held.discard(heapq.heapreplace(least, (rank, row))[0])
+        if least:
+            names = ("text", "a", "b", "gold")
+            yield pa.RecordBatch.from_pydict({"h": [-rank for rank, _ in least]} | {name: [row[k] for _, row in least] for k, name in enumerate(names)})
+
+    some = docs.where(F.col("text").rlike("@|[(\\[]at[)\\]]|[0-9][ ().0-9-]{5,}[0-9]|[0-9]\\.[0-9]")).select("text").mapInArrow(run, "h long, text string, a long, b long, gold string")
+    some = some.distinct().orderBy("h", "text", "a", "b", "gold").limit(fit_windows)
     cases = []
     for r in some.collect():
         gold = {(int(s), int(e), k) for k, s, e in (x.split(":") for x in r.gold.split(",") if x)}
@@ -468,15 +511,18 @@ def all_spans(text: str, model: SemiMarkov) -> list[dict]:
     if not _HINT.search(text):
         return []
     base = base_spans(text)
-    taken = [(s, e) for s, e, _ in base]
+    taken, added, last = Spans(base), 0, 0
     out = [(s, e, k, True) for s, e, k in base]
     for a, b in regions(text):
-        if any(s <= a and b <= e for s, e in taken):
+        if a < last:  # those around an @ begin anew
+            taken, added = Spans([x[:3] for x in out]), 0
+        last = a
+        if taken.covers(a, b):
             continue
         for s, e, k in model.decode(text, a, b):
-            if not any(s < y and x < e for x, y in taken):
+            if s >= added and not taken.meets(s, e):
                 out.append((s, e, k, False))
-                taken.append((s, e))
+                added = e
     out.sort(key=lambda x: (x[0], KINDS.index(x[2])))
     return [{"start": s, "end": e, "kind": k, "base": own} for s, e, k, own in out]
 
