@@ -5,7 +5,8 @@ item, a cell a cell, what can't stand in it the head) and tolerates whatever isn
 tree without recursion and leaves out what isn't shown: head, scripts, styles,
 templates, comments, `hidden`, `display:none`, `visibility:hidden` (but what is
 visible again within it is shown), what stands in for frames, noscript, media and canvas, data lists, and in drawings all but
-the text elements. Text in attributes isn't read. Text areas and options stand on
+the text elements. Text in attributes isn't read, nor are the rules of style
+sheets, those in the page's own `<style>` included. Text areas and options stand on
 lines of their own. Blocks stand
 on lines of their own, paragraphs and headings with an empty line between, list
 items with markers and indents, the lines of table cells below each other and
@@ -56,7 +57,7 @@ _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _STOP = re.compile(r">|=\s*+[\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]++)))?")
 _UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")  # a slash that belongs to a value
-_GONE = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+_DISPLAY = re.compile(r"(?<![\w-])display\s*:\s*(none|contents|block|inline(?:-[a-z]+)?|flex|grid|flow-root|table(?:-[a-z-]+)?|list-item|initial|inherit|unset)(?![\w-])\s*(!\s*important)?", re.I)
 _VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?)0*([0-9]+)")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -193,7 +194,11 @@ def _tag_end(source: str, at: int, none_left: set[str]) -> int:
 
 
 def _unshown(attributes: dict[str, str]) -> bool:
-    return bool(attributes) and ("hidden" in attributes or ("style" in attributes and bool(_GONE.search(attributes["style"]))))
+    """Whether the element isn't displayed: by its last `display`, an important one first, else by `hidden`."""
+    found = _DISPLAY.findall(attributes["style"]) if "style" in attributes else []
+    if found:
+        return ([v for v, important in found if important] or [v for v, _ in found])[-1].lower() == "none"
+    return "hidden" in attributes
 
 
 def _veiled(attributes: dict[str, str]) -> bool | None:
