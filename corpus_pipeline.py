@@ -13,14 +13,17 @@ from weftline.llm.common import materialize, read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of expected severity below toxic stay; null and empty texts do, and all where the labels tell nothing apart."""
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row of the largest id stays, null texts being empty ones; with all columns, whatever their names."""
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that link, directly or by way of others, the row of the smallest id stays; rows without words, text or id stay all."""
     return ngram_join.one_of_each(docs)
 
 
@@ -30,7 +33,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, with_ids=False)
+    """One row per piece, with its token ids. Null text is the single end id; rows that repeat are packed each; an empty table gives no rows."""
+    return packing.pack(docs)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("ngram_join", drop_near_copies), ("mixing", mix_sources), ("packing", pack)]
@@ -40,6 +44,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; an empty table gives an empty one."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
