@@ -40,7 +40,7 @@ def test_watermark_by_stretches_equals_the_plain_window(spark, monkeypatch):
 
 
 PARITY = """
-item_metrics_1m user_features_1m quality_events active_cart active_cart_short_ttl catalog_version_guard trending ingest_parse csv_scan replay_output
+item_metrics_1m user_features_1m quality_events active_cart active_cart_short_ttl catalog_version_guard trending ingest_parse csv_scan csv_quoted csv_event_batches replay_output
 messages_raw messages_quality messages_catalog catalog_manifest catalog_loaded catalog_cdc latest_of_versions feature_contract user_cart_lookup user_feature_lookup replay_schedule
 stream_accepted stream_user_features stream_item_metrics stream_quality stream_cart_latest job_raw job_metrics job_features job_quality job_cart stream_late_shard stream_idle_shard
 """.split()
@@ -168,3 +168,59 @@ def test_replay_writes_events_and_rejects(spark, tmp_path):
         ingest.write_replay(parsed, source, out, str(tmp_path / "new"))
     with pytest.raises(ValueError):
         ingest.write_replay(parsed, source, out, out, force=True)
+
+
+@pytest.mark.parametrize("seed, compressed", [(1, False), (2, False), (3, True)])
+def test_csv_records_over_lines_and_splits(spark, tmp_path, seed, compressed):
+    """Random quotes and line ends, in splits of 40 bytes, against Python's reader over whole files."""
+    import csv
+    import gzip
+    import io
+    import random
+
+    rnd, want = random.Random(seed), []
+    for k in range(5):
+        rows = [[rnd.choice(["1", "a b", 'say ""x""', "", "x\ny", "\n\n\n", 'q"q', ",", "é" * 9, '"']) for _ in range(rnd.randint(1, 4))] for _ in range(rnd.randint(0, 30))]
+        out = io.StringIO()
+        for row in rows:
+            out.write(",".join(f'"{v.replace(chr(34), chr(34) * 2)}"' if rnd.random() < 0.2 or set(v) & set('\n,"') and not v.startswith("q") else v for v in row) + "\n" * rnd.choice((1, 1, 1, 2)))
+        if k == 1:
+            out = io.StringIO('"user_id", item_id,"category_id",behavior_type ,timestamp\n' + out.getvalue())
+        text = ("\ufeff" if k % 2 else "") + out.getvalue()
+        if compressed:
+            (tmp_path / f"p{k}.csv.gz").write_bytes(gzip.compress(text.encode()))
+        else:
+            (tmp_path / f"p{k}.csv").write_text(text, encoding="utf-8", newline="")
+        want += [tuple(r) for r in csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline=""))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 40)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        got = ingest.csv_rows(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r.raw_values) for r in sorted(got, key=lambda r: r.source_sequence)] == want
+    assert sorted(r.source_sequence for r in got) == list(range(len(want)))
+
+
+def test_integers_are_read_as_python_does(spark):
+    given = ["1", "+1", "-1", " 7\t", "1_000", "1__0", "_1", "1_", "0x1", "1.0", "", " ", "5\x00", "\x1f5", "007", "9223372036854775807", "9223372036854775808", "1e3", "--1"]
+
+    def plain(v):
+        try:
+            return int(v.strip(" \t\n\r\x0b\x0c"))
+        except ValueError:
+            return None
+
+    rows = spark.createDataFrame([(k, [v, "1", "1", "pv", "1"]) for k, v in enumerate(given)], "source_sequence long, raw_values array<string>")
+    got = [r.user_id for r in ingest.parse_rows(rows, "run").orderBy("source_sequence").collect()]
+    want = [plain(v) for v in given]
+    assert got == [None if v is not None and v >= 1 << 63 else v for v in want[:13]] + [None] + want[14:16] + [None] + want[17:]
+
+
+def test_batches_of_events_and_rejects(spark):
+    rows = spark.createDataFrame([(k, ["1", "2", "3", "pv" if k % 3 else "zz", "4"]) for k in range(7)], "source_sequence long, raw_values array<string>")
+    got = ingest.event_batches(ingest.parse_rows(rows, "run"), 3).orderBy("batch").collect()
+    assert [(r.batch, r.source_rows, r.events, list(r.rejects)) for r in got] == [(0, 3, 2, [0]), (1, 3, 2, [3]), (2, 1, 0, [6])]
+    with pytest.raises(ValueError):
+        ingest.event_batches(ingest.parse_rows(rows, "run"), 0)

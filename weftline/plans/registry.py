@@ -101,6 +101,17 @@ def _csv(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def _csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows with users in quotes that hold line ends, and behaviors in quotes with quotes and commas; the first row is no header."""
+    root, rows, seq = scratch(spark, "quoted"), _raw_rows(spark, sf_dir), F.col("source_sequence")
+    user, kind = F.get("raw_values", F.lit(0)), F.get("raw_values", F.lit(3))
+    user = F.when(seq % 5 == 0, F.concat(F.lit('"\n\n'), user, F.lit('\n"'))).otherwise(user)
+    kind = F.when(seq % 7 == 0, F.concat(F.lit('"'), kind, F.lit('"'))).when(seq % 11 == 0, F.concat(F.lit('"a ""b"",\n'), kind, F.lit('"'))).otherwise(kind)
+    line = F.concat_ws(",", user, F.get("raw_values", F.lit(1)), F.get("raw_values", F.lit(2)), kind, F.get("raw_values", F.lit(4)))
+    rows.select("source_sequence", line.alias("line")).repartitionByRange(5, "source_sequence").sortWithinPartitions("source_sequence").select("line").write.option("compression", "gzip").text(root)
+    return ingest.parse_rows(ingest.csv_rows(spark, root), "a").select("source_sequence", F.concat_ws("|", "raw_values").alias("line"), "user_id", "behavior_type", "reason")
+
+
 def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.csv_rows(spark, _csv(spark, sf_dir)).select("source_sequence", F.concat_ws(",", "raw_values").alias("line"))
 
@@ -233,6 +244,8 @@ def queries() -> dict[str, Query]:
         "producer_rows": lambda s, d: ingest.kafka_rows(source_events(s, d).select("user_id", "source_sequence")),
         "csv_scan": _csv_scan,
         "csv_batches": lambda s, d: ingest.batch_numbers(_raw_rows(s, d).select("source_sequence")).groupBy("batch").agg(F.count(F.lit(1)).alias("source_rows")),
+        "csv_quoted": _csv_quoted,
+        "csv_event_batches": lambda s, d: ingest.event_batches(ingest.parse_rows(ingest.csv_rows(s, _csv(s, d)), "a")).select("batch", "source_rows", "events", F.concat_ws(",", F.col("rejects").cast("array<string>")).alias("rejects")),
         "replay_output": _replay_output,
         "replay_stats": lambda s, d: ingest.replay_stats(_parsed(s, d)),
         "catalog_loaded": _catalog_loaded,
@@ -335,6 +348,8 @@ def oracle_sql() -> dict[str, str]:
         "producer_rows": "SELECT user_id::VARCHAR AS key, '{\"user_id\":' || user_id || ',\"source_sequence\":' || source_sequence || '}' AS value FROM src",
         "csv_scan": f"SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, {_LINE} AS line FROM src",
         "csv_batches": "SELECT source_sequence // 1000 AS batch, count(*) AS source_rows FROM src GROUP BY 1",
+        "csv_quoted": f"{_REJECTED}, quoted AS (SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS n, reason, user_id, behavior_type, source_sequence AS q, item_id, category_id, event_time_ms, CASE WHEN source_sequence % 13 = 0 THEN ' ' || user_id || ' ' WHEN source_sequence % 29 = 0 THEN 'x' ELSE user_id::VARCHAR END AS u FROM rejected) SELECT n AS source_sequence, CASE WHEN q % 5 = 0 THEN chr(10) || chr(10) || u || chr(10) ELSE u END || '|' || item_id || '|' || category_id || '|' || CASE WHEN q % 7 <> 0 AND q % 11 = 0 THEN 'a \"b\",' || chr(10) ELSE '' END || behavior_type || CASE WHEN q % 31 = 0 THEN '' ELSE '|' || (event_time_ms // 1000) END AS line, CASE WHEN q % 29 = 0 AND q % 13 <> 0 THEN NULL ELSE user_id END AS user_id, CASE WHEN q % 7 <> 0 AND q % 11 = 0 THEN 'a \"b\",' || chr(10) ELSE '' END || behavior_type AS behavior_type, CASE WHEN reason IS NULL AND q % 7 <> 0 AND q % 11 = 0 THEN 'BEHAVIOR_TYPE' ELSE reason END AS reason FROM quoted",
+        "csv_event_batches": f"{_REJECTED} SELECT n // 1000 AS batch, count(*) AS source_rows, count(*) FILTER (reason IS NULL) AS events, coalesce(string_agg(n::VARCHAR, ',' ORDER BY n) FILTER (reason IS NOT NULL), '') AS rejects FROM (SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS n, reason FROM rejected) GROUP BY 1",
         "replay_output": f"{_REJECTED} SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, CASE WHEN reason IS NULL THEN sha256(user_id || chr(31) || item_id || chr(31) || category_id || chr(31) || behavior_type || chr(31) || (event_time_ms // 1000) || chr(31) || (source_sequence - (SELECT min(source_sequence) FROM src))) END AS event_id, reason FROM rejected",
         "replay_stats": f"{_REJECTED} SELECT count(*) AS source_rows, count(*) FILTER (reason IS NULL) AS emitted_events, count(*) FILTER (reason IS NOT NULL) AS invalid_rows, ceil(count(*) / 1000)::BIGINT AS batches FROM rejected",
         "catalog_loaded": f"{_CATALOG} SELECT product_id, category_id, 'Synthetic product ' || product_id AS product_name, {_PRICE} AS price, true AS is_active, '2026-01-01T00:00:00Z' AS updated_at, 1::BIGINT AS catalog_version FROM dominant",

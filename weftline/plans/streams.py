@@ -18,7 +18,10 @@ from weftline.streaming.state import deduplicated
 #: What far shards are apart, and what late carts come behind, in ms and in arrivals.
 APART, BEHIND = 360_000_000, 1_500_000_000
 EVENT_COLUMNS = ("event_id", "user_id", "item_id", "category_id", "behavior_type", "event_time_ms", "source_sequence")
-SHARD = F.col("user_id") % 2
+
+
+def shard() -> Column:
+    return F.col("user_id") % 2
 
 
 def log_of(rows: DataFrame, path: str) -> None:
@@ -31,7 +34,7 @@ def _two_runs(rows: DataFrame) -> list[DataFrame]:
 
 
 def _far_shards(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("event_time_ms", F.col("event_time_ms") + F.when(SHARD == 1, APART).otherwise(0))
+    return rows.withColumn("event_time_ms", F.col("event_time_ms") + F.when(shard() == 1, APART).otherwise(0))
 
 
 def _three_parts(rows: DataFrame) -> list[DataFrame]:
@@ -45,7 +48,7 @@ def _three_parts(rows: DataFrame) -> list[DataFrame]:
 
 def _shard_after_shard(rows: DataFrame) -> list[DataFrame]:
     rows = _far_shards(rows.where("replay_run_id = 'a'"))
-    return [rows.where(SHARD == k) for k in range(2)]
+    return [rows.where(shard() == k) for k in range(2)]
 
 
 def _thirds(rows: DataFrame) -> list[DataFrame]:
@@ -74,7 +77,7 @@ def _done(spark: SparkSession, app: str, sf_dir: str, setup: str) -> str:
         log_of(part, f"{root}/log")
         # Time goes on by a minute a part, and a shard is idle after half of one.
         idle, now = (30_000, F.lit(60_000 * k)) if setup == "idle_shard" else (None, None)
-        rows = deduplicated(P.event_stream(spark, f"{root}/log"), SHARD if shards else None, now=now)
+        rows = deduplicated(P.event_stream(spark, f"{root}/log"), shard() if shards else None, now=now)
         job = P.Job(f"{root}/out", shards=shards, idle_ms=idle, at_ms=F.col("event_time_ms") + 7)
         P.start_job(rows, job, f"{root}/checkpoint").awaitTermination()
     return f"{root}/out"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import itertools
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,52 +30,94 @@ INSTANTS = ("window_start", "window_end", "updated_at")
 _OPEN = r'^(?:(?:[^",][^,]*+|"(?:[^"]|"")*+"(?:[^",][^,]*+)?)?,)*+"(?:[^"]|"")*+$'
 
 
-def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """OP-1: (source_sequence, raw_values) in the order of paths and lines; a canonical header is dropped in the scan's first row alone.
+def _header(line: Column) -> Column:
+    """Whether a line is the canonical header, with or without quotes and blanks."""
+    unquoted = lambda v: F.btrim(F.regexp_replace(v, '^"([^"]*)"', "$1"), F.lit(BLANKS))
+    fields = F.transform(F.split(line, ","), unquoted)
+    return F.coalesce((F.size(fields) == len(CSV_COLUMNS)) & (F.concat_ws(",", fields) == ",".join(CSV_COLUMNS)), F.lit(False))
+
+
+def _state(constant: Column, flip: Column, order: Window, start: Column | None = None) -> Column:
+    """The state before each row of a chain of functions of a truth value, which set it (`constant`), turn it over (`flip`) or leave it; `start` is the first row's."""
+    flips = F.sum(flip.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = F.last(F.when(constant.isNotNull(), F.struct(constant.alias("v"), flips.alias("k"))), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    before = flips - flip.cast("int")
+    odd = lambda n: n % 2 == 1
+    begun = F.lit(False) if start is None else start
+    return F.when(last.isNull(), begun != odd(before)).otherwise(last["v"] != odd(before - last["k"]))
 
-    Blank records keep their number. Lines are read in splits of a file; each split's
-    count gives the number its first line has. Only where some record spans lines,
-    a file is one unit of reading.
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(n, block, at, value, whole) of all lines in the order of paths and lines: n is the number of the record that a line is of, and `whole` says whether it is all of it.
+
+    A line is a function of whether it begins within quotes to whether it ends there.
+    Most lines leave that as it is; only in splits that have others are the lines put
+    in order, and their functions composed by a prefix scan. A split as a whole is such a
+    function too, so where records begin is known from one row per split.
     """
     where = F.col("_metadata")
     lines = spark.read.text(path).select("value", where["file_path"].alias("path"), where["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"))
-    if lines.where(F.regexp_replace("value", "^\ufeff", "").rlike(_OPEN)).isEmpty():
-        # Lines of a block are numbered one after the other by the task that reads it.
-        blocks = lines.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-        before = F.coalesce(F.sum("n").over(Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        rows = lines.join(F.broadcast(blocks.select("path", "block", "first", before.alias("before"))), ["path", "block"])  # a row per 128 MB
-        rows = rows.select((F.col("at") - F.col("first") + F.col("before")).cast("bigint").alias("n"), F.when((F.col("at") == F.col("first")) & (F.col("block") == 0), F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")).alias("value"))
-
-        def split(batches):
-            for batch in batches:
-                values = list(csv.reader(batch.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.list_(pa.string()))], names=["n", "raw_values"])
-
-        found = rows.mapInArrow(split, "n long, raw_values array<string>")
-    else:
-
-        def records(batches):
-            for batch in batches:
-                for name, content in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
-                    numbered = enumerate(csv.reader(io.StringIO(content.decode("utf-8-sig"), newline="")))
-                    while part := list(itertools.islice(numbered, 4096)):
-                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array([k for k, _ in part]), pa.array([v for _, v in part], pa.list_(pa.string()))], names=["path", "k", "raw_values"])
-
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
-        rows = files.mapInArrow(records, "path string, k long, raw_values array<string>")
-        counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-        before = F.coalesce(F.sum("n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        found = rows.join(F.broadcast(counts.select("path", before.alias("before"))), "path").select((F.col("k") + F.col("before")).cast("bigint").alias("n"), "raw_values")
-    header = F.concat_ws(",", F.transform("raw_values", lambda v: F.btrim(v, F.lit(BLANKS)))) == ",".join(CSV_COLUMNS)
-    head = F.broadcast(found.where("n = 0").agg(F.count_if(header & (F.size("raw_values") == len(CSV_COLUMNS))).alias("headers")))  # one row
-    return found.join(head, F.col("n") >= F.col("headers")).select((F.col("n") - F.col("headers")).alias("source_sequence"), "raw_values")
+    first = F.col("block") == 0
+    lines = lines.withColumn("value", F.when(first & F.col("value").startswith("\ufeff"), F.substr("value", F.lit(2))).otherwise(F.col("value")))
+    quoted = F.col("value").contains('"')
+    lines = lines.withColumn("outside", quoted & F.col("value").rlike(_OPEN)).withColumn("inside", ~quoted | F.concat(F.lit('"'), "value").rlike(_OPEN))
+    turns = F.col("outside") | ~F.col("inside")
+    blocks = lines.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.count_if(turns).alias("turns"), F.min_by("value", "at").alias("head"))
+    # Lines of splits in which quotes turn, with what they are if the split begins outside (0) or within (1) quotes.
+    order = Window.partitionBy("path", "block").orderBy("at")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turning = lines.join(blocks.where("turns > 0").select("path", "block"), ["path", "block"])
+    constant, flip = F.when(F.col("outside") == F.col("inside"), F.col("outside")), F.col("outside") & ~F.col("inside")
+    turning = turning.withColumn("s0", _state(constant, flip, order)).withColumn("s1", _state(constant, flip, order, F.lit(True)))
+    turning = turning.withColumns({f"{name}{k}": c for k in (0, 1) for name, c in (("c", F.count_if(~F.col(f"s{k}")).over(upto)), ("e", F.when(F.col(f"s{k}"), F.col("inside")).otherwise(F.col("outside"))))})
+    ends = turning.groupBy("path", "block").agg(*[F.max(f"c{k}").alias(f"starts{k}") for k in (0, 1)], *[F.max_by(f"e{k}", "at").alias(f"end{k}") for k in (0, 1)])
+    blocks = blocks.join(ends, ["path", "block"], "left").withColumn("starts0", F.coalesce("starts0", "n")).withColumn("starts1", F.coalesce("starts1", F.lit(0)))
+    blocks = blocks.withColumn("end0", F.coalesce("end0", F.lit(False))).withColumn("end1", F.coalesce("end1", F.lit(True)))
+    in_file = Window.partitionBy("path").orderBy("block")
+    blocks = blocks.withColumn("begins", _state(F.when(F.col("end0") == F.col("end1"), F.col("end0")), F.col("end0") & ~F.col("end1"), in_file))
+    starts = F.when(F.col("begins"), F.col("starts1")).otherwise(F.col("starts0"))
+    every = Window.orderBy("path", "block")  # a row per split
+    before = F.coalesce(F.sum(starts).over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    header = F.first(_header(F.col("head")) & ~F.col("end0")).over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    facts = blocks.select("path", "block", "first", "turns", "begins", (before - header.cast("int")).alias("before"))
+    plain = lines.join(facts.where("turns = 0"), ["path", "block"])
+    plain = plain.select(F.when(F.col("begins"), F.col("before") - 1).otherwise(F.col("at") - F.col("first") + F.col("before")).alias("n"), "path", "block", "at", "value", (~F.col("begins")).alias("whole"))
+    turned = turning.join(facts.select("path", "block", "begins", "before"), ["path", "block"])
+    chosen = lambda name: F.when(F.col("begins"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
+    turned = turned.select((F.col("before") + chosen("c") - 1).alias("n"), "path", "block", "at", "value", (~chosen("s") & ~chosen("e")).alias("whole"))
+    return plain.unionByName(turned).where("n >= 0")
+
+
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """OP-1: (source_sequence, raw_values) in the order of paths and lines; a canonical header is dropped in the scan's first row alone.
+
+    Blank records keep their number. Files, compressed ones too, are read in splits as
+    Hadoop makes them; records may span lines and splits. The line ends within a
+    record come back as one newline character each. Lines without a quote are split
+    here; only records with one go through Python's reader.
+    """
+    lines = csv_lines(spark, path)
+    joined = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"]))
+    records = lines.where("whole").select("n", "value").unionByName(lines.where("NOT whole").groupBy("n").agg(joined.alias("value")))
+
+    def split(batches):
+        csv.field_size_limit(1 << 31)
+        for batch in batches:
+            values = [next(csv.reader(io.StringIO(v, newline="")), []) for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.list_(pa.string()))], names=["source_sequence", "raw_values"])
+
+    quoted = F.col("value").contains('"')
+    numbered = records.select(F.col("n").cast("long").alias("source_sequence"), "value")
+    simple = numbered.where(~quoted).select("source_sequence", F.when(F.col("value") == "", F.array().cast("array<string>")).otherwise(F.split("value", ",", -1)).alias("raw_values"))
+    return simple.unionByName(numbered.where(quoted).mapInArrow(split, "source_sequence long, raw_values array<string>"))
 
 
 def parse_rows(rows: DataFrame, run_id: str | Column) -> DataFrame:
     """OP-2: events and rejects in one frame; reason is null for an event. Ids and times of 0 or less pass on."""
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
     value = lambda k: F.btrim(F.get("raw_values", F.lit(k)), F.lit(BLANKS))
-    number = lambda k: F.expr(f"try_cast(btrim(get(raw_values, {k}), ' \\t\\n\\r') as bigint)")
+    # Single underscores between digits count as nothing, as Python reads integers; digits are those of ASCII.
+    number = lambda k: F.when(value(k).rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.replace(value(k), F.lit("_"), F.lit(""))).try_cast("bigint")
     seconds = number(4)
     out = rows.select(
         "source_sequence", "raw_values", run.alias("replay_run_id"), number(0).alias("user_id"), number(1).alias("item_id"), number(2).alias("category_id"),
@@ -102,6 +143,12 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events, parsed.where("reason IS NOT NULL").select("source_sequence", "raw_values", "reason")
 
 
+def event_batches(parsed: DataFrame, batch_size: int = 1000) -> DataFrame:
+    """OP-4, 5: a row per batch of source rows: how many there are, how many events, and the numbers of its rejects, in order."""
+    rejects = F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), F.col("source_sequence"))))
+    return batch_numbers(parsed, batch_size).groupBy("batch").agg(F.count(F.lit(1)).alias("source_rows"), F.count_if(F.col("reason").isNull()).alias("events"), rejects.alias("rejects"))
+
+
 def batch_numbers(rows: DataFrame, batch_size: int = 1000) -> DataFrame:
     """OP-4: the number of the batch that each source row comes in."""
     if batch_size <= 0:
