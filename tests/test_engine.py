@@ -43,6 +43,7 @@ PARITY = """
 item_metrics_1m user_features_1m quality_events active_cart active_cart_short_ttl catalog_version_guard trending ingest_parse csv_scan csv_quoted csv_event_batches replay_output
 messages_raw messages_quality messages_catalog catalog_manifest catalog_loaded catalog_cdc latest_of_versions feature_contract user_cart_lookup user_feature_lookup replay_schedule
 stream_accepted stream_user_features stream_item_metrics stream_quality stream_cart_latest job_raw job_metrics job_features job_quality job_cart stream_late_shard stream_idle_shard
+served_carts served_cart_lookup catalog_observed stream_version_guard trending_of_rollup
 """.split()
 
 

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from weftline.operators import events as E
 from weftline.operators import serving as S
+from weftline.operators import tables as T
 from weftline.plans import streams
 from weftline.plans.behavior import MUTATIONS, ORACLE, replayed, source_events
 from weftline.plans.scratch import scratch
 from weftline.sources import ingest
+from weftline.streaming.guard import CHANGE, guarded_stream
+from weftline.streaming.state import STATE_CONF
 
 Query = Callable[[SparkSession, str], DataFrame]
 MINUTES, SHORT_TTL = 1440, 3600
@@ -196,6 +199,39 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.catalog_manifest(parsed, ingest.valid_catalog_keys(parsed))
 
 
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories of products whose observations come in three deltas."""
+    table, rows = T.observation_table(spark, scratch(spark, "observed")), spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    for k in range(3):
+        delta = rows.where(F.col("l_orderkey") % 3 == k).select(F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("category_id"))
+        table.apply(S.category_observations(delta))
+    return T.dominant_of(table)
+
+
+def _guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes by number, a batch each; the third has another price, name, category or activity for some products."""
+    rows, n, key = _changes(spark, sf_dir), F.col("change_sequence"), F.col("product_id")
+    third = lambda k: (n == 3) & (key % k == 1)
+    rows = rows.withColumn("product_name", F.when(third(5), F.concat("product_name", F.lit(" b"))).otherwise(F.col("product_name")))
+    rows = rows.withColumn("category_id", F.when(third(7), F.col("category_id") + 1).otherwise(F.col("category_id"))).withColumn("is_active", F.when(third(11), ~F.col("is_active")).otherwise(F.col("is_active")))
+    root = scratch(spark, "guard")
+    spark.conf.set(*STATE_CONF)
+    for k in range(1, 5):
+        rows.where(n == k).select(*[c.split()[0] for c in CHANGE.split(", ")]).write.mode("append").parquet(f"{root}/log")
+        decided = guarded_stream(spark.readStream.schema(CHANGE).parquet(f"{root}/log"))
+        decided.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(f"{CHANGE}, decision string").parquet(f"{root}/out").select("product_id", "change_sequence", "decision")
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "rollup")
+    T.write_rollup(_metrics(spark, sf_dir), path)
+    last = source_events(spark, sf_dir).agg(F.max("event_time_ms")).first()[0] or 0
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    catalog = part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_retailprice").alias("price"), (F.col("p_size") % 5 != 0).alias("is_active"))
+    return T.trending_of_rollup(spark, path, catalog, (last // 60_000 + 1) * 60_000, 90)
+
+
 EVENT_COLUMNS = ("event_id", "user_id", "item_id", "category_id", "behavior_type", "event_time_ms", "source_sequence")
 
 
@@ -244,6 +280,9 @@ def queries() -> dict[str, Query]:
         "producer_rows": lambda s, d: ingest.kafka_rows(source_events(s, d).select("user_id", "source_sequence")),
         "csv_scan": _csv_scan,
         "csv_batches": lambda s, d: ingest.batch_numbers(_raw_rows(s, d).select("source_sequence")).groupBy("batch").agg(F.count(F.lit(1)).alias("source_rows")),
+        "catalog_observed": _observed,
+        "stream_version_guard": _guarded,
+        "trending_of_rollup": _rolled_up,
         "csv_quoted": _csv_quoted,
         "csv_event_batches": lambda s, d: ingest.event_batches(ingest.parse_rows(ingest.csv_rows(s, _csv(s, d)), "a")).select("batch", "source_rows", "events", F.concat_ws(",", F.col("rejects").cast("array<string>")).alias("rejects")),
         "replay_output": _replay_output,
@@ -300,6 +339,17 @@ GROUP BY 1, 2, 3 ORDER BY purchases DESC, carts DESC, views DESC, product_id LIM
 """
 
 
+#: The third change of a product has its version and maybe another content; the fourth has an older version or is a delete.
+_GUARDED = """
+, numbered AS (
+  SELECT p_partkey AS product_id, n AS change_sequence, p_size % 7 > 0 AS known, p_size % 7 + CASE WHEN n = 3 AND p_partkey % 7 = 1 THEN 1 ELSE 0 END AS category_id,
+         p_partkey % 3 = 0 OR p_partkey % 5 = 1 OR p_partkey % 7 = 1 OR p_partkey % 11 = 1 AS changed FROM part, range(1, 5) AS r(n))
+SELECT product_id, change_sequence, CASE WHEN change_sequence = 4 AND product_id % 5 = 0 THEN 'REJECT_DELETE' WHEN category_id <= 0 OR product_id <= 0 THEN 'REJECT_CONSTRAINT'
+       WHEN change_sequence = 4 THEN 'REJECT_VERSION_DECREASE' WHEN change_sequence = 3 AND known AND changed THEN 'REJECT_SAME_VERSION_CHANGED' ELSE 'ACCEPT' END AS decision
+FROM numbered
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(EVENT_COLUMNS)
     selects = {
@@ -348,6 +398,9 @@ def oracle_sql() -> dict[str, str]:
         "producer_rows": "SELECT user_id::VARCHAR AS key, '{\"user_id\":' || user_id || ',\"source_sequence\":' || source_sequence || '}' AS value FROM src",
         "csv_scan": f"SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, {_LINE} AS line FROM src",
         "csv_batches": "SELECT source_sequence // 1000 AS batch, count(*) AS source_rows FROM src GROUP BY 1",
+        "catalog_observed": f"{_CATALOG} SELECT * FROM dominant",
+        "stream_version_guard": _GUARDED,
+        "trending_of_rollup": _trending_sql(90),
         "csv_quoted": f"{_REJECTED}, quoted AS (SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS n, reason, user_id, behavior_type, source_sequence AS q, item_id, category_id, event_time_ms, CASE WHEN source_sequence % 13 = 0 THEN ' ' || user_id || ' ' WHEN source_sequence % 29 = 0 THEN 'x' ELSE user_id::VARCHAR END AS u FROM rejected) SELECT n AS source_sequence, CASE WHEN q % 5 = 0 THEN chr(10) || chr(10) || u || chr(10) ELSE u END || '|' || item_id || '|' || category_id || '|' || CASE WHEN q % 7 <> 0 AND q % 11 = 0 THEN 'a \"b\",' || chr(10) ELSE '' END || behavior_type || CASE WHEN q % 31 = 0 THEN '' ELSE '|' || (event_time_ms // 1000) END AS line, CASE WHEN q % 29 = 0 AND q % 13 <> 0 THEN NULL ELSE user_id END AS user_id, CASE WHEN q % 7 <> 0 AND q % 11 = 0 THEN 'a \"b\",' || chr(10) ELSE '' END || behavior_type AS behavior_type, CASE WHEN reason IS NULL AND q % 7 <> 0 AND q % 11 = 0 THEN 'BEHAVIOR_TYPE' ELSE reason END AS reason FROM quoted",
         "csv_event_batches": f"{_REJECTED} SELECT n // 1000 AS batch, count(*) AS source_rows, count(*) FILTER (reason IS NULL) AS events, coalesce(string_agg(n::VARCHAR, ',' ORDER BY n) FILTER (reason IS NOT NULL), '') AS rejects FROM (SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS n, reason FROM rejected) GROUP BY 1",
         "replay_output": f"{_REJECTED} SELECT source_sequence - (SELECT min(source_sequence) FROM src) AS source_sequence, CASE WHEN reason IS NULL THEN sha256(user_id || chr(31) || item_id || chr(31) || category_id || chr(31) || behavior_type || chr(31) || (event_time_ms // 1000) || chr(31) || (source_sequence - (SELECT min(source_sequence) FROM src))) END AS event_id, reason FROM rejected",

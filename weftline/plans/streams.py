@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from weftline.config import RuntimeConfig
 from weftline.operators import events as E
+from weftline.operators import tables as T
 from weftline.plans.behavior import MUTATIONS, ORACLE, replayed
 from weftline.plans.scratch import scratch
 from weftline.streaming import pipeline as P
+from weftline.streaming.commits import read_sink
 from weftline.streaming.state import deduplicated
 
 #: What far shards are apart, and what late carts come behind, in ms and in arrivals.
@@ -102,6 +104,22 @@ def _latest_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _carts(spark, sf_dir).select("user_id", "item_id", "category_id", kind, F.col("last_updated_at_ms").alias("event_time_ms"), "source_sequence")
 
 
+@lru_cache(maxsize=16)
+def _carts_served(spark: SparkSession, app: str, sf_dir: str) -> T.BucketTable:
+    """The job's cart changes, applied batch by batch to a table by user; the second batch comes twice."""
+    changes = read_sink(spark, _done(spark, app, sf_dir, "shards"), "cart", P.SINKS["cart"])
+    table = T.cart_table(spark, scratch(spark, "carts"))
+    for number, batch in enumerate((0, 1, 1, 2)):
+        table.apply(changes.where(F.col("batch") == batch), number)
+    return table
+
+
+def _one_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _carts_served(spark, spark.sparkContext.applicationId, sf_dir)
+    first = table.read().agg(F.min("user_id")).first()[0]
+    return table.read(1 if first is None else first)
+
+
 METRICS = "window_start_ms, item_id, source_category_id, pv_count, cart_count, fav_count, buy_count, unique_users, replay_run_id, record_version"
 FEATURES = "window_start_ms, user_id, event_count, pv_count, cart_count, fav_count, buy_count, distinct_items, feature_id, feature_version"
 
@@ -128,6 +146,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_features": lambda s, d: sink(s, d, "shards", "features").select(*_columns(FEATURES)),
         "job_quality": lambda s, d: sink(s, d, "shards", "quality"),
         "job_cart": lambda s, d: sink(s, d, "shards", "cart"),
+        "served_carts": lambda s, d: _carts_served(s, s.sparkContext.applicationId, d).read(),
+        "served_cart_lookup": _one_cart,
     }
 
 
@@ -180,6 +200,11 @@ SELECT CASE behavior_type WHEN 'buy' THEN 'DELETE' ELSE 'UPSERT' END AS operatio
 FROM changed
 """
 
+_SERVED = (
+    _JOB_CART.replace("FROM changed\n", "FROM changed)").replace("\nSELECT CASE behavior_type", ",\nnumbered AS (SELECT CASE behavior_type")
+    + " SELECT user_id, item_id, operation, category_id, added_at_ms, last_updated_at_ms, change FROM numbered n WHERE change = (SELECT max(change) FROM numbered m WHERE m.user_id = n.user_id AND m.item_id = n.item_id)"
+)
+
 
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(EVENT_COLUMNS)
@@ -200,5 +225,7 @@ def oracle_sql() -> dict[str, str]:
         "job_features": f"{_JOB} SELECT * FROM jfeatures",
         "job_quality": _JOB + _JOB_QUALITY,
         "job_cart": _JOB + _JOB_CART,
+        "served_carts": f"{_JOB}{_SERVED}",
+        "served_cart_lookup": f"{_JOB}{_SERVED} AND user_id = (SELECT min(user_id) FROM changed)",
     }
     return {name: ORACLE + sql for name, sql in selects.items()}
