@@ -13,7 +13,7 @@ from weftline.llm.common import materialize, read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of expected severity below toxic stay; null and empty texts do, and all where the labels tell nothing apart."""
+    """Rows whose probability of any toxicity is under the bar stay; null and empty texts have the prior, and all stay where the labels tell nothing apart."""
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
