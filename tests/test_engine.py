@@ -87,14 +87,19 @@ def test_feature_guard(spark):
 
 
 def test_catalog_is_written_whole_with_a_digest(spark, tmp_path):
-    rows = spark.createDataFrame([(2, 5), (1, 7), (1, 6), (1, 7)], "item_id long, category_id long")
-    S.write_catalog(S.generate_catalog(rows), str(tmp_path / "c"), 2)
-    found = S.file_digests(spark, str(tmp_path / "c")).collect()
-    assert len(found) == 1 and len(found[0].catalog_sha256) == 64
-    with pytest.raises(ValueError):
-        S.write_catalog(S.generate_catalog(rows), str(tmp_path / "c"), 3)
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
-    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["c"]
+    path, rows = str(tmp_path / "c"), spark.createDataFrame([(2, 5), (1, 7), (1, 6), (1, 7)], "item_id long, category_id long")
+    with pytest.raises(FileNotFoundError):
+        S.catalog_folder(spark, path)
+    catalog = S.generate_catalog(rows)
+    for k in range(3):
+        S.write_catalog(catalog.withColumn("catalog_version", F.lit(k).cast("long")), path, 2)
+        digests = S.file_digests(spark, path).collect()
+        assert digests and all(len(d.catalog_sha256) == 64 for d in digests)
+        with pytest.raises(ValueError):
+            S.write_catalog(catalog, path, 3)
+        got = S.loaded_catalog(spark, path, catalog.schema).collect()
+        assert sorted((r.product_id, r.catalog_version) for r in got) == [(1, k), (2, k)]
+    assert len([p for p in (tmp_path / "c").iterdir() if p.name.startswith("load=")]) == 2
 
 
 def test_lookups_without_anything(spark):

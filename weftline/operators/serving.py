@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weftline.functions.scalar import catalog_price
 from weftline.operators.events import latest_version
+from weftline.streaming.commits import Commits
 
 # Fixed value: the manifest's name for the rule of `dominant_category`.
 CATEGORY_POLICY = "most_frequent_then_lowest_category_id"
@@ -106,8 +108,8 @@ def catalog_manifest(parsed: DataFrame, valid: DataFrame) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """OP-53: sha256 of each CSV file that a catalog was written to."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    """OP-53: sha256 of each CSV file that a catalog was written to; a file is a range of product ids."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(catalog_folder(spark, path))
     return files.select("path", F.sha2("content", 256).alias("catalog_sha256"))
 
 
@@ -118,20 +120,33 @@ def canonical_snapshot(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def write_catalog(catalog: DataFrame, path: str, expected: int) -> None:
-    """OP-12: load into a staging folder, compare its count with the manifest's, and only then take the old catalog's place."""
-    spark, stage = catalog.sparkSession, f"{path.rstrip('/')}.stage-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(stage).getFileSystem(spark._jsc.hadoopConfiguration())
-    try:
-        catalog.orderBy("product_id").coalesce(1).write.option("header", True).csv(stage)
-        found = spark.read.option("header", True).csv(stage).count()
-        if found != expected:
-            raise ValueError(f"{found} rows loaded, {expected} expected")
-        files.delete(hadoop(path), True)
-        if not files.rename(hadoop(stage), hadoop(path)):
-            raise OSError(f"{stage} could not be moved to {path}")
-    finally:
-        files.delete(hadoop(stage), True)
+    """OP-12: load into a folder of its own, in ranges of product ids, compare its count with the manifest's, and only then make it the catalog by one commit.
+
+    Readers have the old catalog until then; the one before the old one is removed.
+    """
+    spark, folder = catalog.sparkSession, f"load={uuid.uuid4().hex}"
+    commits = Commits(spark, f"{path.rstrip('/')}/commits")
+    done, state = commits.last()
+    catalog.orderBy("product_id").write.option("header", True).csv(f"{path}/{folder}")
+    found = spark.read.schema(catalog.schema).option("header", True).csv(f"{path}/{folder}").count()
+    if found != expected:
+        commits.remove(folder)
+        raise ValueError(f"{found} rows loaded, {expected} expected")
+    commits.put(0 if done is None else done + 1, {"folder": folder, "old": state and state["folder"]})
+    if state and state["old"]:
+        commits.remove(state["old"])
+
+
+def catalog_folder(spark: SparkSession, path: str) -> str:
+    """Where the catalog lies that was loaded last."""
+    _, state = Commits(spark, f"{path.rstrip('/')}/commits").last()
+    if state is None:
+        raise FileNotFoundError(path)
+    return f"{path}/{state['folder']}"
+
+
+def loaded_catalog(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    return spark.read.option("header", True).schema(schema).csv(catalog_folder(spark, path))
 
 
 def catalog_constraint() -> Column:

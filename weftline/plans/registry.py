@@ -131,7 +131,7 @@ def _replay_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _catalog_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, catalog = scratch(spark, "catalog"), S.generate_catalog(_catalog_rows(spark, sf_dir))
     S.write_catalog(catalog, path, S.catalog_coverage(S.category_observations(_catalog_rows(spark, sf_dir))).first()["unique_products"])
-    return spark.read.option("header", True).schema(catalog.schema).csv(path)
+    return S.loaded_catalog(spark, path, catalog.schema)
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
