@@ -77,18 +77,28 @@ def word_ids():
     return lambda text: [*whole.encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def encoded(known, texts):
+    return [np.frombuffer(x, known.dtype).tolist() for x in known.encode([(t or "").encode() for t in texts])]
+
+
 def test_words_give_the_ids_of_whole_texts(spark, word_ids):
-    known = token_files.WordEncoder()
-    for _, text in [*ROWS, *documents(spark)]:
-        assert np.frombuffer(known.encode((text or "").encode()), known.dtype).tolist() == word_ids(text)[:-1]
+    texts = [t for _, t in [*ROWS, *documents(spark)]]
+    assert encoded(token_files.WordEncoder(), texts) == [word_ids(t)[:-1] for t in texts]
 
 
 def test_an_encoder_that_forgets_gives_the_same_ids(word_ids, monkeypatch):
-    monkeypatch.setattr(token_files, "REMEMBERED", 3)
+    monkeypatch.setattr(token_files, "REMEMBERED", 6)
+    monkeypatch.setattr(token_files, "ASKED", 3)
     known = token_files.WordEncoder()
-    text = " ".join(f"word{k % 7} w{k}" for k in range(200))
-    assert np.frombuffer(known.encode(text.encode()), known.dtype).tolist() == word_ids(text)[:-1]
-    assert len(known.known) <= 3
+    for k in range(200):
+        text = f"word{k % 7} W{k}. it's?! ({k})."
+        assert encoded(known, [text, text]) == [word_ids(text)[:-1]] * 2 and len(known.known) <= 14
+
+
+def test_words_with_stops_and_capitals(word_ids):
+    known, parts = token_files.WordEncoder(), ["It's", "'S", "<|ENDOFTEXT|>", "<|endoftext|>", "a", "Z9", ".", "?!", "'", ")", "É", "İ", "I\u0307", "e\u0301", "_", "-", "\u00a0", "¡", "ﬁ", "\u0301", "\u0085"]
+    texts = [f"{x}{y}{z} {z}{y}{x}" for x in parts for y in parts for z in ("", ".", "...", "'.", ",'", "’s,")]
+    assert encoded(known, texts) == [word_ids(t)[:-1] for t in texts]
 
 
 @pytest.mark.parametrize("length, rows, file_bytes", [(8, 3, 4000), (2048, 64, 64 << 20)])

@@ -14,6 +14,8 @@ follows from the ids of the files before its own.
 
 from __future__ import annotations
 
+import gc
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -21,28 +23,29 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weftline.llm import textkit
 from weftline.llm.common import read_table, release, shared_dir
 
 #: Ids of a sequence, sequences of a batch, and bytes of text that a file is made for.
 LENGTH, ROWS, FILE_BYTES = 2048, 64, 64 << 20
 #: The id that ends a document.
 END = 1
-#: Words that an encoder remembers, and bytes of the longest of them.
-REMEMBERED, LONGEST_WORD = 1 << 18, 64
+#: Words that an encoder remembers, beside those of the texts at hand; words asked for at once; bytes of text encoded at once.
+REMEMBERED, ASKED, AT_ONCE = 1 << 21, 1 << 11, 1 << 20
+STOPS = b".,;:!?"
 MANIFEST = "part int, ids string, docs string, length int, n_ids long, n_sequences long, n_docs long"
 
 
 class WordEncoder:
-    """Ids of whole texts by a `tokenizers` file whose tokens never hold white space and which drops it.
+    """Ids of whole texts by a `tokenizers` file that lower-cases, drops white space and cuts words at stops, as word_bpe_49k does.
 
-    Such a text's ids are those of its words, one after the other, so the library is
-    asked once for each word that isn't remembered.
+    A text's ids are those of its words, one after the other, so the library is asked
+    once for each word that isn't remembered, many of them at a time.
     """
 
     def __init__(self, path: str | None = None):
@@ -53,21 +56,58 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, text: bytes) -> bytes:
-        """The ids of the words between ASCII white space, as little-endian unsigned integers of `dtype`."""
-        known, words = self.known, text.split()
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text's words between ASCII white space, as little-endian unsigned integers of `dtype`."""
+        gc.disable()  # many small objects come, and none refers to itself
         try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            return b"".join([known[w] if w in known else self._of(w) for w in words])
-
-    def _of(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(word) <= LONGEST_WORD:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        words = [t.split() for t in texts]
+        flat = list(itertools.chain.from_iterable(words))
+        ids = list(map(self.known.get, flat))
+        missing = [k for k, x in enumerate(ids) if x is None]
+        if missing:
+            found = self._learn({flat[k] for k in missing})
+            for k in missing:
+                ids[k] = found[flat[k]]
+        cuts = itertools.accumulate(map(len, words), initial=0)
+        return [b"".join(ids[a:b]) for a, b in itertools.pairwise(cuts)]
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of new words, which are remembered; what was remembered before goes where that would be too many."""
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {}
+        known, asked, made = self.known, set(), []
+        for word in new:
+            parts = self._cut(word)
+            asked.update(p for p in parts if p not in known)
+            if parts != (word,):
+                made.append((word, parts))
+        known.update(self._library(list(asked)))
+        for word, parts in made:
+            known[word] = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
+        return known
+
+    def _cut(self, word: bytes) -> tuple[bytes, ...]:
+        """A word of ASCII has the ids of its lower case, and a stop after a letter or digit begins a token in any case."""
+        if not word.isascii() or b"<|" in word:
+            return (word,)
+        low = word.lower()
+        core = low.rstrip(STOPS)
+        return (core, low[len(core) :]) if core != low and core[-1:].isalnum() else (low,)
+
+    def _library(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """The ids of words, joined by spaces; the offset of a token says which word it is of."""
+        for k in range(0, len(words), ASKED):
+            texts = [w.decode() for w in words[k : k + ASKED]]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            at = np.searchsorted([start for start, _ in found.offsets], starts)
+            ids, bounds = np.array(found.ids, self.dtype).tobytes(), (at * self.dtype.itemsize).tolist()
+            yield from zip(words[k : k + ASKED], (ids[a:b] for a, b in zip(bounds, bounds[1:])))
 
 
 @lru_cache(maxsize=1)
@@ -177,11 +217,13 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
                 sinks = [store.open_output_stream(f"{base}/{kind}-{name}") for kind in ("ids", "docs")]
                 out, docs_out = SequenceWriter(sinks[0], encode.dtype, length, rows), pa.ipc.new_stream(sinks[1], DOCS)
             starts, sizes = [], []
-            for text in pc.fill_null(batch.column(1), ""):
-                starts.append(out.n_ids)
-                out.add(np.frombuffer(encode.encode(text.as_buffer().to_pybytes()), encode.dtype))
-                out.add(last)
-                sizes.append(out.n_ids - starts[-1])
+            for block in textkit.blocks(batch.column(1), AT_ONCE):
+                data, cuts = block.data.tobytes(), block.offsets.tolist()
+                for ids in encode.encode([data[a:b] for a, b in zip(cuts, cuts[1:])]):
+                    starts.append(out.n_ids)
+                    out.add(np.frombuffer(ids, encode.dtype))
+                    out.add(last)
+                    sizes.append(out.n_ids - starts[-1])
             n_docs += batch.num_rows
             docs_out.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=DOCS))
         if out is not None:
