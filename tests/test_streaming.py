@@ -1,9 +1,11 @@
 """The job: golden rows, restarts, a batch that is killed between two sinks, shards that are late or idle, retention, open windows."""
 
+import hashlib
 import itertools
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from weftline.config import RuntimeConfig
 from weftline.operators import events as E
 from weftline.streaming import pipeline as P
 from weftline.streaming.commits import Commits
-from weftline.streaming.state import deduplicated
+from weftline.streaming.state import CartVersions, KeepFirst, deduplicated
 
 FAST = {"restart_delay_ms": 1}
 
@@ -145,6 +147,42 @@ def test_counts_of_open_windows_are_merged_and_removed(spark, tmp_path, monkeypa
     assert [p[1] for p in state["parts"]] == [3]
 
 
+class Held:
+    """A value of state that counts its calls."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_state_is_read_and_written_once_a_bucket():
+    """A thousand ids and carts of a bucket take two calls of the store, and what they leave is found again until the retention is over."""
+    day, held, handle = 24, Held(), type("Handle", (), {})
+    handle.getValueState = lambda self, *_: held
+    keys = [hashlib.sha256(str(k).encode()).digest() for k in range(1000)]
+    ids = pd.DataFrame({"id": keys * 2, "valid": True, "at": range(2000), "nth": 0, "now": 0, "payload": "{}"})
+    first = KeepFirst(day)
+    first.init(handle())
+    assert [list(f.status) for f in first.handleInputRows(None, iter([ids[:700], ids[700:]]), None)] == [["UNIQUE"] * 1000 + ["DUPLICATE"] * 1000] and held.calls == 2
+    again = [set(f.status) for now in (day - 1, day) for f in first.handleInputRows(None, iter([ids[:1000].assign(now=now)]), None)]
+    assert again == [{"DUPLICATE"}, {"UNIQUE"}] and held.calls == 5
+
+    held.__init__()
+    carts = pd.DataFrame({"cart": [*keys, b"", keys[0]], "ms": [*range(1000), 7, 5], "nth": 1, "now": 0, "payload": "{}", "status": "UNIQUE"})
+    versions = CartVersions(day)
+    versions.init(handle())
+    assert [list(f.change) for f in versions.handleInputRows(None, iter([carts]), None)] == [[0, *[1] * 999, 0, 1]] and held.calls == 2
+    newer = carts.assign(ms=carts.ms + (carts.index == 3), now=1)
+    assert [{k: c for k, c in enumerate(f.change) if c} for f in versions.handleInputRows(None, iter([newer]), None)] == [{3: 2}]
+
+
 def test_rows_with_nothing_in_them(spark, tmp_path):
     """Numbers beyond a double's come back whole, and nulls stay nulls."""
     rows = [(None,) * 9, ("i", 2**60 + 1, 2**60 + 3, 1, "cart", 2**50 + 1, None, None, None), ("j", None, 5, 1, "buy", 60_000, 1, "r", 1), (" ", 1, 1, 1, "pv", 1, 1, "r", 2)]
