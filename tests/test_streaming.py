@@ -147,6 +147,18 @@ def test_counts_of_open_windows_are_merged_and_removed(spark, tmp_path, monkeypa
     assert [p[1] for p in state["parts"]] == [3]
 
 
+def test_counts_of_many_hours_lie_in_few_files(spark, tmp_path):
+    """A batch's open windows take a file a task at most, however many hours it spans."""
+    run(spark, tmp_path, events_of(spark, [(f"h{k}", 1, (40 - k) * P.HOUR + 1, k) for k in range(40)]), shards=("1", "2"))
+    _, state = Commits(spark, f"{tmp_path}/out/commits").last()
+    files = [f for _, _, names in os.walk(tmp_path / "out/parts") for f in names if f.endswith(".parquet")]
+    assert state["parts"] == [["parts/run=batch-0", 40, 40]] and len(files) <= 4
+    run(spark, tmp_path, events_of(spark, [(f"i{k}", 1, (41 + k) * P.HOUR + 1, 100 + k) for k in range(40)] + [("z", 2, 99 * P.HOUR, 200)]), shards=("1", "2"))
+    files = [f for _, _, names in os.walk(tmp_path / "out/parts") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 8
+    assert sorted(r.window_start_ms // P.HOUR for r in P.job_windows(spark, f"{tmp_path}/out", "metrics").collect()) == list(range(40, 80))
+
+
 class Held:
     """A value of state that counts its calls."""
 
