@@ -59,6 +59,20 @@ def test_parity_with_sql(spark, name):
     assert sorted(map(repr, (tuple(r) for r in cursor.fetchall()))) == sorted(repr(tuple(r[c] for c in names)) for r in got.collect())
 
 
+def test_user_cart_lookup_with_a_gap_beyond_the_ttl(spark, tmp_path):
+    """The lookup has what the SQL has: items from before a gap too, as in a store that was rebuilt."""
+    rows = [(1, 1, 7, "signup", '{"k": 5}'), (2, 12, 7, "signup", '{"k": 6}'), (3, 13, 7, "signup", '{"k": 8}'), (4, 14, 7, "purchase", '{"k": 8}')]
+    days = spark.createDataFrame(rows, "event_id long, day int, user_id long, event_type string, props string")
+    days.select("event_id", F.make_timestamp_ntz(F.lit(2024), F.lit(1), "day", F.lit(0), F.lit(0), F.lit(0)).alias("ts"), "user_id", "event_type", "props").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    cursor = con.execute(registry.oracle_sql()["user_cart_lookup"])
+    got = registry.queries()["user_cart_lookup"](spark, str(tmp_path))
+    names = [d[0] for d in cursor.description]
+    assert [r.product_id for r in got.collect()] == [5, 6]
+    assert sorted(cursor.fetchall()) == sorted(tuple(r[c] for c in names) for r in got.collect())
+
+
 def test_csv_scan_keeps_ordinals(spark, tmp_path):
     text = "﻿user_id,item_id,category_id,behavior_type,timestamp\n1,2,3,pv,4\n\nuser_id,item_id,category_id,behavior_type,timestamp\n\"1\n\",2,3,pv,4\n1,2,3,zz,4\n"
     (tmp_path / "a.csv").write_text(text, encoding="utf-8")

@@ -32,18 +32,23 @@ def cart_sessions(upserts: DataFrame, ttl_seconds: int) -> DataFrame:
     return starts.groupBy("user_id").agg(F.max("start").alias("since_ms"), (F.max("last") + ttl).alias("expires_at_ms"))
 
 
-def active_cart(mutations: DataFrame, upserts: DataFrame, ttl_seconds: int = 604_800) -> DataFrame:
+def active_cart(mutations: DataFrame, upserts: DataFrame, ttl_seconds: int = 604_800, rebuilt: bool = False) -> DataFrame:
     """OP-18, 38: items in each user's cart, from the last mutation of each item.
 
     A user's last UPSERT sets the expiry of the whole cart, a DELETE doesn't;
     `upserts` (user_id, last_updated_at_ms) has all of them, those of items that
-    are gone too. Items of a cart that had expired before are not in it.
+    are gone too. Items of a cart that had expired before are not in it, unless it
+    is `rebuilt` from the compacted log: that is read at once, so no cart expires
+    between two of its entries.
     """
     if ttl_seconds <= 0:
         raise ValueError("ttl_seconds must be positive")
     known = F.when(~F.col("operation").isin("UPSERT", "DELETE"), F.raise_error(F.lit("unknown cart operation"))).otherwise(F.col("operation"))
     rows = mutations.withColumn("operation", known).where("operation = 'UPSERT'")
-    live = rows.join(cart_sessions(upserts, ttl_seconds), "user_id").where("last_updated_at_ms >= since_ms")
+    if rebuilt:
+        live = rows.join(upserts.groupBy("user_id").agg((F.max("last_updated_at_ms") + ttl_seconds * 1000).alias("expires_at_ms")), "user_id")
+    else:
+        live = rows.join(cart_sessions(upserts, ttl_seconds), "user_id").where("last_updated_at_ms >= since_ms")
     value = F.concat_ws("|", "category_id", "added_at_ms", "last_updated_at_ms").alias("value")
     return live.select("user_id", "item_id", "category_id", "added_at_ms", "last_updated_at_ms", "expires_at_ms", value)
 
