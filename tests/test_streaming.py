@@ -13,7 +13,7 @@ from weftline.config import RuntimeConfig
 from weftline.operators import events as E
 from weftline.streaming import pipeline as P
 from weftline.streaming.commits import Commits
-from weftline.streaming.state import CartVersions, KeepFirst, deduplicated
+from weftline.streaming.state import CartVersions, KeepFirst, deduplicated, marked
 
 FAST = {"restart_delay_ms": 1}
 
@@ -229,3 +229,42 @@ def test_a_job_that_goes_on_finds_a_shard_idle_by_heartbeats(spark, tmp_path):
 def test_plan_of_a_stream(spark, twice):
     assert "TransformWithState" in P.plan_of(deduplicated(P.event_stream(spark, str(twice[0]))))
     assert "Scan" in P.plan_of(P.job_rows(spark, str(twice[1]), "raw"))
+
+
+def run_marked(spark, root, rows, now=0, **job):
+    append(rows, root / "log")
+    P.start_job(marked(P.event_stream(spark, f"{root}/log"), now=F.lit(now)), P.Job(f"{root}/out", **job), f"{root}/checkpoint").awaitTermination()
+
+
+def test_a_batch_takes_as_many_tasks_as_it_needs(spark, tmp_path):
+    """However many partitions a shuffle has, a small batch is written in few files and needs no state store."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        config = RuntimeConfig(f"{tmp_path}/checkpoint", flush_open_windows=True)
+        append(spark.createDataFrame([(f"i{k}", k + 1, 1, 1, "cart", 60_000 + k, k, "r", k) for k in range(200)], P.EVENT), tmp_path / "log")
+        P.run_job(spark, f"{tmp_path}/log", f"{tmp_path}/out", config).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = {sink: sum(f.endswith(".parquet") for _, _, names in os.walk(tmp_path / "out" / sink) for f in names) for sink in ("raw", "cart", "parts")}
+    assert max(files.values()) <= 8 and not os.listdir(tmp_path / "checkpoint/job").count("state"), files
+    assert P.job_rows(spark, f"{tmp_path}/out", "raw").count() == P.job_rows(spark, f"{tmp_path}/out", "cart").count() == 200
+
+
+def test_the_job_remembers_ids_and_carts_of_its_batches(spark, tmp_path, monkeypatch):
+    """As long as the retention, by processing time, through merged folders too; nulls are a cart of their own; what has run out goes."""
+    monkeypatch.setattr(P, "PARTS", 2)
+    day, minute = 24, 60_000
+    batches = [
+        (0, [("x", 1, "cart", 9), ("a", None, "cart", 7), ("x", 1, "cart", 10)]), (22, [("x", 1, "buy", 20), ("y", 1, "cart", 8)]), (23, [("z", 1, "buy", 9), ("b", None, "buy", 8), ("y", 1, "cart", 30)]),
+        (24, [("x", 1, "pv", 1), ("y", 1, "pv", 2), ("c", 1, "cart", 10)]), (47, [("y", 1, "pv", 3), ("z", 1, "pv", 4), ("d", 1, "cart", 1)]), (99, []), (99, [("e", 1, "pv", 5), ("f", 1, "cart", 2)]),
+    ]
+    n = itertools.count()
+    for now, rows in batches:
+        run_marked(spark, tmp_path, spark.createDataFrame([(i, u, 1, 1, kind, minute + ms, k, "r", k) for (i, u, kind, ms), k in zip(rows, n)], P.EVENT), now, retention_ms=day)
+    raw = P.job_rows(spark, f"{tmp_path}/out", "raw").orderBy("source_sequence").collect()
+    assert [(r.event_id, r.event_time_ms - minute) for r in raw] == [("x", 9), ("a", 7), ("y", 8), ("z", 9), ("b", 8), ("x", 1), ("c", 10), ("y", 3), ("z", 4), ("d", 1), ("e", 5), ("f", 2)]
+    carts = P.job_rows(spark, f"{tmp_path}/out", "cart").orderBy("source_sequence").collect()
+    assert [(r.user_id, r.operation, r.last_updated_at_ms - minute, r.change) for r in carts] == [(1, "UPSERT", 9, 1), (None, "UPSERT", 7, 1), (1, "DELETE", 9, 2), (None, "DELETE", 8, 2), (1, "UPSERT", 10, 3), (1, "UPSERT", 2, 1)]
+    _, state = Commits(spark, f"{tmp_path}/out/commits").last()
+    assert [p[1] for p in state["raw"]] == [p[1] for p in state["cart"]] == [99] and os.listdir(tmp_path / "out/held") == []
