@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import os
+import threading
 import time
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from weftline.config import RuntimeConfig
 from weftline.operators import events as E
+from weftline.plans import streams
 from weftline.streaming import pipeline as P
 from weftline.streaming.commits import Commits
 from weftline.streaming.state import CartVersions, KeepFirst, deduplicated, marked
@@ -268,3 +270,25 @@ def test_the_job_remembers_ids_and_carts_of_its_batches(spark, tmp_path, monkeyp
     assert [(r.user_id, r.operation, r.last_updated_at_ms - minute, r.change) for r in carts] == [(1, "UPSERT", 9, 1), (None, "UPSERT", 7, 1), (1, "DELETE", 9, 2), (None, "DELETE", 8, 2), (1, "UPSERT", 10, 3), (1, "UPSERT", 2, 1)]
     _, state = Commits(spark, f"{tmp_path}/out/commits").last()
     assert [p[1] for p in state["raw"]] == [p[1] for p in state["cart"]] == [99] and os.listdir(tmp_path / "out/held") == []
+
+
+def test_sinks_of_a_batch_are_written_beside_each_other(spark, tmp_path):
+    """Those that need nothing of one another: each waits here until the other is there too."""
+    both = {sink: barrier for sinks in (("quality", "cart"), ("metrics", "features")) for barrier in [threading.Barrier(2, timeout=60)] for sink in sinks}
+    rows = [("a", 1, "cart", 60_000), ("b", 1, "pv", 300_000), ("c", 1, "pv", 60_001)]
+    run_marked(spark, tmp_path, spark.createDataFrame([(i, u, 1, 1, kind, ms, k, "r", k) for k, (i, u, kind, ms) in enumerate(rows)], P.EVENT), after=lambda sink: both[sink].wait() if sink in both else None)
+    assert {sink: P.job_rows(spark, f"{tmp_path}/out", sink).count() for sink in P.SINKS} == {"raw": 3, "metrics": 1, "features": 1, "quality": 1, "cart": 1}
+
+
+def test_parts_of_a_log_are_dealt_in_one_pass(spark, golden, tmp_path):
+    """One read of the source makes all parts, which come to the log one by one; one without rows comes as nothing."""
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda x: read.add(1) or x, "long").asNondeterministic()
+    streams.log_of(golden.withColumn("arrival", counted("arrival")).withColumn("part", F.when(F.col("arrival") < 100, 0).otherwise(2)), f"{tmp_path}/parts")
+    assert read.value == golden.count()
+    come = []
+    for k in range(3):
+        streams.arrive(spark, f"{tmp_path}/parts/part={k}", f"{tmp_path}/log")
+        come.append(spark.read.schema(P.EVENT).parquet(f"{tmp_path}/log").count())
+    assert come == [12, 12, 24]
+    assert sorted(map(repr, spark.read.schema(P.EVENT).parquet(f"{tmp_path}/log").collect())) == sorted(map(repr, golden.select(*P.log_columns()).collect()))
