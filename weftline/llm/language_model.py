@@ -34,6 +34,8 @@ from weftline.llm.common import id_bucket, materialize, read_table, release, rel
 DEPTH = 5
 #: Bytes of text that are scored together, and strings or nodes of the tree that a task takes at once (whole subtrees).
 BLOCK_BYTES, CHUNK = 32 << 20, 1 << 16
+#: Partitions for each block: among as many partitions as there are blocks, a hash deals several blocks to one task.
+SPREAD = 4
 #: Bytes of text that numpy takes at once.
 PIECE = 1 << 19
 #: Distinct items that a task holds before it hands them on.
@@ -224,7 +226,8 @@ def tree_log10(codes: np.ndarray, counts: np.ndarray, depth: int) -> np.ndarray:
 
 
 def distinct_of(lists: list[np.ndarray]) -> np.ndarray:
-    return np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
+    """Sorted distinct items. np.unique hashes integers since numpy 2.3, which takes ten times as long as sorting them."""
+    return totals(np.concatenate(lists))[0] if lists else np.zeros(0, np.uint64)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -390,8 +393,8 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
                     now = int(blocks[x])
                 for block in textkit.blocks(batch.column(3).slice(x, y - x), PIECE):
                     data, begins, hashes, _ = stream(block)
-                    found[0].append(np.unique(hashes))
-                    found[1].append(np.unique(string_codes(data, begins, depth)))
+                    found[0].append(distinct_of([hashes]))
+                    found[1].append(distinct_of([string_codes(data, begins, depth)]))
                     for lists in found:
                         if sum(map(len, lists)) > HELD:
                             lists[:] = [distinct_of(lists)]
@@ -433,7 +436,7 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
     arrow = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
     # Dealt by the row itself, so it is the same block each time the table is read, in whatever order.
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block")
-    given = docs.select(block, F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").repartition(n_blocks, "block")
+    given = docs.select(block, F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").repartition(SPREAD * n_blocks, "block")
     asked = given.sortWithinPartitions("block").mapInArrow(releasing(ask), "block long, kind int, item long")
     known = asked.join(values, ["kind", "item"]).select("block", "kind", "item", "value")
     scored = given.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
