@@ -348,6 +348,14 @@ def test_table_finds_keys_and_only_keys():
         assert language_model.Table(keys, values, -1.0).get(asked).tolist() == [known.get(k, -1.0) for k in asked.tolist()]
 
 
+def test_table_of_a_block_takes_few_bytes_a_key():
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 62, 1_100_000).astype(np.uint64))
+    values = keys.astype(float)
+    table = language_model.Table(keys, values, -1.0)
+    assert sum(x.nbytes for x in (table.keys, table.values, table.lost, table.lost_values)) < 40 * len(keys)
+    assert (table.get(keys) == values).all()
+
+
 def test_context_tree_is_a_distribution():
     rnd = np.random.default_rng(4)
     context = rnd.integers(0, 3, (500, 2)).astype(np.uint64)

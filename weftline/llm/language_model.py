@@ -33,7 +33,7 @@ from weftline.llm.common import id_bucket, materialize, read_table, release, rel
 
 DEPTH = 5
 #: Bytes of text that are scored together, and strings or nodes of the tree that a task takes at once (whole subtrees).
-BLOCK_BYTES, CHUNK = 32 << 20, 1 << 16
+BLOCK_BYTES, CHUNK = 16 << 20, 1 << 16
 #: Partitions for each block: among as many partitions as there are blocks, a hash deals several blocks to one task.
 SPREAD = 4
 #: Bytes of text that numpy takes at once.
@@ -327,10 +327,13 @@ def lookup(keys: np.ndarray, values: np.ndarray, items: np.ndarray, missing: flo
 
 
 class Table:
-    """values by distinct 64-bit keys: one slot by a multiplicative hash, the last of its keys there, and a sorted array of the others."""
+    """values by distinct 64-bit keys: one slot by a multiplicative hash, the last of its keys there, and a sorted array of the others.
+
+    One to two slots a key: more would leave fewer keys to the sorted array, but a worker's memory is mostly this.
+    """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, missing: float):
-        self.shift = np.uint64(64 - max(4, (2 * len(keys)).bit_length()))
+        self.shift = np.uint64(64 - max(4, len(keys).bit_length()))
         self.missing = missing
         slots = 1 << int(np.uint64(64) - self.shift)
         self.keys, self.values = np.zeros(slots, np.uint64), np.full(slots, missing, float)
