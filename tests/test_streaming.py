@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weftline.config import RuntimeConfig
 from weftline.operators import events as E
 from weftline.plans import streams
+from weftline.plans.behavior import replayed
 from weftline.streaming import pipeline as P
 from weftline.streaming.commits import Commits
 from weftline.streaming.state import CartVersions, KeepFirst, deduplicated, marked
@@ -292,3 +293,10 @@ def test_parts_of_a_log_are_dealt_in_one_pass(spark, golden, tmp_path):
         come.append(spark.read.schema(P.EVENT).parquet(f"{tmp_path}/log").count())
     assert come == [12, 12, 24]
     assert sorted(map(repr, spark.read.schema(P.EVENT).parquet(f"{tmp_path}/log").collect())) == sorted(map(repr, golden.select(*P.log_columns()).collect()))
+
+
+def test_source_of_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
+    rows = replayed(spark, "/root/testdata/sf0.1", spread=True).withColumn("part", F.lit(0))
+    streams.log_of(rows, str(tmp_path / "log"))
+    assert len(list((tmp_path / "log").glob("part=0/*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 200_000
