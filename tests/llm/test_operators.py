@@ -121,6 +121,21 @@ def test_ngram_join_tells_texts_with_one_id_apart(spark):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([*given[3:], given[2]])
 
 
+def test_ngram_join_map_of_shared_keys_is_as_large_as_the_table_needs(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(4000)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(150)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + [f"{t} more" for t in texts[::3]])], "doc_id long, text string")
+    rows = ngram_join.profiles(docs, np.zeros(0, np.uint64)).persist()
+    bits = ngram_join.shared_keys_map(rows)
+    assert len(bits) < 1 << 17
+    met = {r.key for r in ngram_join.meetings(rows, bits).select("key").distinct().collect()}
+    sets = Counter(k for keys in {tuple(r["keys"]) for r in rows.select("keys").collect()} for k in keys)
+    shared = {k for k, n in sets.items() if n > 1}
+    assert shared and shared <= met and len(met) < len(sets) / 2
+    rows.unpersist()
+
+
 def test_count_tree_finds_what_a_scan_finds():
     rnd = np.random.default_rng(1)
     points = rnd.poisson(0.6, (700, ngram_join.GROUPS)).astype(np.int64)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import textkit
-from weftline.llm.common import discard, join_to_classes, materialize, read_table, smallest_broadcast, whole_row
+from weftline.llm.common import discard, join_to_classes, materialize, read_table, release, smallest_broadcast, whole_row
 from weftline.llm.components import connected_components
 
 WIDTH = 5
@@ -45,8 +45,8 @@ TILE, TILE_BYTES, LEAF, FAN = 2048, 8 << 20, 32, 16
 BROADCAST_NODES = 1_000_000
 #: Partners of one set that a task verifies.
 HUB_ROWS = 2048
-#: Bits of the map of keys that several sets hold; where it fills up, more keys are shuffled.
-MAP_BITS = 1 << 27
+#: Bits of the map of keys that several sets hold: MAP_SPARE for each key of a set, MAP_BITS at most; where it fills up, more keys are shuffled.
+MAP_SPARE, MAP_BITS = 8, 1 << 27
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
@@ -137,11 +137,13 @@ def profiles(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def shared_keys_map(rows: DataFrame) -> np.ndarray:
-    """A bitmap of MAP_BITS bits with those of all keys that two different sets hold; it may hold others, but misses none."""
+    """A bitmap with the bits of all keys that two different sets hold; it may hold others, but misses none. Its size goes with the table's, as driver and executors hold it."""
+    keys = rows.agg(F.sum(F.floor(F.col("n") / WIDTH) + 1)).first()[0] or 0  # of n shingles a fifth and one are keys, at most
+    n_bits = min(MAP_BITS, max(1 << 16, 1 << (MAP_SPARE * keys).bit_length()))
     held = rows.select("d1", F.explode("keys").alias("key")).groupBy("key").agg(F.min("d1").alias("low"), F.max("d1").alias("high"))
-    bit = F.pmod(F.col("key"), F.lit(MAP_BITS))
+    bit = F.pmod(F.col("key"), F.lit(n_bits))
     marked = held.where("low < high").select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at"))
-    out = np.zeros(MAP_BITS // 8 + 4096, np.uint8)
+    out = np.zeros(n_bits // 8 + 4096, np.uint8)
     for r in marked.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).toLocalIterator():
         # bucket k holds the numbers from (k - 1) * 32768 + 1 on, and bucket 0 the number 0
         part = np.frombuffer(r["bits"], np.uint8)
@@ -152,12 +154,13 @@ def shared_keys_map(rows: DataFrame) -> np.ndarray:
 def meetings(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     """(key, d1, d2, doc_id, n): the sets at each key of the bitmap; doc_id is the smallest id with the set."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
+    n_bits = (len(bits) - 4096) * 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(4)
             keys = lists.flatten().to_numpy()
-            number = np.mod(keys, MAP_BITS)
+            number = np.mod(keys, n_bits)
             number = np.where(number == 0, 0, number - 1 + 32768)
             hit = (shared.value[number >> 3] >> (number & 7).astype(np.uint8) & 1).astype(bool)
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))[hit]
@@ -324,6 +327,8 @@ def _similar_rows(docs: DataFrame) -> DataFrame:
     rows = materialize(profiles(docs, common), "profiles")
     bits = shared_keys_map(rows)
     meet = materialize(meetings(rows, bits).withColumnRenamed("d1", "node"), "meetings")
+    del common, bits
+    release()
     places = meet.groupBy("key").agg(F.min(F.struct("doc_id", "node", "n")).alias("first"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"))
     places = places.where("size > 1").select("key", F.col("first.node").alias("pivot"), F.col("first.n").alias("pivot_n"), "size", "members")
     # Places with the same members (the shingles of one passage) are one.

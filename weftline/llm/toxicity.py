@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weftline.llm import textkit
-from weftline.llm.common import fresh, id_bucket, materialize, read_table
+from weftline.llm.common import fresh, id_bucket, materialize, read_table, release
 
 #: Labelled rows in fitting, features kept, and bytes of the word beginnings used as features.
 FIT_ROWS, FEATURES, BEGINNINGS = 20_000, 512, (4, 5, 6)
@@ -121,7 +121,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     toxic = rows["toxic"].to_numpy()
     strength = x[:, telling].sum(1)
     cuts = np.quantile(strength[toxic == 1], [1 / 3, 2 / 3])
-    return fit_ordinal(features, x, np.where(toxic == 1, 1 + np.searchsorted(cuts, strength, "right"), 0))
+    model = fit_ordinal(features, x, np.where(toxic == 1, 1 + np.searchsorted(cuts, strength, "right"), 0))
+    del rows, x
+    release()  # the driver goes on
+    return model
 
 
 def fit_ordinal(features: np.ndarray, x: np.ndarray, grade: np.ndarray, steps: int = 800, rate: float = 0.1, decay: float = 1e-5) -> Model:
